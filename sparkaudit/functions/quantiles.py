@@ -14,7 +14,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+BUCKETS = 256
 SORT_LIMIT = 1_000_000  # rows that one task may sort
 
 
@@ -24,9 +24,11 @@ def value_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS)
     The cut points are literals in the plan, so a recomputed task sees the same.
     """
     doubles = df.select("*", *[F.col(c).cast("double").alias(f"__d_{c}") for c in columns])
-    probes = [i / buckets for i in range(1, buckets)]
-    cuts = doubles.approxQuantile([f"__d_{c}" for c in columns], probes, 0.5 / buckets)
-    splits = [[float("-inf"), *sorted(set(c)), float("inf")] for c in cuts]
+    probes = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = doubles.agg(
+        *[F.expr(f"percentile_approx(`__d_{c}`, array({probes}), {4 * buckets})") for c in columns]
+    ).first()
+    splits = [[float("-inf"), *sorted(set(c or [])), float("inf")] for c in sketch]
     splits = [s if len(s) > 2 else [float("-inf"), 0.0, float("inf")] for s in splits]
     stage = Bucketizer(
         splitsArray=splits,
@@ -92,6 +94,8 @@ def quantiles(
     needed = wanted.groupBy(*key, "bucket", "first").agg(
         F.collect_list(F.struct("prob", "spot", "rank")).alias("asks")
     )
+    if not by:  # a few rows per column
+        needed = F.broadcast(needed)
     hit = _semi_rows(counts, needed, [*key, "bucket"])
     seen = Window.partitionBy(*key, "bucket").orderBy("value")
     placed = hit.select(
@@ -113,7 +117,7 @@ def quantiles(
 
 
 def _semi_rows(counts: DataFrame, needed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    other = needed.select(*[F.col(k).alias(f"__n_{k}") for k in keys], "first", "asks")
+    other = needed.withColumnsRenamed({k: f"__n_{k}" for k in keys})
     cond = F.lit(True)
     for k in keys:
         cond = cond & counts[k].eqNullSafe(other[f"__n_{k}"])
@@ -134,39 +138,60 @@ def quantile_columns(
     )
 
 
-def order_statistic(df: DataFrame, column: str, tie: str, rank: int) -> tuple | None:
-    """The (column, tie) pair at a 0-based rank, found by two bounded selections."""
-    value = _select_rank(df, column, rank)
-    if value is None:
-        return None
-    below, = df.agg(F.count(F.when(F.col(column) < F.lit(value), 1))).first()
-    same = df.where(F.col(column) == F.lit(value))
-    return value, _select_rank(same, tie, rank - below)
+def order_statistics(df: DataFrame, column: str, tie: str, ranks: Sequence[int]) -> list[tuple]:
+    """The (column, tie) pairs at 0-based ranks of the (column, tie) order.
 
-
-def _select_rank(df: DataFrame, column: str, rank: int):
-    """Value at a 0-based rank; narrows to one bucket until few values are left."""
+    Two bounded selections: the values first, then the tie-breakers among equal values.
+    """
+    values = _select_ranks(df, column, ranks)
+    marks = sorted(set(values))
+    below = df.agg(
+        *[F.count_if(F.col(column) < F.lit(m)) for m in marks],
+        *[F.count_if(F.col(column) == F.lit(m)) for m in marks],
+        *[F.max(F.when(F.col(column) == F.lit(m), F.col(tie))) for m in marks],
+    ).first()
+    stats = {m: (below[i], below[len(marks) + i], below[2 * len(marks) + i]) for i, m in enumerate(marks)}
+    out = []
+    for rank, value in zip(ranks, values):
+        before, same, only = stats[value]
+        if same > 1:
+            only = _select_ranks(df.where(F.col(column) == F.lit(value)), tie, [rank - before])[0]
+        out.append((value, only))
+    return out
+
+
+def _select_ranks(df: DataFrame, column: str, ranks: Sequence[int]) -> list:
+    """Values at 0-based ranks; a bucket too large for one task is cut again."""
     values = df.select(column).where(F.col(column).isNotNull())
-    while True:
-        keyed = value_buckets(values, [column])
-        totals = keyed.groupBy(F.col(f"__b_{column}").alias("bucket")).agg(
-            F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")
-        )
-        spans = sorted(totals.collect(), key=lambda r: r["bucket"])  # at most BUCKETS rows
-        first = 0
-        for span in spans:
-            if rank < first + span["n"]:
-                break
-            first += span["n"]
-        else:
-            return None
-        if span["lo"] == span["hi"]:
-            return span["lo"]
-        inside = values.where(F.col(column).between(F.lit(span["lo"]), F.lit(span["hi"])))
-        rank -= first
-        if span["n"] <= SORT_LIMIT or len(spans) == 1:
-            counts = inside.groupBy(column).agg(F.count("*").alias("n"))
-            upto = F.sum("n").over(Window.orderBy(column))
-            placed = counts.select(column, upto.alias("end")).where(F.col("end") > rank)
-            return placed.agg(F.min(column)).first()[0]
-        values = inside
+    keyed = value_buckets(values, [column]).withColumnRenamed(f"__b_{column}", "bucket")
+    totals = keyed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+    found: dict[int, object] = {}
+    asks: dict[int, list[tuple[int, int]]] = {}
+    spans = {}
+    first = 0
+    rows = sorted(totals.collect(), key=lambda r: r["bucket"])  # at most BUCKETS rows
+    n_buckets = len(rows)
+    for span in rows:
+        for rank in set(ranks):
+            if first <= rank < first + span["n"]:
+                if span["lo"] == span["hi"]:
+                    found[rank] = span["lo"]
+                else:
+                    asks.setdefault(span["bucket"], []).append((rank, rank - first))
+                    spans[span["bucket"]] = span
+        first += span["n"]
+    small = [b for b in asks if spans[b]["n"] <= SORT_LIMIT or len(spans) == n_buckets == 1]
+    if small:
+        counts = keyed.where(F.col("bucket").isin(small)).groupBy("bucket", column).agg(F.count("*").alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("bucket").orderBy(column))
+        placed = counts.select("bucket", column, upto.alias("end"))
+        wanted = [(b, rank, at) for b in small for rank, at in asks[b]]
+        row = placed.agg(
+            *[F.min(F.when((F.col("bucket") == b) & (F.col("end") > at), F.col(column))) for b, _, at in wanted]
+        ).first()
+        found.update({rank: row[i] for i, (_, rank, _) in enumerate(wanted)})
+    for b in set(asks) - set(small):
+        inside = values.where(F.col(column).between(F.lit(spans[b]["lo"]), F.lit(spans[b]["hi"])))
+        deeper = _select_ranks(inside, column, [at for _, at in asks[b]])
+        found.update({rank: x for (rank, _), x in zip(asks[b], deeper)})
+    return [found[r] for r in ranks]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
 from ..functions.ordered import hash_position
-from ..functions.quantiles import order_statistic
+from ..functions.quantiles import order_statistics
 
 DEFAULT_SEEDS = (0, 1, 7, 42, 123)
 
@@ -49,11 +49,8 @@ def time_blocks(df: DataFrame, ts: str, key: str, k: int = 5) -> DataFrame:
     n = numbered.count()
     size = n // (k + 1)
     block = F.lit(0)
-    for i in range(1, k + 1):
-        edge = order_statistic(numbered, "__t", key, n - (k + 1 - i) * size)
-        if edge is None:
-            continue
-        t, tie = edge
+    edges = order_statistics(numbered, "__t", key, [n - (k + 1 - i) * size for i in range(1, k + 1)]) if size else []
+    for i, (t, tie) in enumerate(edges, start=1):
         after = (F.col("__t") > F.lit(t)) | ((F.col("__t") == F.lit(t)) & (F.col(key) >= F.lit(tie)))
         block = F.when(after, i).otherwise(block)
     return numbered.withColumn("block", block).drop("__t")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32, uniform
 from ..functions.ordered import hash_position
-from ..functions.quantiles import order_statistic, quantile_columns
+from ..functions.quantiles import order_statistics, quantile_columns
 from .rates import drop_class
 
 MIN_SLICE = 30
@@ -53,11 +53,11 @@ def third_slices(df: DataFrame, column: str) -> DataFrame:
 
 def half_slices(df: DataFrame, column: str, key: str) -> DataFrame:
     """Upper (head) and lower (tail) half by sorted position, ties ordered by key."""
-    n = df.where(F.col(column).isNotNull()).count()
-    edge = order_statistic(df.where(F.col(column).isNotNull()), column, key, n // 2)
-    v, tie = edge if edge else (None, None)
+    filled = df.where(F.col(column).isNotNull())
+    n = filled.count()
+    v, tie = order_statistics(filled, column, key, [n // 2])[0] if n else (None, None)
     upper = (F.col(column) > F.lit(v)) | ((F.col(column) == F.lit(v)) & (F.col(key) >= F.lit(tie)))
-    return df.where(F.col(column).isNotNull()).withColumn(
+    return filled.withColumn(
         "slice", F.when(upper, f"by_{column}_head_50%").otherwise(f"by_{column}_tail_50%")
     )
 

@@ -1 +1,477 @@
-"""stub"""
+"""Queries: preprocessing, folds, baselines, metrics, iteration log."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import baselines, features, folds, iteration, linear, metrics
+from ..sources.tables import read_table
+from . import views as v
+from .catalog import query
+
+# ---- preprocessing ------------------------------------------------------------
+
+
+@query(
+    "f1_impute_median",
+    """SELECT doc_id, coalesce(quality, q)::DOUBLE AS quality, n_chars::DOUBLE AS n_chars
+       FROM v_missing, (SELECT quantile_cont(quality, 0.5) AS q FROM v_missing)""",
+    views="v_missing",
+)
+def f1(spark, sf):
+    df = v.partly_labelled(spark, sf).select("doc_id", "quality", "n_chars")
+    return features.impute_median(df, ["quality", "n_chars"])
+
+
+MODE_SQL = "(SELECT {c} AS m_{c} FROM v_missing WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count(*) DESC, {c} LIMIT 1)"
+
+
+@query(
+    "f2_impute_mode",
+    f"""SELECT doc_id, coalesce(quality, m_quality) AS quality, coalesce(lang, m_lang) AS lang
+        FROM v_missing, {MODE_SQL.format(c="quality")}, {MODE_SQL.format(c="lang")}""",
+    views="v_missing",
+)
+def f2(spark, sf):
+    df = v.partly_labelled(spark, sf).select("doc_id", "quality", "lang")
+    return features.impute_mode(df, ["quality", "lang"])
+
+
+@query(
+    "f3_standardize",
+    """SELECT o_orderkey, round((o_totalprice - m) / s, 6) AS z, round(0.0::DOUBLE, 6) AS c
+       FROM orders, (SELECT avg(o_totalprice) AS m, stddev_pop(o_totalprice) AS s FROM orders)""",
+)
+def f3(spark, sf):
+    df = read_table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_totalprice").alias("z"), F.lit(3.0).alias("c")
+    )
+    out = features.standardize(df, ["z", "c"])
+    return out.select("o_orderkey", F.round("z", 6).alias("z"), F.round("c", 6).alias("c"))
+
+
+@query(
+    "f6_prepare_whole",
+    """SELECT doc_id, coalesce(quality, q)::DOUBLE AS quality, code AS lang
+       FROM v_missing JOIN (SELECT lang, row_number() OVER (ORDER BY lang) - 1 AS code FROM (SELECT DISTINCT lang FROM v_missing)) USING (lang),
+            (SELECT quantile_cont(quality, 0.5) AS q FROM v_missing)""",
+    views="v_missing",
+)
+def f6(spark, sf):
+    df = v.partly_labelled(spark, sf).select("doc_id", "quality", "lang")
+    return features.prepare_whole(df, ["quality"], ["lang"])
+
+
+# ---- folds -----------------------------------------------------------------------
+
+
+@query(
+    "g1_kfold",
+    f"""SELECT o_orderkey, ((row_number() OVER (ORDER BY {v.h32("concat_ws(':', 42, o_orderkey)")}, o_orderkey) - 1) % 5)::INT AS fold
+        FROM orders""",
+)
+def g1(spark, sf):
+    return folds.kfold(read_table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
+
+
+@query("g2_stratified_kfold", "SELECT doc_id, quality, fold FROM v_fold42", views="v_fold42")
+def g2(spark, sf):
+    return v.quality_one_seed(spark, sf).select("doc_id", "quality", "fold")
+
+
+@query(
+    "g3_time_blocks",
+    """SELECT event_id, (CASE WHEN rn < n - 5 * (n // 6) THEN 0 ELSE (rn - (n - 5 * (n // 6))) // (n // 6) + 1 END)::INT AS block
+       FROM (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS rn, count(*) OVER () AS n FROM events)""",
+)
+def g3(spark, sf):
+    return folds.time_blocks(v.series(spark, sf).select("event_id", "ts"), "ts", "event_id").select("event_id", "block")
+
+
+@query("g4_seeded_folds", "SELECT doc_id, seed, fold FROM v_folds", views="v_folds")
+def g4(spark, sf):
+    return v.quality_folds(spark, sf).select("doc_id", "seed", "fold")
+
+
+@query(
+    "g5_membership",
+    """SELECT split, CASE WHEN fold = split THEN 'test' ELSE 'train' END AS role, count(*) AS n, sum(quality)::BIGINT AS positives
+       FROM v_fold42, (SELECT unnest([0, 1, 2, 3, 4]) AS split) GROUP BY ALL""",
+    views="v_fold42",
+)
+def g5(spark, sf):
+    m = folds.membership(v.quality_one_seed(spark, sf))
+    return m.groupBy("split", "role").agg(F.count("*").alias("n"), F.sum("quality").alias("positives"))
+
+
+@query(
+    "g6_cv_strategy",
+    """SELECT run_id, CASE WHEN regexp_matches(text, '(?i)time[-\\s]?series') THEN 'TimeSeriesSplit'
+              WHEN regexp_extract(text, '(?m)^- analysis_type: (.*)$', 1) = 'classification' OR s < 0.2 THEN 'StratifiedKFold'
+              ELSE 'KFold' END AS strategy
+       FROM v_plans, (SELECT least(avg(is_f), 1 - avg(is_f)) AS s FROM v_order)""",
+    views="v_plans v_order",
+)
+def g6(spark, sf):
+    from ..operators.profile import class_shares
+    from ..sources import notes
+
+    plans = notes.plan_info(v.run_texts(spark, sf, v.PLAN_TEXT))
+    share = class_shares(v.order_status(spark, sf), "is_f").agg(F.min("share").alias("min_share"))
+    joined = plans.crossJoin(F.broadcast(share))
+    return joined.select(
+        "run_id",
+        folds.strategy(F.col("is_time_series"), F.col("analysis_type"), F.col("min_share")).alias("strategy"),
+    )
+
+
+# ---- baselines --------------------------------------------------------------------
+
+TRAIN_COUNTS = """SELECT s.seed, s.fold, q.quality, count(*) AS n FROM (SELECT DISTINCT seed, fold FROM v_folds) s
+    JOIN v_folds q ON q.seed = s.seed AND q.fold <> s.fold GROUP BY ALL"""
+MAJORITY = f"""SELECT seed, fold, arg_max(quality, (n, -quality)) AS majority FROM ({TRAIN_COUNTS}) GROUP BY ALL"""
+
+
+@query(
+    "h1_majority_class",
+    f"""SELECT seed, fold, arg_max(quality, (n, -quality)) AS majority, round(max(n)::DOUBLE / sum(n), 6) AS share
+        FROM ({TRAIN_COUNTS}) GROUP BY ALL""",
+    views="v_folds",
+)
+def h1(spark, sf):
+    return baselines.majority_class(v.quality_folds(spark, sf), "quality").withColumn("share", F.round("share", 6))
+
+
+def majority_preds(spark, sf, all_folds=None):
+    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+    return baselines.as_preds(baselines.predict_majority(f, "quality"), "quality", "majority", "doc_id", "quality")
+
+
+def rule_preds(spark, sf, all_folds=None):
+    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+    return baselines.as_preds(baselines.predict_rule(f, F.col("junk_n") == 0), "quality", "rule", "doc_id", "quality")
+
+
+def stratified_preds(spark, sf, all_folds=None):
+    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+    scored = baselines.predict_stratified(f, "quality", "doc_id")
+    return baselines.as_preds(scored, "quality", "stratified", "doc_id", "quality")
+
+
+def score_preds(spark, sf):
+    """A soft score for the probability metrics: less junk, better document."""
+    f = v.quality_folds(spark, sf).withColumn("p", 1 / (1 + F.exp(F.col("junk_share") * 200 - 2)))
+    scored = f.withColumn("pred", (F.col("p") >= 0.5).cast("double")).withColumn("prob", F.round("p", 3))
+    return baselines.as_preds(scored, "quality", "score", "doc_id", "quality")
+
+
+SOFT = """SELECT seed, fold, quality AS y, round(1 / (1 + exp(junk_share * 200 - 2)), 3) AS p,
+    (1 / (1 + exp(junk_share * 200 - 2)) >= 0.5)::INT AS pred FROM v_folds"""
+
+
+@query(
+    "h2_stratified_random",
+    f"""WITH prior AS (SELECT seed, fold, quality, sum(n) OVER (PARTITION BY seed, fold ORDER BY quality)::DOUBLE
+                              / sum(n) OVER (PARTITION BY seed, fold) AS hi FROM ({TRAIN_COUNTS}))
+        SELECT f.seed, f.fold, f.doc_id AS row_id,
+               (SELECT min(p.quality) FROM prior p WHERE p.seed = f.seed AND p.fold = f.fold AND f.u < p.hi)::DOUBLE AS pred
+        FROM (SELECT *, {v.h32("concat_ws(':', 'strat', seed, fold, doc_id)")} / 4294967296.0::DOUBLE AS u FROM v_folds) f""",
+    views="v_folds",
+)
+def h2(spark, sf):
+    return stratified_preds(spark, sf).select("seed", "fold", "row_id", "pred")
+
+
+def chars_folds(spark, sf):
+    """Text length as a regression target."""
+    return v.quality_folds(spark, sf)
+
+
+@query(
+    "h3_mean_baseline",
+    """SELECT s.seed, s.fold, round(avg(q.n_chars), 6) AS pred FROM (SELECT DISTINCT seed, fold FROM v_folds) s
+       JOIN v_folds q ON q.seed = s.seed AND q.fold <> s.fold GROUP BY ALL""",
+    views="v_folds",
+)
+def h3(spark, sf):
+    p = baselines.predict_mean(chars_folds(spark, sf), "n_chars")
+    return p.groupBy("seed", "fold").agg(F.round(F.max("pred"), 6).alias("pred"))
+
+
+@query(
+    "h4_median_baseline",
+    """SELECT s.seed, s.fold, quantile_cont(q.n_chars, 0.5) AS pred FROM (SELECT DISTINCT seed, fold FROM v_folds) s
+       JOIN v_folds q ON q.seed = s.seed AND q.fold <> s.fold GROUP BY ALL""",
+    views="v_folds",
+)
+def h4(spark, sf):
+    p = baselines.predict_median(chars_folds(spark, sf), "n_chars")
+    return p.groupBy("seed", "fold").agg(F.max("pred").alias("pred"))
+
+
+@query(
+    "h5_rule_scores",
+    "SELECT seed, fold, round(avg(((junk_n = 0)::INT = quality)::INT), 6) AS accuracy FROM v_folds GROUP BY ALL",
+    views="v_folds",
+)
+def h5(spark, sf):
+    s = metrics.score_wide(rule_preds(spark, sf), ["accuracy"], ["seed", "fold"])
+    return s.withColumn("accuracy", F.round("accuracy", 6))
+
+
+# ridge with two features has a closed form: centred 2 x 2 normal equations
+RIDGE2 = """WITH tr AS (
+      SELECT s.seed, s.fold, avg(junk_share) AS ma, avg(n_chars / 1000.0::DOUBLE) AS mb, avg(quality) AS my,
+             var_pop(junk_share) * count(*) + 1 AS aa, var_pop(n_chars / 1000.0::DOUBLE) * count(*) + 1 AS bb,
+             covar_pop(junk_share, n_chars / 1000.0::DOUBLE) * count(*) AS ab,
+             covar_pop(junk_share, quality) * count(*) AS ay, covar_pop(n_chars / 1000.0::DOUBLE, quality) * count(*) AS b_y
+      FROM (SELECT DISTINCT seed, fold FROM v_folds) s JOIN v_folds q ON q.seed = s.seed AND q.fold <> s.fold GROUP BY ALL),
+    co AS (
+      SELECT seed, fold, ma, mb, my, 'full' AS feature_set, (ay * bb - b_y * ab) / (aa * bb - ab * ab) AS ca,
+             (b_y * aa - ay * ab) / (aa * bb - ab * ab) AS cb FROM tr
+      UNION ALL SELECT seed, fold, ma, mb, my, '-junk_share', 0, b_y / bb FROM tr
+      UNION ALL SELECT seed, fold, ma, mb, my, '-kchars', ay / aa, 0 FROM tr)
+    SELECT seed, fold, feature_set, count(*) AS n_test,
+           sqrt(avg((quality - (my + ca * (junk_share - ma) + cb * (n_chars / 1000.0::DOUBLE - mb))) ** 2)) AS rmse,
+           1 - sum((quality - (my + ca * (junk_share - ma) + cb * (n_chars / 1000.0::DOUBLE - mb))) ** 2)
+             / (var_pop(quality) * count(*)) AS r2
+    FROM co JOIN v_folds USING (seed, fold) GROUP BY seed, fold, feature_set"""
+
+
+def ridge_scores(spark, sf):
+    f = v.quality_folds(spark, sf).withColumn("kchars", F.col("n_chars") / 1000.0)
+    return linear.ridge_cv(f, ["junk_share", "kchars"], "quality")
+
+
+@query(
+    "h11_ridge_cv",
+    f"SELECT seed, fold, feature_set, n_test, round(rmse, 6) AS rmse, round(r2, 6) AS r2 FROM ({RIDGE2})",
+    views="v_folds",
+)
+def h11(spark, sf):
+    r = ridge_scores(spark, sf)
+    return r.select("seed", "fold", "feature_set", "n_test", F.round("rmse", 6).alias("rmse"), F.round("r2", 6).alias("r2"))
+
+
+@query("h11_ridge_predictions")
+def h11_pred(spark, sf):
+    f = v.quality_folds(spark, sf).withColumn("kchars", F.col("n_chars") / 1000.0)
+    fitted = linear.ridge_cv(f, ["junk_share", "kchars"], "quality", leave_out=False)
+    scored = linear.ridge_predict(f, fitted, ["junk_share", "kchars"])
+    return baselines.as_preds(scored, "quality", "Ridge", "doc_id", "quality")
+
+
+# ---- metrics ----------------------------------------------------------------------
+
+
+@query(
+    "i1_classification_metrics",
+    f"""SELECT seed, fold, round(avg((pred = y)::INT), 6) AS accuracy,
+               round(coalesce(2 * tp / nullif(2.0::DOUBLE * tp + fp + fn, 0), 0), 6) AS f1,
+               round(coalesce(tp / nullif((tp + fp)::DOUBLE, 0), 0), 6) AS "precision",
+               round(coalesce(tp / nullif((tp + fn)::DOUBLE, 0), 0), 6) AS recall
+        FROM (SELECT *, count(*) FILTER (pred = 1 AND y = 1) OVER w AS tp, count(*) FILTER (pred = 1 AND y = 0) OVER w AS fp,
+                     count(*) FILTER (pred = 0 AND y = 1) OVER w AS fn FROM ({SOFT}) WINDOW w AS (PARTITION BY seed, fold))
+        GROUP BY seed, fold, tp, fp, fn""",
+    views="v_folds",
+)
+def i1(spark, sf):
+    names = ["accuracy", "f1", "precision", "recall"]
+    s = metrics.score_wide(score_preds(spark, sf), names, ["seed", "fold"])
+    return s.select("seed", "fold", *[F.round(m, 6).alias(m) for m in names])
+
+
+@query(
+    "i2_roc_auc",
+    f"""SELECT seed, fold, round((sum(r) FILTER (y = 1) - np * (np + 1) / 2.0) / (np * nn::DOUBLE), 6) AS roc_auc FROM (
+          SELECT seed, fold, y, (rank() OVER (PARTITION BY seed, fold ORDER BY p)
+                   + (count(*) OVER (PARTITION BY seed, fold, p) - 1) / 2.0::DOUBLE) AS r,
+                 count(*) FILTER (y = 1) OVER (PARTITION BY seed, fold) AS np,
+                 count(*) FILTER (y = 0) OVER (PARTITION BY seed, fold) AS nn FROM ({SOFT})) GROUP BY seed, fold, np, nn""",
+    views="v_folds",
+)
+def i2(spark, sf):
+    a = metrics.roc_auc(score_preds(spark, sf), ["seed", "fold"])
+    return a.withColumn("roc_auc", F.round("roc_auc", 6))
+
+
+@query(
+    "i6_log_loss",
+    f"""SELECT seed, fold, round(avg(CASE WHEN y = 1 THEN ln(greatest(least(p, 1 - 1e-15), 1e-15))
+                                     ELSE ln(1 - greatest(least(p, 1 - 1e-15), 1e-15)) END), 6) AS neg_log_loss
+        FROM ({SOFT}) GROUP BY ALL""",
+    views="v_folds",
+)
+def i6(spark, sf):
+    s = metrics.score_wide(score_preds(spark, sf), ["neg_log_loss"], ["seed", "fold"])
+    return s.withColumn("neg_log_loss", F.round("neg_log_loss", 6))
+
+
+def mean_preds(spark, sf):
+    return baselines.as_preds(
+        baselines.predict_mean(chars_folds(spark, sf), "n_chars"), "chars", "mean", "doc_id", "n_chars"
+    )
+
+
+@query(
+    "i4_regression_metrics",
+    """SELECT seed, fold, round(-sqrt(avg((n_chars - m) ** 2)), 4) AS neg_root_mean_squared_error,
+              round(-avg(abs(n_chars - m)), 4) AS neg_mean_absolute_error, round(avg((n_chars - m) ** 2), 2) AS mse,
+              round(1 - sum((n_chars - m) ** 2) / (var_pop(n_chars) * count(*)), 6) AS r2
+       FROM v_folds JOIN (SELECT s.seed, s.fold, avg(q.n_chars) AS m FROM (SELECT DISTINCT seed, fold FROM v_folds) s
+                          JOIN v_folds q ON q.seed = s.seed AND q.fold <> s.fold GROUP BY ALL) USING (seed, fold)
+       GROUP BY seed, fold""",
+    views="v_folds",
+)
+def i4(spark, sf):
+    digits = {"neg_root_mean_squared_error": 4, "neg_mean_absolute_error": 4, "mse": 2, "r2": 6}
+    s = metrics.score_wide(mean_preds(spark, sf), list(digits), ["seed", "fold"])
+    return s.select("seed", "fold", *[F.round(m, d).alias(m) for m, d in digits.items()])
+
+
+# ---- score table -------------------------------------------------------------------
+
+
+def score_table(spark, sf):
+    """Fold scores of the rule and the baselines; one fold table serves all models."""
+    f = v.quality_folds(spark, sf)
+    preds = rule_preds(spark, sf, f).unionByName(majority_preds(spark, sf, f)).unionByName(stratified_preds(spark, sf, f))
+    return metrics.scores(preds, ["accuracy"])
+
+
+STRAT_PRED = f"""SELECT f.seed, f.fold, f.quality,
+    (SELECT min(p.quality) FROM (SELECT seed, fold, quality, sum(n) OVER (PARTITION BY seed, fold ORDER BY quality)::DOUBLE
+        / sum(n) OVER (PARTITION BY seed, fold) AS hi FROM ({TRAIN_COUNTS})) p
+     WHERE p.seed = f.seed AND p.fold = f.fold AND f.u < p.hi) AS pred
+    FROM (SELECT *, {v.h32("concat_ws(':', 'strat', seed, fold, doc_id)")} / 4294967296.0::DOUBLE AS u FROM v_folds) f"""
+
+SCORES_SQL = f"""SELECT 'quality' AS run_id, 'rule' AS model, seed, fold, avg(((junk_n = 0)::INT = quality)::INT) AS score
+      FROM v_folds GROUP BY ALL
+    UNION ALL SELECT 'quality', 'majority', seed, fold, avg((majority = quality)::INT)
+      FROM v_folds JOIN ({MAJORITY}) USING (seed, fold) GROUP BY ALL
+    UNION ALL SELECT 'quality', 'stratified', seed, fold, avg((pred = quality)::INT) FROM ({STRAT_PRED}) GROUP BY ALL"""
+
+
+@query(
+    "j1_cross_validated_scores",
+    f"SELECT run_id, model, seed, fold, 'accuracy' AS metric, round(score, 6) AS score FROM ({SCORES_SQL})",
+    views="v_folds",
+)
+def j1(spark, sf):
+    return score_table(spark, sf).withColumn("score", F.round("score", 6))
+
+
+# ---- iteration log ------------------------------------------------------------------
+
+
+def log_with_delta(spark, sf):
+    log = v.run_log(spark, sf)
+    return iteration.with_delta(log, "run_id", ["o_orderdate", "o_orderkey"], "score", v.log_day())
+
+
+@query(
+    "j2_delta_vs_best",
+    "SELECT run_id, iter, score, round(delta, 6) AS delta FROM v_log",
+    views="v_log",
+)
+def j2(spark, sf):
+    return log_with_delta(spark, sf).select("run_id", "iter", "score", F.round("delta", 6).alias("delta"))
+
+
+@query(
+    "j3_best_iteration",
+    """SELECT run_id, arg_max(iter, (score, -iter)) AS best_iter, max(score) AS best_score
+       FROM v_runs WHERE iter > 0 GROUP BY run_id""",
+    views="v_runs",
+)
+def j3(spark, sf):
+    return iteration.best_iteration(v.run_log(spark, sf), "run_id", "iter", "score")
+
+
+@query(
+    "j4_convergence",
+    """SELECT run_id, iter, CASE WHEN score >= 0.95 THEN 'converged' WHEN delta > 0.005 THEN 'improving'
+              WHEN delta <= 0 AND d1 <= 0 AND d2 <= 0 THEN 'backtrack'
+              WHEN delta > 0 AND delta <= 0.005 AND d1 > 0 AND d1 <= 0.005 THEN 'plateaued' ELSE 'continue' END AS state
+       FROM (SELECT run_id, iter, score, delta, lag(delta) OVER w AS d1, lag(delta, 2) OVER w AS d2
+             FROM v_log WINDOW w AS (PARTITION BY run_id ORDER BY iter))""",
+    views="v_log",
+)
+def j4(spark, sf):
+    out = iteration.convergence(log_with_delta(spark, sf), "run_id", "iter", "delta", "score", 0.95)
+    return out.select("run_id", "iter", "state")
+
+
+@query("j5_iteration_cap", "SELECT run_id, iter, score FROM v_runs WHERE iter < 10", views="v_runs")
+def j5(spark, sf):
+    return iteration.cap_iterations(v.run_log(spark, sf), 10).select("run_id", "iter", "score")
+
+
+@query(
+    "j6_best_per_hypothesis",
+    """SELECT run_id, hypothesis, best_score, best_iter,
+              hypothesis = arg_max(hypothesis, (best_score, -best_iter)) OVER (PARTITION BY run_id) AS is_global_best
+       FROM (SELECT run_id, hypothesis, max(score) AS best_score, arg_max(iter, (score, -iter)) AS best_iter
+             FROM v_runs GROUP BY ALL)""",
+    views="v_runs",
+)
+def j6(spark, sf):
+    return iteration.best_per_hypothesis(v.run_log(spark, sf), "run_id", "hypothesis", "iter", "score")
+
+
+# a re-run per customer: the recorded score is off by a few thousandths
+RERUN = """SELECT run_id, best_score, round(rerun_score, 9) AS rerun_score, CASE WHEN abs(rerun_score - best_score) < 0.01 THEN 'OK' ELSE 'MISMATCH' END AS status
+    FROM (SELECT run_id, round(avg(score) + (run_id % 3) * 0.006::DOUBLE, 9) AS best_score, avg(score) AS rerun_score
+          FROM v_runs GROUP BY run_id)"""
+
+
+@query("j7_rerun_check", RERUN, views="v_runs")
+def j7(spark, sf):
+    log = v.run_log(spark, sf)
+    recorded = log.groupBy("run_id").agg(
+        F.round(F.avg("score") + (F.col("run_id") % 3) * 0.006, 9).alias("best_score")
+    )
+    return iteration.rerun_check(recorded, log, "run_id").withColumn("rerun_score", F.round("rerun_score", 9))
+
+
+@query(
+    "j8_retry_action",
+    """SELECT run_id, n_mismatch, CASE WHEN n_mismatch = 0 THEN 'proceed' WHEN n_mismatch = 1 THEN 'recheck' ELSE 'stop' END AS action
+       FROM (SELECT run_id, count(*) FILTER (score < 0.1) AS n_mismatch FROM v_runs GROUP BY run_id)""",
+    views="v_runs",
+)
+def j8(spark, sf):
+    attempts = v.run_log(spark, sf).withColumn(
+        "status", F.when(F.col("score") < 0.1, "MISMATCH").otherwise("OK")
+    )
+    return iteration.retry_action(attempts, "run_id")
+
+
+@query(
+    "j9_criterion_met",
+    """SELECT run_id, best_score, CASE run_id % 2 WHEN 0 THEN best_score >= 0.8 ELSE best_score <= 0.8 END AS met
+       FROM (SELECT run_id, max(score) AS best_score FROM v_runs WHERE iter > 0 GROUP BY run_id)""",
+    views="v_runs",
+)
+def j9(spark, sf):
+    best = iteration.best_iteration(v.run_log(spark, sf), "run_id", "iter", "score").withColumns(
+        {"metric": F.when(F.col("run_id") % 2 == 0, "AUC-ROC").otherwise("rmse"), "threshold": F.lit(0.8)}
+    )
+    return iteration.criterion_met(best, "best_score", "threshold", "metric").select("run_id", "best_score", "met")
+
+
+@query(
+    "j10_candidate_grid",
+    """SELECT run_id, hypothesis, unnest(CASE run_id % 4 WHEN 0 THEN ['Ridge', 'RandomForest', 'XGBoost', 'LightGBM']
+              WHEN 1 THEN ['LogisticRegression', 'RandomForest', 'XGBoost', 'LightGBM'] WHEN 2 THEN ['KMeans', 'DBSCAN']
+              ELSE ['t-test', 'ANOVA', 'chi2'] END) AS model
+       FROM (SELECT DISTINCT run_id, hypothesis FROM v_runs)""",
+    views="v_runs",
+)
+def j10(spark, sf):
+    tasks = F.element_at(
+        F.array(*[F.lit(t) for t in ("regression", "classification", "clustering", "descriptive")]),
+        (F.col("run_id") % 4 + 1).cast("int"),
+    )
+    hyps = v.run_log(spark, sf).select("run_id", "hypothesis").distinct().withColumn("task", tasks)
+    return iteration.candidate_grid(hyps).select("run_id", "hypothesis", "model")

@@ -301,4 +301,7 @@ def with_views(names: list[str], sql: str) -> str:
         add(n)
     if not order:
         return sql
-    return "WITH " + ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in order) + "\n" + sql
+    body = sql.lstrip()
+    more = body.upper().startswith("WITH ")
+    joined = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in order)
+    return f"WITH {joined}" + (",\n" + body[5:] if more else "\n" + body)

@@ -1 +1,82 @@
-"""stub"""
+"""Queries: Spark ML models on the derived tables. Fits are sampled by seed, never by row."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import metrics, models
+from ..sources.tables import read_table
+from . import views as v
+from .catalog import query
+
+NUM, TXT = ["n_chars", "junk_share", "toxic"], ["lang", "source"]
+ONE_SEED_SPLITS = [(42, fold) for fold in range(5)]
+
+
+@query("f4_one_hot")
+def f4(spark, sf):
+    df = v.quality(spark, sf)
+    out = models.assemble(df, [], ["lang", "source"])
+    return out.select("doc_id", models.vector_to_array("features").alias("features"))
+
+
+@query("f5_assemble")
+def f5(spark, sf):
+    """Slot names of the assembled vector with the mean of each slot."""
+    out = models.assemble(v.quality(spark, sf), NUM, TXT)
+    names = models.feature_names(out)
+    slots = out.select(F.posexplode(models.vector_to_array("features")).alias("slot", "x"))
+    label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)
+    return slots.groupBy("slot").agg(F.avg("x").alias("mean")).withColumn("feature", label)
+
+
+def _oof(spark, sf, model, label="quality", task="classification", trees=10, depth=4):
+    return models.out_of_fold(
+        v.quality_one_seed(spark, sf), "doc_id", ["n_chars", "junk_share", "toxic"] if label == "quality" else ["junk_share", "toxic"],
+        TXT, label, model, task, "quality", ONE_SEED_SPLITS, trees=trees, depth=depth,
+    )
+
+
+@query("h6_logistic_regression")
+def h6(spark, sf):
+    return metrics.scores(_oof(spark, sf, "LogisticRegression"), ["accuracy", "roc_auc"])
+
+
+@query("h7_random_forest")
+def h7(spark, sf):
+    return metrics.scores(_oof(spark, sf, "RandomForest"), ["accuracy", "roc_auc"])
+
+
+@query("h8_random_forest_regressor")
+def h8(spark, sf):
+    return metrics.scores(_oof(spark, sf, "RandomForest", "n_chars", "regression"), ["neg_root_mean_squared_error", "r2"])
+
+
+@query("h9_boosted_trees")
+def h9(spark, sf):
+    return metrics.scores(_oof(spark, sf, "XGBoost", trees=5, depth=3), ["accuracy", "roc_auc"])
+
+
+@query("h10_boosted_regressor")
+def h10(spark, sf):
+    return metrics.scores(
+        _oof(spark, sf, "LightGBM", "n_chars", "regression", trees=5, depth=3), ["neg_root_mean_squared_error"]
+    )
+
+
+@query("h12_kmeans_scan")
+def h12(spark, sf):
+    """K-means for k = 3..8 with silhouette (the I8 metric)."""
+    return models.kmeans_scan(read_table(spark, sf, "embeddings"), "embedding")
+
+
+@query("h15_top_importances")
+def h15(spark, sf):
+    df = v.quality(spark, sf)
+    return models.top_importances(df, models.fit(df, NUM, TXT, "quality", "RandomForest", "classification", 20))
+
+
+@query("h16_top_coefficients")
+def h16(spark, sf):
+    df = v.quality(spark, sf)
+    return models.top_coefficients(df, models.fit(df, NUM, TXT, "quality", "LogisticRegression", "classification"))

@@ -16,8 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def get_estimator(name: str | None, task: str, seed: int = 42, trees: int = 100, depth: int = 5, label: str = "label"):
-    """Estimator for a model name; unknown names fall back to a random forest."""
+def get_estimator(
+    name: str | None, task: str, seed: int = 42, trees: int = 100, depth: int = 5, label: str = "label", n_rows: int = 1
+):
+    """Estimator for a model name; unknown names fall back to a random forest.
+
+    Linear models take a unit penalty on the summed loss; Spark averages the loss over
+    ``n_rows``, so the penalty is divided by it.
+    """
     key = (name or "").upper()
     common = {"featuresCol": "features", "labelCol": label}
     boosted = any(k in key for k in ("XGB", "LIGHTGBM", "LGBM", "GRADIENTBOOSTING", "GBT"))
@@ -27,10 +33,10 @@ def get_estimator(name: str | None, task: str, seed: int = 42, trees: int = 100,
         if boosted:
             return GBTClassifier(maxIter=trees, maxDepth=depth, seed=seed, **common)
         if "LOGISTIC" in key or "LR" in key:
-            return LogisticRegression(maxIter=1000, regParam=0.0, **common)
+            return LogisticRegression(maxIter=1000, regParam=1.0 / n_rows, standardization=False, **common)
         return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **common)
     if "RIDGE" in key:
-        return LinearRegression(maxIter=1000, regParam=1.0, elasticNetParam=0.0, **common)
+        return LinearRegression(maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False, **common)
     if boosted:
         return GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed, **common)
     return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, **common)
@@ -82,11 +88,13 @@ def out_of_fold(
     data = folds.select(
         "seed", "fold", key, *numeric, *text, F.col(label).cast("double").alias("label")
     ).persist()
+    sizes = {(r["seed"], r["fold"]): r["count"] for r in data.groupBy("seed", "fold").count().collect()}
 
     def one(split: tuple[int, int]) -> DataFrame:
         seed, fold = split
         rows = data.where(F.col("seed") == seed)
-        stages = preprocessing(numeric, text) + [get_estimator(model, task, seed, trees, depth)]
+        n = sum(c for (s, f), c in sizes.items() if s == seed and f != fold)
+        stages = preprocessing(numeric, text) + [get_estimator(model, task, seed, trees, depth, n_rows=max(n, 1))]
         fitted = Pipeline(stages=stages).fit(rows.where(F.col("fold") != fold))
         out = fitted.transform(rows.where(F.col("fold") == fold))
         prob = vector_to_array("probability")[1] if "probability" in out.columns else F.lit(None).cast("double")
@@ -116,7 +124,8 @@ def _final(model: PipelineModel):
 def fit(df: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str, model: str, task: str,
         trees: int = 100, depth: int = 5) -> PipelineModel:
     data = df.withColumn("label", F.col(label).cast("double"))
-    return Pipeline(stages=preprocessing(numeric, text) + [get_estimator(model, task, 42, trees, depth)]).fit(data)
+    estimator = get_estimator(model, task, 42, trees, depth, n_rows=max(data.count(), 1))
+    return Pipeline(stages=preprocessing(numeric, text) + [estimator]).fit(data)
 
 
 def top_importances(df: DataFrame, fitted: PipelineModel, k: int = 8) -> DataFrame:

@@ -50,7 +50,7 @@ def report_map(reports: DataFrame) -> DataFrame:
     kinds = ("html", "ipynb", "md")
     path = lambda e: F.max(F.when(F.col("ext") == e, F.col("path")))
     wide = reports.where(F.col("ext").isin(*kinds)).groupBy("goal", "date").agg(*[path(e).alias(e) for e in kinds])
-    entries = F.array_compact(F.array(*[F.when(F.col(e).isNotNull(), F.struct(F.lit(e), F.col(e))) for e in kinds]))
+    entries = F.array_compact(F.array(*[F.when(F.col(e).isNotNull(), F.struct(F.lit(e).alias("ext"), F.col(e).alias("path"))) for e in kinds]))
     return wide.select("goal", "date", F.map_from_entries(entries).alias("reports"))
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash32
 from ..functions.ordered import position
 from ..functions.tails import shapiro_p, signed_rank_tail, t_tail
+from ..session import cut_lineage
 
 PAIR = ("run_id", "baseline")
 SHAPIRO_LIMIT = 5000
@@ -114,7 +115,8 @@ def bootstrap_ci(
     Replicates are rows spread over the cluster; a resample is a join on the draw.
     """
     by = list(by)
-    indexed = position(df.select(*by, "seed", "fold", value), by, F.col("seed"), ["fold"], "idx").select(
+    scores = cut_lineage(df.select(*by, "seed", "fold", value))  # one row per fold, read several times
+    indexed = position(scores, by, F.col("seed"), ["fold"], "idx").select(
         *by, "idx", value
     )
     sizes = indexed.groupBy(*by).agg(F.count("*").alias("n"))
@@ -182,6 +184,7 @@ def choose_test(n: Column, p_norm: Column) -> Column:
 def compare(diffs: DataFrame, by: Sequence[str] = PAIR, replicates: int = 2000, n_perm: int = 10000) -> DataFrame:
     """Full comparison: chosen test with its p, interval, effect size, lift."""
     by = list(by)
+    diffs = cut_lineage(diffs)  # one row per fold, read by every test
     base = paired_t(summary(diffs, by)).join(normality(diffs, by).drop("n"), by)
     base = base.withColumn("test", choose_test(F.col("n"), F.col("p_norm")))
     few = base.where(F.col("test") == "permutation").select(*by)

@@ -121,8 +121,7 @@ def cv_stability(scores: DataFrame, run: str = "run_id") -> DataFrame:
 
 
 def metric_quote(metric: Column, score: Column, std: Column) -> Column:
-    digits = lambda c: F.format_number(c, "0.0000")
-    return F.concat(metric, F.lit(" "), digits(score), F.lit(" ± "), digits(std))
+    return F.format_string("%s %.4f ± %.4f", metric, score, std)
 
 
 def consistent_with(current: DataFrame, stored: DataFrame) -> DataFrame:

@@ -48,12 +48,15 @@ def normal(value):
 def compare(spark_df, con, sql: str) -> str:
     """Empty when equal, else what differs."""
     names = sorted(spark_df.columns)
+    spark_start = time.time()
+    spark_rows = spark_df.collect()
+    compare.spark_s = time.time() - spark_start
     cur = con.execute(sql)
     sql_names = [d[0] for d in cur.description]
     if sorted(sql_names) != names:
         return f"columns {names} vs {sorted(sql_names)}"
     theirs = [tuple(normal(r[sql_names.index(n)]) for n in names) for r in cur.fetchall()]
-    ours = [tuple(normal(r[n]) for n in names) for r in spark_df.collect()]
+    ours = [tuple(normal(r[n]) for n in names) for r in spark_rows]
     if len(ours) != len(theirs):
         return f"rows {len(ours)} vs {len(theirs)}"
     for i, n in enumerate(names):
@@ -98,7 +101,8 @@ def main() -> None:
             if os.environ.get("TRACE"):
                 traceback.print_exc()
         failed += note.startswith(("DIFF", "ERROR"))
-        print(f"{time.time() - start:6.2f}s {name}: {note}", flush=True)
+        built = time.time() - start
+        print(f"{built:6.2f}s {name}: {note} [{getattr(compare, 'spark_s', 0):.2f}s spark]", flush=True)
     print("failed:", failed)
 
 

@@ -1,4 +1,8 @@
-"""Methodology audit over many runs: one check, one frame of findings."""
+"""Methodology audit over many runs.
+
+All parsed notes of a run meet in one profile row. A check is a rule over that row that
+yields an array of findings, so any number of checks costs one pass over the texts.
+"""
 
 from __future__ import annotations
 
@@ -17,6 +21,7 @@ MAX_NULL = 0.05
 MAX_TRIES = 5
 MAX_SEEDS = 2
 FEW_CLASSES = 5
+FINDINGS = "array<struct<check_id: string, severity: string, message: string, location: string, evidence: string>>"
 
 # fixed values: metrics by direction, normalised
 HIGHER = ["AUC", "AUCROC", "F1", "ACCURACY", "RECALL", "PRECISION", "ROCAUC"]
@@ -39,6 +44,13 @@ def finding(check: str, severity: str, message: Column, location: Column | str,
     ]
 
 
+def _one(condition: Column, *parts) -> Column:
+    """An array with the finding where the condition holds, else an empty one."""
+    return F.when(F.coalesce(condition, F.lit(False)), F.array(F.struct(*finding(*parts)))).otherwise(
+        F.array().cast(FINDINGS)
+    )
+
+
 def numeric_target(df: DataFrame, target: str) -> DataFrame:
     """Target as a number: category codes for text or fewer than five values."""
     is_text = dict(df.dtypes)[target] == "string"
@@ -61,137 +73,189 @@ def leak_correlations(df: DataFrame, features: Sequence[str], target: str) -> Da
     return wide.select(cells).select("cell.*")
 
 
-def target_leakage(best_features: DataFrame, correlations: DataFrame, target: str, source: str) -> DataFrame:
-    """M1. ``best_features`` holds (run_id, feature); correlations one row per column."""
-    strong = correlations.where((F.col("abs_r") > LEAK) & (F.col("feature") != target))
-    r = F.round("abs_r", 4).cast("string")
-    return best_features.join(strong, "feature").select(
-        "run_id",
-        *finding(
+def leak_facts(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
+    """One row: the features that follow the target too closely."""
+    strong = leak_correlations(df, features, target).where((F.col("abs_r") > LEAK) & (F.col("feature") != target))
+    return strong.agg(F.collect_list(F.struct("feature", "abs_r")).alias("leaks"))  # at most one per column
+
+
+def class_facts(df: DataFrame, target: str) -> DataFrame:
+    """One row: share of the rarest class and number of classes."""
+    return class_shares(df, target).agg(F.min("share").alias("min_share"), F.count("*").alias("n_classes"))
+
+
+def null_facts(df: DataFrame) -> DataFrame:
+    """One row: the columns with too many missing values."""
+    high = null_ratio(df).where(F.col("null_ratio") > MAX_NULL)
+    return high.agg(F.array_sort(F.collect_list("column")).alias("null_columns"))  # at most one per column
+
+
+def run_profile(*parts: DataFrame) -> DataFrame:
+    """One row per run from any of its parsed notes; absent notes leave NULLs."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.join(p, "run_id", "full")
+    return out
+
+
+def with_facts(profile: DataFrame, *facts: DataFrame) -> DataFrame:
+    """Attach one-row facts about the audited table."""
+    for f in facts:
+        profile = profile.crossJoin(F.broadcast(f))
+    return profile
+
+
+# ---- rules ------------------------------------------------------------------------
+
+def m1(target: str, source: str) -> Column:
+    """Best features that nearly equal the target."""
+    mine = F.filter("leaks", lambda x: F.array_contains(F.col("best_features_list"), x["feature"]))
+    hits = F.transform(
+        mine,
+        lambda x: F.struct(*finding(
             "M1", "block",
-            F.concat(F.lit("possible target leakage: feature '"), "feature", F.lit("' (|r|="), r, F.lit(")")),
+            F.concat(F.lit("possible target leakage: feature '"), x["feature"], F.lit("' (|r|="),
+                     F.round(x["abs_r"], 4).cast("string"), F.lit(")")),
             source,
-            F.concat(F.lit("corr("), "feature", F.lit(f",{target})="), r),
-        ),
+            F.concat(F.lit("corr("), x["feature"], F.lit(f",{target})="), F.round(x["abs_r"], 4).cast("string")),
+        )),
     )
+    return F.when(F.col("target_variable") == target, hits)
 
 
-def temporal_leakage(plans: DataFrame, flags: DataFrame) -> DataFrame:
-    """M2."""
-    hit = plans.join(flags, "run_id").where(F.col("is_time_series") & F.col("uses_shuffle_true"))
-    return hit.select("run_id", *finding(
-        "M2", "block", F.lit("shuffle=True on time series data"), "scripts/train.py",
-        F.lit("is_time_series=True, shuffle=True"),
-    ))
+def m2() -> Column:
+    """Shuffled split on a time series."""
+    return _one(
+        F.col("is_time_series") & F.col("uses_shuffle_true"), "M2", "block",
+        F.lit("shuffle=True on time series data"), "scripts/train.py", F.lit("is_time_series=True, shuffle=True"),
+    )
 
 
-def preprocessing_leakage(flags: DataFrame) -> DataFrame:
-    """M3."""
-    return flags.where("fit_before_split").select("run_id", *finding(
-        "M3", "block", F.lit("fit_transform is called before the split"), "scripts/train.py",
+def m3() -> Column:
+    """Preprocessing fitted before the split."""
+    return _one(
+        F.col("fit_before_split"), "M3", "block", F.lit("fit_transform is called before the split"),
+        "scripts/train.py",
         F.concat(F.lit("fit_transform line "), F.col("fit_line"), F.lit(", split line "),
                  F.coalesce(F.col("split_line").cast("string"), F.lit("none"))),
-    ))
+    )
 
 
-def cv_strategy(plans: DataFrame, flags: DataFrame, df: DataFrame, target: str) -> DataFrame:
-    """M4. The class shares of the table are one row."""
-    shares = class_shares(df, target).agg(F.min("share").alias("min_share"), F.count("*").alias("n_classes"))
-    runs = plans.where((F.col("analysis_type") == "classification") & (F.col("target_variable") == target))
-    hit = (
-        runs.join(flags, "run_id").crossJoin(F.broadcast(shares))
-        .where((F.col("n_classes") > 1) & (F.col("min_share") < RARE_CLASS) & ~F.col("uses_stratified_kfold"))
-    )
+def m4(target: str) -> Column:
+    """Imbalanced classes without a stratified split."""
     share = F.round("min_share", 3).cast("string")
-    return hit.select("run_id", *finding(
+    return _one(
+        (F.col("analysis_type") == "classification") & (F.col("target_variable") == target)
+        & (F.col("n_classes") > 1) & (F.col("min_share") < RARE_CLASS)
+        & ~F.coalesce("uses_stratified_kfold", F.lit(False)),
         "M4", "warn", F.concat(F.lit("imbalanced classes (min share "), share, F.lit(") without StratifiedKFold")),
         "scripts/train.py", F.concat(F.lit("min_share="), share),
-    ))
+    )
 
 
-def selection_bias(cycles: DataFrame) -> DataFrame:
-    """M5."""
-    tries = cycles.select("run_id", F.explode("hypothesis_ids").alias("h")).groupBy("run_id", "h").agg(
-        F.count("*").alias("n")
+def m5() -> Column:
+    """A hypothesis tried too often."""
+    ids = F.col("hypothesis_ids")
+    tries = F.transform(
+        F.array_distinct(ids), lambda h: F.struct(h.alias("h"), F.size(F.filter(ids, lambda x: x == h)).alias("n"))
+    )
+    return F.transform(
+        F.filter(tries, lambda t: t["n"] > MAX_TRIES),
+        lambda t: F.struct(*finding(
+            "M5", "warn",
+            F.concat(F.lit("hypothesis '"), t["h"], F.lit("' tried "), t["n"].cast("string"), F.lit(" times")),
+            "scratch/analysis-cycle.md",
+            F.concat(F.lit("counts["), t["h"], F.lit("]="), t["n"].cast("string")),
+        )),
     )
-    return tries.where(F.col("n") > MAX_TRIES).select("run_id", *finding(
-        "M5", "warn", F.concat(F.lit("hypothesis '"), "h", F.lit("' tried "), "n", F.lit(" times")),
-        "scratch/analysis-cycle.md", F.concat(F.lit("counts["), "h", F.lit("]="), "n"),
-    ))
 
 
-def cherry_picking(cycles: DataFrame) -> DataFrame:
-    """M6."""
-    return cycles.where("fold_excluded").select("run_id", *finding(
-        "M6", "warn", F.lit("a fold was left out"), "scratch/analysis-cycle.md", F.lit("fold_excluded"),
-    ))
+def m6() -> Column:
+    """A fold left out."""
+    return _one(
+        F.col("fold_excluded"), "M6", "warn", F.lit("a fold was left out"), "scratch/analysis-cycle.md",
+        F.lit("fold_excluded"),
+    )
 
 
-def missing_imputation(flags: DataFrame, df: DataFrame) -> DataFrame:
-    """M7. Null ratios are one row per column of the table."""
-    high = null_ratio(df).where(F.col("null_ratio") > MAX_NULL)
-    listed = high.agg(
-        F.count("*").alias("n_high"),
-        F.concat_ws(",", F.slice(F.array_sort(F.collect_list("column")), 1, 5)).alias("names"),
-    ).where(F.col("n_high") > 0)
-    hit = flags.where(~F.col("has_impute")).crossJoin(F.broadcast(listed))
-    return hit.select("run_id", *finding(
-        "M7", "warn", F.concat("n_high", F.lit(" columns with more than 5% missing and no imputation")),
-        "scripts/train.py", F.concat(F.lit("columns: "), "names"),
-    ))
-
-
-def metric_direction(plans: DataFrame, flags: DataFrame, strict: bool = False) -> DataFrame:
-    """M8. ``strict`` compares with the short metric names only."""
-    both = plans.join(flags, "run_id").where(
-        (F.coalesce("success_metric", F.lit("")) != "") & F.col("metric_score_used").isNotNull()
+def m7() -> Column:
+    """Missing values without imputation."""
+    n = F.size("null_columns")
+    return _one(
+        (n > 0) & ~F.coalesce("has_impute", F.lit(False)), "M7", "warn",
+        F.concat(n.cast("string"), F.lit(" columns with more than 5% missing and no imputation")),
+        "scripts/train.py", F.concat(F.lit("columns: "), F.concat_ws(",", F.slice("null_columns", 1, 5))),
     )
+
+
+def m8(strict: bool = False) -> Column:
+    """Scorer of another direction than the metric. ``strict`` knows the short names only."""
     metric, used = normalize_metric(F.col("success_metric")), normalize_metric(F.col("metric_score_used"))
     up = metric.isin(HIGHER) & ~used.isin(HIGHER if strict else HIGHER_SCORERS)
     down = metric.isin(LOWER) & ~used.isin(LOWER if strict else LOWER_SCORERS)
     way = F.when(up, "higher").otherwise("lower")
-    return both.where(up | down).select("run_id", *finding(
-        "M8", "block",
+    return _one(
+        up | down, "M8", "block",
         F.concat(F.lit("metric '"), "success_metric", F.lit("' is better "), way, F.lit(", scoring='"),
                  "metric_score_used", F.lit("'")),
         "scripts/train.py",
         F.concat(F.lit("metric="), "success_metric", F.lit(", scoring="), "metric_score_used"),
-    ))
+    )
 
 
-def fixed_seed(flags: DataFrame) -> DataFrame:
-    """M9."""
-    return flags.where(F.col("random_state_count") > MAX_SEEDS).select("run_id", *finding(
-        "M9", "warn", F.concat(F.lit("random_state=42 occurs "), "random_state_count", F.lit(" times")),
+def m9() -> Column:
+    """The same seed fixed too often."""
+    return _one(
+        F.col("random_state_count") > MAX_SEEDS, "M9", "warn",
+        F.concat(F.lit("random_state=42 occurs "), "random_state_count", F.lit(" times")),
         "scripts/train.py", F.concat(F.lit("count="), "random_state_count"),
-    ))
+    )
 
 
-def absolute_path(flags: DataFrame) -> DataFrame:
-    """M10."""
-    return flags.where(F.col("abs_path_count") > 0).select("run_id", *finding(
-        "M10", "warn", F.concat(F.lit("absolute or home path used "), "abs_path_count", F.lit(" times")),
+def m10() -> Column:
+    """Absolute or home paths."""
+    return _one(
+        F.col("abs_path_count") > 0, "M10", "warn",
+        F.concat(F.lit("absolute or home path used "), "abs_path_count", F.lit(" times")),
         "scripts/train.py", F.concat(F.lit("count="), "abs_path_count"),
-    ))
+    )
 
 
-def font_preamble(flags: DataFrame) -> DataFrame:
-    """M11."""
-    return flags.where(~F.col("has_font")).select("run_id", *finding(
-        "M11", "warn", F.lit("no font preamble for Hangul labels"), "scripts/train.py",
-        F.lit("font.family not set"),
-    ))
+def m11() -> Column:
+    """No font preamble."""
+    return _one(
+        ~F.coalesce("has_font", F.lit(False)), "M11", "warn", F.lit("no font preamble for Hangul labels"),
+        "scripts/train.py", F.lit("font.family not set"),
+    )
 
 
-def excluded_reused(cycles: DataFrame, excluded: DataFrame) -> DataFrame:
-    """M12."""
-    both = cycles.select("run_id", "best_features_list").join(excluded, "run_id")
+def m12() -> Column:
+    """Excluded features among the best ones."""
     back = F.array_intersect(F.col("best_features_list"), F.col("excluded"))
-    return both.where(F.size(back) > 0).select("run_id", *finding(
-        "M12", "block", F.concat(F.lit("excluded features are used again: "), F.concat_ws(",", F.array_sort(back))),
+    return _one(
+        F.size(back) > 0, "M12", "block",
+        F.concat(F.lit("excluded features are used again: "), F.concat_ws(",", F.array_sort(back))),
         "scripts/train.py",
         F.concat(F.lit("excluded="), F.concat_ws(",", "excluded"), F.lit("; best="), F.concat_ws(",", "best_features_list")),
-    ))
+    )
+
+
+def apply_rules(profile: DataFrame, *rules: Column) -> DataFrame:
+    """Findings of the rules, one row each."""
+    empty = F.array().cast(FINDINGS)
+    found = F.flatten(F.array(*[F.coalesce(r.cast(FINDINGS), empty) for r in rules]))
+    return profile.select("run_id", F.explode(found).alias("f")).select("run_id", "f.*")
+
+
+def audit(
+    plans: DataFrame, cycles: DataFrame, excluded: DataFrame, flags: DataFrame,
+    facts: Sequence[DataFrame], target: str, class_target: str, source: str,
+) -> DataFrame:
+    """All checks as one findings table; ``facts`` are the one-row frames of the audited table."""
+    profile = with_facts(run_profile(plans, cycles, excluded, flags), *facts)
+    return apply_rules(
+        profile, m1(target, source), m2(), m3(), m4(class_target), m5(), m6(), m7(), m8(), m9(), m10(), m11(), m12()
+    )
 
 
 def union_findings(parts: Sequence[DataFrame]) -> DataFrame:
@@ -199,26 +263,3 @@ def union_findings(parts: Sequence[DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def audit(
-    plans: DataFrame, cycles: DataFrame, excluded: DataFrame, flags: DataFrame, df: DataFrame,
-    target: str, features: Sequence[str], source: str,
-) -> DataFrame:
-    """All checks as one findings table."""
-    used = cycles.select("run_id", F.explode("best_features_list").alias("feature"))
-    runs = plans.where(F.col("target_variable") == target).select("run_id")
-    return union_findings([
-        target_leakage(used.join(runs, "run_id", "left_semi"), leak_correlations(df, features, target), target, source),
-        temporal_leakage(plans, flags),
-        preprocessing_leakage(flags),
-        cv_strategy(plans, flags, df, target),
-        selection_bias(cycles),
-        cherry_picking(cycles),
-        missing_imputation(flags, df),
-        metric_direction(plans, flags),
-        fixed_seed(flags),
-        absolute_path(flags),
-        font_preamble(flags),
-        excluded_reused(cycles, excluded),
-    ])

@@ -33,8 +33,11 @@ DOMAINS = {
 
 
 def any_of(text: Column, words: list[str]) -> Column:
-    """One pattern for a whole word list."""
-    return text.rlike("|".join(words))
+    """Does the text hold any of the words? Plain substring search, no pattern engine."""
+    found = F.lit(False)
+    for w in words:
+        found = found | text.contains(w)
+    return found
 
 
 def _markdown(cells: DataFrame) -> DataFrame:

@@ -22,16 +22,17 @@ def poisson_bootstrap(df: DataFrame, key: str, value: str, replicates: int = 50,
 
     Weighted sums combine map-side, so only ``replicates`` rows per task are shuffled.
     """
-    u = uniform(F.lit(seed), F.col("rep"), F.col(key))
     # fixed values: cumulative Poisson(1) probabilities for 0 to 7
     steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
              0.9963401531726563, 0.9994058151824183, 0.9999167588507119, 0.9999897508033253)
     weight = F.lit(len(steps))
     for w in reversed(range(len(steps))):
-        weight = F.when(u < steps[w], w).otherwise(weight)
+        weight = F.when(F.col("__u") < steps[w], w).otherwise(weight)
     reps = df.select(key, value, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    means = reps.groupBy("rep").agg(
-        (F.sum(weight * F.col(value)) / F.nullif(F.sum(weight), F.lit(0))).alias("m")
+    drawn = reps.select("rep", value, uniform(F.lit(seed), F.col("rep"), F.col(key)).alias("__u"))
+    weighted = drawn.select("rep", value, weight.alias("__w"))
+    means = weighted.groupBy("rep").agg(
+        (F.sum(F.col("__w") * F.col(value)) / F.nullif(F.sum("__w"), F.lit(0))).alias("m")
     )
     q = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
     return means.agg(q[0].alias("ci_low"), q[1].alias("ci_high"))

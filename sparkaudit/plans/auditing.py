@@ -100,35 +100,45 @@ M_VIEWS = {
 LEAK_FEATURES = ["l_tax", "disc", "l_quantity"]
 
 
-def m1_frame(spark, sf):
-    used = cycles_of(spark, sf).select("run_id", F.explode("best_features_list").alias("feature"))
-    runs = plans_of(spark, sf).where("target_variable = 'l_extendedprice'").select("run_id")
-    corr = am.leak_correlations(v.leaky_lines(spark, sf), LEAK_FEATURES, "l_extendedprice")
-    return am.target_leakage(used.join(runs, "run_id", "left_semi"), corr, "l_extendedprice", "lineitem")
-
-
-def m7_table(spark, sf):
-    return v.partly_labelled(spark, sf).select("quality", "toxic", "lang")
-
-
-def label_table(spark, sf):
-    return read_table(spark, sf, "labels").select("quality")
-
-
-FRAMES = {
-    "m1": m1_frame,
-    "m2": lambda s, d: am.temporal_leakage(plans_of(s, d), flags(s, d)),
-    "m3": lambda s, d: am.preprocessing_leakage(flags(s, d)),
-    "m4": lambda s, d: am.cv_strategy(plans_of(s, d), flags(s, d), label_table(s, d), "quality"),
-    "m5": lambda s, d: am.selection_bias(cycles_of(s, d)),
-    "m6": lambda s, d: am.cherry_picking(cycles_of(s, d)),
-    "m7": lambda s, d: am.missing_imputation(flags(s, d), m7_table(s, d)),
-    "m8": lambda s, d: am.metric_direction(plans_of(s, d), flags(s, d)),
-    "m9": lambda s, d: am.fixed_seed(flags(s, d)),
-    "m10": lambda s, d: am.absolute_path(flags(s, d)),
-    "m11": lambda s, d: am.font_preamble(flags(s, d)),
-    "m12": lambda s, d: am.excluded_reused(cycles_of(s, d), excluded_of(s, d)),
+def leaks(spark, sf):
+    return am.leak_facts(v.leaky_lines(spark, sf), LEAK_FEATURES, "l_extendedprice")
+
+
+def classes(spark, sf):
+    return am.class_facts(read_table(spark, sf, "labels").select("quality"), "quality")
+
+
+def nulls(spark, sf):
+    return am.null_facts(v.partly_labelled(spark, sf).select("quality", "toxic", "lang"))
+
+
+def both(*parts):
+    """A profile from these readers only."""
+    return lambda spark, sf: am.run_profile(*[p(spark, sf) for p in parts])
+
+
+# which notes and facts each check reads
+CHECKS = {
+    "m1": (both(plans_of, cycles_of), [leaks], lambda: am.m1("l_extendedprice", "lineitem")),
+    "m2": (both(plans_of, flags), [], am.m2),
+    "m3": (both(flags), [], am.m3),
+    "m4": (both(plans_of, flags), [classes], lambda: am.m4("quality")),
+    "m5": (both(cycles_of), [], am.m5),
+    "m6": (both(cycles_of), [], am.m6),
+    "m7": (both(flags), [nulls], am.m7),
+    "m8": (both(plans_of, flags), [], am.m8),
+    "m9": (both(flags), [], am.m9),
+    "m10": (both(flags), [], am.m10),
+    "m11": (both(flags), [], am.m11),
+    "m12": (both(cycles_of, excluded_of), [], am.m12),
 }
+
+
+def one_check(spark, sf, check):
+    profile, facts, rule = CHECKS[check]
+    return am.apply_rules(am.with_facts(profile(spark, sf), *[f(spark, sf) for f in facts]), rule())
+
+
 TITLES = {
     "m1": "target_leakage", "m2": "temporal_leakage", "m3": "preprocessing_leakage", "m4": "cv_strategy",
     "m5": "selection_bias", "m6": "cherry_picking", "m7": "missing_imputation", "m8": "metric_direction",
@@ -136,7 +146,7 @@ TITLES = {
 }
 for _id, _title in TITLES.items():
     query(f"{_id}_{_title}", M_SQL[_id], M_VIEWS[_id])(
-        lambda spark, sf, _frame=FRAMES[_id]: _frame(spark, sf).select(*SHORT)
+        lambda spark, sf, _check=_id: one_check(spark, sf, _check).select(*SHORT)
     )
 
 
@@ -162,8 +172,11 @@ M_ALL_VIEWS = "v_cycles v_plans v_scripts v_leak v_missing"
 
 
 def method_findings(spark, sf):
-    """All twelve checks; the parsed notes are shared by the checks that read them."""
-    return am.union_findings([FRAMES[k](spark, sf) for k in FRAMES])
+    """All twelve checks over one profile row per run."""
+    return am.audit(
+        plans_of(spark, sf), cycles_of(spark, sf), excluded_of(spark, sf), flags(spark, sf),
+        [leaks(spark, sf), classes(spark, sf), nulls(spark, sf)], "l_extendedprice", "quality", "lineitem",
+    )
 
 
 @query("m14_method_audit", M_ALL, M_ALL_VIEWS)
@@ -178,7 +191,7 @@ def m14(spark, sf):
     views="v_cycles",
 )
 def a8(spark, sf):
-    return sinks.finding_lines(FRAMES["m6"](spark, sf))
+    return sinks.finding_lines(one_check(spark, sf, "m6"))
 
 
 @query(

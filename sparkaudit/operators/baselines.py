@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 from ..functions.quantiles import quantile_columns
+from ..session import cut_lineage
 
 SPLIT = ("seed", "fold")
 
@@ -45,25 +46,54 @@ def predict_majority(folds: DataFrame, label: str, split: Sequence[str] = SPLIT)
     return scored.withColumn("pred", pred).withColumn("prob", pred).drop("majority", "share")
 
 
+def class_priors(folds: DataFrame, label: str, split: Sequence[str] = SPLIT) -> DataFrame:
+    """Majority class and cumulative class prior per split: one row per split."""
+    counts = train_class_counts(folds, label, split)
+    upto = F.sum("n").over(Window.partitionBy(*split).orderBy(label))
+    steps = counts.withColumn("hi", upto / F.sum("n").over(Window.partitionBy(*split)))
+    return steps.groupBy(*split).agg(
+        F.max_by(F.col(label), F.struct(F.col("n"), -F.col(label))).alias("majority"),
+        F.array_sort(F.collect_list(F.struct("hi", F.col(label).alias("cls")))).alias("ladder"),  # one per class
+    )
+
+
+def _drawn_class() -> Column:
+    """First class whose cumulative prior exceeds the row's hash draw."""
+    return F.filter("ladder", lambda s: F.col("__u") < s["hi"])[0]["cls"].cast("double")
+
+
+def _draw(split: Sequence[str], key: str) -> Column:
+    return uniform(F.lit("strat"), *[F.col(c) for c in split], F.col(key))
+
+
 def predict_stratified(
     folds: DataFrame, label: str, key: str, split: Sequence[str] = SPLIT
 ) -> DataFrame:
     """Random class by training prior: a hash draw against the cumulative prior."""
-    counts = train_class_counts(folds, label, split)
-    upto = Window.partitionBy(*split).orderBy(label)
-    prior = counts.select(
-        *split,
-        F.col(label).alias("cls"),
-        (F.sum("n").over(upto) / F.sum("n").over(Window.partitionBy(*split))).alias("hi"),
-    )
-    ladder = prior.groupBy(*split).agg(F.array_sort(F.collect_list(F.struct("hi", "cls"))).alias("ladder"))
-    draw = uniform(F.lit("strat"), *[F.col(c) for c in split], F.col(key))
-    scored = folds.join(F.broadcast(ladder), list(split)).withColumn("__u", draw)
-    step = F.filter(F.col("ladder"), lambda s: F.col("__u") < s["hi"])[0]["cls"]
-    pred = step.cast("double")
+    priors = class_priors(folds, label, split).drop("majority")
+    scored = folds.join(F.broadcast(priors), list(split)).withColumn("__u", _draw(split, key))
+    pred = _drawn_class()
     return scored.withColumn("pred", pred).withColumn("prob", pred).drop("ladder", "__u")
 
 
+def predict_classifiers(
+    folds: DataFrame, label: str, key: str, rules: Mapping[str, Column], run: str, split: Sequence[str] = SPLIT
+) -> DataFrame:
+    """Prediction rows of the rules and of both naive classifiers from one pass over the folds."""
+    priors = class_priors(folds, label, split)
+    scored = folds.join(F.broadcast(priors), list(split)).withColumn("__u", _draw(split, key))
+    models = {name: F.coalesce(r, F.lit(False)).cast("double") for name, r in rules.items()}
+    models["majority"] = F.col("majority").cast("double")
+    models["stratified"] = _drawn_class()
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(n).alias("model"), p.alias("pred")) for n, p in models.items()])
+    ).alias("m")
+    return scored.select(
+        F.lit(run).alias("run_id"), *split, F.col(key).cast("bigint").alias("row_id"),
+        F.col(label).cast("double").alias("label"), cells,
+    ).select("run_id", "m.model", *split, "row_id", "label", "m.pred", F.col("m.pred").alias("prob"))
+
+
 def predict_mean(folds: DataFrame, target: str, split: Sequence[str] = SPLIT) -> DataFrame:
     """Mean of the training target: (total - fold) sums over (total - fold) counts."""
     *group, _ = split
@@ -82,8 +112,8 @@ def predict_median(folds: DataFrame, target: str, split: Sequence[str] = SPLIT)
     """Median of the training target, exact. Rows are repeated per foreign fold as
     (value, count) pairs only, not as full rows."""
     *group, fold = split
-    counts = folds.groupBy(*split, target).agg(F.count("*").alias("n"))
-    all_folds = folds.select(*group, fold).distinct().withColumnRenamed(fold, "split")
+    counts = cut_lineage(folds.groupBy(*split, target).agg(F.count("*").alias("n")))  # read three times
+    all_folds = counts.select(*group, fold).distinct().withColumnRenamed(fold, "split")
     pairs = _pairs(counts, F.broadcast(all_folds), group)
     train = pairs.where(F.col(fold) != F.col("split")).groupBy(*group, "split", target).agg(F.sum("n").alias("n"))
     med = quantile_columns(train, [target], [0.5], [*group, "split"], weight="n")

@@ -142,18 +142,18 @@ def h1(spark, sf):
     return baselines.majority_class(v.quality_folds(spark, sf), "quality").withColumn("share", F.round("share", 6))
 
 
-def majority_preds(spark, sf, all_folds=None):
-    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+def majority_preds(spark, sf):
+    f = v.quality_folds(spark, sf)
     return baselines.as_preds(baselines.predict_majority(f, "quality"), "quality", "majority", "doc_id", "quality")
 
 
-def rule_preds(spark, sf, all_folds=None):
-    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+def rule_preds(spark, sf):
+    f = v.quality_folds(spark, sf)
     return baselines.as_preds(baselines.predict_rule(f, F.col("junk_n") == 0), "quality", "rule", "doc_id", "quality")
 
 
-def stratified_preds(spark, sf, all_folds=None):
-    f = all_folds if all_folds is not None else v.quality_folds(spark, sf)
+def stratified_preds(spark, sf):
+    f = v.quality_folds(spark, sf)
     scored = baselines.predict_stratified(f, "quality", "doc_id")
     return baselines.as_preds(scored, "quality", "stratified", "doc_id", "quality")
 
@@ -333,9 +333,10 @@ def i4(spark, sf):
 
 
 def score_table(spark, sf):
-    """Fold scores of the rule and the baselines; one fold table serves all models."""
-    f = v.quality_folds(spark, sf)
-    preds = rule_preds(spark, sf, f).unionByName(majority_preds(spark, sf, f)).unionByName(stratified_preds(spark, sf, f))
+    """Fold scores of the rule and the baselines, one pass over the folds."""
+    preds = baselines.predict_classifiers(
+        v.quality_folds(spark, sf), "quality", "doc_id", {"rule": F.col("junk_n") == 0}, "quality"
+    )
     return metrics.scores(preds, ["accuracy"])
 
 

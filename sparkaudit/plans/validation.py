@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import linear, metrics, rates, robustness, significance
+from ..session import cut_lineage
 from ..sources.tables import read_table
 from . import scoring
 from . import views as v
@@ -18,7 +19,7 @@ ONE_SEED = f"""SELECT b.run_id, b.seed, b.fold, n.model AS baseline, b.score AS
 
 
 def diffs(spark, sf, seed: int | None = None):
-    s = scoring.score_table(spark, sf)
+    s = cut_lineage(scoring.score_table(spark, sf))  # one row per model and fold
     if seed is not None:
         s = s.where(F.col("seed") == seed)
     return significance.differences(s.where("model = 'rule'"), s.where("model <> 'rule'"))

@@ -17,12 +17,13 @@ from pyspark.sql import functions as F
 
 
 def get_estimator(
-    name: str | None, task: str, seed: int = 42, trees: int = 100, depth: int = 5, label: str = "label", n_rows: int = 1
+    name: str | None, task: str, seed: int = 42, trees: int = 100, depth: int = 5, label: str = "label",
+    n_rows: int = 1, label_std: float = 1.0,
 ):
     """Estimator for a model name; unknown names fall back to a random forest.
 
-    Linear models take a unit penalty on the summed loss; Spark averages the loss over
-    ``n_rows``, so the penalty is divided by it.
+    Linear models take a unit penalty on the summed loss. Spark averages the loss over
+    ``n_rows`` and scales the label of a regression by its spread; the penalty follows.
     """
     key = (name or "").upper()
     common = {"featuresCol": "features", "labelCol": label}
@@ -36,7 +37,9 @@ def get_estimator(
             return LogisticRegression(maxIter=1000, regParam=1.0 / n_rows, standardization=False, **common)
         return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **common)
     if "RIDGE" in key:
-        return LinearRegression(maxIter=1000, regParam=1.0 / n_rows, elasticNetParam=0.0, standardization=False, **common)
+        return LinearRegression(
+            maxIter=1000, regParam=label_std / n_rows, elasticNetParam=0.0, standardization=False, **common
+        )
     if boosted:
         return GBTRegressor(maxIter=trees, maxDepth=depth, seed=seed, **common)
     return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, **common)
@@ -76,6 +79,20 @@ def assemble(df: DataFrame, numeric: Sequence[str], text: Sequence[str], scale:
     return Pipeline(stages=preprocessing(numeric, text, scale)).fit(df).transform(df)
 
 
+def _label_moments() -> list:
+    return [F.count("label").alias("n"), F.avg("label").alias("mean"), F.var_pop("label").alias("var")]
+
+
+def _size_and_spread(parts) -> tuple[int, float]:
+    """Rows and population spread of the label over several folds."""
+    n = sum(p["n"] for p in parts)
+    if n == 0:
+        return 1, 1.0
+    mean = sum(p["n"] * p["mean"] for p in parts) / n
+    var = sum(p["n"] * (p["var"] + (p["mean"] - mean) ** 2) for p in parts) / n
+    return n, var**0.5 or 1.0
+
+
 def out_of_fold(
     folds: DataFrame, key: str, numeric: Sequence[str], text: Sequence[str], label: str,
     model: str, task: str, run: str, splits: Sequence[tuple[int, int]], trees: int = 100, parallelism: int = 4,
@@ -88,13 +105,14 @@ def out_of_fold(
     data = folds.select(
         "seed", "fold", key, *numeric, *text, F.col(label).cast("double").alias("label")
     ).persist()
-    sizes = {(r["seed"], r["fold"]): r["count"] for r in data.groupBy("seed", "fold").count().collect()}
+    moments = data.groupBy("seed", "fold").agg(*_label_moments()).collect()  # seeds x folds rows
 
     def one(split: tuple[int, int]) -> DataFrame:
         seed, fold = split
         rows = data.where(F.col("seed") == seed)
-        n = sum(c for (s, f), c in sizes.items() if s == seed and f != fold)
-        stages = preprocessing(numeric, text) + [get_estimator(model, task, seed, trees, depth, n_rows=max(n, 1))]
+        n, std = _size_and_spread([m for m in moments if m["seed"] == seed and m["fold"] != fold])
+        estimator = get_estimator(model, task, seed, trees, depth, n_rows=n, label_std=std)
+        stages = [*preprocessing(numeric, text), estimator]
         fitted = Pipeline(stages=stages).fit(rows.where(F.col("fold") != fold))
         out = fitted.transform(rows.where(F.col("fold") == fold))
         prob = vector_to_array("probability")[1] if "probability" in out.columns else F.lit(None).cast("double")
@@ -124,7 +142,8 @@ def _final(model: PipelineModel):
 def fit(df: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str, model: str, task: str,
         trees: int = 100, depth: int = 5) -> PipelineModel:
     data = df.withColumn("label", F.col(label).cast("double"))
-    estimator = get_estimator(model, task, 42, trees, depth, n_rows=max(data.count(), 1))
+    n, std = _size_and_spread(data.agg(*_label_moments()).collect())
+    estimator = get_estimator(model, task, 42, trees, depth, n_rows=n, label_std=std)
     return Pipeline(stages=preprocessing(numeric, text) + [estimator]).fit(data)
 
 

@@ -19,10 +19,7 @@ WORD = r"[A-Za-z0-9_가-힣]+"
 def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """(path, modified, text), one row per whole file."""
     return (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(folder)
+        spark.read.text(folder, wholetext=True, recursiveFileLookup=True, pathGlobFilter=pattern)
         .select(
             F.col("_metadata.file_path").alias("path"),
             F.col("_metadata.file_modification_time").alias("modified"),

@@ -130,6 +130,28 @@ def out_of_fold(
     return out
 
 
+def leave_one_out(
+    folds: DataFrame, key: str, numeric: Sequence[str], text: Sequence[str], label: str,
+    model: str, task: str, run: str, splits: Sequence[tuple[int, int]], **options,
+) -> DataFrame:
+    """Out-of-fold predictions of the full model and of one refit without each feature.
+
+    That is (features + 1) x splits fits; ridge gets the same from one scan (``linear``).
+    """
+    sets = {"full": (list(numeric), list(text))}
+    for c in [*numeric, *text]:
+        sets[f"-{c}"] = ([n for n in numeric if n != c], [t for t in text if t != c])
+    parts = [
+        out_of_fold(folds, key, n, t, label, model, task, run, splits, **options).withColumn("feature_set", F.lit(name))
+        for name, (n, t) in sets.items()
+        if n or t
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def _ranked(spark, names: Sequence[str], values, what: str, k: int) -> DataFrame:
     rows = sorted(zip(names, (float(v) for v in values)), key=lambda r: (-abs(r[1]), r[0]))[:k]
     return spark.createDataFrame([(i + 1, n, v) for i, (n, v) in enumerate(rows)], f"rank int, feature string, {what} double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TOLERANCE = 0.02
-CHUNKS_PER_UNIT = 64  # chunks per unit of ln|x| in the neighbour search
+CHUNKS_PER_UNIT = 1024  # value ranges per unit of ln(1 + |x|) in the neighbour search
 
 # fixed values: text that looks numeric but is a date, a time or a unit
 DATES = r"[0-9]{4}-[0-9]{2}-[0-9]{2}([T ][0-9]{2}:[0-9]{2}(:[0-9]{2})?)?|[0-9]{2}:[0-9]{2}(:[0-9]{2})?"
@@ -26,7 +26,7 @@ def number_tokens(reports: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _chunk(x: Column) -> Column:
-    """Order-preserving cell number of a value, finer near zero."""
+    """Order-preserving range number of a value."""
     return F.floor(F.signum(x) * F.log1p(F.abs(x)) * CHUNKS_PER_UNIT)
 
 

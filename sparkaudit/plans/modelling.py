@@ -1,10 +1,10 @@
-"""Queries: Spark ML models on the derived tables. Fits are sampled by seed, never by row."""
+"""Queries: Spark ML models on the derived tables, always on all rows of a fold."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import metrics, models
+from ..operators import linear, metrics, models, robustness
 from ..sources.tables import read_table
 from . import views as v
 from .catalog import query
@@ -64,6 +64,17 @@ def h10(spark, sf):
     )
 
 
+@query("l4_model_lofo")
+def l4_model(spark, sf):
+    """Leave-one-feature-out with refits of an ML model, first two folds."""
+    preds = models.leave_one_out(
+        v.quality_one_seed(spark, sf), "doc_id", ["junk_share", "n_chars"], [], "quality", "LogisticRegression",
+        "classification", "quality", ONE_SEED_SPLITS[:2],
+    )
+    scored = metrics.score_wide(preds, ["accuracy"], ["feature_set", "seed", "fold"])
+    return robustness.lofo_classes(linear.lofo(scored, "accuracy"))
+
+
 @query("h12_kmeans_scan")
 def h12(spark, sf):
     """K-means for k = 3..8 with silhouette (the I8 metric)."""

@@ -133,3 +133,12 @@ def test_plan_names(spark):
 def test_number_tokens(spark):
     df = spark.createDataFrame([("r", "On 2024-01-02 12:30 score 0.85 (16.7%) in 40ms, -3 of 1200명")], "run_id string, text string")
     assert [r["cited"] for r in trust.number_tokens(df, "run_id", "text").orderBy("pos").collect()] == [0.85, 16.7, 40.0, -3.0, 1200.0]
+
+
+def test_synthetic_tables_hold_the_planted_truth(spark):
+    from sparkaudit.operators import audit_method
+    from sparkaudit.sources import synthetic
+
+    for df in (synthetic.classification(spark, 800), synthetic.regression(spark, 800)):
+        leaks = audit_method.leak_facts(df, ["feat1", "feat2", "leak_col"], "target").first()["leaks"]
+        assert "leak_col" in [x["feature"] for x in leaks] and "feat2" not in [x["feature"] for x in leaks]

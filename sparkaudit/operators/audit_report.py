@@ -89,16 +89,36 @@ def printed_numbers(cells: DataFrame) -> DataFrame:
     )
 
 
-def unsupported_citations(cells: DataFrame) -> DataFrame:
-    """N1."""
-    cited = cited_numbers(cells).where(F.col("ctx") != "")
-    lonely = cited.join(printed_numbers(cells), ["notebook", "num"], "left_anti")
-    return lonely.select("notebook", *finding(
+def _without_source(candidates: DataFrame, cells: DataFrame) -> DataFrame:
+    """Candidates whose number no code output of the same notebook contains."""
+    return candidates.join(printed_numbers(cells), ["notebook", "num"], "left_anti").select("notebook", "f.*")
+
+
+def _citation_candidates(cells: DataFrame) -> DataFrame:
+    return cited_numbers(cells).where(F.col("ctx") != "").select("notebook", "num", F.struct(*finding(
         "N1", "warn",
         F.concat(F.lit("cited number '"), "num", F.lit("' (context '"), F.substring("ctx", 1, 30),
                  F.lit("') is in no code output")),
         _at("markdown"), F.concat(F.lit("ctx="), "ctx", F.lit(", num="), "num"),
-    ))
+    )).alias("f"))
+
+
+def _hedge_candidates(cells: DataFrame) -> DataFrame:
+    return hedged_numbers(cells).select("notebook", "num", F.struct(*finding(
+        "N5", "block",
+        F.concat(F.lit("hedge '"), "marker", F.lit("' near a number without source: "), "num"),
+        _at("markdown"), F.concat(F.lit("marker="), "marker", F.lit(", num="), "num"),
+    )).alias("f"))
+
+
+def unsupported_citations(cells: DataFrame) -> DataFrame:
+    """N1."""
+    return _without_source(_citation_candidates(cells), cells)
+
+
+def unsupported_hedges(cells: DataFrame) -> DataFrame:
+    """N5."""
+    return _without_source(_hedge_candidates(cells), cells)
 
 
 def metric_citations(cells: DataFrame) -> DataFrame:
@@ -136,31 +156,90 @@ def inconsistent_metrics(cells: DataFrame) -> DataFrame:
     ))
 
 
-def contradictions(cells: DataFrame) -> DataFrame:
-    """N3."""
+def _contradiction() -> Column:
     t = F.col("source")
-    hit = _markdown(cells).where(
-        (F.length(t) >= 100) & any_of(t, CONCLUSION) & any_of(t, POSITIVE) & any_of(t, NEGATIVE)
+    return (
+        (F.col("cell_type") == "markdown") & (F.length(t) >= 100)
+        & any_of(t, CONCLUSION) & any_of(t, POSITIVE) & any_of(t, NEGATIVE)
     )
-    return hit.select("notebook", *finding(
+
+
+def _blank_output() -> Column:
+    blank = F.regexp_replace("output_text", r"\s", "") == ""
+    return (F.col("cell_type") == "code") & (F.col("n_outputs") > 0) & blank
+
+
+def _n3() -> list[Column]:
+    return finding(
         "N3", "warn", F.lit("conclusion mixes positive and negative words"), _at("markdown"),
         F.concat(F.substring("source", 1, 80), F.lit("...")),
-    ))
+    )
 
 
-def missing_sections(cells: DataFrame) -> DataFrame:
-    """N4. Five flags per notebook, combined map-side; notebooks without markdown miss all."""
+def _n6() -> list[Column]:
+    return finding("N6", "block", F.lit("code cell with blank output"), _at("code"), F.lit("blank text"))
+
+
+def contradictions(cells: DataFrame) -> DataFrame:
+    """N3."""
+    return cells.where(_contradiction()).select("notebook", *_n3())
+
+
+def blank_outputs(cells: DataFrame) -> DataFrame:
+    """N6."""
+    return cells.where(_blank_output()).select("notebook", *_n6())
+
+
+def cell_findings(cells: DataFrame) -> DataFrame:
+    """N3 and N6: a cell is of one type, so at most one of them holds."""
+    found = F.when(_contradiction(), F.struct(*_n3())).when(_blank_output(), F.struct(*_n6()))
+    return cells.select("notebook", found.alias("f")).where(F.col("f").isNotNull()).select("notebook", "f.*")
+
+
+def _section_flags() -> list[Column]:
     md = F.col("cell_type") == "markdown"
-    seen = cells.groupBy("notebook").agg(
-        *[F.bool_or(md & any_of(F.col("source"), w)).alias(f"s{i}") for i, w in enumerate(SECTIONS.values())]
-    )
+    return [F.bool_or(md & any_of(F.col("source"), w)).alias(f"s{i}") for i, w in enumerate(SECTIONS.values())]
+
+
+def _domain_counts() -> list[Column]:
+    md, t = F.col("cell_type") == "markdown", F.lower("source")
+    return [F.count_if(md & any_of(t, w)).alias(d) for d, w in DOMAINS.items()]
+
+
+def _n4() -> Column:
     absent = F.array_sort(
         F.array_compact(F.array(*[F.when(~F.col(f"s{i}"), F.lit(c)) for i, c in enumerate(SECTIONS)]))
     )
-    return seen.withColumn("missing", absent).where(F.size("missing") > 0).select("notebook", *finding(
-        "N4", "warn", F.concat(F.lit("missing sections: "), F.concat_ws(",", "missing")), "whole notebook",
-        F.concat(F.lit("missing="), F.concat_ws(",", "missing")),
-    ))
+    names = F.concat_ws(",", absent)
+    return F.when(F.size(absent) > 0, F.struct(*finding(
+        "N4", "warn", F.concat(F.lit("missing sections: "), names), "whole notebook", F.concat(F.lit("missing="), names),
+    )))
+
+
+def _n7() -> Column:
+    active = F.array_compact(
+        F.array(*[F.when(F.col(d) > 0, F.concat(F.lit(f"{d}="), F.col(d))) for d in DOMAINS])
+    )
+    names = F.concat_ws(",", active)
+    return F.when(F.size(active) >= 2, F.struct(*finding(
+        "N7", "warn", F.concat(F.lit("words of several domains: "), names), "whole notebook", names,
+    )))
+
+
+def _notebook_findings(cells: DataFrame, flags: list[Column], *rules: Column) -> DataFrame:
+    """Flags of each notebook are combined map-side; a notebook of any size is one row."""
+    seen = cells.groupBy("notebook").agg(*flags)
+    return seen.select("notebook", F.explode(F.array_compact(F.array(*rules))).alias("f")).select("notebook", "f.*")
+
+
+def missing_sections(cells: DataFrame) -> DataFrame:
+    """N4. A notebook without markdown misses all sections."""
+    return _notebook_findings(cells, _section_flags(), _n4())
+
+
+def domain_residue(cells: DataFrame) -> DataFrame:
+    """N7."""
+    return _notebook_findings(cells, _domain_counts(), _n7())
 
 
 def hedged_numbers(cells: DataFrame) -> DataFrame:
@@ -176,39 +255,6 @@ def hedged_numbers(cells: DataFrame) -> DataFrame:
     )
 
 
-def unsupported_hedges(cells: DataFrame) -> DataFrame:
-    """N5."""
-    lonely = hedged_numbers(cells).join(printed_numbers(cells), ["notebook", "num"], "left_anti")
-    return lonely.select("notebook", *finding(
-        "N5", "block",
-        F.concat(F.lit("hedge '"), "marker", F.lit("' near a number without source: "), "num"),
-        _at("markdown"), F.concat(F.lit("marker="), "marker", F.lit(", num="), "num"),
-    ))
-
-
-def blank_outputs(cells: DataFrame) -> DataFrame:
-    """N6."""
-    blank = F.regexp_replace("output_text", r"\s", "") == ""
-    return cells.where((F.col("cell_type") == "code") & (F.col("n_outputs") > 0) & blank).select(
-        "notebook", *finding("N6", "block", F.lit("code cell with blank output"), _at("code"), F.lit("blank text"))
-    )
-
-
-def domain_residue(cells: DataFrame) -> DataFrame:
-    """N7."""
-    t = F.lower("source")
-    counts = _markdown(cells).groupBy("notebook").agg(
-        *[F.count_if(any_of(t, w)).alias(d) for d, w in DOMAINS.items()]
-    )
-    active = F.array_compact(
-        F.array(*[F.when(F.col(d) > 0, F.concat(F.lit(f"{d}="), F.col(d))) for d in DOMAINS])
-    )
-    return counts.withColumn("active", active).where(F.size("active") >= 2).select("notebook", *finding(
-        "N7", "warn", F.concat(F.lit("words of several domains: "), F.concat_ws(",", "active")), "whole notebook",
-        F.concat_ws(",", "active"),
-    ))
-
-
 def image_references(cells: DataFrame) -> DataFrame:
     return _markdown(cells).select(
         "notebook", "cell_index", F.explode(F.regexp_extract_all("source", F.lit(IMAGE), F.lit(1))).alias("path")
@@ -226,10 +272,17 @@ def missing_images(cells: DataFrame, files: DataFrame) -> DataFrame:
 
 
 def audit(cells: DataFrame, files: DataFrame | None = None) -> DataFrame:
-    """All checks as one findings table."""
+    """All checks as one findings table.
+
+    Checks that look at the same rows share a pass: numbers without source, cells,
+    notebooks, quoted metrics.
+    """
+    candidates = _citation_candidates(cells).unionByName(_hedge_candidates(cells))
     parts = [
-        unsupported_citations(cells), inconsistent_metrics(cells), contradictions(cells), missing_sections(cells),
-        unsupported_hedges(cells), blank_outputs(cells), domain_residue(cells),
+        _without_source(candidates, cells),
+        inconsistent_metrics(cells),
+        cell_findings(cells),
+        _notebook_findings(cells, [*_section_flags(), *_domain_counts()], _n4(), _n7()),
     ]
     if files is not None:
         parts.append(missing_images(cells, files))

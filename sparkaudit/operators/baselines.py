@@ -22,7 +22,7 @@ def _pairs(left: DataFrame, right: DataFrame, group: Sequence[str]) -> DataFrame
 def train_class_counts(folds: DataFrame, label: str, split: Sequence[str] = SPLIT) -> DataFrame:
     """Class counts outside each fold: split keys, label, n. A table of folds x classes."""
     *group, fold = split
-    counts = folds.groupBy(*group, fold, label).agg(F.count("*").alias("own"))
+    counts = cut_lineage(folds.groupBy(*group, fold, label).agg(F.count("*").alias("own")))
     cells = _pairs(counts.select(*group, fold).distinct(), counts.select(*group, label).distinct(), group)
     filled = cells.join(counts, [*group, fold, label], "left").fillna(0, ["own"])
     total = F.sum("own").over(Window.partitionBy(*group, label))

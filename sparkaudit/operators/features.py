@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
@@ -104,12 +104,12 @@ def category_codes(df: DataFrame, column: str) -> DataFrame:
     """
     levels = df.select(column).where(F.col(column).isNotNull()).distinct()
     size = levels.agg(F.approx_count_distinct(column)).first()[0]
-    chunk = F.lit(0)
-    if size > SORT_LIMIT:
-        sampled = levels.where(F.pmod(hash32(F.col(column)), F.lit(size // CODE_RANGES)) == 0)
-        cuts = [r[0] for r in sampled.collect()]  # about CODE_RANGES values
-        marks = F.array(*[F.lit(c) for c in cuts])
-        chunk = F.size(F.filter(marks, lambda m: m <= F.col(column)))
+    if size <= SORT_LIMIT:
+        return levels.withColumn("code", (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint"))
+    sampled = levels.where(F.pmod(hash32(F.col(column)), F.lit(size // CODE_RANGES)) == 0)
+    cuts = [r[0] for r in sampled.collect()]  # about CODE_RANGES values
+    marks = F.array(*[F.lit(c) for c in cuts])
+    chunk = F.size(F.filter(marks, lambda m: m <= F.col(column)))
     return position(levels, [], chunk, [column], "code")
 
 

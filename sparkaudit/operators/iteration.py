@@ -7,25 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import position, running
+from ..functions.ordered import running
 from .features import normalize_metric
 
 IMPROVING = 0.005
 
 
-def with_delta(log: DataFrame, run: str, order: Sequence[str], score: str, chunk: Column) -> DataFrame:
-    """Delta of each iteration against the best one before it; 0 for the first.
+def with_progress(log: DataFrame, run: str, order: Sequence[str], score: str, chunk: Column) -> DataFrame:
+    """Number the iterations of each run from 0 and take each score's delta against the
+    best one before it (0 for the first).
 
-    ``chunk`` is a coarse prefix of the order (for example the day), so a run with
-    very many iterations is spread over tasks.
+    ``chunk`` is a coarse prefix of the order (for example the day), so a run with very
+    many iterations is spread over tasks.
     """
-    best = running(log, [run], chunk, list(order), {"best_before": ("max", score)})
-    return best.withColumn("delta", F.coalesce(F.col(score) - F.col("best_before"), F.lit(0.0)))
-
-
-def with_iteration(log: DataFrame, run: str, order: Sequence[str], chunk: Column) -> DataFrame:
-    """Number the iterations of each run from 0 in log order."""
-    return position(log, [run], chunk, list(order), "iter")
+    one = log.withColumn("__one", F.lit(1).cast("bigint"))
+    seen = running(one, [run], chunk, list(order), {"iter": ("sum", "__one"), "best_before": ("max", score)})
+    return seen.drop("__one").withColumn(
+        "delta", F.coalesce(F.col(score) - F.col("best_before"), F.lit(0.0))
+    )
 
 
 def cap_iterations(log: DataFrame, limit: int, iteration: str = "iter") -> DataFrame:
@@ -44,18 +43,22 @@ def best_iteration(log: DataFrame, run: str, iteration: str, score: str) -> Data
 def convergence(log: DataFrame, run: str, iteration: str, delta: str, score: str, threshold: float) -> DataFrame:
     """State after each iteration from its own and the two previous deltas.
 
-    Neighbours come from an equi-join on the iteration number: a hot run is not sorted.
+    Every row also reports its delta to the next two iterations, so one grouping by
+    (run, iteration) brings the three together: no self-join, no sort of a hot run.
     """
-    step = log.select(run, iteration, delta)
-    back = lambda k: step.select(
-        F.col(run).alias(f"__r{k}"), (F.col(iteration) + k).alias(f"__i{k}"), F.col(delta).alias(f"__d{k}")
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(2))).alias("__k")
+    sent = log.select(
+        F.col(run).alias("__run"), F.col(iteration).alias("__i"), F.col(delta).alias("__d"), F.struct(*log.columns).alias("__row"), ahead
+    ).select(
+        "__run", (F.col("__i") + F.col("__k")).alias("__at"), "__k", "__d",
+        F.when(F.col("__k") == 0, F.col("__row")).alias("__row"),
+    )
+    met = sent.groupBy("__run", "__at").agg(
+        F.any_value("__row", True).alias("__row"),
+        F.max(F.when(F.col("__k") == 1, F.col("__d"))).alias("__d1"),
+        F.max(F.when(F.col("__k") == 2, F.col("__d"))).alias("__d2"),
     )
-    out = log
-    for k in (1, 2):
-        prev = back(k)
-        out = out.join(prev, (out[run] == prev[f"__r{k}"]) & (out[iteration] == prev[f"__i{k}"]), "left").drop(
-            f"__r{k}", f"__i{k}"
-        )
+    out = met.where(F.col("__row").isNotNull()).select("__row.*", "__d1", "__d2")
     small = lambda c: (F.col(c) > 0) & (F.col(c) <= IMPROVING)
     flat = lambda c: F.coalesce(F.col(c) <= 0, F.lit(False))
     state = (

@@ -365,18 +365,13 @@ def j1(spark, sf):
 # ---- iteration log ------------------------------------------------------------------
 
 
-def log_with_delta(spark, sf):
-    log = v.run_log(spark, sf)
-    return iteration.with_delta(log, "run_id", ["o_orderdate", "o_orderkey"], "score", v.log_day())
-
-
 @query(
     "j2_delta_vs_best",
     "SELECT run_id, iter, score, round(delta, 6) AS delta FROM v_log",
     views="v_log",
 )
 def j2(spark, sf):
-    return log_with_delta(spark, sf).select("run_id", "iter", "score", F.round("delta", 6).alias("delta"))
+    return v.run_log(spark, sf).select("run_id", "iter", "score", F.round("delta", 6).alias("delta"))
 
 
 @query(
@@ -399,7 +394,7 @@ def j3(spark, sf):
     views="v_log",
 )
 def j4(spark, sf):
-    out = iteration.convergence(log_with_delta(spark, sf), "run_id", "iter", "delta", "score", 0.95)
+    out = iteration.convergence(v.run_log(spark, sf), "run_id", "iter", "delta", "score", 0.95)
     return out.select("run_id", "iter", "state")
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import position
 from ..operators.folds import seeded_folds, stratified_kfold
+from ..operators.iteration import with_progress
 from ..sources.tables import read_table
 
 JUNK = "#*%$!"
@@ -174,13 +175,13 @@ def run_texts(spark: SparkSession, sf: str, text: str) -> DataFrame:
 # ---- logs, votes, numbers -----------------------------------------------------
 
 def run_log(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders as an iteration log of each customer."""
+    """Orders as a numbered iteration log of each customer."""
     rows = read_table(spark, sf, "orders").selectExpr(
         "o_custkey AS run_id", "o_orderkey", "o_orderdate",
         "(o_orderkey % 1000) / 1000.0D AS score",
         "concat('H', cast(o_orderkey % 3 + 1 AS STRING)) AS hypothesis",
     )
-    return position(rows, ["run_id"], log_day(), ["o_orderdate", "o_orderkey"], "iter")
+    return with_progress(rows, "run_id", ["o_orderdate", "o_orderkey"], "score", log_day())
 
 
 def log_day():

@@ -95,16 +95,17 @@ def class_recall(preds: DataFrame) -> DataFrame:
 # ---- permutation importance -------------------------------------------------
 
 def permuted(
-    df: DataFrame, key: str, features: Sequence[str], repeats: int = 10, seed: int = 42
+    df: DataFrame, key: str, features: Sequence[str], repeats: int = 10, seeds: Sequence[int] = (42,)
 ) -> DataFrame:
-    """One copy of the rows per (feature, repeat), with that feature's values moved
+    """One copy of the rows per (seed, feature, repeat), with that feature's values moved
     to other rows: the r-th row of one hash order gets the value of the r-th of another."""
-    names = F.explode(F.array(*[F.lit(c) for c in features])).alias("feature")
-    copies = df.select("*", names).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("repeat")
+    copies = (
+        df.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
+        .withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
+        .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     )
-    group = ["feature", "repeat"]
-    tag = [F.lit(seed), F.col("feature"), F.col("repeat"), F.col(key)]
+    group = ["seed", "feature", "repeat"]
+    tag = [*[F.col(g) for g in group], F.col(key)]
     takers = hash_position(copies.withColumn("__h", hash32(F.lit("to"), *tag)), group, "__h", key, "__p").drop("__h")
     own = F.lit(None).cast("double")
     for c in features:
@@ -123,18 +124,17 @@ def permutation_importance(
     predict: Callable[[DataFrame], DataFrame],
     score: Column,
     repeats: int = 10,
-    seed: int = 42,
+    seeds: Sequence[int] = (42,),
 ) -> DataFrame:
-    """Mean loss of score per shuffled feature. ``predict`` adds ``pred`` to any copy."""
+    """Mean loss of score per seed and shuffled feature. ``predict`` adds ``pred`` to any copy."""
     base = predict(df).agg(score.alias("base"))
-    shuffled = predict(permuted(df, key, features, repeats, seed)).groupBy("feature", "repeat").agg(
+    shuffled = predict(permuted(df, key, features, repeats, seeds)).groupBy("seed", "feature", "repeat").agg(
         score.alias("s")
     )
     return (
         shuffled.crossJoin(F.broadcast(base))
-        .groupBy("feature")
+        .groupBy("seed", "feature")
         .agg(F.avg(F.col("base") - F.col("s")).alias("importance"))
-        .withColumn("seed", F.lit(seed))
     )
 
 

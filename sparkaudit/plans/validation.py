@@ -363,11 +363,9 @@ PERM_SQL = f"""SELECT feature, seed, base - avg(s) AS importance FROM (
 
 def importances(spark, sf):
     rows = v.quality(spark, sf).withColumn("label", F.col("quality").cast("double"))
-    parts = [
-        robustness.permutation_importance(rows, "doc_id", PERM_FEATURES, line_rule, metrics.accuracy(), 3, s)
-        for s in (0, 1, 7)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return robustness.permutation_importance(
+        rows, "doc_id", PERM_FEATURES, line_rule, metrics.accuracy(), 3, (0, 1, 7)
+    )
 
 
 @query("l9_permutation_importance", f"SELECT feature, seed, round(importance, 6) AS importance FROM ({PERM_SQL})", views="v_quality")

@@ -146,7 +146,7 @@ def test_constant_column_has_no_correlation(spark):
 
 def test_permutation_moves_only_one_column(spark):
     df = spark.range(30).select("id", F.col("id").cast("double").alias("a"), (F.col("id") * 2).cast("double").alias("b"))
-    rows = robustness.permuted(df, "id", ["a", "b"], 2, 5).collect()
+    rows = robustness.permuted(df, "id", ["a", "b"], 2, (5,)).collect()
     assert len(rows) == 30 * 2 * 2
     for rep in (0, 1):
         mine = [r for r in rows if r["feature"] == "a" and r["repeat"] == rep]

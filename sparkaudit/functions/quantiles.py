@@ -1,9 +1,9 @@
 """Exact order statistics at any size.
 
 ``percentile`` keeps every distinct value of a group in one buffer. That is
-fine for score tables; for row data the values are first cut into buckets of
-about equal size (sketch cut points, applied with ``Bucketizer``), counted, and
-only the buckets that hold a wanted rank are sorted.
+fine for score tables and for inputs counted to be small; beyond that the values
+are first cut into buckets of about equal size (sketch cut points, applied with
+``Bucketizer``), counted, and only the buckets that hold a wanted rank are sorted.
 """
 
 from __future__ import annotations
@@ -54,6 +54,8 @@ def quantiles(
     """
     by = list(by)
     extra = [weight] if weight else []
+    if df.count() <= SORT_LIMIT:
+        return _small_quantiles(df, columns, probs, by, weight)
     keyed = value_buckets(df.select(*by, *extra, *columns), columns, buckets)
     size = F.sum(weight) if weight else F.count("*")
     cells = F.explode(
@@ -116,6 +118,21 @@ def quantiles(
     )
 
 
+def _small_quantiles(df, columns, probs, by, weight) -> DataFrame:
+    """The builtin exact percentile; its buffers hold at most SORT_LIMIT values."""
+    cells = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
+    ).alias("cell")
+    extra = [weight] if weight else []
+    long = df.select(*by, *extra, cells).select(*by, *extra, "cell.*").where(F.col("value").isNotNull())
+    asked = F.array(*[F.lit(float(p)) for p in probs])
+    q = F.percentile("value", asked, F.col(weight)) if weight else F.percentile("value", asked)
+    found = long.groupBy(*by, "column").agg(q.alias("__q"))
+    return found.select(
+        *by, "column", F.explode(F.arrays_zip(asked.alias("prob"), F.col("__q").alias("value"))).alias("r")
+    ).select(*by, "column", "r.prob", "r.value")
+
+
 def _semi_rows(counts: DataFrame, needed: DataFrame, keys: Sequence[str]) -> DataFrame:
     other = needed.withColumnsRenamed({k: f"__n_{k}" for k in keys})
     cond = F.lit(True)

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: str | int = 8, shuffle_partitions: int = 8) -> SparkSession:
@@ -37,10 +37,12 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return os.path.join(root, "sparkaudit", f"{purpose}-{uuid.uuid4().hex[:12]}")
 
 
-def cut_lineage(df):
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(work_folder(spark, "checkpoint"))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as a table written once in the shared folder.
+
+    For small tables that many steps read: later plans start from the files, which
+    outlive any executor.
+    """
+    folder = work_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

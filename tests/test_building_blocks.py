@@ -17,9 +17,16 @@ numbers = st.one_of(
 )
 
 
+@pytest.fixture(params=["builtin", "bucketed"])
+def path(request, monkeypatch):
+    """Both ways to a quantile: the builtin for small inputs, buckets for large ones."""
+    if request.param == "bucketed":
+        monkeypatch.setattr(quantiles, "SORT_LIMIT", 0)
+
+
 @few
 @given(st.lists(numbers, min_size=1, max_size=80))
-def test_quantiles_equal_numpy(spark, values):
+def test_quantiles_equal_numpy(spark, path, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = quantiles.quantile_columns(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()
     filled = [v for v in values if v is not None]
@@ -29,7 +36,7 @@ def test_quantiles_equal_numpy(spark, values):
     assert got[0]["q"] == pytest.approx(list(np.quantile(filled, [0.0, 0.25, 0.5, 0.9, 1.0])), rel=1e-9, abs=1e-9)
 
 
-def test_quantiles_by_group_and_weight(spark):
+def test_quantiles_by_group_and_weight(spark, path):
     rows = [(g, float(x), 1 + x % 3) for g in "ab" for x in range(40)]
     df = spark.createDataFrame(rows, "g string, x double, w bigint")
     got = {r["g"]: r["q"] for r in quantiles.quantile_columns(df, ["x"], [0.3, 0.5], ["g"], "w").collect()}

@@ -28,23 +28,28 @@ def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     )
 
 
-def line_value(text: Column, key: str) -> Column:
-    """Value of the last ``key: value`` line, optionally written as a list item."""
-    found = F.regexp_extract_all(
-        text, F.lit(rf"(?m)^[ \t]*(?:- )?{key}:[ \t]*([^\r\n]*?)[ \t]*\r?$"), F.lit(1)
-    )
-    return F.try_element_at(found, F.lit(-1))
+def key_lines(text: Column) -> list[Column]:
+    """Keys and values of all ``key: value`` lines of a plan, last line first."""
+    pattern = F.lit(rf"(?m)^[ \t]*(?:- )?({'|'.join(PLAN_KEYS)}):([^\r\n]*)")
+    part = lambda group: F.reverse(F.regexp_extract_all(text, pattern, F.lit(group)))
+    return [part(1).alias("__keys"), part(2).alias("__values")]
+
+
+def line_value(key: str) -> Column:
+    """Value of the last line of a key."""
+    at = F.nullif(F.array_position("__keys", key), F.lit(0).cast("bigint")).cast("int")
+    return F.trim(F.try_element_at(F.col("__values"), at), F.lit(" \t"))
 
 
 def first_value(text: Column, key: str) -> Column:
-    """Rest of the line after the first ``key:``; NULL where the key is absent."""
-    pattern = rf"{key}:\s*([^\n]+)"
-    return F.when(text.rlike(pattern), F.trim(F.regexp_extract(text, pattern, 1)))
+    """Rest of the line after the first ``key:``; NULL where there is none."""
+    return F.nullif(F.trim(F.regexp_extract(text, rf"{key}:\s*([^\n]+)", 1)), F.lit(""))
 
 
 def parse_list(text: Column) -> Column:
     """A quoted list, or else its words."""
-    as_json = F.from_json(F.replace(text, F.lit("'"), F.lit('"')), "array<string>")
+    quoted = F.replace(text, F.lit("'"), F.lit('"'))
+    as_json = F.when(text.startswith("["), F.from_json(quoted, "array<string>"))
     return F.when(text.isNotNull(), F.coalesce(as_json, F.regexp_extract_all(text, F.lit(WORD), F.lit(0))))
 
 
@@ -72,15 +77,17 @@ def front_matter(text: Column) -> Column:
 
 def plan_info(plans: DataFrame, key: str = "run_id", text: str = "text") -> DataFrame:
     t = F.col(text)
-    return plans.select(
+    constraints = F.regexp_extract_all(t, F.lit(r"(?m)^[ \t]*- constraints:[ \t]*([^\r\n]*)"), F.lit(1))
+    found = plans.select(
         key,
-        *[line_value(t, k).alias(k) for k in PLAN_KEYS],
-        F.regexp_extract_all(t, F.lit(r"(?m)^[ \t]*- constraints:[ \t]*([^\r\n]*?)[ \t]*\r?$"), F.lit(1)).alias(
-            "constraints"
-        ),
+        *key_lines(t),
+        constraints.alias("constraints"),
         t.rlike(TIME_SERIES).alias("is_time_series"),
         t.rlike(IMBALANCED).alias("is_imbalanced_hint"),
     )
+    return found.select(
+        key, *[line_value(k).alias(k) for k in PLAN_KEYS], "constraints", "is_time_series", "is_imbalanced_hint"
+    )
 
 
 def cycle_info(cycles: DataFrame, key: str = "run_id", text: str = "text") -> DataFrame:
@@ -112,21 +119,28 @@ SPLIT_CALL = r"train_test_split[A-Za-z0-9_.]*\s*\("
 FIT_CALL = r"fit_transform[A-Za-z0-9_.]*\s*\("
 
 
-def _line_of(code: Column, pattern: str) -> Column:
-    """Line of the first match; NULL where there is none."""
-    at = F.regexp_instr(code, F.lit(pattern))
-    return F.when(at > 0, F.size(F.split(F.substring(code, F.lit(1), at), "\n")))
+def _newlines_before(at: str) -> Column:
+    """Line number of a match position; NULL where there is no match."""
+    return F.when(F.col(at) > 0, F.size(F.split(F.substring(F.col("__code"), F.lit(1), F.col(at)), "\n")))
 
 
 def script_flags(
     scripts: DataFrame, key: str = "run_id", text: str = "text", anywhere: bool = False
 ) -> DataFrame:
-    """Lint flags of each script; one pass over the text, no explode."""
+    """Lint flags of each script; one pass over the text, no explode.
+
+    Comments and definitions are blanked once, then the calls are located.
+    """
     t = F.col(text)
-    code = F.regexp_replace(F.regexp_replace(t, r"(?m)#[^\n]*", ""), r"def\s+[A-Za-z0-9_]+", "")
+    code = F.regexp_replace(F.regexp_replace(t, r"#[^\n]*", ""), r"def\s+[A-Za-z0-9_]+", "")
     rooted = ROOTED_PATH_ANYWHERE if anywhere else ROOTED_PATH
-    flags = scripts.select(
+    flags = scripts.select(key, t.alias("__text"), code.alias("__code"))
+    t = F.col("__text")
+    flags = flags.select(
         key,
+        "__code",
+        F.regexp_instr("__code", F.lit(SPLIT_CALL)).alias("__split_at"),
+        F.regexp_instr("__code", F.lit(FIT_CALL)).alias("__fit_at"),
         F.regexp_count(t, F.lit(SEED_42)).alias("random_state_count"),
         (F.regexp_count(t, F.lit(rooted)) + F.regexp_count(t, F.lit(HOME_PATH))).alias("abs_path_count"),
         (t.contains("font.family") & (t.contains("AppleGothic") | t.contains("NanumGothic"))).alias("has_font"),
@@ -137,10 +151,9 @@ def script_flags(
         t.contains("train_test_split").alias("uses_train_test_split"),
         t.rlike(r"shuffle\s*=\s*True").alias("uses_shuffle_true"),
         F.nullif(F.regexp_extract(t, SCORING, 1), F.lit("")).alias("metric_score_used"),
-        _line_of(code, SPLIT_CALL).alias("split_line"),
-        _line_of(code, FIT_CALL).alias("fit_line"),
     )
+    lined = flags.withColumns({"split_line": _newlines_before("__split_at"), "fit_line": _newlines_before("__fit_at")})
     early = F.col("fit_line").isNotNull() & (
         F.col("split_line").isNull() | (F.col("fit_line") < F.col("split_line"))
     )
-    return flags.withColumn("fit_before_split", early)
+    return lined.drop("__code", "__split_at", "__fit_at").withColumn("fit_before_split", early)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, sharding
+from . import bpe, decontamination, quality, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -128,3 +128,23 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query("op4_quality_ordinal")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = quality.fit(docs, table(spark, folder, "labels"))
+    graded = quality.grade(docs, model, keep=["doc_id"])
+    return graded.withColumn("kept", F.col("tail_probability") >= 0.5)
+
+
+@query("op10_compression_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(3))
+    model = toxicity.fit(docs, table(spark, folder, "labels").where(fold != 1))
+    scored = toxicity.score(docs, model, keep=["doc_id"])
+    return scored.select(
+        "doc_id", (fold == 1).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
+    )

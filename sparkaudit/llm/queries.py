@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality, sharding, toxicity
+from . import bpe, decontamination, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -148,3 +148,24 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", (fold == 1).alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+def span_list(spans) -> F.Column:
+    """kind:start:end of spans, comma-joined."""
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ","
+    )
+
+
+def span_digest(found: DataFrame, spans: str, kinds: list[str]) -> DataFrame:
+    """Counts of base spans by kind, digest of the base spans, list of all spans."""
+    base = F.filter(spans, lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in kinds]
+    return found.select("doc_id", *counts, digest(span_list(base)).alias("base_sha256"), span_list(F.col(spans)).alias("spans"))
+
+
+@query("op6_guess_cost_secrets")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = secrets.find_secrets(docs, secrets.common_words(docs), keep=["doc_id"])
+    return span_digest(found, "secrets", ["assign", "access", "hex"])

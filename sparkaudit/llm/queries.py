@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, quality, secrets, sharding, toxicity
+from . import bpe, decontamination, pii, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -169,3 +169,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = secrets.find_secrets(docs, secrets.common_words(docs), keep=["doc_id"])
     return span_digest(found, "secrets", ["assign", "access", "hex"])
+
+
+@query("op1_bilstm_crf_pii")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return span_digest(pii.find_pii(docs, pii.fit(docs), keep=["doc_id"]), "pii", list(pii.KINDS))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, pii, quality, secrets, sharding, toxicity
+from . import bpe, decontamination, fingerprints, pii, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -175,3 +175,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return span_digest(pii.find_pii(docs, pii.fit(docs), keep=["doc_id"]), "pii", list(pii.KINDS))
+
+
+@query("op9_weighted_sampling")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, folder, "documents"))

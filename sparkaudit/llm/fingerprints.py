@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SIZE = 32
+SIZE = 24
 _LOW = (1 << 31) - 1
 _WORDS = r"[ \t\n\r\f\x0b]+"
 
@@ -110,30 +110,38 @@ def fingerprints(
     rows = with_next(docs, key, text, chunks).withColumn(
         "edited", F.concat(F.substr("text", F.lit(1), F.length("text") - half), F.substr(F.coalesce("next", F.lit("")), F.lit(1), half))
     )
-    digest = F.sha2(F.encode("edited", "utf-8"), 256)
-    rows = rows.select(
-        "chunk", "place", "key", F.col("ghost").cast("bigint").alias("ghost"), F.length("text").cast("bigint").alias("n_chars"),
-        *[F.conv(F.substring(digest, 16 * i + 1, 16), 16, -10).cast("bigint").alias(f"d{i}") for i in range(4)],
-        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("text").alias("t")), F.struct(F.lit(1).alias("side"), F.coalesce("edited", F.lit("")).alias("t")))).alias("s"),
+    # Cut both texts after their common words: [shared][own rest] and [shared][edited rest].
+    kept = F.length("text") - half
+    lead = F.substr("text", F.lit(1), kept)
+    shared = F.greatest(kept - F.locate(" ", F.reverse(lead)) + 1, F.lit(0))
+    shared = F.when(F.locate(" ", lead) > 0, shared).otherwise(F.lit(0))
+    pieces = rows.withColumn("shared", shared).select(
+        "chunk", "place",
+        F.explode(F.array(
+            F.struct(F.lit(1).alias("own"), F.lit(1).alias("new"), F.substr("text", F.lit(1), F.col("shared")).alias("t")),
+            F.struct(F.lit(1).alias("own"), F.lit(0).alias("new"), F.substr("text", F.col("shared") + 1).alias("t")),
+            F.struct(F.lit(0).alias("own"), F.lit(1).alias("new"), F.substr("edited", F.col("shared") + 1).alias("t")),
+        )).alias("p"),
     )
-    about = ["key", "ghost", "n_chars", "d0", "d1", "d2", "d3"]
-    words = rows.select("chunk", "place", *about, F.col("s.side").alias("side"), F.explode(F.split("s.t", _WORDS)).alias("w"))
+    words = pieces.select("chunk", "place", "p.own", "p.new", F.explode(F.split("p.t", _WORDS)).alias("w"))
     counts = words.groupBy("chunk", "place", F.xxhash64("w").alias("term")).agg(
-        *[F.sum(F.when((F.col("side") == side) & (F.col("w") != ""), 1).otherwise(0)).alias(f"n{side}") for side in (0, 1)],
-        *[F.max(c).alias(c) for c in about],
+        F.sum(F.when(F.col("w") != "", F.col("own")).otherwise(0)).alias("n0"),
+        F.sum(F.when(F.col("w") != "", F.col("new")).otherwise(0)).alias("n1"),
     ).withColumns({f"l{side}": F.when(F.col(f"n{side}") > 0, F.log(F.col(f"n{side}").cast("double"))) for side in (0, 1)})
     samples = {}
     for k in range(size):
         for side, packed in enumerate(_sample(F.col("term"), [F.col("l0"), F.col("l1")], k)):
             samples[f"{'ae'[side]}{k}"] = packed
-    drawn = counts.groupBy("chunk", "place").agg(
-        *[F.max(c).alias(c) for c in about], *[F.min(v).alias(n) for n, v in samples.items()]
-    ).withColumns({n: F.col(n).bitwiseAND(F.lit(_LOW).cast("bigint")) for n in samples})
+    drawn = counts.groupBy("chunk", "place").agg(*[F.min(v).alias(n) for n, v in samples.items()])
+    drawn = drawn.withColumns({n: F.col(n).bitwiseAND(F.lit(_LOW).cast("bigint")) for n in samples})
     behind = Window.partitionBy("chunk").orderBy("place")
     drawn = drawn.withColumns({f"b{k}": F.lead(f"a{k}").over(behind) for k in range(size)})
-    return drawn.where("ghost = 0").select(
-        F.col("key").alias(key), "n_chars",
-        F.concat(*[F.lpad(F.lower(F.hex(f"d{i}")), 16, "0") for i in range(4)]).alias("edited_sha256"),
+    about = rows.where(~F.col("ghost")).select(
+        "chunk", "place", "key", F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"),
+    )
+    return about.join(drawn, ["chunk", "place"]).select(
+        F.col("key").alias(key), "n_chars", "edited_sha256",
         _hex("a", size).alias("fingerprint"), _hex("e", size).alias("edited_fingerprint"),
         _likeness("a", "e", size).alias("near_edited"), _likeness("a", "b", size).alias("near_next"),
     )

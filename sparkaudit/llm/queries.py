@@ -160,7 +160,10 @@ def span_list(spans) -> F.Column:
 def span_digest(found: DataFrame, spans: str, kinds: list[str]) -> DataFrame:
     """Counts of base spans by kind, digest of the base spans, list of all spans."""
     base = F.filter(spans, lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in kinds]
+    found_kinds = F.transform(base, lambda s: s["kind"])
+    counts = [
+        (F.size(found_kinds) - F.size(F.array_remove(found_kinds, k))).cast("bigint").alias(f"n_{k}") for k in kinds
+    ]
     return found.select("doc_id", *counts, digest(span_list(base)).alias("base_sha256"), span_list(F.col(spans)).alias("spans"))
 
 

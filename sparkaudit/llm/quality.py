@@ -150,3 +150,10 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", keep=None) -
         return mapper
 
     return add_columns(docs, make, "expected_grade double, tail_probability double", text, keep)
+
+
+def select(docs: DataFrame, model: OrdinalModel, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The documents whose tail probability is at least ``least``, columns unchanged."""
+    plain = docs.toDF(*[f"__c{i}" for i in range(len(docs.columns))])  # no name can clash
+    graded = grade(plain, model, f"__c{docs.columns.index(text)}")
+    return graded.where(F.col("tail_probability") >= least).select(*plain.columns).toDF(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, fingerprints, pii, quality, secrets, sharding, toxicity
+from . import bpe, decontamination, fingerprints, neardup, pii, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -183,3 +183,9 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_weighted_sampling")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, folder, "documents"))
+
+
+@query("op8_chosen_path_neardup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.find_duplicates(table(spark, folder, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, fingerprints, neardup, pii, quality, secrets, sharding, toxicity
+from . import bpe, decontamination, fingerprints, language_model, neardup, pii, quality, secrets, sharding, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -189,3 +189,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.find_duplicates(table(spark, folder, "documents"), width=4)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query("op3_suffix_tree")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
+    scored = language_model.score(docs, docs.where(~held_out), keep=["doc_id"])
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,20 +33,34 @@ def local_session(cpus: str | int = 8, shuffle_partitions: int = 8) -> SparkSess
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests) is a local folder taken instead.
+    Only a session whose driver and tasks are one process may do without that setting: it
+    gets a folder of its machine. On a cluster other executors would not see such files,
+    so a missing setting is an error there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="sparkaudit-")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_root()
     return os.path.join(root, "sparkaudit", f"{purpose}-{uuid.uuid4().hex[:12]}")
 
 
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="sparkaudit-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a table written once in the shared folder.
 
-    For small tables that many steps read: later plans start from the files, which
-    outlive any executor.
+    For tables that many steps read: later plans start from the files, which outlive any
+    executor. The folder goes when the driver ends.
     """
-    folder = work_folder(df.sparkSession, "table")
+    spark = df.sparkSession
+    folder = work_folder(spark, "table")
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -1,9 +1,10 @@
-"""Exact order statistics at any size.
+"""Exact order statistics, one way for every size.
 
-``percentile`` keeps every distinct value of a group in one buffer. That is
-fine for score tables and for inputs counted to be small; beyond that the values
-are first cut into buckets of about equal size (sketch cut points, applied with
-``Bucketizer``), counted, and only the buckets that hold a wanted rank are sorted.
+``percentile`` keeps every distinct value of a group in one buffer. Here values are cut
+into buckets of about equal size (sketch cut points, applied with ``Bucketizer``),
+counted by distinct value before the shuffle, and only the buckets that hold a wanted
+rank are sorted. A heavy value is one counted row, so it never fills a bucket. NULL and
+NaN are skipped.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
-SORT_LIMIT = 1_000_000  # rows that one task may sort
+BUCKETS = 1024
+SORT_LIMIT = 1_000_000  # distinct values that one task sorts; a larger bucket is cut again
 
 
 def value_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
@@ -54,8 +55,6 @@ def quantiles(
     """
     by = list(by)
     extra = [weight] if weight else []
-    if df.count() <= SORT_LIMIT:
-        return _small_quantiles(df, columns, probs, by, weight)
     keyed = value_buckets(df.select(*by, *extra, *columns), columns, buckets)
     size = F.sum(weight) if weight else F.count("*")
     cells = F.explode(
@@ -73,7 +72,7 @@ def quantiles(
     counts = (
         keyed.select(*by, *extra, cells)
         .select(*by, *extra, "cell.*")
-        .where(F.col("value").isNotNull())
+        .where(F.col("value").isNotNull() & ~F.isnan("value"))
         .groupBy(*by, "column", "bucket", "value")
         .agg(size.alias("n"))
     )
@@ -118,21 +117,6 @@ def quantiles(
     )
 
 
-def _small_quantiles(df, columns, probs, by, weight) -> DataFrame:
-    """The builtin exact percentile; its buffers hold at most SORT_LIMIT values."""
-    cells = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    ).alias("cell")
-    extra = [weight] if weight else []
-    long = df.select(*by, *extra, cells).select(*by, *extra, "cell.*").where(F.col("value").isNotNull())
-    asked = F.array(*[F.lit(float(p)) for p in probs])
-    q = F.percentile("value", asked, F.col(weight)) if weight else F.percentile("value", asked)
-    found = long.groupBy(*by, "column").agg(q.alias("__q"))
-    return found.select(
-        *by, "column", F.explode(F.arrays_zip(asked.alias("prob"), F.col("__q").alias("value"))).alias("r")
-    ).select(*by, "column", "r.prob", "r.value")
-
-
 def _semi_rows(counts: DataFrame, needed: DataFrame, keys: Sequence[str]) -> DataFrame:
     other = needed.withColumnsRenamed({k: f"__n_{k}" for k in keys})
     cond = F.lit(True)
@@ -178,18 +162,23 @@ def order_statistics(df: DataFrame, column: str, tie: str, ranks: Sequence[int])
 
 
 def _select_ranks(df: DataFrame, column: str, ranks: Sequence[int]) -> list:
-    """Values at 0-based ranks; a bucket too large for one task is cut again."""
+    """Values at 0-based ranks."""
     values = df.select(column).where(F.col(column).isNotNull())
-    keyed = value_buckets(values, [column]).withColumnRenamed(f"__b_{column}", "bucket")
-    totals = keyed.groupBy("bucket").agg(F.count("*").alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi"))
+    return _ranks_in(values.groupBy(column).agg(F.count("*").alias("n")), column, sorted(set(ranks)), list(ranks))
+
+
+def _ranks_in(counts: DataFrame, column: str, wanted: list[int], ranks: list[int]) -> list:
+    """Ranks over distinct values and their counts; buckets hold about equally many distinct
+    values, so cutting a large one again always gets on, whatever the weight of a value."""
+    keyed = value_buckets(counts, [column]).withColumnRenamed(f"__b_{column}", "bucket")
+    totals = keyed.groupBy("bucket").agg(
+        F.sum("n").alias("n"), F.count("*").alias("kinds"), F.min(column).alias("lo"), F.max(column).alias("hi")
+    )
     found: dict[int, object] = {}
     asks: dict[int, list[tuple[int, int]]] = {}
-    spans = {}
-    first = 0
-    rows = sorted(totals.collect(), key=lambda r: r["bucket"])  # at most BUCKETS rows
-    n_buckets = len(rows)
-    for span in rows:
-        for rank in set(ranks):
+    spans, first = {}, 0
+    for span in sorted(totals.collect(), key=lambda r: r["bucket"]):  # at most BUCKETS rows
+        for rank in wanted:
             if first <= rank < first + span["n"]:
                 if span["lo"] == span["hi"]:
                     found[rank] = span["lo"]
@@ -197,18 +186,18 @@ def _select_ranks(df: DataFrame, column: str, ranks: Sequence[int]) -> list:
                     asks.setdefault(span["bucket"], []).append((rank, rank - first))
                     spans[span["bucket"]] = span
         first += span["n"]
-    small = [b for b in asks if spans[b]["n"] <= SORT_LIMIT or len(spans) == n_buckets == 1]
+    small = [b for b in asks if spans[b]["kinds"] <= SORT_LIMIT]
     if small:
-        counts = keyed.where(F.col("bucket").isin(small)).groupBy("bucket", column).agg(F.count("*").alias("n"))
         upto = F.sum("n").over(Window.partitionBy("bucket").orderBy(column))
-        placed = counts.select("bucket", column, upto.alias("end"))
-        wanted = [(b, rank, at) for b in small for rank, at in asks[b]]
+        placed = keyed.where(F.col("bucket").isin(small)).select("bucket", column, upto.alias("end"))
+        asked = [(b, rank, at) for b in small for rank, at in asks[b]]
         row = placed.agg(
-            *[F.min(F.when((F.col("bucket") == b) & (F.col("end") > at), F.col(column))) for b, _, at in wanted]
+            *[F.min(F.when((F.col("bucket") == b) & (F.col("end") > at), F.col(column))) for b, _, at in asked]
         ).first()
-        found.update({rank: row[i] for i, (_, rank, _) in enumerate(wanted)})
+        found.update({rank: row[i] for i, (_, rank, _) in enumerate(asked)})
     for b in set(asks) - set(small):
-        inside = values.where(F.col(column).between(F.lit(spans[b]["lo"]), F.lit(spans[b]["hi"])))
-        deeper = _select_ranks(inside, column, [at for _, at in asks[b]])
+        inside = counts.where(F.col(column).between(F.lit(spans[b]["lo"]), F.lit(spans[b]["hi"])))
+        at = [at for _, at in asks[b]]
+        deeper = _ranks_in(inside, column, at, at)
         found.update({rank: x for (rank, _), x in zip(asks[b], deeper)})
     return [found[r] for r in ranks]

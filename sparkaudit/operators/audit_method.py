@@ -52,9 +52,13 @@ def _one(condition: Column, *parts) -> Column:
 
 
 def numeric_target(df: DataFrame, target: str) -> DataFrame:
-    """Target as a number: category codes for text or fewer than five values."""
+    """Target as a number: category codes for text or fewer than five values.
+
+    A missing value is no class of its own, but gets the code -1 where codes are given.
+    """
     is_text = dict(df.dtypes)[target] == "string"
-    few = is_text or df.select(target).distinct().limit(FEW_CLASSES).count() < FEW_CLASSES
+    kinds = df.select(target).where(F.col(target).isNotNull()).distinct()
+    few = is_text or kinds.limit(FEW_CLASSES).count() < FEW_CLASSES
     return encode_category(df, target, "__y") if few else df.withColumn("__y", F.col(target).cast("double"))
 
 

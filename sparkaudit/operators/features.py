@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash32
 from ..functions.moments import standardized
 from ..functions.ordered import position
-from ..functions.quantiles import SORT_LIMIT, quantile_columns
+from ..functions.quantiles import quantile_columns
 
 CODE_RANGES = 512
 
@@ -99,17 +99,14 @@ def quantile_cut(df: DataFrame, column: str, labels: Sequence[str], out: str) ->
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """Level -> 0-based code in sorted order.
 
-    Up to ``SORT_LIMIT`` levels are sorted in one task; beyond that the levels are
-    cut into ranges at hash-sampled levels and numbered range by range.
+    The levels are cut into ranges at hash-sampled levels and numbered range by range.
     """
     levels = df.select(column).where(F.col(column).isNotNull()).distinct()
     size = levels.agg(F.approx_count_distinct(column)).first()[0]
-    if size <= SORT_LIMIT:
-        return levels.withColumn("code", (F.row_number().over(Window.orderBy(column)) - 1).cast("bigint"))
-    sampled = levels.where(F.pmod(hash32(F.col(column)), F.lit(size // CODE_RANGES)) == 0)
+    sampled = levels.where(F.pmod(hash32(F.col(column)), F.lit(max(1, size // CODE_RANGES))) == 0)
     cuts = [r[0] for r in sampled.collect()]  # about CODE_RANGES values
     marks = F.array(*[F.lit(c) for c in cuts])
-    chunk = F.size(F.filter(marks, lambda m: m <= F.col(column)))
+    chunk = F.size(F.filter(marks, lambda m: m <= F.col(column))) if cuts else F.lit(0)
     return position(levels, [], chunk, [column], "code")
 
 

@@ -84,12 +84,11 @@ def best_per_hypothesis(log: DataFrame, run: str, hypothesis: str, iteration: st
 
 
 def rerun_check(recorded: DataFrame, rerun: DataFrame, run: str) -> DataFrame:
-    """OK when the mean of the repeated folds is within 0.01 of the recorded score."""
+    """OK when the mean of the repeated folds is within 0.01 of the recorded score; a run never repeated is MISSING."""
     mean = rerun.groupBy(run).agg(F.avg("score").alias("rerun_score"))
     diff = F.abs(F.col("rerun_score") - F.col("best_score"))
-    return recorded.join(mean, run).select(
-        run, "best_score", "rerun_score", F.when(diff < 0.01, "OK").otherwise("MISMATCH").alias("status")
-    )
+    status = F.when(F.col("rerun_score").isNull(), "MISSING").when(diff < 0.01, "OK").otherwise("MISMATCH")
+    return recorded.join(mean, run, "left").select(run, "best_score", "rerun_score", status.alias("status"))
 
 
 def retry_action(attempts: DataFrame, run: str) -> DataFrame:

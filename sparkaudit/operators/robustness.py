@@ -160,9 +160,12 @@ def lofo_classes(drops: DataFrame) -> DataFrame:
 
 
 def gates(summary: DataFrame, ci: DataFrame, baseline: DataFrame, drops: DataFrame, by: str = "run_id") -> DataFrame:
-    """Stable over seeds, interval above the baseline, no critical feature; then the verdict."""
+    """Stable over seeds, interval above the baseline, no critical feature; then the verdict.
+
+    A run without interval or baseline fails that gate and stays.
+    """
     critical = drops.groupBy(by).agg(F.count_if(F.col("drop_pct") > 25).alias("n_critical"))
-    joined = summary.join(ci, by).join(baseline, by).join(critical, by, "left")
+    joined = summary.join(ci, by, "left").join(baseline, by, "left").join(critical, by, "left")
     gated = joined.select(
         by,
         F.coalesce(F.col("std") <= 0.03, F.lit(False)).alias("g1_stability"),

@@ -33,8 +33,12 @@ def output_text(outputs: Column) -> Column:
 
 
 def cells_of(notebooks: DataFrame, key: str = "notebook") -> DataFrame:
-    """Cell table from rows with a ``cells`` array."""
-    rows = notebooks.select(key, F.posexplode("cells").alias("cell_index", "cell"))
+    """Cell table from rows with a ``cells`` array.
+
+    A notebook without cells, or one that does not parse, keeps one empty row without
+    index and type, so that checks for missing parts see it.
+    """
+    rows = notebooks.select(key, F.posexplode_outer("cells").alias("cell_index", "cell"))
     is_code = F.col("cell.cell_type") == "code"
     return rows.select(
         key,

@@ -9,15 +9,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN counts as missing everywhere; only floating columns are touched."""
+    floating = [c for c, kind in df.dtypes if kind in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def read_delimited(
     spark: SparkSession, folder: str, schema: StructType | str, header: bool = True
 ) -> DataFrame:
-    """Every ``*.csv`` below the folder, under one declared schema."""
-    return (
+    """Every ``*.csv`` below the folder, under one declared schema; NaN is read as NULL."""
+    return nan_to_null(
         spark.read.schema(schema)
         .option("header", header)
         .option("recursiveFileLookup", True)

@@ -17,16 +17,9 @@ numbers = st.one_of(
 )
 
 
-@pytest.fixture(params=["builtin", "bucketed"])
-def path(request, monkeypatch):
-    """Both ways to a quantile: the builtin for small inputs, buckets for large ones."""
-    if request.param == "bucketed":
-        monkeypatch.setattr(quantiles, "SORT_LIMIT", 0)
-
-
 @few
 @given(st.lists(numbers, min_size=1, max_size=80))
-def test_quantiles_equal_numpy(spark, path, values):
+def test_quantiles_equal_numpy(spark, values):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     got = quantiles.quantile_columns(df, ["x"], [0.0, 0.25, 0.5, 0.9, 1.0]).collect()
     filled = [v for v in values if v is not None]
@@ -36,7 +29,7 @@ def test_quantiles_equal_numpy(spark, path, values):
     assert got[0]["q"] == pytest.approx(list(np.quantile(filled, [0.0, 0.25, 0.5, 0.9, 1.0])), rel=1e-9, abs=1e-9)
 
 
-def test_quantiles_by_group_and_weight(spark, path):
+def test_quantiles_by_group_and_weight(spark):
     rows = [(g, float(x), 1 + x % 3) for g in "ab" for x in range(40)]
     df = spark.createDataFrame(rows, "g string, x double, w bigint")
     got = {r["g"]: r["q"] for r in quantiles.quantile_columns(df, ["x"], [0.3, 0.5], ["g"], "w").collect()}
@@ -64,6 +57,20 @@ def test_large_buckets_are_cut_again(spark, monkeypatch):
     assert got == [sorted(values)[r] for r in (0, 100, 250, 400, 499)]
 
 
+def test_quantiles_with_one_heavy_value_and_nan(spark):
+    values = [7.0] * 1990 + [1.0, 2.0, 8.0, 9.0, 10.0]
+    df = spark.createDataFrame([(v,) for v in [*values, None, float("nan")]], "x double")
+    got = quantiles.quantile_columns(df, ["x"], [0.0, 0.001, 0.5, 0.999, 1.0]).collect()
+    assert got[0]["q"] == pytest.approx(list(np.quantile(values, [0.0, 0.001, 0.5, 0.999, 1.0])))
+
+
+def test_time_blocks_without_time(spark):
+    rows = [(i, None if i % 10 < 3 else i) for i in range(100)]
+    df = spark.createDataFrame(rows, "id bigint, t bigint").withColumn("ts", F.timestamp_seconds("t"))
+    sizes = {r["block"]: r["count"] for r in folds.time_blocks(df, "ts", "id").groupBy("block").count().collect()}
+    assert sizes == {None: 30, 0: 15, 1: 11, 2: 11, 3: 11, 4: 11, 5: 11}
+
+
 def test_running_equals_window_when_one_group_is_hot(spark):
     rng = random.Random(2)
     rows = [("hot" if rng.random() < 0.6 else f"g{i % 7}", i, rng.randrange(100)) for i in range(600)]
@@ -163,7 +170,6 @@ def test_permutation_moves_only_one_column(spark):
 
 
 def test_category_codes_cut_into_ranges(spark, monkeypatch):
-    monkeypatch.setattr(features, "SORT_LIMIT", 10)
     monkeypatch.setattr(features, "CODE_RANGES", 4)
     names = sorted(f"name-{i:03d}" for i in range(80))
     df = spark.createDataFrame([(n,) for n in names * 2], "s string")

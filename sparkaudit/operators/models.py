@@ -15,6 +15,9 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .features import encode_category
+
 
 def get_estimator(
     name: str | None, task: str, seed: int = 42, trees: int = 100, depth: int = 5, label: str = "label",
@@ -101,10 +104,13 @@ def out_of_fold(
     """Predictions of every row by a model that did not see its fold.
 
     Each (seed, fold) is one distributed fit; a small thread pool keeps the cluster busy.
+    A text target is coded by the sorted order of its classes; ``prob`` is the probability
+    of the second class and NULL with more than two.
     """
-    data = folds.select(
-        "seed", "fold", key, *numeric, *text, F.col(label).cast("double").alias("label")
-    ).persist()
+    target = "__code" if dict(folds.dtypes)[label] == "string" else label
+    coded = encode_category(folds, label, "__code") if target != label else folds
+    # written once: every fit and every prediction reads it
+    data = cut_lineage(coded.select("seed", "fold", key, *numeric, *text, F.col(target).cast("double").alias("label")))
     moments = data.groupBy("seed", "fold").agg(*_label_moments()).collect()  # seeds x folds rows
 
     def one(split: tuple[int, int]) -> DataFrame:
@@ -115,7 +121,10 @@ def out_of_fold(
         stages = [*preprocessing(numeric, text), estimator]
         fitted = Pipeline(stages=stages).fit(rows.where(F.col("fold") != fold))
         out = fitted.transform(rows.where(F.col("fold") == fold))
-        prob = vector_to_array("probability")[1] if "probability" in out.columns else F.lit(None).cast("double")
+        prob = F.lit(None).cast("double")
+        if "probability" in out.columns:
+            probs = vector_to_array("probability")
+            prob = F.when(F.size(probs) == 2, F.get(probs, F.lit(1)))
         return out.select(
             F.lit(run).alias("run_id"), F.lit(model).alias("model"), "seed", "fold",
             F.col(key).cast("bigint").alias("row_id"), "label",

@@ -53,8 +53,10 @@ def report_map(reports: DataFrame) -> DataFrame:
 
 
 def with_verdicts(goals: DataFrame, decisions: DataFrame, qa: DataFrame) -> DataFrame:
-    """Verdicts per goal: decision first, then the QA review, else UNKNOWN."""
-    d = decisions.select(
+    """Verdicts per goal: the latest decision first, then the QA review, else UNKNOWN."""
+    cols = ["decision", "decided_at", "qa_verdict", "llm_verdict", "code_verdict"]
+    latest = F.max_by(F.struct(*cols), F.struct("decided_at", *[c for c in cols if c != "decided_at"]))
+    d = decisions.groupBy("goal").agg(latest.alias("d")).select("goal", "d.*").select(
         "goal", "decision", "decided_at", F.col("qa_verdict").alias("__dq"),
         F.col("llm_verdict").alias("__dl"), F.col("code_verdict").alias("__dc"),
     )

@@ -17,10 +17,13 @@ MIN_SLICE = 30
 
 # ---- bootstrap over rows --------------------------------------------------
 
-def poisson_bootstrap(df: DataFrame, key: str, value: str, replicates: int = 50, seed: int = 42) -> DataFrame:
-    """Interval of a row mean: every row gets a Poisson(1) weight per replicate.
+def poisson_bootstrap(
+    df: DataFrame, key: str, value: str, replicates: int = 2000, seed: int = 42, blocks: int = 1024
+) -> DataFrame:
+    """Interval of a row mean by a block bootstrap.
 
-    Weighted sums combine map-side, so only ``replicates`` rows per task are shuffled.
+    One scan sums the rows into hash blocks; each replicate then draws a Poisson(1) weight
+    for every block. The number of draws does not follow the number of rows.
     """
     # fixed values: cumulative Poisson(1) probabilities for 0 to 7
     steps = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
@@ -28,11 +31,16 @@ def poisson_bootstrap(df: DataFrame, key: str, value: str, replicates: int = 50,
     weight = F.lit(len(steps))
     for w in reversed(range(len(steps))):
         weight = F.when(F.col("__u") < steps[w], w).otherwise(weight)
-    reps = df.select(key, value, F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    drawn = reps.select("rep", value, uniform(F.lit(seed), F.col("rep"), F.col(key)).alias("__u"))
-    weighted = drawn.select("rep", value, weight.alias("__w"))
+    block = F.pmod(hash32(F.lit("block"), F.col(key)), F.lit(blocks)).alias("block")
+    sums = df.where(F.col(value).isNotNull()).groupBy(block).agg(F.sum(value).alias("x"), F.count("*").alias("n"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reps = sums.repartition(parts, "block").select(
+        "block", "x", "n", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep")
+    )
+    drawn = reps.select("rep", "x", "n", uniform(F.lit(seed), F.col("rep"), F.col("block")).alias("__u"))
+    weighted = drawn.select("rep", "x", "n", weight.alias("__w"))
     means = weighted.groupBy("rep").agg(
-        (F.sum(F.col("__w") * F.col(value)) / F.nullif(F.sum("__w"), F.lit(0))).alias("m")
+        (F.sum(F.col("__w") * F.col("x")) / F.nullif(F.sum(F.col("__w") * F.col("n")), F.lit(0))).alias("m")
     )
     q = F.percentile("m", F.array(F.lit(0.025), F.lit(0.975)))
     return means.agg(q[0].alias("ci_low"), q[1].alias("ci_high"))
@@ -97,24 +105,24 @@ def class_recall(preds: DataFrame) -> DataFrame:
 def permuted(
     df: DataFrame, key: str, features: Sequence[str], repeats: int = 10, seeds: Sequence[int] = (42,)
 ) -> DataFrame:
-    """One copy of the rows per (seed, feature, repeat), with that feature's values moved
-    to other rows: the r-th row of one hash order gets the value of the r-th of another."""
-    copies = (
-        df.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
-        .withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
-        .withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    """One copy of the rows per (seed, repeat, feature), with that feature's values moved to other rows.
+
+    Every seed ranks the rows once by hash; in a repeat the row at place p takes the value of the
+    row a hash-drawn distance ahead, round the end. One narrow join serves all features of a repeat.
+    """
+    narrow = df.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
+    hashed = narrow.withColumn("__h", hash32(F.lit("order"), F.col("seed"), F.col(key)))
+    ranked = hash_position(hashed, ["seed"], "__h", key, "__p").drop("__h")
+    size = df.agg(F.count("*").alias("__n"))
+    givers = ranked.select(F.col("seed").alias("__s"), F.col("__p").alias("__at"), *[F.col(c).cast("double").alias(f"__v_{c}") for c in features])
+    shift = F.lit(1) + F.pmod(hash32(F.lit("shift"), F.col("seed"), F.col("repeat")), F.greatest(F.col("__n") - 1, F.lit(1)))
+    takers = ranked.crossJoin(F.broadcast(size)).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    moved = takers.withColumn("__to", F.pmod(F.col("__p") + shift, F.col("__n"))).join(
+        givers, (F.col("seed") == F.col("__s")) & (F.col("__to") == F.col("__at"))
     )
-    group = ["seed", "feature", "repeat"]
-    tag = [*[F.col(g) for g in group], F.col(key)]
-    takers = hash_position(copies.withColumn("__h", hash32(F.lit("to"), *tag)), group, "__h", key, "__p").drop("__h")
-    own = F.lit(None).cast("double")
-    for c in features:
-        own = F.when(F.col("feature") == c, F.col(c).cast("double")).otherwise(own)
-    givers = copies.select(*group, key, own.alias("__v"), hash32(F.lit("from"), *tag).alias("__h"))
-    givers = hash_position(givers, group, "__h", key, "__p").select(*group, "__p", "__v")
-    moved = takers.join(givers, [*group, "__p"])
-    swapped = {c: F.when(F.col("feature") == c, F.col("__v")).otherwise(F.col(c).cast("double")) for c in features}
-    return moved.withColumns(swapped).drop("__p", "__v")
+    copies = moved.withColumn("feature", F.explode(F.array(*[F.lit(c) for c in features])))
+    swapped = {c: F.when(F.col("feature") == c, F.col(f"__v_{c}")).otherwise(F.col(c).cast("double")) for c in features}
+    return copies.withColumns(swapped).drop("__p", "__n", "__to", "__s", "__at", *[f"__v_{c}" for c in features])
 
 
 def permutation_importance(

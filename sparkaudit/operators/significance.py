@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
-from ..functions.ordered import position
 from ..functions.tails import shapiro_p, signed_rank_tail, t_tail
 from ..session import cut_lineage
 
@@ -112,22 +111,21 @@ def bootstrap_ci(
 ) -> DataFrame:
     """Percentile interval of the mean over hash-drawn resamples.
 
-    Replicates are rows spread over the cluster; a resample is a join on the draw.
+    A group has one value per seed and fold, so its values travel as a list next to each
+    replicate, and a resample is read off the list: no draw is ever shuffled. For values
+    by row see ``robustness.poisson_bootstrap``.
     """
     by = list(by)
-    scores = cut_lineage(df.select(*by, "seed", "fold", value))  # one row per fold, read several times
-    indexed = position(scores, by, F.col("seed"), ["fold"], "idx").select(
-        *by, "idx", value
-    )
-    sizes = indexed.groupBy(*by).agg(F.count("*").alias("n"))
+    order = F.array_sort(F.collect_list(F.struct("seed", "fold", F.col(value).alias("x"))))  # seeds x folds entries
+    lists = df.select(*by, "seed", "fold", value).groupBy(*by).agg(F.transform(order, lambda r: r["x"]).alias("xs"))
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    reps = sizes.select(*by, "n", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
-    draws = (
-        reps.repartition(parts, *by, "rep")
-        .select(*by, "n", "rep", F.explode(F.sequence(F.lit(0), (F.col("n") - 1).cast("int"))).alias("draw"))
-        .select(*by, "rep", F.pmod(hash32(F.lit(seed), F.col("rep"), F.col("draw")), F.col("n")).alias("idx"))
+    reps = lists.select(*by, "xs", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("rep"))
+    n = F.size("xs")
+    drawn = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.get("xs", F.pmod(hash32(F.lit(seed), F.col("rep"), i), n).cast("int"))
     )
-    means = draws.join(indexed, [*by, "idx"]).groupBy(*by, "rep").agg(F.avg(value).alias("m"))
+    total = F.aggregate(drawn, F.lit(0.0), lambda t, x: t + x)
+    means = reps.repartition(parts, *by, "rep").select(*by, (total / n).alias("m"))
     q = F.percentile("m", F.array(F.lit(alpha / 2), F.lit(1 - alpha / 2)))
     return means.groupBy(*by).agg(q[0].alias("ci_low"), q[1].alias("ci_high"))
 
@@ -135,37 +133,33 @@ def bootstrap_ci(
 def permutation_p(diffs: DataFrame, by: Sequence[str] = PAIR, n_perm: int = 10000, seed: int = 42) -> DataFrame:
     """Share of hash shuffles of the pooled scores whose mean gap reaches the observed one.
 
-    Used for comparisons of fewer than six pairs, so a shuffle holds at most ten items.
+    Used for comparisons of fewer than six pairs, so a list holds at most ten scores; each
+    shuffle orders the list by its own hashes.
     """
     by = list(by)
-    indexed = position(diffs.select(*by, "seed", "fold", "best", "base"), by, F.col("seed"), ["fold"], "idx")
-    pooled = indexed.select(
+    pairs = F.array_sort(F.collect_list(F.struct("seed", "fold", "best", "base")))
+    lists = diffs.groupBy(*by).agg(pairs.alias("p")).select(
         *by,
-        F.explode(
-            F.array(
-                F.struct((2 * F.col("idx")).alias("item"), F.lit(1).alias("from_best"), F.col("best").alias("s")),
-                F.struct((2 * F.col("idx") + 1).alias("item"), F.lit(0).alias("from_best"), F.col("base").alias("s")),
-            )
-        ).alias("x"),
-    ).select(*by, "x.*")
+        F.flatten(F.transform("p", lambda r, i: F.array(
+            F.struct((2 * i).alias("item"), r["best"].alias("s")), F.struct((2 * i + 1).alias("item"), r["base"].alias("s"))
+        ))).alias("pool"),
+    )
     parts = int(diffs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shuffles = (
-        pooled.select("*", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("perm"))
+    mean = lambda xs: F.aggregate(xs, F.lit(0.0), lambda t, x: t + x["s"]) / F.size(xs)
+    even = lambda keep: F.filter("pool", lambda x: F.pmod(x["item"], F.lit(2)) == keep)
+    shuffled = F.array_sort(F.transform(
+        "pool", lambda x: F.struct(hash32(F.lit(seed), F.col("perm"), x["item"]).alias("h"), x["item"].alias("item"), x["s"].alias("s"))
+    ))
+    half = (F.size("pool") / 2).cast("int")
+    gaps = (
+        lists.select(*by, "pool", F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("perm"))
         .repartition(parts, *by, "perm")
-        .withColumn("h", hash32(F.lit(seed), F.col("perm"), F.col("item")))
-    )
-    w = Window.partitionBy(*by, "perm")
-    placed = shuffles.select(
-        *by, "perm", "s", "from_best",
-        F.row_number().over(w.orderBy("h", "item")).alias("pos"),
-        F.count("*").over(w).alias("size"),
-    )
-    first = F.col("pos") <= F.col("size") / 2
-    gaps = placed.groupBy(*by, "perm").agg(
-        (F.avg(F.when(first, F.col("s"))) - F.avg(F.when(~first, F.col("s")))).alias("gap"),
-        (
-            F.avg(F.when(F.col("from_best") == 1, F.col("s"))) - F.avg(F.when(F.col("from_best") == 0, F.col("s")))
-        ).alias("observed"),
+        .select(*by, "pool", shuffled.alias("mixed"))
+        .select(
+            *by,
+            (mean(F.slice("mixed", F.lit(1), half)) - mean(F.slice("mixed", half + 1, half))).alias("gap"),
+            (mean(even(0)) - mean(even(1))).alias("observed"),
+        )
     )
     # both gaps are sums in different order; compare to twelve digits
     reached = F.round(F.col("gap"), 12) >= F.round(F.col("observed"), 12)

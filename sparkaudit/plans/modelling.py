@@ -66,10 +66,10 @@ def h10(spark, sf):
 
 @query("l4_model_lofo")
 def l4_model(spark, sf):
-    """Leave-one-feature-out with refits of an ML model, first two folds."""
+    """Leave-one-feature-out with refits of an ML model, all folds and features."""
     preds = models.leave_one_out(
-        v.quality_one_seed(spark, sf), "doc_id", ["junk_share", "n_chars"], [], "quality", "LogisticRegression",
-        "classification", "quality", ONE_SEED_SPLITS[:2],
+        v.quality_one_seed(spark, sf), "doc_id", NUM, TXT, "quality", "LogisticRegression",
+        "classification", "quality", ONE_SEED_SPLITS,
     )
     scored = metrics.score_wide(preds, ["accuracy"], ["feature_set", "seed", "fold"])
     return robustness.lofo_classes(linear.lofo(scored, "accuracy"))

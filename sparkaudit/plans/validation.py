@@ -106,7 +106,7 @@ def k5_p(spark, sf):
     return significance.signed_rank_p(significance.signed_rank(diffs(spark, sf)))
 
 
-N_PERM = 1000
+N_PERM = 10000
 
 
 @query(
@@ -126,7 +126,7 @@ def k6(spark, sf):
 
 @query("k7_chosen_test")
 def k7(spark, sf):
-    t = significance.compare(diffs(spark, sf), replicates=500, n_perm=500)
+    t = significance.compare(diffs(spark, sf))
     return t.select("run_id", "baseline", "test", "stat", "p_value", "p_norm")
 
 
@@ -179,7 +179,7 @@ def k11(spark, sf):
 
 @query("k12_verdict")
 def k12(spark, sf):
-    tests = significance.compare(diffs(spark, sf), replicates=500, n_perm=500)
+    tests = significance.compare(diffs(spark, sf))
     return significance.verdict(significance.gates(tests))
 
 
@@ -247,13 +247,14 @@ POISSON = (0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.981011
 
 @query(
     "l2_poisson_bootstrap",
-    f"""WITH w AS (SELECT rep, o_totalprice AS x, {" + ".join(f"(u >= {p})::INT" for p in POISSON)} AS w
-              FROM (SELECT rep, o_totalprice, {v.h32("concat_ws(':', 42, rep, o_orderkey)")} / 4294967296.0::DOUBLE AS u FROM orders, range(20) r(rep))),
-        m AS (SELECT rep, sum(w * x) / sum(w) AS m FROM w GROUP BY rep)
+    f"""WITH b AS (SELECT {v.h32("concat_ws(':', 'block', o_orderkey)")} % 1024 AS block, sum(o_totalprice) AS x, count(*) AS n FROM orders GROUP BY 1),
+        w AS (SELECT rep, x, n, {" + ".join(f"(u >= {p})::INT" for p in POISSON)} AS w
+              FROM (SELECT rep, x, n, {v.h32("concat_ws(':', 42, rep, block)")} / 4294967296.0::DOUBLE AS u FROM b, range(2000) r(rep))),
+        m AS (SELECT rep, sum(w * x) / sum(w * n) AS m FROM w GROUP BY rep)
         SELECT round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high FROM m""",
 )
 def l2_poisson(spark, sf):
-    ci = robustness.poisson_bootstrap(read_table(spark, sf, "orders"), "o_orderkey", "o_totalprice", 20)
+    ci = robustness.poisson_bootstrap(read_table(spark, sf, "orders"), "o_orderkey", "o_totalprice")
     return ci.select(F.round("ci_low", 4).alias("ci_low"), F.round("ci_high", 4).alias("ci_high"))
 
 
@@ -334,37 +335,44 @@ def l8(spark, sf):
     return robustness.class_recall(rule_rows(spark, sf)).withColumn("score", F.round("score", 6))
 
 
-PERM_FEATURES = ["junk_share", "n_chars", "toxic"]
-LINE = "1 - 20 * junk_share + n_chars / 1000000.0 - 0.05 * toxic"
+PERM_FEATURES = ["junk_share", "n_chars", "toxic", "junk_n", "label_day"]
+LINE = "1 - 20 * junk_share + n_chars / 1000000.0 - 0.05 * toxic - 0.002 * junk_n + 0.001 * label_day"
+PERM_SEEDS, PERM_REPEATS = (0, 1, 7, 42, 123), 10
 
 
 def line_rule(df):
     """A fixed linear scorer with a cut."""
-    line = 1 - 20 * F.col("junk_share") + F.col("n_chars") / 1000000.0 - 0.05 * F.col("toxic")
+    line = (
+        1 - 20 * F.col("junk_share") + F.col("n_chars") / 1000000.0 - 0.05 * F.col("toxic")
+        - 0.002 * F.col("junk_n") + 0.001 * F.col("label_day")
+    )
     return df.withColumn("pred", (line >= 0.9).cast("double"))
 
 
+PERM_ROWS = "(SELECT *, doc_id % 30 AS label_day FROM v_quality)"
+
+
 def _perm_sql(feature: str) -> str:
     cols = ", ".join(f"g.{c} AS {c}" if c == feature else f"t.{c} AS {c}" for c in PERM_FEATURES)
-    tag = f"seed, '{feature}', repeat, doc_id"
-    base = f"(SELECT * FROM v_quality, (SELECT unnest([0, 1, 7]) AS seed), range(3) r(repeat))"
-    rank = lambda word: (
-        f"row_number() OVER (PARTITION BY seed, repeat ORDER BY {v.h32(f'''concat_ws(':', '{word}', {tag})''')}, doc_id)"
-    )
-    return f"""SELECT '{feature}' AS feature, t.seed, t.repeat, t.quality, {cols}
-        FROM (SELECT *, {rank('to')} AS p FROM {base}) t JOIN (SELECT *, {rank('from')} AS p FROM {base}) g USING (seed, repeat, p)"""
+    return f"""SELECT '{feature}' AS feature, t.seed, repeat, t.quality, {cols}
+        FROM ranked t, range({PERM_REPEATS}) r(repeat), ranked g
+        WHERE g.seed = t.seed AND g.p = (t.p + 1 + {v.h32("concat_ws(':', 'shift', t.seed, repeat)")} % greatest(t.n - 1, 1)) % t.n"""
 
 
-PERM_SQL = f"""SELECT feature, seed, base - avg(s) AS importance FROM (
+PERM_SQL = f"""WITH ranked AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY {v.h32("concat_ws(':', 'order', seed, doc_id)")}, doc_id) - 1 AS p,
+             count(*) OVER (PARTITION BY seed) AS n FROM {PERM_ROWS}, (SELECT unnest({list(PERM_SEEDS)}) AS seed))
+      SELECT feature, seed, base - avg(s) AS importance FROM (
       SELECT feature, seed, repeat, avg((({LINE} >= 0.9)::INT = quality)::INT) AS s
       FROM ({" UNION ALL ".join(_perm_sql(c) for c in PERM_FEATURES)}) GROUP BY ALL),
-      (SELECT avg((({LINE} >= 0.9)::INT = quality)::INT) AS base FROM v_quality) GROUP BY feature, seed, base"""
+      (SELECT avg((({LINE} >= 0.9)::INT = quality)::INT) AS base FROM {PERM_ROWS}) GROUP BY feature, seed, base"""
 
 
 def importances(spark, sf):
-    rows = v.quality(spark, sf).withColumn("label", F.col("quality").cast("double"))
+    rows = v.quality(spark, sf).withColumns(
+        {"label": F.col("quality").cast("double"), "label_day": F.pmod("doc_id", F.lit(30))}
+    ).select("doc_id", "label", *PERM_FEATURES)
     return robustness.permutation_importance(
-        rows, "doc_id", PERM_FEATURES, line_rule, metrics.accuracy(), 3, (0, 1, 7)
+        rows, "doc_id", PERM_FEATURES, line_rule, metrics.accuracy(), PERM_REPEATS, PERM_SEEDS
     )
 
 
@@ -375,7 +383,7 @@ def l9(spark, sf):
 
 @query(
     "l10_top3_stability",
-    f"""WITH l AS (SELECT seed, string_agg(feature, ',' ORDER BY round(importance, 9) DESC, feature) AS top3 FROM ({PERM_SQL}) GROUP BY seed)
+    f"""WITH l AS (SELECT seed, string_agg(feature, ',' ORDER BY k) AS top3 FROM (SELECT seed, feature, row_number() OVER (PARTITION BY seed ORDER BY round(importance, 9) DESC, feature) AS k FROM ({PERM_SQL})) WHERE k <= 3 GROUP BY seed)
         SELECT top3, count(*) AS n_match, (SELECT count(*) FROM l) AS n_seeds FROM l GROUP BY top3
         ORDER BY count(*) DESC, min(seed) LIMIT 1""",
     views="v_quality",

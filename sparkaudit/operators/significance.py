@@ -52,7 +52,10 @@ def paired_t(summaries: DataFrame) -> DataFrame:
 
 
 def normality(diffs: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
-    """Shapiro-Wilk p up to its limit of values per comparison, Jarque-Bera beyond."""
+    """Shapiro-Wilk p up to its limit of values per comparison, Jarque-Bera beyond; ``norm_test`` says which.
+
+    Comparisons are over folds, so the limit is only met by callers that compare rows.
+    """
     sizes = diffs.groupBy(*by).agg(
         F.count("d").alias("n"),
         F.skewness("d").alias("skew"),
@@ -68,6 +71,7 @@ def normality(diffs: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
         *by,
         "n",
         jb.alias("jarque_bera"),
+        F.when(F.col("n") <= SHAPIRO_LIMIT, "shapiro_wilk").otherwise("jarque_bera").alias("norm_test"),
         F.coalesce("p_shapiro", F.exp(-jb / 2.0), F.lit(1.0)).alias("p_norm"),
     )
 
@@ -179,7 +183,7 @@ def compare(diffs: DataFrame, by: Sequence[str] = PAIR, replicates: int = 2000,
     """Full comparison: chosen test with its p, interval, effect size, lift."""
     by = list(by)
     diffs = cut_lineage(diffs)  # one row per fold, read by every test
-    base = paired_t(summary(diffs, by)).join(normality(diffs, by).drop("n"), by)
+    base = paired_t(summary(diffs, by)).join(normality(diffs, by).drop("n", "norm_test"), by)
     base = base.withColumn("test", choose_test(F.col("n"), F.col("p_norm")))
     few = base.where(F.col("test") == "permutation").select(*by)
     perm = permutation_p(diffs.join(few, by, "left_semi"), by, n_perm)

@@ -247,14 +247,14 @@ def b5(spark, sf):
 
 @query(
     "b6_column_kinds",
-    """SELECT 'numeric' AS kind, 'quality,toxic,n_chars,doc_id' AS names, count(n_chars) AS n_filled FROM v_missing
-       UNION ALL SELECT 'text', 'source,lang', count(lang) FROM v_missing""",
+    """SELECT 'numeric' AS kind, 'doc_id,n_chars,quality,toxic' AS names, count(n_chars) AS n_filled FROM v_missing
+       UNION ALL SELECT 'text', 'lang,source', count(lang) FROM v_missing""",
     views="v_missing",
 )
 def b6(spark, sf):
     df = v.partly_labelled(spark, sf)
     n = df.agg(F.count("n_chars").alias("num"), F.count("lang").alias("txt"))
-    names = lambda cols: F.lit(",".join(sorted(cols, key=lambda c: ["quality", "toxic", "n_chars", "doc_id", "source", "lang"].index(c))))
+    names = lambda cols: F.lit(",".join(sorted(cols)))
     return n.select(
         F.explode(
             F.array(

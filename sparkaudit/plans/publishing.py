@@ -190,15 +190,14 @@ def o10(spark, sf):
     return trust.grounded_claims(v.votes(spark, sf))
 
 
-PAIR_VOTES = """SELECT run_id, CASE WHEN vote = 'NO' AND event_type = 'error' THEN 'INCONSISTENT' WHEN vote = 'PARTIAL' THEN 'PARTIAL' ELSE 'CONSISTENT' END AS vote FROM v_votes
-    WHERE event_type IN ('error', 'signup')"""
+PAIR_VOTES = """SELECT run_id, CASE WHEN vote = 'NO' AND event_type = 'error' THEN 'INCONSISTENT' WHEN vote = 'PARTIAL' THEN 'PARTIAL' ELSE 'CONSISTENT' END AS vote FROM v_votes"""
 CONSISTENCY = f"""SELECT run_id, CASE max(CASE vote WHEN 'INCONSISTENT' THEN 2 WHEN 'PARTIAL' THEN 1 ELSE 0 END)
       WHEN 2 THEN 'INCONSISTENT' WHEN 1 THEN 'PARTIAL' ELSE 'CONSISTENT' END AS insight_consistency FROM ({PAIR_VOTES}) GROUP BY run_id"""
 
 
 def pair_votes(spark, sf):
     bad = (F.col("vote") == "NO") & (F.col("event_type") == "error")
-    return v.votes(spark, sf).where(F.col("event_type").isin("error", "signup")).select(
+    return v.votes(spark, sf).select(
         "run_id",
         F.when(bad, "INCONSISTENT").when(F.col("vote") == "PARTIAL", "PARTIAL").otherwise("CONSISTENT").alias("vote"),
     )

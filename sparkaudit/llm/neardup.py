@@ -5,8 +5,9 @@ each of several independent trees a class follows the path of its minwise shingl
 by node it is branched by the next minwise token until the node is small, and classes of a
 small node are compared exhaustively by sketch. Nodes that stay large (many near copies)
 are compared with the member closest to their consensus. Every candidate is confirmed on the
-full sets; rounds go on, deeper and only between classes not yet connected, until no
-large node holds more than one component.
+full sets. Large nodes that hold more than one component go on, deeper; what a second
+round leaves mixed is compared exhaustively, the classes outside a node's main component
+against the others.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from ..session import cut_lineage
 from .batches import add_columns, without
 from .components import components
 
-TREES, LEVELS, LEAF = 16, 6, 16
+TREES, LEVELS, LEAF = 16, 6, 32
 #: Share of agreeing sketch bytes a pair needs to be confirmed: four standard deviations below 0.8.
 SIMILAR, LIKELY = 80, 0.64
 SLICE_CHARS, MEMO = 4_000_000, 400_000
@@ -33,11 +34,6 @@ _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64 + _HASHES, dtype=np
 MARKS = 1 << 25
 
 
-def _bits(field: np.ndarray) -> np.ndarray:
-    """The low 32 bits of every number, lowest first."""
-    return ((field[:, None] >> np.arange(32)) & 1).astype(np.uint8).ravel()
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
@@ -243,20 +239,30 @@ class Join:
         )
         return self.classes.select("class", F.explode(ways).alias("b")).select("class", "b.tree", "b.way")
 
-    def recursion(self, rows: DataFrame, first: int, last: int) -> tuple[list[DataFrame], DataFrame | None]:
-        """Leaves (node, class) level by level, and the rows (tree, class, way, node, size) of nodes still large."""
-        leaves, size = [], None
-        for level in range(first, last + 1):
-            at = rows.select("class", "tree", "way", F.xxhash64("tree", F.substring("way", 1, 4 * level)).alias("node"))
-            sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-            sizes = sizes.withColumnRenamed("node", "at")
-            shared = cut_lineage(at.join(sizes, F.col("node") == F.col("at")).drop("at"))
-            leaves.append(shared.where(F.col("size") <= LEAF).select("node", "class"))
-            rows = shared.where(F.col("size") > LEAF)
-            size = rows.limit(1).count()
-            if not size:
-                return leaves, None
-        return leaves, rows
+    def first_branching(self) -> tuple[DataFrame, DataFrame]:
+        """Leaves (node, class) of the first level, and the rows (class, tree, way) of larger nodes."""
+        at = self.branches(1).withColumn("node", F.xxhash64("tree", F.substring("way", 1, 4)))
+        sizes = at.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").withColumnRenamed("node", "at")
+        shared = cut_lineage(at.join(sizes, F.col("node") == F.col("at")).drop("at"))
+        return shared.where(F.col("size") <= LEAF).select("node", "class"), shared.where(F.col("size") > LEAF)
+
+    def recursion(self, rows: DataFrame, first: int, last: int) -> tuple[DataFrame, DataFrame]:
+        """Leaves (node, class) and the rows (class, tree, way, node, size) still in large nodes.
+
+        All levels are counted in one pass: a class follows its way and stops in the first
+        node that is small enough.
+        """
+        ways = rows.select("class", "tree", "way", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("level"))
+        steps = ways.withColumn("node", F.xxhash64("tree", F.expr("substring(way, 1, 4 * level)")))
+        sizes = steps.groupBy("node").agg(F.count("*").alias("size")).withColumnRenamed("node", "at")
+        here = F.struct("level", "node", "size")
+        ends = cut_lineage(steps.join(sizes, F.col("node") == F.col("at")).groupBy("class", "tree", "way").agg(
+            F.min(F.when(F.col("size") <= LEAF, here)).alias("leaf"), F.max(here).alias("last")
+        ))
+        return (
+            ends.where("leaf.size > 1").select(F.col("leaf.node").alias("node"), "class"),
+            ends.where("leaf is null").select("class", "tree", "way", F.col("last.node").alias("node"), F.col("last.size").alias("size")),
+        )
 
     def leaf_pairs(self, leaves: DataFrame, roots: DataFrame | None, every: bool) -> DataFrame:
         """Likely pairs (a, b) inside leaves, between different components where these are known."""
@@ -324,16 +330,17 @@ class Join:
         marks = self.classes.join(wanted, "class", "left_semi").select(spot.alias("h")).groupBy(
             F.shiftright("h", 5).alias("at")
         ).agg(F.expr("bit_or(shiftleft(1L, cast(h & 31 as int)))").alias("bits")).toArrow()  # bounded by MARKS / 32 rows
-        field = np.zeros(MARKS // 32, np.int64)
-        field[marks.column("at").to_numpy()] = marks.column("bits").to_numpy()
-        shared = self.docs.sparkSession.sparkContext.broadcast(np.packbits(_bits(field)).tobytes())
+        field = np.zeros(MARKS // 32, np.uint32)
+        field[marks.column("at").to_numpy()] = marks.column("bits").to_numpy().astype(np.uint32)
+        shared = self.docs.sparkSession.sparkContext.broadcast(field.tobytes())
         rows = self.docs.select(F.col(self.key).alias("key"), F.col(self.text).alias("text")).select(spot.alias("h"), "text")
 
         def build(parts):
-            marked, memo = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool), Words()
+            field, memo = np.frombuffer(shared.value, np.uint32), Words()
             for part in parts:
-                texts = part.column(1).filter(pa.array(marked[part.column(0).to_numpy()])).to_pylist()
-                texts = [t or "" for t in texts]
+                h = part.column(0).to_numpy()
+                marked = (field[h >> 5] >> (h & 31).astype(np.uint32)) & np.uint32(1)
+                texts = [t or "" for t in part.column(1).filter(pa.array(marked.astype(bool))).to_pylist()]
                 for i, j in _slices(texts):
                     sets = [s.tobytes() for s in shingle_sets(texts[i:j], width, memo) if len(s)]
                     names = [xxhash.xxh3_128_digest(s) for s in sets]
@@ -362,46 +369,41 @@ class Join:
 
         return cut_lineage(both.mapInArrow(check, "a binary, b binary, ok boolean"))
 
-    def run(self, rounds: int = 4) -> DataFrame | None:
+    def run(self, rounds: int = 2) -> DataFrame | None:
         """(node, root) of all linked classes, or None without links."""
         tested = links = roots = None
 
         def test(pairs):
             nonlocal tested, links, roots
-            pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = cut_lineage(pairs)
+            pairs = cut_lineage(pairs if tested is None else pairs.distinct().join(tested, ["a", "b"], "left_anti"))
             if not pairs.limit(1).count():
-                return False
+                return
             found = self.confirmed(pairs)
             tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
             good = found.where("ok").select("a", "b")
-            links = good if links is None else links.unionByName(good)
             if good.limit(1).count():
+                # What is connected already counts as a star of its root.
+                links = good if roots is None else good.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
                 roots = cut_lineage(components(links))
-            return True
 
-        rows = self.branches(1)
+        small, big = self.first_branching()
         for depth in range(1, rounds + 1):
-            leaves, big = self.recursion(rows, (depth - 1) * LEVELS + 1, depth * LEVELS)
-            small = leaves[0]
-            for more in leaves[1:]:
-                small = small.unionByName(more)
-            spanning = self.leaf_pairs(small, roots, every=roots is not None)
-            test(spanning if big is None else spanning.unionByName(self.star_pairs(big)).distinct())
-            if depth == 1 and tested is not None:
-                test(self.leaf_pairs(small, self.known(roots), every=True))
-            if big is None:
-                break
+            more, big = self.recursion(big, 2 if depth == 1 else (depth - 1) * LEVELS + 1, depth * LEVELS)
+            small = small.unionByName(more)
+            pairs = self.leaf_pairs(small, roots, every=depth > 1)
+            test(pairs.unionByName(self.star_pairs(big)).distinct() if big.limit(1).count() else pairs)
             big = self.mixed(big, self.known(roots))
             if not big.limit(1).count():
                 break
-            if depth == rounds:
+            if depth < rounds:
+                longer = self.branches(depth + 1).withColumnRenamed("class", "__c").withColumnRenamed("tree", "__t")
+                big = big.select("class", "tree").join(
+                    longer, (F.col("class") == F.col("__c")) & (F.col("tree") == F.col("__t"))
+                ).select("class", "tree", "way")
+            else:
                 test(self.block_pairs(big, self.known(roots)))
-                break
-            longer = self.branches(depth + 1).withColumnRenamed("class", "__c").withColumnRenamed("tree", "__t")
-            rows = big.select("class", "tree").join(
-                longer, (F.col("class") == F.col("__c")) & (F.col("tree") == F.col("__t"))
-            ).select("class", "tree", "way")
+        if tested is not None:  # likely pairs that a failed one was to stand for
+            test(self.leaf_pairs(small, self.known(roots), every=True))
         return roots
 
     def known(self, roots: DataFrame | None) -> DataFrame:

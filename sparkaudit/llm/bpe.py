@@ -24,8 +24,8 @@ from .batches import add_columns
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-#: Pieces up to this many characters are remembered, up to this many at a time.
-MEMO_CHARS, MEMO_PIECES = 48, 800_000
+#: Pieces up to this many characters are remembered, up to this many at a time; as many pairs, too.
+MEMO_CHARS, MEMO_PIECES = 48, 600_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -146,7 +146,7 @@ class Encoder:
                 pair = left << 20 | token
                 fit = fits.get(pair)
                 if fit is None:
-                    if len(fits) >= 4 * MEMO_PIECES:
+                    if len(fits) >= MEMO_PIECES:
                         fits.clear()
                     fit = fits[pair] = self.compatible(left, token)
                 if not fit:

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .batches import add_columns
 
 #: The base patterns. Matches that fail the length test are dropped, not retried.
@@ -154,7 +155,8 @@ def find(text: str, cost: GuessCost, least_bits: float) -> list[tuple[str, int,
 def common_words(docs: DataFrame, n: int = 30_000, text: str = "text") -> list[str]:
     """The ``n`` most frequent lower-case words of three letters or more, over all texts.
 
-    Words are counted inside each batch first, so a frequent word is one row per batch.
+    Words are counted inside each batch first, so a frequent word is one row per batch. Words
+    with less than a millionth of all counts are no common words; this bounds the last sort.
     """
     letters = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 else 32 for c in range(256))
 
@@ -169,8 +171,10 @@ def common_words(docs: DataFrame, n: int = 30_000, text: str = "text") -> list[s
             )
 
     counted = docs.select(text).mapInArrow(count, "w string, c bigint").groupBy("w").agg(F.sum("c").alias("c"))
-    top = counted.where("c > 1").orderBy(F.desc("c"), "w").limit(n)
-    return [r["w"] for r in top.collect()]
+    counted = cut_lineage(counted.where("c > 1"))
+    total = counted.agg(F.sum("c")).first()[0] or 0
+    often = counted.where(F.col("c") >= F.lit(total / 1e6))  # at most a million words
+    return [r["w"] for r in often.orderBy(F.desc("c"), "w").limit(n).collect()]
 
 
 def find_secrets(docs: DataFrame, words: list[str], least_bits: float = 45.0, text: str = "text", keep=None) -> DataFrame:

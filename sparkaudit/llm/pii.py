@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import add_columns, without
+from .samples import drawn
 from .tagger import Tagger, best_path, char_codes, pad
 
 KINDS = ("email", "ip", "card", "phone")
@@ -152,9 +153,9 @@ def fit(docs: DataFrame, contexts: int = 200, rows: int = 4000, epochs: int = 8,
 
     The draw is bounded; an empty table gives windows without context.
     """
-    drawn = docs.select(F.col(text).alias("t"), F.xxhash64(F.col(key), F.lit(23)).alias("h"))
-    drawn = drawn.where(F.col("t").isNotNull()).orderBy("h", "t").limit(contexts)
-    return _trained(tuple(r["t"] for r in drawn.collect()), rows, epochs)
+    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.col("t").isNotNull())
+    some = drawn(texts, F.col("k"), contexts, 23).orderBy("__draw", "t").limit(contexts)
+    return _trained(tuple(r["t"] for r in some.collect()), rows, epochs)
 
 
 def stretches(text: str) -> list[tuple[int, int]]:

@@ -46,15 +46,23 @@ def predict_majority(folds: DataFrame, label: str, split: Sequence[str] = SPLIT)
     return scored.withColumn("pred", pred).withColumn("prob", pred).drop("majority", "share")
 
 
+MAX_CLASSES = 1000
+
+
 def class_priors(folds: DataFrame, label: str, split: Sequence[str] = SPLIT) -> DataFrame:
-    """Majority class and cumulative class prior per split: one row per split."""
+    """Majority class and cumulative class prior per split: one row per split.
+
+    The ladder of a split is broadcast, so more than MAX_CLASSES classes are an error.
+    """
     counts = train_class_counts(folds, label, split)
     upto = F.sum("n").over(Window.partitionBy(*split).orderBy(label))
     steps = counts.withColumn("hi", upto / F.sum("n").over(Window.partitionBy(*split)))
-    return steps.groupBy(*split).agg(
+    priors = steps.groupBy(*split).agg(
         F.max_by(F.col(label), F.struct(F.col("n"), -F.col(label))).alias("majority"),
         F.array_sort(F.collect_list(F.struct("hi", F.col(label).alias("cls")))).alias("ladder"),  # one per class
     )
+    many = F.raise_error(F.lit(f"{label} has more than {MAX_CLASSES} classes"))
+    return priors.withColumn("ladder", F.when(F.size("ladder") <= MAX_CLASSES, F.col("ladder")).otherwise(many.cast(priors.schema["ladder"].dataType)))
 
 
 def _drawn_class() -> Column:

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import value_buckets
+
 SPLIT = ("run_id", "model", "seed", "fold")
 PROB_FLOOR = 1e-15
-PROB_CHUNKS = 4096
 
 
 def _ratio(a: Column, b: Column) -> Column:
@@ -83,14 +84,15 @@ def score_wide(preds: DataFrame, metrics: Sequence[str], by: Sequence[str] = SPL
 def roc_auc(preds: DataFrame, by: Sequence[str] = SPLIT) -> DataFrame:
     """Rank-sum AUC, ties averaged; NULL where a split holds one class only.
 
-    Rows collapse to one per distinct probability first; these are then summed in
-    probability chunks, so no split is sorted in one piece.
+    Rows collapse to one per distinct probability first; these are then summed in chunks
+    cut at sketched quantiles of the probabilities, so no split is sorted in one piece,
+    however narrow its scores lie. Rows without probability are skipped.
     """
     by = list(by)
-    cells = preds.groupBy(*by, "prob").agg(
+    cells = preds.where(F.col("prob").isNotNull()).groupBy(*by, "prob").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )
-    chunked = cells.withColumn("chunk", F.floor(F.col("prob") * PROB_CHUNKS))
+    chunked = value_buckets(cells, ["prob"]).withColumnRenamed("__b_prob", "chunk")
     sums = chunked.groupBy(*by, "chunk").agg(F.sum("neg").alias("chunk_neg"))
     prior = Window.partitionBy(*by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select(*by, "chunk", F.coalesce(F.sum("chunk_neg").over(prior), F.lit(0)).alias("start"))

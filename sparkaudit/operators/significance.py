@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
+from ..functions.quantiles import value_buckets
 from ..functions.tails import shapiro_p, signed_rank_tail, t_tail
 from ..session import cut_lineage
 
 PAIR = ("run_id", "baseline")
 SHAPIRO_LIMIT = 5000
 NORMAL_P = 0.05
-RANK_CHUNKS = 4096
 
 
 def differences(best: DataFrame, baselines: DataFrame) -> DataFrame:
@@ -79,15 +79,16 @@ def normality(diffs: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
 def signed_rank(diffs: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
     """Wilcoxon W+ with averaged ranks; zero differences are dropped.
 
-    Equal sizes collapse to one row with counts, then ranks add up chunk by chunk.
+    Equal sizes collapse to one row with counts, then ranks add up chunk by chunk; chunks
+    are cut at sketched quantiles of the sizes.
     """
     by = list(by)
     cells = (
         diffs.where(F.col("d") != 0)
         .groupBy(*by, F.abs("d").alias("size"))
         .agg(F.count("*").alias("c"), F.count_if(F.col("d") > 0).alias("pos"))
-        .withColumn("chunk", F.floor(F.col("size") * RANK_CHUNKS))
     )
+    cells = value_buckets(cells, ["size"]).withColumnRenamed("__b_size", "chunk")
     prior = Window.partitionBy(*by).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         cells.groupBy(*by, "chunk").agg(F.sum("c").alias("cc"))

@@ -25,7 +25,7 @@ from .components import components
 TREES, LEVELS, LEAF = 16, 6, 32
 #: Share of agreeing sketch bytes a pair needs to be confirmed: four standard deviations below 0.8.
 SIMILAR, LIKELY = 80, 0.64
-SLICE_CHARS, MEMO = 4_000_000, 400_000
+SLICE_CHARS, MEMO = 2_000_000, 300_000
 _HASHES = TREES * LEVELS
 _FACTORS = np.random.default_rng(20).integers(1, 1 << 63, 64 + _HASHES, dtype=np.uint64) | np.uint64(1)
 

@@ -1,18 +1,21 @@
 """A probabilistic suffix tree over the words of a corpus, and unigram base scores.
 
-Symbols are the training words, one unknown word and the end of a text. A context is the one or
-two words before a symbol (or the start). It is kept where it is frequent and passes a
-divergence test: its counts, leave-one-out and smoothed, must predict its symbols better
-than its longest kept suffix does. A token is scored in the state of the longest kept
-context. The counts come from all training texts; words rarer than STATE_SHARE share one symbol
-inside a context and are told apart by their unigram probability.
+A context is the one to DEPTH words before a symbol; its oldest may be the start of the text. It
+is kept where it passes a divergence test: its counts, leave-one-out and smoothed, must
+predict its symbols better than its longest kept suffix does. A token is scored in the state
+of the longest kept context. Every word, context and successor seen LEAST times in the training
+texts takes part, whatever the size of the corpus: they are tables keyed by the hash of their
+words, and tokens are joined to them. Only the frequent part is broadcast, as a cache.
+
+The log probability of a text is a sum over its word sequences, which makes that join a
+plain one: a sequence adds the back-off weight it has as a context, and what it gains as a
+context and its successor over backing off.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -20,19 +23,21 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release, shuffles_freed
 from .batches import add_columns, without
 
-DEPTH = 2
-#: Shares of all training tokens; each bounds a table that is broadcast, whatever the corpus. A word or context
-#: of the tree has at least STATE_SHARE (at most 50 000), a successor in a context at least JOINT_SHARE (1 000 000),
-#: a word whose count is broadcast at least HOT_SHARE (5 000 000).
-STATE_SHARE, JOINT_SHARE, HOT_SHARE = 2e-5, 1e-6, 2e-7
+#: Words of the longest context; occurrences that a word, a context and a successor need.
+DEPTH, LEAST = 4, 2
+#: Words and sequences of this share of all training tokens are broadcast (at most 1 000 000 of each length), others joined.
+HOT_SHARE = 1e-6
 #: Divergence test: nats gained in all, and per symbol.
 MIN_GAIN, MIN_DIVERGENCE = 12.0, 0.003
-#: Symbol numbers: 0 none (or the total of a context), 1 a rarer word, 2 the start; states from 3 on.
-RARE, START, BITS = 1, 2, 16
-END_KEY, MEMO = 0, 300_000
+#: Symbol numbers of the frequent part: 0 none, 1 any other word, 2 the start; words and the end from 3 on.
+RARE, START = 1, 2
+END_KEY, START_KEY, MEMO = 0, -1, 300_000
+#: Most bits of the field that tells which keys a table may have; characters of texts read at once.
+MARKS, SLICE_CHARS = 1 << 28, 2_000_000
+_FACTORS = np.random.default_rng(3).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 
 
 def _tokens(text: str) -> list[bytes]:
@@ -51,6 +56,41 @@ class WordKeys(dict):
         return key
 
 
+def _slices(texts: list[str]):
+    """Runs of texts of at most SLICE_CHARS characters, single longer texts apart."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > SLICE_CHARS:
+            yield texts[start:i]
+            start, size = i, 0
+        size += len(text)
+    if start < len(texts):
+        yield texts[start:]
+
+
+def _read(texts: list[str], memo: WordKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, words and end of every text in a row: keys, places in the text; and where each text begins."""
+    flat, first = [], []
+    for text in texts:
+        first.append(len(flat))
+        flat += (START_KEY, *[memo[w] for w in _tokens(text)], END_KEY)
+    first = np.array(first, np.int64)
+    sizes = np.diff(np.append(first, len(flat)))
+    return np.array(flat, np.int64), np.arange(len(flat)) - np.repeat(first, sizes), first
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _longer(shorter: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
+    """Keys of the ``length`` symbols up to each place, from the keys of one symbol less."""
+    older = np.zeros(len(keys), np.uint64)
+    older[length - 1 :] = keys[: max(0, len(keys) - length + 1)].view(np.uint64)
+    return _mixed((shorter.view(np.uint64) * _FACTORS[0]) ^ _mixed(older + _FACTORS[length])).view(np.int64)
+
+
 def _lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of keys in a sorted table, and whether they are there."""
     if not len(table):
@@ -59,8 +99,21 @@ def _lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return at, table[at] == keys
 
 
-def _batch(keys: np.ndarray, c: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(c.astype(np.int64))], names=["key", "c"])
+def _marks(rows: DataFrame, most: int) -> bytes:
+    """A bit field set at the column ``key`` of ``most`` rows at most; it may tell too many keys, never too few."""
+    bits = min(MARKS, 1 << max(16, most.bit_length()))
+    spot = rows.select(F.col("key").bitwiseAND(F.lit(bits - 1)).alias("h"))
+    found = spot.groupBy(F.shiftright("h", 6).alias("at")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(h & 63 as int)))").alias("bits")
+    ).toArrow()  # bounded by MARKS / 64 rows
+    field = np.zeros(bits // 64, np.int64)
+    field[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+    return field.tobytes()
+
+
+def _marked(field: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    h = keys & (64 * len(field) - 1)
+    return ((field[h >> 6] >> (h & 63)) & 1).astype(bool)
 
 
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -73,126 +126,129 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
             words: Counter = Counter()
             for t in texts:
                 words.update(_tokens(t or ""))
-            yield _batch(
-                np.append(np.fromiter((keys[w] for w in words), np.int64, len(words)), END_KEY),
-                np.append(np.fromiter(words.values(), np.int64, len(words)), len(texts)),
-            )
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.append(np.fromiter((keys[w] for w in words), np.int64, len(words)), END_KEY)),
+                pa.array(np.append(np.fromiter(words.values(), np.int64, len(words)), len(texts))),
+            ], names=["key", "c"])
 
     rows = docs.select(text).mapInArrow(count, "key bigint, c bigint")
     return cut_lineage(rows.groupBy("key").agg(F.sum("c").alias("c")))
 
 
-@dataclass
-class Words:
-    """Frequent words: sorted keys, counts, symbol numbers."""
+def _sequences(docs: DataFrame, marks, length: int, text: str, whole: bool) -> DataFrame:
+    """(key, context, suffix, c) by slice of texts, of what ``marks`` may have: with ``whole`` the sequence, else both its parts."""
 
-    keys: np.ndarray
-    counts: np.ndarray
-    symbols: np.ndarray
-
-    def read(self, tokens: list[list[bytes]], memo: WordKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Start, words and end of every text in a row: keys, symbols, places in the table, whether known there."""
-        flat = [k for own in tokens for k in (-1, *[memo[w] for w in own], END_KEY)]
-        keys = np.array(flat, dtype=np.int64)
-        at, hit = _lookup(self.keys, keys)
-        symbols = np.where(hit, self.symbols[at], RARE) if len(self.keys) else np.full(len(keys), RARE)
-        symbols[keys == -1] = START
-        return keys, symbols, at, hit
+    def count(parts):
+        field, memo = np.frombuffer(marks.value, np.int64), WordKeys()
+        for part in parts:
+            for texts in _slices([t or "" for t in part.column(0).to_pylist()]):
+                keys, place, _ = _read(texts, memo)
+                suffix = keys
+                for k in range(2, length):
+                    suffix = _longer(suffix, keys, k)
+                own = _longer(suffix, keys, length)
+                often = _marked(field, own if whole else suffix)
+                use = np.flatnonzero(often[1:] & (True if whole else often[:-1]) & (place[1:] >= length - 1)) + 1
+                own, at, c = np.unique(own[use], return_index=True, return_counts=True)
+                at = use[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (own, suffix[at - 1], suffix[at], c.astype(np.int64))],
+                    names=["key", "context", "suffix", "c"],
+                )
+
+    return docs.select(text).mapInArrow(count, "key bigint, context bigint, suffix bigint, c bigint")
+
+
+def count_sequences(docs: DataFrame, shorter: DataFrame, length: int, total: int, text: str = "text") -> DataFrame:
+    """(key, context, suffix, c) of the sequences of ``length`` symbols that occur LEAST times.
+
+    ``context`` is the sequence without its last symbol, ``suffix`` the one without its first; only where both
+    are in ``shorter`` can it be frequent enough. Most sequences occur once, so keys are counted alone
+    first, and whole rows move for the marked ones only.
+    """
+    share = docs.sparkSession.sparkContext.broadcast
+    known = share(_marks(shorter, total))
+    parts = _sequences(docs, known, length, text, False)
+    often = share(_marks(parts.groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST), total))
+    known.destroy()
+    rows = _sequences(docs, often, length, text, True).groupBy("key").agg(
+        F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("c").alias("c")
+    )
+    found = cut_lineage(rows.where(F.col("c") >= LEAST))
+    often.destroy()
+    return found
 
 
-def _contexts(symbols: np.ndarray, length: int) -> np.ndarray:
-    """Packed ``length`` symbols before each place, oldest first; -1 where a start, a rare word or the edge is in the way."""
-    out = np.zeros(len(symbols), np.int64)
-    bad = np.zeros(len(symbols), bool)
-    for back in range(1, length + 1):
-        before = np.zeros(len(symbols), np.int64)
-        before[back:] = symbols[:-back] if back < len(symbols) or not len(symbols) else 0
-        bad |= (before == 0) | (before == RARE)
-        if back < length:  # only the oldest symbol may be the start
-            bad |= before == START
-        out |= before << (BITS * (back - 1))
-    return np.where(bad, -1, out)
+def keep_contexts(found: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The kept contexts (key, c, back) of one length, and all sequences (key, c, p, gain) they begin.
 
+    ``found`` are the sequences, ``shorter`` (key, c, p) those of one symbol less, with the probability of the
+    last symbol in the state of the longest kept context. ``gain`` is null where the context is not kept, else
+    log10 of p over the probability by backing off.
+    """
+    sizes = found.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("c").alias("held")).join(
+        shorter.select(F.col("key").alias("context"), F.col("c").alias("n")), "context"
+    ).withColumn("back", 1 - F.col("held") / (F.col("n") + F.col("kinds")))
+    rows = cut_lineage(found.join(sizes, "context").join(
+        shorter.select(F.col("key").alias("suffix"), F.col("p").alias("below")), "suffix"
+    ).drop("suffix"))
+    left = (F.col("c") - 1) / (F.col("n") - 1 + F.col("kinds")) + F.col("back") * F.col("below")
+    gains = rows.groupBy("context", "n", "held", "back").agg(F.sum(F.col("c") * F.log(left / F.col("below"))).alias("sum"))
+    gain = F.col("sum") + (F.col("n") - F.col("held")) * F.log("back")
+    kept = cut_lineage(gains.where((gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * F.col("n"))).select(
+        F.col("context").alias("key"), F.col("n").alias("c"), "back"
+    ))
+    own = F.col("c") / (F.col("n") + F.col("kinds")) + F.col("back") * F.col("below")
+    is_kept = F.col("at").isNotNull()
+    level = cut_lineage(rows.join(kept.select(F.col("key").alias("at")), F.col("context") == F.col("at"), "left").select(
+        "key", "c", F.when(is_kept, own).otherwise(F.col("below")).alias("p"),
+        F.when(is_kept, F.log10(own / (F.col("back") * F.col("below")))).alias("gain"),
+    ))
+    release(rows)
+    return kept, level
 
-def count_successors(docs: DataFrame, words, length: int, allowed, least: int, total: int, text: str = "text") -> DataFrame:
-    """(key, c) by context and next symbol, and of the whole context under symbol 0, where large enough."""
 
-    def count(parts):
-        table, memo = words.value, WordKeys()
-        wanted = allowed.value
-        for part in parts:
-            texts = part.column(0).to_pylist()
-            for i in range(0, len(texts), 1000):
-                _, symbols, _, _ = table.read([_tokens(t or "") for t in texts[i : i + 1000]], memo)
-                context = _contexts(symbols, length)
-                use = (context >= 0) & (symbols != START)
-                if wanted is not None:
-                    use &= _lookup(wanted, context)[1]
-                both = np.concatenate([(context[use] << BITS) | symbols[use], context[use] << BITS])
-                yield _batch(*np.unique(both, return_counts=True))
-
-    rows = docs.select(text).mapInArrow(count, "key bigint, c bigint").groupBy("key").agg(F.sum("c").alias("c"))
-    whole = F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)) == 0
-    enough = F.when(whole, F.col("c") >= least).otherwise(F.col("c") >= max(2.0, JOINT_SHARE * total))
-    return cut_lineage(rows.where(enough))
-
-
-@dataclass
 class SuffixTree:
-    """Root probabilities by symbol; by depth the kept contexts, their back-off weight, and their successors."""
+    """The frequent part of the tree: probabilities and keys by symbol, and by depth sequences with two logs.
+
+    The logs are the back-off weight of a context and the gain of a context with its successor, the other
+    one being 0. ``contexts`` has the kept contexts by depth: symbols of those of one word, else keys.
+    """
+
+    def __init__(self, root: np.ndarray, keys: np.ndarray) -> None:
+        self.root, self.keys = root, keys
+        self.contexts: list[np.ndarray] = []
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
 
-    root: np.ndarray
-    contexts: list[np.ndarray]
-    back: list[np.ndarray]
-    scale: list[np.ndarray]
-    successors: list[np.ndarray]
-    counts: list[np.ndarray]
+    def add_level(self, keys: np.ndarray, c: np.ndarray) -> None:
+        """Sequences of the next depth with their (back, gain)."""
+        order = np.argsort(keys)
+        keys, c = keys[order], c[order]
+        kept = keys[c[:, 0] != 0]
+        self.contexts.append(kept if self.levels else np.flatnonzero(_lookup(kept, self.keys)[1]))
+        self.levels.append((keys, c))
 
     def probabilities(self, symbols: np.ndarray) -> np.ndarray:
-        """Of every symbol in the state of its longest kept context; smoothing goes from the root upwards."""
-        p = self.root[symbols]
-        for d, kept in enumerate(self.contexts):
-            context = _contexts(symbols, d + 1)
-            at, hit = _lookup(kept, context)
-            if not hit.any():
-                continue
-            at, own = at[hit], (context[hit] << BITS) | symbols[hit]
-            place, there = _lookup(self.successors[d], own)
-            c = np.where(there, self.counts[d][place], 0) if len(self.counts[d]) else np.zeros(len(own))
-            p[hit] = c * self.scale[d][at] + self.back[d][at] * p[hit]
+        """Of every symbol in the state of its longest kept context, with what is frequent."""
+        keys = self.keys[symbols]
+        p, before = self.root[symbols], keys
+        for depth, (table, c) in enumerate(self.levels, 1):
+            own = _longer(before, keys, depth + 1)
+            at, hit = _lookup(table, before[:-1])
+            use = hit & (np.arange(1, len(keys)) >= depth)
+            p[1:][use] *= 10 ** c[at[use], 0]
+            at, hit = _lookup(table, own)
+            use = hit & (np.arange(len(keys)) >= depth)
+            p[use] *= 10 ** c[at[use], 1]
+            before = own
         return p
 
-    def add_level(self, keys: np.ndarray, c: np.ndarray) -> np.ndarray:
-        """Tests the contexts of the next depth and keeps those that pass; returns the frequent contexts as grown by one word."""
-        low = (1 << BITS) - 1
-        order = np.argsort(keys)
-        keys, c = keys[order], c[order].astype(float)
-        whole = (keys & low) == 0
-        contexts, n = keys[whole] >> BITS, c[whole]
-        keys, c = keys[~whole], c[~whole]
-        at, hit = _lookup(contexts, keys >> BITS)
-        keys, c, at = keys[hit], c[hit], at[hit]
-        kinds = np.bincount(at, minlength=len(contexts)).astype(float)
-        held = np.bincount(at, c, minlength=len(contexts))
-        back = 1 - held / (n + np.maximum(kinds, 1))
-        # The suffix's probability of each successor, from the levels below.
-        depth = len(self.contexts) + 1
-        path = np.zeros((len(keys), depth + 1), np.int64)
-        for i in range(depth + 1):
-            path[:, depth - i] = (keys >> (BITS * i)) & low
-        path[:, 0] = 0  # the oldest word is not part of the suffix
-        flat = path.ravel() if len(path) else np.zeros(0, np.int64)
-        below = self.probabilities(flat).reshape(-1, depth + 1)[:, -1] if len(flat) else np.zeros(0)
-        left = (c - 1) / (n - 1 + np.maximum(kinds, 1))[at] + back[at] * below
-        gain = np.bincount(at, c * np.log(left / below), minlength=len(contexts)) + (n - held) * np.log(np.maximum(back, 1e-300))
-        keep = (kinds > 0) & (gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * n)
-        self.contexts.append(contexts[keep])
-        self.back.append(back[keep])
-        self.scale.append(1 / (n + np.maximum(kinds, 1))[keep])
-        of_kept = keep[at]
-        self.successors.append(keys[of_kept])
-        self.counts.append(c[of_kept])
-        return keys[((keys & low) > START)], c[((keys & low) > START)]
+    def table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of all depths and the sum of their logs."""
+        if not self.levels:
+            return np.zeros(0, np.int64), np.zeros(0)
+        keys, at = np.unique(np.concatenate([k for k, _ in self.levels]), return_inverse=True)
+        return keys, np.bincount(at, np.concatenate([c.sum(1) for _, c in self.levels]), minlength=len(keys))
 
 
 def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> DataFrame:
@@ -202,78 +258,93 @@ def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> D
     whole text as words and end; the unknown word has the probability of words seen once
     (plus one), which is what unseen words cost, and known words share the rest by count.
     ``base_score`` sums log10((c + 1) / (N + V + 1)) over the tokens. Null and empty texts
-    have the end only. Words of at least HOT_SHARE are looked up in a broadcast table of
-    bounded size, all others by a join; repeated rows are scored alike; with an empty
+    have the end only. Words and sequences of at least HOT_SHARE are looked up in broadcast tables
+    of bounded size, all others by a join; repeated rows are scored alike; with an empty
     training table every token is unknown. Columns called like the new ones are replaced.
     """
-    made = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
-    context = docs.sparkSession.sparkContext
+    with shuffles_freed(docs.sparkSession):
+        scored = _score(docs, train, text, keep)
+    return scored.select("*")  # planned anew, so its own shuffles stay as long as it does
+
+
+def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
+    spark, made = docs.sparkSession, ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    context = spark.sparkContext
     counts = count_words(train, text)
-    n, v, once = counts.agg(
-        F.sum("c"), F.count(F.when(F.col("c") > 0, 1)), F.count(F.when(F.col("c") == 1, 1))
+    n, v, once, ends = counts.agg(
+        F.sum("c"), F.count(F.when(F.col("c") > 0, 1)), F.count(F.when(F.col("c") == 1, 1)), F.max(F.when(F.col("key") == END_KEY, F.col("c")))
     ).first()
-    n = n or 0
-    is_hot = (F.col("c") >= max(1.0, HOT_SHARE * n)) | (F.col("key") == END_KEY)
+    n, ends = n or 0, ends or 0
+    is_hot = (F.col("c") >= max(1.0, HOT_SHARE * n)) | F.col("key").isin(END_KEY, START_KEY)
     hot = counts.where(is_hot).select("key", "c").toArrow()  # bounded by 1 / HOT_SHARE rows
     key, c = hot.column("key").to_numpy(), hot.column("c").to_numpy()
     order = np.argsort(key)
     key, c = key[order], c[order]
-    least = max(2, math.ceil(STATE_SHARE * n))
-    symbols = np.full(len(key), RARE, np.int64)
-    states = np.flatnonzero(c >= least)
-    symbols[states] = np.arange(START + 1, START + 1 + len(states))
-    words = Words(key, c, symbols)
 
     unknown = (once + 1) / (n + 2)
     known = (1 - unknown) / max(1, n)
-    root = np.zeros(START + 1 + len(states))
-    root[START + 1 :] = known * c[states]
-    root[RARE] = max(1e-12, 1 - root.sum())  # unknown and all rarer words
-    tree = SuffixTree(root, [], [], [], [], [])
-    shared_words, allowed = context.broadcast(words), None
-    for length in range(1, DEPTH + 1):
-        found = count_successors(train, shared_words, length, context.broadcast(allowed), least, n, text).toArrow()
-        grown, often = tree.add_level(found.column("key").to_numpy(), found.column("c").to_numpy())
-        allowed = np.sort(grown[often >= least])
-        if not len(allowed):
+    root = np.concatenate([np.zeros(START + 1), known * c])
+    root[RARE] = max(1e-12, 1 - root.sum())  # unknown and all other words
+    tree = SuffixTree(root, np.concatenate([[-3, -2, START_KEY], key]).astype(np.int64))
+    starts = spark.createDataFrame([(START_KEY, ends, None)], "key bigint, c bigint, p double")
+    shorter = counts.where(F.col("c") >= LEAST).select("key", "c", (F.col("c") * F.lit(known)).alias("p")).unionByName(starts)
+    values = starts.where(F.lit(False)).select("key", "c", F.col("p").alias("back"), F.col("p").alias("gain"))
+    for depth in range(1, DEPTH + 1):
+        found = count_sequences(train, shorter, depth + 1, n, text)
+        if not found.limit(1).count():
             break
-    model = context.broadcast((words, tree))
-    log_rare, log_known, log_unknown = math.log10(root[RARE]), math.log10(known), math.log10(unknown)
+        kept, shorter = keep_contexts(found, shorter)
+        release(found)
+        level = kept.select("key", "c", F.log10("back").alias("back"), F.lit(0.0).alias("gain")).unionByName(
+            shorter.where("gain is not null").select("key", "c", F.lit(0.0).alias("back"), "gain")
+        )
+        often = level.where(is_hot).select("key", "back", "gain").toArrow()  # bounded by 2 / HOT_SHARE rows
+        tree.add_level(often.column("key").to_numpy(), np.column_stack([often.column("back").to_numpy(), often.column("gain").to_numpy()]))
+        values = values.unionByName(level)
+    lookups = counts.where(~is_hot).select("key", "c", F.lit(0.0).alias("v")).unionByName(
+        values.where(~is_hot).select("key", F.lit(None).cast("bigint").alias("c"), (F.col("back") + F.col("gain")).alias("v"))
+    )
+    longest = len(tree.levels) + 1
+    model = context.broadcast((key, c, *tree.table(), _marks(lookups, n)))
+    log_known, log_unknown = math.log10(known), math.log10(unknown)
 
     def make():
-        table, own_tree = model.value
-        memo = WordKeys()
-        plus_one = np.log10(table.counts + 1.0)
-        plain = np.log10(np.maximum(table.counts, 1.0))
+        hot_keys, hot_counts, tree_keys, tree_logs, marks = model.value
+        field, memo = np.frombuffer(marks, np.int64), WordKeys()
+        plus_one, plain = np.log10(hot_counts + 1.0), np.log10(np.maximum(hot_counts, 1.0))
 
         def piece(texts):
-            tokens = [_tokens(t) for t in texts]
-            keys, symbols, at, hit = table.read(tokens, memo)
-            sizes = np.array([len(x) + 2 for x in tokens])
-            first = np.cumsum(sizes) - sizes
-            own = keys != -1
-            hit = hit & own
-            if len(table.counts):
-                hit &= table.counts[at] > 0
-            p = np.where(own, own_tree.probabilities(symbols), 1.0)
-            rare = (symbols == RARE) & own
-            gain = np.log10(p) - np.where(rare, log_rare, 0.0)
-            if len(table.counts):
-                gain += np.where(rare & hit, plain[at] + log_known, 0.0)
-            logs = np.where(hit, plus_one[at], 0.0) if len(table.counts) else np.zeros(len(keys))
-            cold = ~hit & own
+            keys, place, first = _read(texts, memo)
+            text_of = np.repeat(np.arange(len(texts)), np.diff(np.append(first, len(keys))))
+            at, hit = _lookup(hot_keys, keys)
+            hit &= place > 0
+            if len(hot_counts):
+                hit &= hot_counts[at] > 0
+            sums = [np.bincount(text_of[hit], x[at[hit]], minlength=len(texts)) for x in (plus_one, plain)]
+            tree_sum = np.zeros(len(texts))
+            own, asked = keys, []
+            for length in range(1, longest + 1):
+                if length > 1:
+                    own = _longer(own, keys, length)
+                there = np.flatnonzero(place >= length - 1)
+                at, found = _lookup(tree_keys, own[there])
+                tree_sum += np.bincount(text_of[there[found]], tree_logs[at[found]] if len(tree_logs) else None, minlength=len(texts))
+                cold = there[_marked(field, own[there])]
+                asked.append((text_of[cold], own[cold]))
+            which, wanted = (np.concatenate(x) for x in zip(*asked))
             return (
-                (sizes - 1).tolist(), np.add.reduceat(hit, first, dtype=np.int64).tolist(),
-                np.add.reduceat(logs, first).tolist(), [k[m].tolist() for k, m in zip(np.split(keys, first[1:]), np.split(cold, first[1:]))],
-                np.add.reduceat(gain, first).tolist(),
+                np.diff(np.append(first, len(keys))) - 1, np.bincount(text_of[hit], minlength=len(texts)), *sums, tree_sum,
+                np.bincount(which, minlength=len(texts)), wanted[np.argsort(which, kind="stable")],
             )
 
         def mapper(texts):
-            out = [[] for _ in range(5)]
-            for i in range(0, len(texts), 500):
-                for all_of, part in zip(out, piece(texts[i : i + 500])):
-                    all_of += part
-            return out
+            pieces = [piece(x) for x in _slices(texts)]
+            if not pieces:
+                return [[] for _ in range(5)]
+            sizes, hits, logs, plains, trees, asked, wanted = (np.concatenate(x) for x in zip(*pieces))
+            ends = pa.array(np.concatenate([[0], np.cumsum(asked)]).astype(np.int32))
+            cold = pa.ListArray.from_arrays(ends, pa.array(wanted)).cast(pa.list_(pa.field("element", pa.int64())))
+            return sizes, hits, logs, cold, plains + hits * log_known + trees
 
         return mapper
 
@@ -284,10 +355,12 @@ def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> D
         [f"__c{i}" for i in range(len(names))],
     )
     read = cut_lineage(read.withColumn("row", F.monotonically_increasing_id()))  # fixed once written
+    model.destroy()
     cold = read.select("row", F.explode("cold").alias("word")).join(
-        counts.where(~is_hot).select(F.col("key").alias("word"), "c"), "word"
+        lookups.withColumnRenamed("key", "word"), "word"
     ).groupBy(F.col("row").alias("at")).agg(
-        F.count("*").alias("more"), F.sum(F.log10(F.col("c") + 1.0)).alias("extra"), F.sum(F.log10("c")).alias("plain")
+        F.count("c").alias("more"), F.sum(F.log10(F.col("c") + 1.0)).alias("extra"),
+        F.sum(F.coalesce(F.log10("c"), F.lit(0.0)) + F.col("v")).alias("rest"),
     )
     joined = read.drop("cold").join(cold, F.col("row") == F.col("at"), "left")
     more, unseen = F.coalesce("more", F.lit(0)), F.col("tokens") - F.col("known") - F.coalesce("more", F.lit(0))
@@ -295,5 +368,5 @@ def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> D
         *[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)],
         F.col("tokens").alias("n_tokens"), (F.col("known") + more).alias("n_known"), F.lit(n).cast("bigint").alias("train_tokens"),
         (F.col("logs") + F.coalesce("extra", F.lit(0.0)) - F.col("tokens") * F.lit(math.log10(n + v + 1))).alias("base_score"),
-        (F.col("tree") + F.coalesce("plain", F.lit(0.0)) + more * F.lit(log_known) + unseen * F.lit(log_unknown)).alias("score"),
+        (F.col("tree") + F.coalesce("rest", F.lit(0.0)) + more * F.lit(log_known) + unseen * F.lit(log_unknown)).alias("score"),
     )

@@ -8,6 +8,7 @@ import re
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,3 +65,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def release(df: DataFrame) -> None:
+    """Deletes a table of ``cut_lineage`` that no later step reads."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Shuffle files of each step inside go when the step ends, for steps that write or collect what they make."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -222,6 +222,31 @@ def test_suffix_tree_is_a_distribution_and_learns_order(docs, monkeypatch):
     assert len(odd) == len(ODD) and all(math.isfinite(r.score) and r.train_tokens == 0 for r in odd)
 
 
+def test_rare_passages_are_learned_at_any_size(docs, monkeypatch):
+    """A passage in few of many texts, and every lookup by a join: nothing is cut by its share of the corpus."""
+    rng = random.Random(4)
+    passage = [f"p{i}" for i in range(50)]
+    fill = lambda: [f"f{min(int(rng.paretovariate(0.6)), 5000)}" for _ in range(400)]
+    rows = [(i, " ".join(fill() + (passage if i % 200 == 0 else []))) for i in range(600)]
+    table, probe = docs(rows), docs([(1000, " ".join(passage)), (1001, " ".join(rng.sample(passage, 50)))])
+    scores = []
+    for share in (1e-6, 2.0):
+        monkeypatch.setattr(language_model, "HOT_SHARE", share)
+        out = {r.doc_id: r for r in language_model.score(probe, table).collect()}
+        scores.append([out[i].score for i in (1000, 1001)])
+    assert scores[0] == pytest.approx(scores[1])
+    # Three occurrences are about 1.2e-5 of the corpus; in order the words cost a fraction of a digit each.
+    assert scores[0][0] / 51 > -0.5 and scores[0][1] / 51 < -2
+
+
+def test_longer_contexts_decide(docs):
+    """Which word follows is told by the word four places before; the three in between are always the same."""
+    rng = random.Random(5)
+    rows = [(i, " ".join(w for _ in range(20) for w in (*rng.choice([("a", "x", "y", "z", "b"), ("c", "x", "y", "z", "d")]),))) for i in range(60)]
+    out = {r.doc_id: r.score for r in language_model.score(docs([(1, "a x y z b"), (2, "a x y z d")]), docs(rows)).collect()}
+    assert out[1] - out[2] > 1.5
+
+
 def test_pipeline_stages_against_brute_force(spark):
     con = duckdb.connect()
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

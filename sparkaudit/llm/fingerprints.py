@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SIZE = 24
+SIZE = 32
 _LOW = (1 << 31) - 1
 _WORDS = r"[ \t\n\r\f\x0b]+"
 

@@ -182,6 +182,12 @@ def test_fingerprints_odd_rows(docs):
     assert fingerprints.fingerprints(docs(ODD), chunks=3).count() == len(ODD)
 
 
+def test_fingerprints_have_enough_samples(docs):
+    """At 32 samples or more the standard error of a likeness is below 0.09."""
+    row = fingerprints.fingerprints(docs([(1, "a b c"), (2, "d e f")])).first()
+    assert len(row.fingerprint) >= 32 * 8 and len(row.edited_fingerprint) == len(row.fingerprint)
+
+
 def test_base_scores_and_held_out_gain(spark):
     held = lambda key: zlib.crc32(str(key).encode()) % 7 == 2
     rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()

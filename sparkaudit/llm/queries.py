@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontamination, fingerprints, language_model, neardup, pii, quality, secrets, sharding, toxicity
+from . import (
+    bpe, decontamination, fingerprints, language_model, merkle, neardup, pieces, pii, quality, runs, secrets, sharding, toxicity,
+)
+from .batches import cut
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -199,3 +204,125 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): where crc32(doc_id) ends in 0, the words from a hashed one on repeat with a hashed period.
+
+    Rows without doc_id stay as they are.
+    """
+
+    def plant(key: int | None, text: str | None) -> str | None:
+        h = zlib.crc32(str(key).encode()) if key is not None else 1
+        if h % 10 or not text or not (words := text.encode("utf-8", "surrogatepass").split()):
+            return text
+        g, n = h // 10, len(words)
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        period = words[a : a + p]
+        repeats = -(-(n - a) // p)
+        return b" ".join(words[:a] + (period * repeats)[: n - a]).decode("utf-8", "surrogatepass")
+
+    def run(parts):
+        for whole in parts:
+            for part in cut(whole, 1, runs.SLICE_BYTES):
+                keys, texts = part.column(0), part.column(1).to_pylist()
+                made = pa.array([plant(k, t) for k, t in zip(keys.to_pylist(), texts)], pa.string())
+                yield pa.RecordBatch.from_arrays([keys, made], names=["doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, docs.select("doc_id", "text").schema)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")), 24, 3, keep=["doc_id"])
+    greater = "r.length * best.period > best.length * r.period"
+    best = F.expr(f"aggregate(runs, runs[0], (best, r) -> if({greater}, r, best))")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    listed = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise(F.lit(""))
+    return found.withColumn("best", F.when(F.size("runs") > 0, best)).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        digest(listed).alias("runs_sha256"), digest(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+@query("op12_chunk_table_pieces")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_texts(table(spark, folder, "documents"), path, keep=["doc_id"])
+    decoded = pieces.decode_ids(encoded, path)
+    listed = F.array_join(F.col("token_ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", "n_tokens", digest(listed).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256")
+    )
+
+
+#: Levels and proofs by recursion: three neighbours a node, then the path of each row with its own node replaced.
+OP13_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT 0 AS k, i AS b, i AS c FROM range(256) r(i)
+  UNION ALL
+  SELECT k + 1, b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM bits WHERE k = 8),
+shown AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree,
+    coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+      || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS head,
+    text, replace(text, chr(10), '') AS cut,
+    xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(CAST(doc_id AS VARCHAR))), '..'),
+      lambda x: CAST('0x' || x AS BIGINT))), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM documents, crc),
+hashed AS (
+  SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+    CASE WHEN h % 2 = 0 THEN sha256(head || coalesce(strlen(cut) || ':' || cut, '-'))
+      ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS claimed
+  FROM shown),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claimed) - 1 AS idx,
+    count(*) OVER (PARTITION BY tree) AS n FROM hashed),
+nodes AS (
+  SELECT tree, 0 AS level, idx, n, leaf AS h FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM nodes WHERE n > 1
+  GROUP BY tree, level, idx // 3, n),
+tops AS (
+  SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, idx, n, h FROM tops
+  UNION ALL
+  SELECT level + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx)) FROM upper WHERE n > 1
+  GROUP BY level, idx // 3, n),
+up AS (
+  SELECT tree, idx AS spot, 0 AS level, idx, n, claimed AS f, '' AS siblings FROM leaves
+  UNION ALL
+  SELECT p.tree, p.spot, p.level + 1, p.idx // 3, (p.n + 2) // 3,
+    sha256(string_agg(CASE WHEN m.idx = p.idx THEN p.f ELSE m.h END, '' ORDER BY m.idx)),
+    p.siblings || coalesce(string_agg(m.h, '' ORDER BY m.idx) FILTER (m.idx <> p.idx), '')
+  FROM up p JOIN nodes m ON m.tree = p.tree AND m.level = p.level AND m.idx // 3 = p.idx // 3 WHERE p.n > 1
+  GROUP BY p.tree, p.spot, p.level, p.idx, p.n, p.f, p.siblings),
+across AS (
+  SELECT up.tree, spot, 0 AS level, tops.idx, tops.n, f, siblings, tops.h AS subroot FROM up JOIN tops USING (tree) WHERE up.n = 1
+  UNION ALL
+  SELECT p.tree, p.spot, p.level + 1, p.idx // 3, (p.n + 2) // 3,
+    sha256(string_agg(CASE WHEN m.idx = p.idx THEN p.f ELSE m.h END, '' ORDER BY m.idx)),
+    p.siblings || coalesce(string_agg(m.h, '' ORDER BY m.idx) FILTER (m.idx <> p.idx), ''), p.subroot
+  FROM across p JOIN upper m ON m.level = p.level AND m.idx // 3 = p.idx // 3 WHERE p.n > 1
+  GROUP BY p.tree, p.spot, p.level, p.idx, p.n, p.f, p.siblings, p.subroot),
+root AS (SELECT h AS root FROM upper WHERE n = 1)
+SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256, f AS folded_root, f = root AS verified
+FROM across JOIN leaves ON leaves.tree = across.tree AND leaves.idx = across.spot, root WHERE across.n = 1
+"""
+
+
+@query("op13_octopus_manifest", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    odd = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 != 0, F.lit(True))
+    seen = F.when(odd, F.col("text")).otherwise(F.replace("text", F.lit("\n"), F.lit("")))
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    claimed = merkle.row_hash([*[F.col(c) for c in columns[:-1]], seen])
+    proven = merkle.prove(merkle.build(docs, columns, claimed=claimed))
+    return proven.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .batches import add_columns
 from .samples import labelled
 
-WORD_BITS, SHAPE_BITS, MEMO = 17, 12, 400_000
+WORD_BITS, SHAPE_BITS, MEMO, SLICE_BYTES = 17, 12, 200_000, 1_000_000
 _SIZE = (1 << WORD_BITS) + (1 << SHAPE_BITS) + 1  # the last one: the same word again
 _CLASS = bytes(
     97 if 97 <= c <= 122 or c >= 128 else 65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256)
@@ -41,12 +41,10 @@ class Codes(dict):
 
 def features(texts: list[str], codes: Codes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, document, weight) triples; a document's weights of each family sum to at most 1."""
-    flat, counts = [], []
-    for text in texts:
-        own = [codes[w] for w in text.encode("utf-8", "surrogatepass").split()]
-        flat += own
-        counts.append(len(own))
-    code, n = np.array(flat, dtype=np.int64), np.array(counts, dtype=np.int64)
+    found = [
+        np.fromiter((codes[w] for w in text.encode("utf-8", "surrogatepass").split()), np.int64) for text in texts
+    ]
+    code, n = np.concatenate([*found, np.zeros(0, np.int64)]), np.array([len(c) for c in found], dtype=np.int64)
     doc = np.repeat(np.arange(len(texts)), n)
     same = np.flatnonzero((code[1:] == code[:-1]) & (doc[1:] == doc[:-1])) + 1 if len(code) else code
     index = np.concatenate([
@@ -149,7 +147,7 @@ def grade(docs: DataFrame, model: OrdinalModel, text: str = "text", keep=None) -
 
         return mapper
 
-    return add_columns(docs, make, "expected_grade double, tail_probability double", text, keep)
+    return add_columns(docs, make, "expected_grade double, tail_probability double", text, keep, SLICE_BYTES)
 
 
 def select(docs: DataFrame, model: OrdinalModel, least: float = 0.5, text: str = "text") -> DataFrame:

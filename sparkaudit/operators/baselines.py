@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
-from ..functions.quantiles import quantile_columns
 from ..session import cut_lineage
+from .infold import train_quantiles
 
 SPLIT = ("seed", "fold")
 
@@ -117,15 +117,9 @@ def predict_mean(folds: DataFrame, target: str, split: Sequence[str] = SPLIT) ->
 
 
 def predict_median(folds: DataFrame, target: str, split: Sequence[str] = SPLIT) -> DataFrame:
-    """Median of the training target, exact. Rows are repeated per foreign fold as
-    (value, count) pairs only, not as full rows."""
-    *group, fold = split
-    counts = cut_lineage(folds.groupBy(*split, target).agg(F.count("*").alias("n")))  # read three times
-    all_folds = counts.select(*group, fold).distinct().withColumnRenamed(fold, "split")
-    pairs = _pairs(counts, F.broadcast(all_folds), group)
-    train = pairs.where(F.col(fold) != F.col("split")).groupBy(*group, "split", target).agg(F.sum("n").alias("n"))
-    med = quantile_columns(train, [target], [0.5], [*group, "split"], weight="n")
-    fitted = med.select(*group, F.col("split").alias(fold), F.col("q")[0].alias("pred"))
+    """Median of the training target, exact, from counters per training set."""
+    found = train_quantiles(cut_lineage(folds.select(*split, target)), [target], [0.5], split)
+    fitted = found.select(*split, F.col("value").alias("pred"))
     return folds.join(F.broadcast(fitted), list(split)).withColumn("prob", F.lit(None).cast("double"))
 
 

@@ -9,13 +9,14 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from . import infold
 from .features import encode_category
 
 
@@ -48,17 +49,17 @@ def get_estimator(
     return RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, **common)
 
 
-def preprocessing(numeric: Sequence[str], text: Sequence[str], scale: bool = True) -> list:
-    """Stages fitted on training rows only: impute, scale, one-hot (unknown levels kept apart)."""
+def preprocessing(numeric: Sequence[str], text: Sequence[str]) -> list:
+    """Stages behind ``infold.apply``: one-hot (unknown levels kept apart) and one vector.
+
+    Filling and scaling are exact statistics of the training rows and come before, so the
+    stages learn nothing but the levels.
+    """
     stages = []
     parts = []
     if numeric:
-        filled = [f"{c}__f" for c in numeric]
-        stages.append(Imputer(strategy="median", inputCols=list(numeric), outputCols=filled, relativeError=0.001))
-        stages.append(VectorAssembler(inputCols=filled, outputCol="__num"))
-        if scale:
-            stages.append(StandardScaler(inputCol="__num", outputCol="__scaled", withMean=True, withStd=True))
-        parts.append("__scaled" if scale else "__num")
+        stages.append(VectorAssembler(inputCols=list(numeric), outputCol="__num", handleInvalid="keep"))
+        parts.append("__num")
     if text:
         coded = [f"{c}__i" for c in text]
         hot = [f"{c}__h" for c in text]
@@ -78,8 +79,16 @@ def feature_names(df: DataFrame, column: str = "features") -> list[str]:
     return [n for _, n in slots]
 
 
+def prepared(df: DataFrame, numeric: Sequence[str], text: Sequence[str], scale: bool = True) -> DataFrame:
+    """All rows filled and scaled by their own median, mode, mean and population spread."""
+    whole = df.select(F.lit(0).alias("__all"), *numeric, *text)
+    learned = infold.fit(whole, numeric, text, ["__all"], lambda test, own: True).collect()  # one row per column
+    return infold.apply(df, [r.asDict() for r in learned], numeric, text, scale)
+
+
 def assemble(df: DataFrame, numeric: Sequence[str], text: Sequence[str], scale: bool = True) -> DataFrame:
-    return Pipeline(stages=preprocessing(numeric, text, scale)).fit(df).transform(df)
+    ready = prepared(df, numeric, text, scale)
+    return Pipeline(stages=preprocessing(numeric, text)).fit(ready).transform(ready)
 
 
 def _label_moments() -> list:
@@ -112,6 +121,9 @@ def out_of_fold(
     # written once: every fit and every prediction reads it
     data = cut_lineage(coded.select("seed", "fold", key, *numeric, *text, F.col(target).cast("double").alias("label")))
     moments = data.groupBy("seed", "fold").agg(*_label_moments()).collect()  # seeds x folds rows
+    learned: dict[tuple, list] = {}
+    for r in infold.fit(data, numeric, text).collect():  # seeds x folds x columns rows
+        learned.setdefault((r["seed"], r["fold"]), []).append(r.asDict())
 
     def one(split: tuple[int, int]) -> DataFrame:
         seed, fold = split
@@ -119,8 +131,9 @@ def out_of_fold(
         n, std = _size_and_spread([m for m in moments if m["seed"] == seed and m["fold"] != fold])
         estimator = get_estimator(model, task, seed, trees, depth, n_rows=n, label_std=std)
         stages = [*preprocessing(numeric, text), estimator]
-        fitted = Pipeline(stages=stages).fit(rows.where(F.col("fold") != fold))
-        out = fitted.transform(rows.where(F.col("fold") == fold))
+        ready = infold.apply(rows, learned.get(split, []), numeric, text)
+        fitted = Pipeline(stages=stages).fit(ready.where(F.col("fold") != fold))
+        out = fitted.transform(ready.where(F.col("fold") == fold))
         prob = F.lit(None).cast("double")
         if "probability" in out.columns:
             probs = vector_to_array("probability")
@@ -175,7 +188,7 @@ def fit(df: DataFrame, numeric: Sequence[str], text: Sequence[str], label: str,
     data = df.withColumn("label", F.col(label).cast("double"))
     n, std = _size_and_spread(data.agg(*_label_moments()).collect())
     estimator = get_estimator(model, task, 42, trees, depth, n_rows=n, label_std=std)
-    return Pipeline(stages=preprocessing(numeric, text) + [estimator]).fit(data)
+    return Pipeline(stages=preprocessing(numeric, text) + [estimator]).fit(prepared(data, numeric, text))
 
 
 def top_importances(df: DataFrame, fitted: PipelineModel, k: int = 8) -> DataFrame:

@@ -13,21 +13,43 @@ NUM, TXT = ["n_chars", "junk_share", "toxic"], ["lang", "source"]
 ONE_SEED_SPLITS = [(42, fold) for fold in range(5)]
 
 
-@query("f4_one_hot")
+def _levels(column: str) -> str:
+    return f"(SELECT list(DISTINCT {column} ORDER BY {column}) FROM v_quality WHERE {column} IS NOT NULL)"
+
+
+def _hot(column: str) -> str:
+    """0 / 1 per level in order, then the slot of unknown levels."""
+    return f"list_concat(list_transform({_levels(column)}, lambda x: (x = {column})::INT::DOUBLE), [0.0::DOUBLE])"
+
+
+def _slots(column: str) -> str:
+    return f"""SELECT unnest({_levels(column)}) AS x, '{column}' AS c UNION ALL SELECT '__unknown', '{column}'"""
+
+
+#: Mean of each slot: scaled numbers centre at 0, levels have their share, the unknown slot is empty.
+F5_SQL = f"""
+SELECT (row_number() OVER (ORDER BY part, x = '__unknown', x) - 1)::INT AS slot, feature, mean FROM (
+  SELECT part, '' AS x, '__num_' || ['n_chars', 'junk_share', 'toxic'][part] AS feature, 0.0::DOUBLE AS mean FROM range(1, 4) r(part)
+  UNION ALL SELECT 4, x, 'lang__h_' || x, round((SELECT avg((lang = x)::INT) FROM v_quality), 9) FROM ({_slots("lang")})
+  UNION ALL SELECT 5, x, 'source__h_' || x, round((SELECT avg((source = x)::INT) FROM v_quality), 9) FROM ({_slots("source")}))"""
+
+
+@query("f4_one_hot", f"SELECT doc_id, list_concat({_hot('lang')}, {_hot('source')}) AS features FROM v_quality", views="v_quality")
 def f4(spark, sf):
     df = v.quality(spark, sf)
     out = models.assemble(df, [], ["lang", "source"])
     return out.select("doc_id", models.vector_to_array("features").alias("features"))
 
 
-@query("f5_assemble")
+@query("f5_assemble", F5_SQL, views="v_quality")
 def f5(spark, sf):
     """Slot names of the assembled vector with the mean of each slot."""
     out = models.assemble(v.quality(spark, sf), NUM, TXT)
     names = models.feature_names(out)
     slots = out.select(F.posexplode(models.vector_to_array("features")).alias("slot", "x"))
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("slot") + 1)
-    return slots.groupBy("slot").agg(F.avg("x").alias("mean")).withColumn("feature", label)
+    mean = F.round(F.avg("x"), 9) + F.lit(0.0)  # no negative zero
+    return slots.groupBy("slot").agg(mean.alias("mean")).withColumn("feature", label)
 
 
 def _oof(spark, sf, model, label="quality", task="classification", trees=10, depth=4):

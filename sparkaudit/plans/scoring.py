@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import baselines, features, folds, iteration, linear, metrics
+from ..operators import baselines, features, folds, infold, iteration, linear, metrics
 from ..operators.profile import class_shares
+from ..session import cut_lineage
 from ..sources import notes
 from ..sources.tables import read_table
 from . import views as v
@@ -52,6 +53,54 @@ def f3(spark, sf):
     return out.select("o_orderkey", F.round("z", 6).alias("z"), F.round("c", 6).alias("c"))
 
 
+# training sets of each split: all rows of the seed but those of the fold
+TRAIN = """(SELECT s.seed, s.fold, q.lang, q.source, q.quality, q.n_chars FROM (SELECT DISTINCT seed, fold FROM v_partly_folds) s
+    JOIN v_partly_folds q ON q.seed = s.seed AND q.fold <> s.fold)"""
+INFOLD_NUM, INFOLD_TXT = ["quality", "n_chars"], ["lang", "source"]
+
+
+@query(
+    "f1_infold_median",
+    " UNION ALL ".join(
+        f"SELECT seed, fold, '{c}' AS \"column\", quantile_cont({c}, 0.5)::DOUBLE AS median FROM {TRAIN} GROUP BY ALL" for c in INFOLD_NUM
+    ),
+    views="v_partly_folds",
+)
+def f1_infold(spark, sf):
+    f = cut_lineage(v.partly_labelled_folds(spark, sf).select("seed", "fold", *INFOLD_NUM))
+    found = infold.train_quantiles(f, INFOLD_NUM, [0.5])
+    return found.select("seed", "fold", "column", F.col("value").alias("median"))
+
+
+@query(
+    "f2_infold_mode",
+    " UNION ALL ".join(
+        f"""SELECT seed, fold, '{c}' AS "column", max_by(v, (n, -k)) AS mode FROM (
+              SELECT seed, fold, v, n, row_number() OVER (PARTITION BY seed, fold ORDER BY v) AS k
+              FROM (SELECT seed, fold, {c} AS v, count(*) AS n FROM {TRAIN} WHERE {c} IS NOT NULL GROUP BY ALL)) GROUP BY seed, fold""" for c in INFOLD_TXT
+    ),
+    views="v_partly_folds",
+)
+def f2_infold(spark, sf):
+    f = cut_lineage(v.partly_labelled_folds(spark, sf).select("seed", "fold", *INFOLD_TXT))
+    return infold.train_modes(f, INFOLD_TXT)
+
+
+@query(
+    "f3_infold_scale",
+    " UNION ALL ".join(
+        f"""SELECT seed, fold, '{c}' AS "column", any_value(m)::DOUBLE AS fill, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS spread
+            FROM (SELECT seed, fold, m, coalesce({c}, m)::DOUBLE AS x FROM {TRAIN}
+                  JOIN (SELECT seed, fold, quantile_cont({c}, 0.5) AS m FROM {TRAIN} GROUP BY ALL) USING (seed, fold)) GROUP BY seed, fold""" for c in INFOLD_NUM
+    ),
+    views="v_partly_folds",
+)
+def f3_infold(spark, sf):
+    """Fill value, and mean and population spread of the filled training rows, for each split and column."""
+    learned = infold.fit(v.partly_labelled_folds(spark, sf), INFOLD_NUM)
+    return learned.select("seed", "fold", "column", "fill", F.round("mean", 6).alias("mean"), F.round("spread", 6).alias("spread"))
+
+
 @query(
     "f6_prepare_whole",
     """SELECT doc_id, coalesce(quality, q)::DOUBLE AS quality, code AS lang

@@ -213,6 +213,11 @@ def quality_folds(spark: SparkSession, sf: str) -> DataFrame:
     return seeded_folds(quality(spark, sf), "doc_id", "quality", 5, SEEDS)
 
 
+def partly_labelled_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Shuffled folds of all documents; labels are missing for most."""
+    return seeded_folds(partly_labelled(spark, sf), "doc_id", None, 5, SEEDS)
+
+
 def quality_one_seed(spark: SparkSession, sf: str) -> DataFrame:
     return stratified_kfold(quality(spark, sf), "quality", "doc_id", 5, 42).withColumn("seed", F.lit(42))
 
@@ -274,6 +279,10 @@ VIEW_SQL = {
         SELECT *, ((row_number() OVER (PARTITION BY seed, quality
                    ORDER BY {h32("concat_ws(':', seed, doc_id)")}, doc_id) - 1) % 5)::INT AS fold
         FROM v_quality, (SELECT unnest([0, 1, 7, 42, 123]) AS seed)""",
+    "v_partly_folds": f"""
+        SELECT *, ((row_number() OVER (PARTITION BY seed
+                   ORDER BY {h32("concat_ws(':', seed, doc_id)")}, doc_id) - 1) % 5)::INT AS fold
+        FROM v_missing, (SELECT unnest([0, 1, 7, 42, 123]) AS seed)""",
     "v_fold42": f"""
         SELECT *, 42 AS seed, ((row_number() OVER (PARTITION BY quality
                    ORDER BY {h32("concat_ws(':', 42, doc_id)")}, doc_id) - 1) % 5)::INT AS fold
@@ -284,6 +293,7 @@ _NEEDS = {
     "v_printed": ["v_cells"],
     "v_log": ["v_runs"],
     "v_folds": ["v_quality"],
+    "v_partly_folds": ["v_missing"],
     "v_fold42": ["v_quality"],
 }
 

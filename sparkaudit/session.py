@@ -53,18 +53,23 @@ def _local_root() -> str:
     return root
 
 
+def write_work(df: DataFrame, by: str | None = None) -> str:
+    """The rows written once in the shared folder, in a folder for each value of ``by`` if given; it goes when the driver ends."""
+    spark = df.sparkSession
+    folder = work_folder(spark, "table")
+    (df.write.partitionBy(by) if by else df.write).parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """The rows as a table written once in the shared folder.
 
     For tables that many steps read: later plans start from the files, which outlive any
     executor. The folder goes when the driver ends.
     """
-    spark = df.sparkSession
-    folder = work_folder(spark, "table")
-    df.write.parquet(folder)
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(write_work(df))
 
 
 def release(df: DataFrame) -> None:

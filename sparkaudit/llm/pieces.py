@@ -5,14 +5,17 @@ crosses from one marked word to the next. Texts are therefore cut into chunks (m
 and what follows them), the distinct chunks of all texts form one table, each is segmented
 once, and the ids go back to the places of their chunk.
 
-Between the shuffles, chunks travel once per batch of texts: a text is a list of numbers
-into its batch's own list of chunks.
+Texts are cut in batches. A batch lists its distinct chunks once, by bucket of their hash,
+and each text becomes numbers into that list. All lists of a bucket meet in one task, where every
+distinct chunk is segmented once; each list goes back to its batch as ids in the same order.
+Lists, numbers and ids travel compressed.
 """
 
 from __future__ import annotations
 
 import codecs
 import re
+import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -21,18 +24,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from ..session import cut_lineage
+from ..session import cut_lineage, release, shuffles_freed, write_work
 from .batches import cut, ddl, without
 
 MARK = "▁"
-BATCH_BYTES = 1_500_000
+BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 4_000_000, 500_000, 16_000_000, 4096, 2_000_000
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -140,49 +143,124 @@ class _Codes(dict):
         return n
 
 
-def _as_batches(docs: DataFrame, path: str, text: str, kept: list[str]) -> DataFrame:
-    """Rows (batch, code, chunk) of each batch's distinct chunks, and rows (batch, codes, kept columns) of its texts."""
+def _packed_codes(codes: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, the low bytes of all first, compressed."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(level=3).compress(planes.tobytes())
+
+
+def _unpacked_codes(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
+
+
+class _Batch:
+    """Texts of one batch: slices of kept rows with their codes, and the distinct chunks."""
+
+    def __init__(self):
+        self.numbers, self.slices, self.size = _Codes(), [], 0
+
+    def add(self, model: Pieces, kept: pa.Array, texts: list) -> None:
+        numbers = self.numbers
+        found = [[numbers[c] for c in model.chunks(t)] if t else [] for t in texts]
+        sizes = np.array([len(f) for f in found], np.int32)
+        self.slices.append((kept, sizes, np.array([c for f in found for c in f], np.int64)))
+
+    def rows(self, buckets: int):
+        """(kind, bucket, n, data, sizes, kept): a list of chunks for each bucket, then the slices; codes follow the order of the lists."""
+        chunks = list(self.numbers)
+        own = np.array([zlib.crc32(c.encode("utf-8", "surrogatepass")) % buckets for c in chunks], np.int64)
+        order = sorted(range(len(chunks)), key=lambda i: (own[i], chunks[i]))
+        place = np.empty(len(chunks), np.int64)
+        place[order] = np.arange(len(chunks))
+        press = zstandard.ZstdCompressor(level=3)
+        edges = np.flatnonzero(np.diff(own[order], prepend=-1, append=-1)) if chunks else []
+        for a, b in zip(edges, edges[1:]):
+            text = "".join([_entry(chunks[i]) for i in order[a:b]])
+            yield 0, int(own[order[a]]), int(b - a), press.compress(text.encode("utf-8", "surrogatepass")), None, None
+        for kept, sizes, codes in self.slices:
+            yield 1, buckets, len(sizes), _packed_codes(place[codes]) if len(codes) else b"", sizes, kept
+
+
+def _entry(chunk: str) -> str:
+    """A chunk inside a list: its one marker and the rest, or behind a marker and a null its markers as spaces."""
+    plain = chunk.count(MARK) == 1 and not chunk.startswith(MARK + "\0")
+    return chunk if plain else MARK + "\0" + chunk.replace(MARK, " ")
+
+
+def _listed(data: bytes) -> list[str]:
+    """Chunks of a list of entries."""
+    parts = zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass").split(MARK)[1:]
+    return [part[1:].replace(" ", MARK) if part.startswith("\0") else MARK + part for part in parts]
+
+
+def _as_batches(docs: DataFrame, path: str, text: str, kept: list[str], buckets: int, batch_bytes: int) -> DataFrame:
     source = docs.select(F.struct(*[docs[c] for c in kept]).alias("__kept"), docs[text].alias("__text"))
-    schema = StructType([*ddl("batch bigint, code int, chunk string, codes array<int>").fields, StructField("__kept", source.schema["__kept"].dataType)])
+    row = source.schema["__kept"].dataType
+    schema = StructType([
+        *ddl("kind int, batch bigint, bucket int, n int, data binary, sizes array<int>").fields,
+        StructField("kept", ArrayType(row)),
+    ])
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(parts):
-        model, made = pieces(path), 0
-        task = TaskContext.get().partitionId() << 32
-        for whole in parts:
-            for part in cut(whole, 1, BATCH_BYTES):
-                numbers = _Codes()
-                codes = [[numbers[c] for c in model.chunks(t)] if t else [] for t in part.column(1).to_pylist()]
-                batch, made, n = task + made, made + 1, len(numbers)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(n, batch)), pa.array(np.arange(n, dtype=np.int32)), pa.array(list(numbers), pa.string()),
-                    pa.nulls(n, kinds[3]), pa.nulls(n, kinds[4]),
-                ], names=schema.names)
-                rows = part.num_rows
+        model, batch, made = pieces(path), _Batch(), TaskContext.get().partitionId() << 32
+
+        def flushed():
+            for kind, bucket, n, data, sizes, rows in batch.rows(buckets):
+                lists = pa.nulls(1, kinds[6]) if rows is None else pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows).cast(kinds[6])
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(rows, batch)), pa.nulls(rows, kinds[1]), pa.nulls(rows, kinds[2]),
-                    pa.array(codes, kinds[3]), part.column(0),
+                    pa.array([kind], kinds[0]), pa.array([made], kinds[1]), pa.array([bucket], kinds[2]), pa.array([n], kinds[3]),
+                    pa.array([data], kinds[4]), pa.array([None if sizes is None else sizes], kinds[5]), lists,
                 ], names=schema.names)
 
+        for whole in parts:
+            for part in cut(whole, 1, min(SLICE_BYTES, batch_bytes)):
+                texts = part.column(1).to_pylist()
+                batch.add(model, part.column(0), texts)
+                batch.size += sum(len(t or "") for t in texts)
+                if batch.size >= batch_bytes:
+                    yield from flushed()
+                    batch, made = _Batch(), made + 1
+        if batch.slices:
+            yield from flushed()
+
     return source.mapInArrow(run, schema)
 
 
-def _segmented(chunks: DataFrame, path: str) -> DataFrame:
-    """(chunk, ids) of distinct chunks."""
+def _segmented(lists: DataFrame, path: str, buckets: int) -> DataFrame:
+    """(batch, bucket, data): the ids of each list, every distinct chunk of a bucket segmented once."""
 
     def run(parts):
-        model = pieces(path)
+        model, at, known = pieces(path), None, {}
+        press = zstandard.ZstdCompressor(level=3)
         for part in parts:
-            ids = pa.array([model.segment(c) for c in part.column(0).to_pylist()], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), ids], names=["chunk", "ids"])
+            out = []
+            for bucket, data in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                if bucket != at or len(known) > MEMO:
+                    at, known = bucket, {}
+                chunks = _listed(data)
+                for c in chunks:
+                    if c not in known:
+                        known[c] = np.array(model.segment(c), "<u4")
+                sizes = np.array([len(known[c]) for c in chunks], "<u4")
+                ids = np.concatenate([known[c] for c in chunks])
+                out.append(len(chunks).to_bytes(4, "little") + press.compress(sizes.tobytes() + _narrow(ids, model)))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], names=["batch", "bucket", "data"])
 
-    return chunks.mapInArrow(run, "chunk string, ids array<int>")
+    met = lists.select("batch", "bucket", "data").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(run, "batch bigint, bucket int, data binary")
 
 
-def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Values of a list column in a row, and the length of each list (0 for null)."""
-    sizes = np.asarray(pc.fill_null(pc.list_value_length(lists), 0), dtype=np.int64)
-    return lists.flatten().to_numpy(zero_copy_only=False), sizes
+def _narrow(ids: np.ndarray, model: Pieces) -> bytes:
+    return ids.astype("<u2" if len(model.surfaces) <= 1 << 16 else "<u4").tobytes()
+
+
+def _told(data: bytes, model: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes and ids of a list that ``_segmented`` wrote."""
+    n, plain = int.from_bytes(data[:4], "little"), zstandard.ZstdDecompressor().decompress(data[4:])
+    kind = "<u2" if len(model.surfaces) <= 1 << 16 else "<u4"
+    return np.frombuffer(plain, "<u4", n).astype(np.int64), np.frombuffer(plain, kind, offset=4 * n).astype(np.int32)
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -191,58 +269,66 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+def encode_texts(
+    docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, batch_bytes: int = BATCH_BYTES,
+) -> DataFrame:
     """Adds ``token_ids`` (array of int) and ``n_tokens``, equal to the library's without begin and end ids.
 
     Null and empty texts have no tokens; repeated rows get the same ids; columns called
-    like the new ones are replaced; an empty table stays empty. Batches hold 1.5 MB of
-    text (or one longer text); the cut texts are written once to the shared folder, so that
-    a lost task finds the same batches. The chunk table is joined by chunk: a chunk is
-    there once per batch at most, and AQE splits what remains of a very common one.
+    like the new ones are replaced; an empty table stays empty. Batches hold ``batch_bytes``
+    of text (or one longer text). The cut texts are written once to the shared folder, so that
+    a lost task finds the same batches. A very common chunk is there once per batch, and
+    buckets are as many as the text has 16 MB, up to 4096; a bucket of over two
+    million distinct chunks starts its table anew.
     """
+    spark = docs.sparkSession
     kept = without(docs.select(*keep) if keep is not None else docs, ["token_ids", "n_tokens"])
-    rows = cut_lineage(_as_batches(docs, path, text, kept))
-    used = rows.where(F.col("code").isNotNull()).select("batch", "code", "chunk")
-    table = cut_lineage(_segmented(used.select("chunk").distinct(), path))
-    back = used.join(table, "chunk").select("batch", "code", "ids", F.lit(None).cast(rows.schema["__kept"].dataType).alias("__kept"))
-    texts = rows.where(F.col("code").isNull()).select("batch", "code", F.col("codes").alias("ids"), "__kept")
-    met = back.unionByName(texts).repartition("batch").sortWithinPartitions("batch", F.col("code").asc_nulls_last())
-    schema = StructType([rows.schema["__kept"], *ddl("token_ids array<int>, n_tokens bigint").fields])
+    total = docs.agg(F.sum(F.octet_length(docs[text]).cast("bigint"))).first()[0] or 0
+    buckets = max(16, min(MOST_BUCKETS, total // BUCKET_BYTES))
+    rows = _as_batches(docs, path, text, kept, buckets, batch_bytes)
+    folder = write_work(rows, "kind")
+    schema = StructType([f for f in rows.schema.fields if f.name != "kind"])
+    if not total:  # no text: no list was written
+        lists = spark.createDataFrame([], "batch bigint, bucket int, data binary")
+    else:
+        listed = spark.read.schema(schema).parquet(f"{folder}/kind=0")
+        with shuffles_freed(spark):
+            lists = cut_lineage(_segmented(listed, path, buckets))
+        release(listed)
+    written = spark.read.schema(rows.schema).parquet(folder).where("kind = 1").drop("kind")
+    row = schema["kept"].dataType
+    back = lists.select("batch", "bucket", "data", F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast(row).alias("kept"))
+    batches = max(1, min(MOST_BUCKETS, lists.select("batch").distinct().count()))
+    met = (
+        back.unionByName(written.select(*back.columns))
+        .repartition(batches, "batch").sortWithinPartitions("batch", "bucket")  # slices are behind all buckets
+    )
+    out = StructType([StructField("__kept", row.elementType), *ddl("token_ids array<int>, n_tokens bigint").fields])
 
     def run(parts):
-        of, sizes, values = None, [], []
-        starts = flat = lengths = None
+        model, of, sizes, values, starts = pieces(path), None, [], [], None
         for part in parts:
-            batch = part.column(0).to_numpy()
-            edges = [0, *(np.flatnonzero(batch[1:] != batch[:-1]) + 1).tolist(), len(batch)]
-            for a, b in zip(edges, edges[1:]):
-                if a == b:
-                    continue
-                if batch[a] != of:
-                    of, sizes, values, starts = batch[a], [], [], None
-                own = part.slice(a, b - a)
-                n = (b - a) - own.column(1).null_count  # chunks come before texts
-                if n:
-                    ids, size = _flat(own.slice(0, n).column(2))
-                    values.append(ids)
+            for batch, bucket, data, words, kept_rows in zip(*[part.column(i) for i in range(5)]):
+                if batch.as_py() != of:
+                    of, sizes, values, starts = batch.as_py(), [], [], None
+                if bucket.as_py() < buckets:
+                    size, ids = _told(data.as_py(), model)
                     sizes.append(size)
-                if n == b - a:
+                    values.append(ids)
                     continue
                 if starts is None:
-                    lengths = np.concatenate([*sizes, np.zeros(0, np.int64)]).astype(np.int64)
-                    flat = np.concatenate([*values, np.zeros(0, np.int32)]).astype(np.int32)
+                    lengths = np.concatenate([*sizes, np.zeros(0, np.int64)])
+                    flat = np.concatenate([*values, np.zeros(0, np.int32)])
                     starts = np.cumsum(lengths) - lengths
-                left = own.slice(n)
-                codes, words = _flat(left.column(2))
-                codes = codes.astype(np.int64)
-                ids = flat[_spread(starts[codes], lengths[codes])]
-                upto = np.concatenate([[0], np.cumsum(lengths[codes])])
-                cuts = upto[np.concatenate([[0], np.cumsum(words)])]
+                codes = _unpacked_codes(data.as_py()) if len(data.as_py()) else np.zeros(0, np.int64)
+                ids = flat[_spread(starts[codes], lengths[codes])] if len(codes) else np.zeros(0, np.int32)
+                upto = np.concatenate([[0], np.cumsum(lengths[codes])]) if len(codes) else np.zeros(1, np.int64)
+                cuts = upto[np.concatenate([[0], np.cumsum(words.values.to_numpy())])]
                 yield pa.RecordBatch.from_arrays([
-                    left.column(3), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)), pa.array(np.diff(cuts)),
-                ], names=schema.names)
+                    kept_rows.values, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)), pa.array(np.diff(cuts)),
+                ], names=out.names)
 
-    return met.mapInArrow(run, schema).select("__kept.*", "token_ids", "n_tokens")
+    return met.mapInArrow(run, out).select("__kept.*", "token_ids", "n_tokens")
 
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

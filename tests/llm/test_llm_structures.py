@@ -145,6 +145,16 @@ def test_pieces_of_odd_rows(docs, library):
     assert all(r.token_ids == library.encode(r.text or "") and r.n_tokens == len(r.token_ids) for r in out)
     assert {r.lang for r in out} == {"en"}
     assert pieces.encode_texts(docs([]), MODEL).count() == 0
+    assert [r.n_tokens for r in pieces.encode_texts(docs([(1, None), (2, "")]), MODEL).collect()] == [0, 0]
+
+
+def test_pieces_over_many_batches(docs, library):
+    rng = random.Random(8)
+    words = ["the", "▁▁", "\0x", "\0", "", "a\nb", "é", "💡", *[f"w{i}" for i in range(300)]]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 80)))) for i in range(400)]
+    out = pieces.encode_texts(docs(rows), MODEL, keep=["doc_id", "text"], batch_bytes=3000).collect()
+    assert sorted(r.doc_id for r in out) == list(range(400))
+    assert all(r.token_ids == library.encode(r.text) for r in out)
 
 
 def test_op12_equals_the_library(spark, library):

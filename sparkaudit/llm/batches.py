@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+SLICE_BYTES = 4_000_000
 Texts = list  # of str; a null text arrives as ""
 Mapper = Callable[[Texts], Sequence[Sequence]]
 
@@ -42,7 +43,7 @@ def cut(part: pa.RecordBatch, column: int, most: int | None):
 
 def add_columns(
     docs: DataFrame, make: Callable[[], Mapper], fields: str, text: str = "text", keep: Sequence[str] | None = None,
-    slice_bytes: int | None = None,
+    slice_bytes: int | None = SLICE_BYTES,
 ) -> DataFrame:
     """``docs`` with the columns ``fields`` that a mapper computes from each batch of texts.
 

@@ -25,7 +25,7 @@ SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u20
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
 #: Pieces up to this many characters are remembered, up to this many at a time; as many pairs, too.
-MEMO_CHARS, MEMO_PIECES = 48, 600_000
+MEMO_CHARS, MEMO_PIECES = 48, 300_000
 
 
 def byte_letters() -> dict[str, int]:

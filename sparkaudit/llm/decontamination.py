@@ -166,10 +166,10 @@ def find_matches(
             return index.search
 
         if done is None:
-            done = add_columns(docs, make, f"n_words bigint, n_hit bigint, matches {MATCHES}", text, list(dict.fromkeys([*names, text])))
+            done = add_columns(docs, make, f"n_words bigint, n_hit bigint, matches {MATCHES}", text, list(dict.fromkeys([*names, text])), None)
             continue
         done = cut_lineage(done)
-        done = add_columns(done, make, f"__w bigint, __h bigint, __m {MATCHES}", text)
+        done = add_columns(done, make, f"__w bigint, __h bigint, __m {MATCHES}", text, None, None)
         done = done.withColumn("matches", F.concat("matches", "__m")).drop("__w", "__h", "__m")
         done = done.withColumn("n_hit", _covered(F.col("matches")))
     return done.select(*names, *made)

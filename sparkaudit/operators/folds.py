@@ -40,21 +40,26 @@ def seeded_folds(
 
 
 def time_blocks(df: DataFrame, ts: str, key: str, k: int = 5) -> DataFrame:
+    """``ordered_blocks`` by a time column; rows without time belong to no block."""
+    numbered = df.withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
+    return ordered_blocks(numbered, "__t", key, k).drop("__t")
+
+
+def ordered_blocks(df: DataFrame, order: str, key: str, k: int = 5) -> DataFrame:
     """Expanding-window split: block 0 only trains, block i is tested after training on 0..i-1.
 
     Test blocks hold ``n // (k + 1)`` rows, the rest goes to the first block. Only the
-    k boundary rows are looked up; the table itself is not sorted. Rows without time
-    belong to no block (NULL) and do not count.
+    k boundary rows are looked up; the table itself is not sorted. Rows without a number
+    to order by belong to no block (NULL) and do not count.
     """
-    numbered = df.withColumn("__t", F.unix_micros(F.col(ts).cast("timestamp")))
-    n = numbered.agg(F.count("__t")).first()[0]
+    n = df.agg(F.count(order)).first()[0]
     size = n // (k + 1)
     block = F.lit(0)
-    edges = order_statistics(numbered, "__t", key, [n - (k + 1 - i) * size for i in range(1, k + 1)]) if size else []
+    edges = order_statistics(df, order, key, [n - (k + 1 - i) * size for i in range(1, k + 1)]) if size else []
     for i, (t, tie) in enumerate(edges, start=1):
-        after = (F.col("__t") > F.lit(t)) | ((F.col("__t") == F.lit(t)) & (F.col(key) >= F.lit(tie)))
+        after = (F.col(order) > F.lit(t)) | ((F.col(order) == F.lit(t)) & (F.col(key) >= F.lit(tie)))
         block = F.when(after, i).otherwise(block)
-    return numbered.withColumn("block", F.when(F.col("__t").isNotNull(), block)).drop("__t")
+    return df.withColumn("block", F.when(F.col(order).isNotNull(), block))
 
 
 def membership(folds: DataFrame, k: int = 5) -> DataFrame:

@@ -4,10 +4,11 @@ leave-one-feature-out refit."""
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SPLIT = ("seed", "fold")
@@ -38,19 +39,22 @@ def fold_moments(
     )
 
 
-def _with_totals(moments: DataFrame, split: Sequence[str], width: int) -> DataFrame:
-    """Add training moments (total over the other splits) next to the test ones."""
-    *group, _ = split
+def _with_totals(moments: DataFrame, split: Sequence[str], width: int, expanding: Column | None = None) -> DataFrame:
+    """Add training moments next to the test ones: total over the other splits, or over the earlier ones where ``expanding``."""
+    *group, fold = split
     w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    before = w.orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)
     pairs = width * (width + 1) // 2
 
-    def rest(name: str, length: int):
-        return F.array(*[F.sum(F.col(name)[i]).over(w) - F.col(name)[i] for i in range(length)])
+    def train(own: Column) -> Column:
+        other = F.sum(own).over(w) - own
+        return other if expanding is None else F.when(expanding, F.coalesce(F.sum(own).over(before), F.lit(0))).otherwise(other)
+
+    def rest(name: str, length: int) -> Column:
+        return F.array(*[train(F.col(name)[i]) for i in range(length)])
 
     return moments.select(
-        "*",
-        (F.sum("n").over(w) - F.col("n")).alias("train_n"),
-        rest("sums", width).alias("train_sums"),
+        "*", train(F.col("n")).alias("train_n"), rest("sums", width).alias("train_sums"),
         rest("cross", pairs).alias("train_cross"),
     )
 
@@ -63,6 +67,28 @@ def _square(cross, width: int) -> np.ndarray:
     return out
 
 
+class Cell:
+    """Moments of one split: test moments around the means of its training set, and the training set's own."""
+
+    def __init__(self, r, width: int):
+        self.n, train_n = int(r.n), float(r.train_n)
+        sums, cross = np.asarray(r.sums, float), _square(r.cross, width)
+        mean = np.asarray(r.train_sums, float) / train_n
+        self.mean = mean + np.asarray(r.shift, float)
+        self.train = _square(r.train_cross, width) - train_n * np.outer(mean, mean)
+        self.test = cross - np.outer(sums, mean) - np.outer(mean, sums) + self.n * np.outer(mean, mean)
+        self.spread = np.diag(cross) - sums**2 / self.n
+
+    def ridge(self, features: Sequence[int], target: int, alpha: float) -> tuple[np.ndarray, float, float, float | None]:
+        """Coefficients, intercept, RMSE and R2 on the test rows; without features the training mean."""
+        k = np.array(features, dtype=int)
+        beta = np.linalg.solve(self.train[np.ix_(k, k)] + alpha * np.eye(len(k)), self.train[k, target]) if len(k) else np.zeros(0)
+        sse = self.test[target, target] - 2 * beta @ self.test[k, target] + beta @ self.test[np.ix_(k, k)] @ beta
+        sse, sst = max(float(sse), 0.0), float(self.spread[target])
+        intercept = float(self.mean[target] - beta @ self.mean[k])
+        return beta, intercept, float(np.sqrt(sse / self.n)), 1 - sse / sst if sst > 0 else None
+
+
 def ridge_cv(
     folds: DataFrame,
     features: Sequence[str],
@@ -87,29 +113,12 @@ def ridge_cv(
         for pdf in batches:
             out = []
             for r in pdf.itertuples(index=False):
-                n, tn = float(r.n), float(r.train_n)
-                ts, s = np.asarray(r.train_sums, float), np.asarray(r.sums, float)
-                shift = np.asarray(r.shift, float)
-                mean = ts / tn
-                train = _square(r.train_cross, width) - tn * np.outer(mean, mean)
-                # test moments around the training mean
-                test = (
-                    _square(r.cross, width) - np.outer(s, mean) - np.outer(mean, s) + n * np.outer(mean, mean)
-                )
-                sst = _square(r.cross, width)[-1, -1] - s[-1] ** 2 / n
+                cell = Cell(r, width)
                 for label, keep in sets:
-                    k = np.array(keep, dtype=int)
-                    gram = train[np.ix_(k, k)] + alpha * np.eye(len(k))
-                    beta = np.linalg.solve(gram, train[k, -1]) if len(k) else np.zeros(0)
-                    sse = test[-1, -1] - 2 * beta @ test[k, -1] + beta @ test[np.ix_(k, k)] @ beta
-                    intercept = (mean + shift)[-1] - beta @ (mean + shift)[k]
+                    beta, intercept, rmse, r2 = cell.ridge(keep, width - 1, alpha)
                     coefs = np.zeros(width - 1)
-                    coefs[k] = beta
-                    rmse = float(np.sqrt(max(sse, 0.0) / n))
-                    out.append(
-                        (*[getattr(r, c) for c in split], label, int(n), rmse,
-                         float(1 - sse / sst) if sst > 0 else None, float(intercept), coefs.tolist())
-                    )
+                    coefs[keep] = beta
+                    out.append((*[getattr(r, c) for c in split], label, cell.n, rmse, r2, intercept, coefs.tolist()))
             yield pd.DataFrame(
                 out, columns=[*split, "feature_set", "n_test", "rmse", "r2", "intercept", "coefs"]
             )
@@ -121,6 +130,77 @@ def ridge_cv(
     return moments.mapInPandas(solve, schema)
 
 
+def ridge_fits(
+    moments: DataFrame, fits: DataFrame, columns: Sequence[str], split: Sequence[str], alpha: float = 1.0,
+    expanding: Column | None = None, per_task: int = 500,
+) -> DataFrame:
+    """Many ridge fits over the same moments: fit, split keys, n_test, rmse, r2, intercept, coefs (in order of its features).
+
+    ``fits`` has the leading split keys but the last two, ``fit``, ``target`` and ``features`` (an array of
+    column names). Fits travel in packs of ``per_task`` next to the moments of each split, so
+    the rows of the table are not read again.
+    """
+    names = list(columns)
+    width, group = len(names), list(split)[:-2]
+    packs = max(1, -(-fits.count() // per_task))
+    packed = (
+        fits.withColumn("__p", F.pmod(F.xxhash64("fit"), F.lit(packs)))
+        .groupBy(*group, "__p").agg(F.collect_list(F.struct("fit", "target", "features")).alias("f"))
+        .select(*group, *[F.col(f"f.{c}").alias(f"__{c}") for c in ("fit", "target", "features")])
+    )
+    cells = _with_totals(moments, split, width, expanding).where("train_n > 0").join(packed, group)
+    parts = int(moments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = {c: i for i, c in enumerate(names)}
+        for pdf in batches:
+            out = []
+            for r in pdf.to_dict("records"):
+                cell = Cell(SimpleNamespace(**r), width)
+                for fit, target, own in zip(r["__fit"], r["__target"], r["__features"]):
+                    beta, intercept, rmse, r2 = cell.ridge([at[c] for c in own], at[target], alpha)
+                    out.append((*[r[c] for c in split], fit, target, list(own), cell.n, rmse, r2, intercept, beta.tolist()))
+            yield pd.DataFrame(out, columns=[*split, "fit", "target", "features", "n_test", "rmse", "r2", "intercept", "coefs"])
+
+    kinds = dict(moments.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in split) + (
+        ", fit string, target string, features array<string>, n_test bigint, rmse double, r2 double, intercept double, coefs array<double>"
+    )
+    return cells.repartition(parts).mapInPandas(solve, schema)
+
+
+def linear_scores(
+    folds: DataFrame, fitted: DataFrame, columns: Sequence[str], split: Sequence[str], per_pass: int = 20_000
+) -> DataFrame:
+    """RMSE, MAE and R2 of linear models on the rows of their split: fit, split keys and the three scores.
+
+    ``fitted`` has the split keys, ``fit``, ``target``, ``features``, ``intercept`` and ``coefs``. At most
+    ``per_pass`` models are broadcast at once; more of them take further passes.
+    """
+    place = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(i))])
+    passes = max(1, -(-fitted.count() // per_pass))
+    models = fitted.select(
+        *[F.col(c).alias(f"__{c}") for c in split], "fit", "intercept", "coefs", F.element_at(place, F.col("target")).alias("__y"),
+        F.transform("features", lambda f: F.element_at(place, f)).alias("__at"),
+    )
+    rows = folds.select(*split, F.array(*[F.col(c).cast("double") for c in columns]).alias("__v"))
+    same = F.lit(True)
+    for c in split:
+        same = same & (F.col(c) == F.col(f"__{c}"))
+    error = F.expr("get(__v, __y) - aggregate(zip_with(coefs, __at, (c, p) -> c * get(__v, p)), intercept, (t, x) -> t + x)")
+    out = None
+    for i in range(passes):
+        mine = models.where(F.pmod(F.xxhash64("fit"), F.lit(passes)) == i)
+        scored = rows.join(F.broadcast(mine), same).select(*split, "fit", error.alias("e"), F.expr("get(__v, __y)").alias("y"))
+        spread = F.nullif(F.var_pop("y") * F.count("y"), F.lit(0.0))
+        part = scored.groupBy("fit", *split).agg(
+            (-F.sqrt(F.avg(F.col("e") * F.col("e")))).alias("neg_root_mean_squared_error"),
+            (-F.avg(F.abs("e"))).alias("neg_mean_absolute_error"), (1 - F.sum(F.col("e") * F.col("e")) / spread).alias("r2"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def ridge_predict(
     folds: DataFrame, fitted: DataFrame, features: Sequence[str], split: Sequence[str] = SPLIT
 ) -> DataFrame:

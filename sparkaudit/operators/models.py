@@ -108,9 +108,9 @@ def _size_and_spread(parts) -> tuple[int, float]:
 def out_of_fold(
     folds: DataFrame, key: str, numeric: Sequence[str], text: Sequence[str], label: str,
     model: str, task: str, run: str, splits: Sequence[tuple[int, int]], trees: int = 100, parallelism: int = 4,
-    depth: int = 5,
+    depth: int = 5, earlier: bool = False,
 ) -> DataFrame:
-    """Predictions of every row by a model that did not see its fold.
+    """Predictions of every row by a model that did not see its fold, or with ``earlier`` only lower ones.
 
     Each (seed, fold) is one distributed fit; a small thread pool keeps the cluster busy.
     A text target is coded by the sorted order of its classes; ``prob`` is the probability
@@ -122,17 +122,18 @@ def out_of_fold(
     data = cut_lineage(coded.select("seed", "fold", key, *numeric, *text, F.col(target).cast("double").alias("label")))
     moments = data.groupBy("seed", "fold").agg(*_label_moments()).collect()  # seeds x folds rows
     learned: dict[tuple, list] = {}
-    for r in infold.fit(data, numeric, text).collect():  # seeds x folds x columns rows
+    trains = infold.earlier_blocks if earlier else infold.other_folds
+    for r in infold.fit(data, numeric, text, trains=trains).collect():  # seeds x folds x columns rows
         learned.setdefault((r["seed"], r["fold"]), []).append(r.asDict())
 
     def one(split: tuple[int, int]) -> DataFrame:
         seed, fold = split
         rows = data.where(F.col("seed") == seed)
-        n, std = _size_and_spread([m for m in moments if m["seed"] == seed and m["fold"] != fold])
+        n, std = _size_and_spread([m for m in moments if trains(split, (m["seed"], m["fold"]))])
         estimator = get_estimator(model, task, seed, trees, depth, n_rows=n, label_std=std)
         stages = [*preprocessing(numeric, text), estimator]
         ready = infold.apply(rows, learned.get(split, []), numeric, text)
-        fitted = Pipeline(stages=stages).fit(ready.where(F.col("fold") != fold))
+        fitted = Pipeline(stages=stages).fit(ready.where(F.col("fold") < fold if earlier else F.col("fold") != fold))
         out = fitted.transform(ready.where(F.col("fold") == fold))
         prob = F.lit(None).cast("double")
         if "probability" in out.columns:

@@ -6,9 +6,9 @@ yields an array of findings, so any number of checks costs one pass over the tex
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.moments import pearson
@@ -21,6 +21,7 @@ MAX_NULL = 0.05
 MAX_TRIES = 5
 MAX_SEEDS = 2
 FEW_CLASSES = 5
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 FINDINGS = "array<struct<check_id: string, severity: string, message: string, location: string, evidence: string>>"
 
 # fixed values: metrics by direction, normalised
@@ -94,6 +95,97 @@ def null_facts(df: DataFrame) -> DataFrame:
     return high.agg(F.array_sort(F.collect_list("column")).alias("null_columns"))  # at most one per column
 
 
+# ---- facts of many tables --------------------------------------------------------
+
+def tables_asked(plans: DataFrame, tables: Mapping[str, DataFrame]) -> list[tuple[str, str, bool]]:
+    """(table, target, whether some plan classifies it) for all targets that plans name and tables have.
+
+    At most one entry per column of a table reaches the driver.
+    """
+    known = [(name, c) for name, df in tables.items() for c in df.columns]
+    columns = plans.sparkSession.createDataFrame(known, "dataset string, target_variable string")
+    named = plans.join(F.broadcast(columns), ["dataset", "target_variable"])  # one row per column
+    rows = named.groupBy("dataset", "target_variable").agg(F.bool_or(F.col("analysis_type") == "classification").alias("c"))
+    return sorted((r["dataset"], r["target_variable"], bool(r["c"])) for r in rows.collect())
+
+
+def table_leaks(tables: Mapping[str, DataFrame], asked: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """(dataset, target_variable, leaks): features of each table that follow a target too closely.
+
+    Every row gives one value pair per target and feature; moments of all pairs of all tables
+    come from one aggregation, whose plan does not grow with the number of columns.
+    """
+    parts = []
+    for name, df in tables.items():
+        targets = [t for d, t, _ in asked if d == name]
+        coded = df
+        for i, t in enumerate(targets):
+            coded = numeric_target(coded, t).withColumnRenamed("__y", f"__y{i}")
+        kinds = dict(df.dtypes)
+        plain = [c for c in df.columns if kinds[c].split("(")[0] in NUMERIC or kinds[c] == "string"]
+        number = {c: to_number(F.col(c)) if kinds[c] == "string" else F.col(c).cast("double") for c in plain}
+        if targets:
+            ys = F.array(*[F.struct(F.lit(t).alias("target_variable"), F.col(f"__y{i}").cast("double").alias("y")) for i, t in enumerate(targets)])
+            xs = F.array(*[F.struct(F.lit(c).alias("feature"), _finite(x).alias("x")) for c, x in number.items()])
+            parts.append(coded.select(F.lit(name).alias("dataset"), F.explode(ys).alias("t"), xs.alias("xs")).select(
+                "dataset", "t.*", F.explode("xs").alias("f")).select("dataset", "target_variable", "y", "f.*"))
+    if not parts:
+        return _no_rows(tables, "dataset string, target_variable string, leaks array<struct<feature:string,abs_r:double>>")
+    pairs = union_findings(parts).where(F.col("feature") != F.col("target_variable"))
+    r = pairs.groupBy("dataset", "target_variable", "feature").agg(F.abs(pearson(F.col("x"), F.col("y"))).alias("abs_r"))
+    return r.where(F.col("abs_r") > LEAK).groupBy("dataset", "target_variable").agg(
+        F.collect_list(F.struct("feature", "abs_r")).alias("leaks")  # at most one per column
+    )
+
+
+def table_classes(tables: Mapping[str, DataFrame], asked: Sequence[tuple[str, str, bool]]) -> DataFrame:
+    """(dataset, target_variable, min_share, n_classes) of the targets that plans classify."""
+    parts = []
+    for name, df in tables.items():
+        targets = [t for d, t, c in asked if d == name and c]
+        if targets:
+            cells = F.array(*[F.struct(F.lit(t).alias("target_variable"), F.col(t).cast("string").alias("v")) for t in targets])
+            parts.append(df.select(F.lit(name).alias("dataset"), F.explode(cells).alias("c")).select("dataset", "c.*"))
+    if not parts:
+        return _no_rows(tables, "dataset string, target_variable string, min_share double, n_classes bigint")
+    counts = union_findings(parts).where(F.col("v").isNotNull()).groupBy("dataset", "target_variable", "v").agg(F.count("*").alias("n"))
+    return counts.groupBy("dataset", "target_variable").agg(
+        (F.min("n") / F.sum("n")).alias("min_share"), F.count("*").alias("n_classes")
+    )
+
+
+def table_nulls(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(dataset, null_columns): the columns with too many missing values, sorted."""
+    parts = []
+    for name, df in tables.items():
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).isNull().cast("int").alias("gap")) for c in df.columns])
+        parts.append(df.select(F.lit(name).alias("dataset"), F.explode(cells).alias("c")).select("dataset", "c.*"))
+    if not parts:
+        return _no_rows(tables, "dataset string, null_columns array<string>")
+    share = union_findings(parts).groupBy("dataset", "column").agg(F.round(F.avg("gap"), 3).alias("r"))
+    high = share.where(F.col("r") > MAX_NULL)
+    return high.groupBy("dataset").agg(F.array_sort(F.collect_list("column")).alias("null_columns"))
+
+
+def _finite(x: Column) -> Column:
+    return F.nanvl(x, F.lit(None).cast("double"))
+
+
+def _no_rows(tables: Mapping[str, DataFrame], schema: str) -> DataFrame:
+    spark = next(iter(tables.values())).sparkSession if tables else SparkSession.active()
+    return spark.createDataFrame([], schema)
+
+
+def with_table_facts(profile: DataFrame, tables: Mapping[str, DataFrame], plans: DataFrame) -> DataFrame:
+    """A run's profile (with ``dataset``) next to the facts of its own table and target; unknown tables have none."""
+    asked = tables_asked(plans, tables)
+    own = ["dataset", "target_variable"]
+    return (
+        profile.join(table_leaks(tables, asked), own, "left").join(table_classes(tables, asked), own, "left")
+        .join(table_nulls(tables), "dataset", "left")
+    )
+
+
 def run_profile(*parts: DataFrame) -> DataFrame:
     """One row per run from any of its parsed notes; absent notes leave NULLs."""
     out = parts[0]
@@ -111,8 +203,10 @@ def with_facts(profile: DataFrame, *facts: DataFrame) -> DataFrame:
 
 # ---- rules ------------------------------------------------------------------------
 
-def m1(target: str, source: str) -> Column:
-    """Best features that nearly equal the target."""
+def m1(target: str | None = None, source: str | None = None) -> Column:
+    """Best features that nearly equal the target; without a name, of the run's own target and table."""
+    named = F.col("target_variable") if target is None else F.lit(target)
+    place = F.col("dataset") if source is None else F.lit(source)
     mine = F.filter("leaks", lambda x: F.array_contains(F.col("best_features_list"), x["feature"]))
     hits = F.transform(
         mine,
@@ -120,11 +214,11 @@ def m1(target: str, source: str) -> Column:
             "M1", "block",
             F.concat(F.lit("possible target leakage: feature '"), x["feature"], F.lit("' (|r|="),
                      F.round(x["abs_r"], 4).cast("string"), F.lit(")")),
-            source,
-            F.concat(F.lit("corr("), x["feature"], F.lit(f",{target})="), F.round(x["abs_r"], 4).cast("string")),
+            place,
+            F.concat(F.lit("corr("), x["feature"], F.lit(","), named, F.lit(")="), F.round(x["abs_r"], 4).cast("string")),
         )),
     )
-    return F.when(F.col("target_variable") == target, hits)
+    return F.when(F.col("target_variable") == named, hits)
 
 
 def m2() -> Column:
@@ -145,11 +239,12 @@ def m3() -> Column:
     )
 
 
-def m4(target: str) -> Column:
-    """Imbalanced classes without a stratified split."""
+def m4(target: str | None = None) -> Column:
+    """Imbalanced classes without a stratified split; without a name, of the run's own target."""
+    named = F.col("target_variable") if target is None else F.lit(target)
     share = F.round("min_share", 3).cast("string")
     return _one(
-        (F.col("analysis_type") == "classification") & (F.col("target_variable") == target)
+        (F.col("analysis_type") == "classification") & (F.col("target_variable") == named)
         & (F.col("n_classes") > 1) & (F.col("min_share") < RARE_CLASS)
         & ~F.coalesce("uses_stratified_kfold", F.lit(False)),
         "M4", "warn", F.concat(F.lit("imbalanced classes (min share "), share, F.lit(") without StratifiedKFold")),
@@ -158,13 +253,17 @@ def m4(target: str) -> Column:
 
 
 def m5() -> Column:
-    """A hypothesis tried too often."""
-    ids = F.col("hypothesis_ids")
-    tries = F.transform(
-        F.array_distinct(ids), lambda h: F.struct(h.alias("h"), F.size(F.filter(ids, lambda x: x == h)).alias("n"))
+    """A hypothesis tried too often: equal ids stand together once sorted, so each is counted in one walk."""
+    none = F.array().cast("array<struct<h:string,n:int>>")
+    ids = F.array_sort("hypothesis_ids")
+    tries = F.aggregate(
+        ids, F.struct(F.lit(None).cast("string").alias("h"), F.lit(0).alias("n"), none.alias("done")),
+        lambda t, x: F.when(x == t["h"], F.struct(t["h"].alias("h"), (t["n"] + 1).alias("n"), t["done"].alias("done")))
+        .otherwise(F.struct(x.alias("h"), F.lit(1).alias("n"), _often(t).alias("done"))),
+        _often,
     )
     return F.transform(
-        F.filter(tries, lambda t: t["n"] > MAX_TRIES),
+        tries,
         lambda t: F.struct(*finding(
             "M5", "warn",
             F.concat(F.lit("hypothesis '"), t["h"], F.lit("' tried "), t["n"].cast("string"), F.lit(" times")),
@@ -174,6 +273,12 @@ def m5() -> Column:
     )
 
 
+def _often(t: Column) -> Column:
+    """The finished ids, with the current one if it was tried too often."""
+    more = F.concat(t["done"], F.array(F.struct(t["h"].alias("h"), t["n"].alias("n"))))
+    return F.when(t["n"] > MAX_TRIES, more).otherwise(t["done"])
+
+
 def m6() -> Column:
     """A fold left out."""
     return _one(
@@ -251,6 +356,16 @@ def apply_rules(profile: DataFrame, *rules: Column) -> DataFrame:
     return profile.select("run_id", F.explode(found).alias("f")).select("run_id", "f.*")
 
 
+def audit_tables(
+    plans: DataFrame, cycles: DataFrame, excluded: DataFrame, flags: DataFrame, tables: Mapping[str, DataFrame],
+) -> DataFrame:
+    """All checks, each run against its own table: ``plans`` has the column ``dataset``."""
+    profile = with_table_facts(run_profile(plans, cycles, excluded, flags), tables, plans)
+    return apply_rules(
+        profile, m1(), m2(), m3(), m4(), m5(), m6(), m7(), m8(), m9(), m10(), m11(), m12()
+    )
+
+
 def audit(
     plans: DataFrame, cycles: DataFrame, excluded: DataFrame, flags: DataFrame,
     facts: Sequence[DataFrame], target: str, class_target: str, source: str,

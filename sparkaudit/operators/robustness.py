@@ -170,14 +170,14 @@ def lofo_classes(drops: DataFrame) -> DataFrame:
 def gates(summary: DataFrame, ci: DataFrame, baseline: DataFrame, drops: DataFrame, by: str = "run_id") -> DataFrame:
     """Stable over seeds, interval above the baseline, no critical feature; then the verdict.
 
-    A run without interval or baseline fails that gate and stays.
+    A run without interval or baseline fails that gate and stays. Figures meet their limits to twelve digits.
     """
-    critical = drops.groupBy(by).agg(F.count_if(F.col("drop_pct") > 25).alias("n_critical"))
+    critical = drops.groupBy(by).agg(F.count_if(F.round("drop_pct", 12) > 25).alias("n_critical"))
     joined = summary.join(ci, by, "left").join(baseline, by, "left").join(critical, by, "left")
     gated = joined.select(
         by,
-        F.coalesce(F.col("std") <= 0.03, F.lit(False)).alias("g1_stability"),
-        F.coalesce(F.col("ci_low") > F.col("baseline_mean"), F.lit(False)).alias("g2_ci_above_baseline"),
+        F.coalesce(F.round("std", 12) <= 0.03, F.lit(False)).alias("g1_stability"),
+        F.coalesce(F.round("ci_low", 12) > F.round("baseline_mean", 12), F.lit(False)).alias("g2_ci_above_baseline"),
         (F.coalesce("n_critical", F.lit(0)) == 0).alias("g3_lofo"),
     )
     n = sum((F.col(c).cast("int") for c in ("g1_stability", "g2_ci_above_baseline", "g3_lofo")), F.lit(0))

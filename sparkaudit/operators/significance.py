@@ -204,14 +204,14 @@ def compare(diffs: DataFrame, by: Sequence[str] = PAIR, replicates: int = 2000,
 
 
 def gates(tests: DataFrame, require: str = "any") -> DataFrame:
-    """Four gates per run: open when any (or all) of the baselines is beaten."""
+    """Four gates per run: open when any (or all) of the baselines is beaten. Figures meet their limits to twelve digits."""
     fold = F.bool_or if require == "any" else F.bool_and
     ask = lambda c: F.coalesce(fold(F.coalesce(c, F.lit(False))), F.lit(False))
     return tests.groupBy("run_id").agg(
-        ask(F.col("p_value") < 0.05).alias("g1"),
-        ask(F.col("lift_pct") >= 2.0).alias("g2"),
-        ask(F.abs("cohen_d") >= 0.2).alias("g3"),
-        ask(F.col("ci_low") > 0).alias("g4"),
+        ask(F.round("p_value", 12) < 0.05).alias("g1"),
+        ask(F.round("lift_pct", 12) >= 2.0).alias("g2"),
+        ask(F.round(F.abs("cohen_d"), 12) >= 0.2).alias("g3"),
+        ask(F.round("ci_low", 12) > 0).alias("g4"),
     )
 
 

@@ -75,7 +75,7 @@ def seed_scores(spark, sf):
 
 
 STABILITY = f"""SELECT run_id, count(*) AS n_runs, avg(m) AS stability_mean, stddev_samp(m) AS stability_std,
-      CASE WHEN stddev_samp(m) <= 0.01 THEN 'OK' WHEN stddev_samp(m) <= 0.02 THEN 'WARN' ELSE 'FAIL' END AS cv_stability
+      CASE WHEN round(stddev_samp(m), 12) <= 0.01 THEN 'OK' WHEN round(stddev_samp(m), 12) <= 0.02 THEN 'WARN' ELSE 'FAIL' END AS cv_stability
     FROM (SELECT run_id, seed, avg(score) AS m FROM ({SEED_SCORES}) GROUP BY ALL) GROUP BY run_id"""
 
 
@@ -248,8 +248,8 @@ def o14_semantic(spark, sf):
         F.col("llm_verdict"), F.col("hallucination_risk"), F.col("insight_consistency")).alias("advice"))
 
 
-QA = f"""SELECT run_id, list_filter([CASE WHEN abs(best - stability_mean) > 0.01 THEN 'score not reproduced' END,
-        CASE WHEN spread < 0.02 THEN 'hypotheses hardly differ' END, CASE WHEN grounded < 90 THEN 'numbers not grounded' END,
+QA = f"""SELECT run_id, list_filter([CASE WHEN round(abs(best - stability_mean), 12) > 0.01 THEN 'score not reproduced' END,
+        CASE WHEN round(spread, 12) < 0.02 THEN 'hypotheses hardly differ' END, CASE WHEN grounded < 90 THEN 'numbers not grounded' END,
         CASE WHEN insight_consistency = 'INCONSISTENT' THEN 'insights contradict' END,
         CASE WHEN (llm_verdict = 'PASS' AND code_verdict = 'FAIL') OR (llm_verdict = 'FAIL' AND code_verdict = 'PASS') THEN 'verdicts oppose' END],
         lambda x: x IS NOT NULL) AS flags, llm_verdict, code_verdict

@@ -147,7 +147,7 @@ TESTS = f"""diffs AS (
            lift / CASE WHEN abs(base) > 1e-9 THEN abs(base) ELSE 1 END * 100 AS pct, coalesce(lift / nullif(sd, 0), 0) AS cohen
     FROM chosen JOIN ci USING ({REVIEW}, baseline) LEFT JOIN perm USING ({REVIEW}, baseline)),
   gates AS (
-    SELECT {REVIEW}, bool_or(coalesce(p < 0.05, false)) AS g1, bool_or(pct >= 2) AS g2, bool_or(abs(cohen) >= 0.2) AS g3, bool_or(ci_low > 0) AS g4 FROM tested GROUP BY ALL)"""
+    SELECT {REVIEW}, bool_or(coalesce(round(p, 12) < 0.05, false)) AS g1, bool_or(round(pct, 12) >= 2) AS g2, bool_or(round(abs(cohen), 12) >= 0.2) AS g3, bool_or(round(ci_low, 12) > 0) AS g4 FROM tested GROUP BY ALL)"""
 
 STABLE = f"""left_out AS (
     SELECT r.*, l.name AS feature, s.seed, s.fold, s.score FROM reviews r,
@@ -163,9 +163,9 @@ STABLE = f"""left_out AS (
   low AS (SELECT {REVIEW}, quantile_cont(m, 0.025) AS ci_low FROM (
             SELECT {REVIEW}, rep, avg(score) AS m FROM boot JOIN placed USING ({REVIEW}, idx) GROUP BY {REVIEW}, rep) GROUP BY ALL),
   stable AS (
-    SELECT {REVIEW}, stddev_pop(score) <= 0.03 AS g1_stability, any_value(ci_low) > any_value(bm) AS g2_ci_above_baseline, coalesce(any_value(bad), 0) = 0 AS g3_lofo
+    SELECT {REVIEW}, round(stddev_pop(score), 12) <= 0.03 AS g1_stability, round(any_value(ci_low), 12) > round(any_value(bm), 12) AS g2_ci_above_baseline, coalesce(any_value(bad), 0) = 0 AS g3_lofo
     FROM best JOIN low USING ({REVIEW}) JOIN (SELECT {REVIEW}, avg(score) AS bm FROM naive WHERE baseline = 'mean' GROUP BY ALL) USING ({REVIEW})
-         LEFT JOIN (SELECT {REVIEW}, count(*) FILTER (drop_pct > 25) AS bad FROM drops GROUP BY ALL) USING ({REVIEW}) GROUP BY {REVIEW})"""
+         LEFT JOIN (SELECT {REVIEW}, count(*) FILTER (round(drop_pct, 12) > 25) AS bad FROM drops GROUP BY ALL) USING ({REVIEW}) GROUP BY {REVIEW})"""
 
 _UPTO_SCORES = f"WITH {REQUESTS}, {ROWS}, {SCORES}"
 #: Parts of a review in words, as both sides show them.

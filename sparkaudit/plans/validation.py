@@ -166,8 +166,8 @@ CI_SQL = boot_sql(ONE_SEED, "run_id, baseline", "d", 2000)
     f"""WITH ci AS ({CI_SQL}),
         s AS (SELECT run_id, baseline, avg(d) AS lift, avg(d) / nullif(stddev_samp(d), 0) AS cd, avg(base) AS b,
                      atan(avg(d) / (stddev_samp(d) / sqrt(count(*))) / sqrt(24.0::DOUBLE)) AS th FROM ({ONE_SEED}) GROUP BY ALL)
-        SELECT run_id, bool_or({T24} < 0.05) AS g1, bool_or(lift / abs(b) * 100 >= 2) AS g2, bool_or(abs(cd) >= 0.2) AS g3,
-               bool_or(ci_low > 0) AS g4 FROM s JOIN ci USING (run_id, baseline) GROUP BY run_id""",
+        SELECT run_id, bool_or(round({T24}, 12) < 0.05) AS g1, bool_or(round(lift / abs(b) * 100, 12) >= 2) AS g2, bool_or(round(abs(cd), 12) >= 0.2) AS g3,
+               bool_or(round(ci_low, 12) > 0) AS g4 FROM s JOIN ci USING (run_id, baseline) GROUP BY run_id""",
     views="v_folds",
 )
 def k11(spark, sf):
@@ -395,9 +395,9 @@ def l10(spark, sf):
 @query(
     "l11_gates_and_verdict",
     f"""WITH ci AS ({boot_sql(RULE_SCORES, "run_id", "score", 2000)}),
-        g AS (SELECT run_id, stddev_pop(score) <= 0.03 AS g1_stability,
-                     max(ci_low) > (SELECT avg(score) FROM ({scoring.SCORES_SQL}) WHERE model = 'majority') AS g2_ci_above_baseline,
-                     (SELECT count(*) FROM ({LOFO_SQL}) WHERE drop_pct > 25) = 0 AS g3_lofo
+        g AS (SELECT run_id, round(stddev_pop(score), 12) <= 0.03 AS g1_stability,
+                     round(max(ci_low), 12) > (SELECT round(avg(score), 12) FROM ({scoring.SCORES_SQL}) WHERE model = 'majority') AS g2_ci_above_baseline,
+                     (SELECT count(*) FROM ({LOFO_SQL}) WHERE round(drop_pct, 12) > 25) = 0 AS g3_lofo
               FROM ({RULE_SCORES}) JOIN ci USING (run_id) GROUP BY run_id)
         SELECT run_id, g1_stability, g2_ci_above_baseline, g3_lofo, n_pass,
                CASE WHEN n_pass = 3 THEN 'PASS' WHEN n_pass >= 1 THEN 'WARN' ELSE 'FAIL' END AS verdict

@@ -19,10 +19,12 @@ BUCKETS = 1024
 SORT_LIMIT = 1_000_000  # distinct values that one task sorts; a larger bucket is cut again
 
 
-def value_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
+def value_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS, on_cut: bool = False) -> DataFrame:
     """Add ``__b_<column>``: an order-preserving bucket number per column.
 
-    The cut points are literals in the plan, so a recomputed task sees the same.
+    The cut points are literals in the plan, so a recomputed task sees the same. With
+    ``on_cut`` a column ``__c_<column>`` tells whether the value is its bucket's lower cut
+    point, as every value is that fills a bucket of its own.
     """
     doubles = df.select("*", *[F.col(c).cast("double").alias(f"__d_{c}") for c in columns])
     probes = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
@@ -37,7 +39,12 @@ def value_buckets(df: DataFrame, columns: Sequence[str], buckets: int = BUCKETS)
         outputCols=[f"__b_{c}" for c in columns],
         handleInvalid="keep",
     )
-    return stage.transform(doubles).drop(*[f"__d_{c}" for c in columns])
+    out = stage.transform(doubles)
+    if on_cut:
+        for c, cuts in zip(columns, splits):
+            lower = F.get(F.array(*[F.lit(x) for x in cuts]), F.col(f"__b_{c}").cast("int"))
+            out = out.withColumn(f"__c_{c}", F.col(f"__d_{c}") == lower)
+    return out.drop(*[f"__d_{c}" for c in columns])
 
 
 def quantiles(

@@ -7,10 +7,12 @@ for the signed-rank statistic, and Royston's normality test.
 from __future__ import annotations
 
 import math
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -123,45 +125,92 @@ LARGE_MEAN = (0.0038915, -0.083751, -0.31082, -1.5861)
 LARGE_LOG_SD = (0.0030302, -0.082676, -0.4803)
 
 
-def shapiro_wilk(values) -> tuple[float, float]:
-    """(W, p) for 3 to 5000 values; constant data count as normal."""
-    x = np.sort(np.asarray(values, dtype=float))
-    n = len(x)
-    centered = x - x.mean()
-    ss = float((centered * centered).sum())
-    if n < 3 or x[-1] - x[0] < 1e-19 or ss == 0.0:
-        return 1.0, 1.0
+def shapiro_weights(n: int, mm: float, last_score: float, second_score: float) -> tuple[float, float, float]:
+    """Weights of the largest and the second largest of ``n`` values and the factor of all normal scores between.
+
+    ``mm`` is the sum of squared scores. Up to five values only the ends have weights of
+    their own; the second weight is then that of its score.
+    """
     if n == 3:
-        w = (math.sqrt(0.5) * (x[2] - x[0])) ** 2 / ss
-        p = 6.0 / math.pi * (math.asin(math.sqrt(min(w, 1.0))) - math.asin(math.sqrt(0.75)))
-        return w, max(p, 0.0)
-    m = np.array([_NORMAL.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
-    mm = float((m * m).sum())
+        return math.sqrt(0.5), 0.0, 0.0
     u = 1.0 / math.sqrt(n)
-    last = np.polyval(LAST_WEIGHT, u) + m[-1] / math.sqrt(mm)
-    a = np.empty(n)
-    if n > 5:
-        second = np.polyval(SECOND_WEIGHT, u) + m[-2] / math.sqrt(mm)
-        phi = (mm - 2 * m[-1] ** 2 - 2 * m[-2] ** 2) / (1 - 2 * last**2 - 2 * second**2)
-        a[:] = m / math.sqrt(phi)
-        a[-2], a[1] = second, -second
-    else:
-        phi = (mm - 2 * m[-1] ** 2) / (1 - 2 * last**2)
-        a[:] = m / math.sqrt(phi)
-    a[-1], a[0] = last, -last
-    w = min(float((a * x).sum()) ** 2 / ss, 1.0)
-    if w >= 1.0:
-        return w, 1.0
+    last = float(np.polyval(LAST_WEIGHT, u)) + last_score / math.sqrt(mm)
+    if n <= 5:
+        scale = math.sqrt((1 - 2 * last**2) / (mm - 2 * last_score**2))
+        return last, second_score * scale, scale
+    second = float(np.polyval(SECOND_WEIGHT, u)) + second_score / math.sqrt(mm)
+    rest = mm - 2 * last_score**2 - 2 * second_score**2
+    return last, second, math.sqrt((1 - 2 * last**2 - 2 * second**2) / rest) if rest > 0 else 0.0
+
+
+def shapiro_from_sums(n, mm, mx, ss, low, low2, high2, high, last_score, second_score) -> float:
+    """W from sums over ranked values: ``mx`` is the sum of score times value, ``low`` to ``high`` are the ends, all around the mean."""
+    n = int(n)
+    if n < 3 or high - low < 1e-19 or ss == 0.0:
+        return 1.0
+    last, second, scale = shapiro_weights(n, mm, last_score, second_score)
+    if n == 3:
+        return min((last * (high - low)) ** 2 / ss, 1.0)
+    inner = mx - last_score * (high - low) - second_score * (high2 - low2)
+    return min((inner * scale + last * (high - low) + second * (high2 - low2)) ** 2 / ss, 1.0)
+
+
+def shapiro_tail(w: float, n: float) -> float:
+    """p of W by Royston's normal approximation; W = 1 counts as normal."""
+    n = int(n)
+    if n < 3 or w >= 1.0:
+        return 1.0
+    if n == 3:
+        return max(6.0 / math.pi * (math.asin(math.sqrt(w)) - math.asin(math.sqrt(0.75))), 0.0)
     if n <= 11:
         edge = np.polyval(SMALL_GAMMA, n) - math.log1p(-w)
         if edge <= 0.0:
-            return w, 1e-19
-        y = -math.log(edge)
-        z = (y - np.polyval(SMALL_MEAN, n)) / math.exp(np.polyval(SMALL_LOG_SD, n))
+            return 1e-19
+        z = (-math.log(edge) - np.polyval(SMALL_MEAN, n)) / math.exp(np.polyval(SMALL_LOG_SD, n))
     else:
         ln = math.log(n)
         z = (math.log1p(-w) - np.polyval(LARGE_MEAN, ln)) / math.exp(np.polyval(LARGE_LOG_SD, ln))
-    return w, normal_sf(float(z))
+    return normal_sf(float(z))
+
+
+def shapiro_wilk(values) -> tuple[float, float]:
+    """(W, p) of a list of at least 3 values; constant data count as normal."""
+    x = np.sort(np.asarray(values, dtype=float))
+    n = len(x)
+    if n < 3:
+        return 1.0, 1.0
+    x = x - x.mean()
+    m = np.array([_NORMAL.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+    w = shapiro_from_sums(n, float((m * m).sum()), float((m * x).sum()), float((x * x).sum()), x[0], x[1], x[-2], x[-1], m[-1], m[-2])
+    return w, shapiro_tail(w, n)
+
+
+# fixed values: published rational approximation of the normal quantile, lowest power first
+CENTRE_TOP = (3.3871328727963666080, 133.14166789178437745, 1971.5909503065514427, 13731.693765509461125,
+              45921.953931549871457, 67265.770927008700853, 33430.575583588128105, 2509.0809287301226727)
+CENTRE_BOTTOM = (1.0, 42.313330701600911252, 687.18700749205790830, 5394.1960214247511077,
+                 21213.794301586595867, 39307.895800092710610, 28729.085735721942674, 5226.4952788528545610)
+MIDDLE_TOP = (1.42343711074968357734, 4.63033784615654529590, 5.76949722146069140550, 3.64784832476320460504,
+              1.27045825245236838258, 0.241780725177450611770, 0.0227238449892691845833, 0.000774545014278341407640)
+MIDDLE_BOTTOM = (1.0, 2.05319162663775882187, 1.67638483018380384940, 0.689767334985100004550,
+                 0.148103976427480074590, 0.0151986665636164571966, 0.000547593808499534494600, 1.05075007164441684324e-9)
+TAIL_TOP = (6.65790464350110377720, 5.46378491116411436990, 1.78482653991729133580, 0.296560571828504891230,
+            0.0265321895265761230930, 0.00124266094738807843860, 2.71155556874348757815e-5, 2.01033439929228813265e-7)
+TAIL_BOTTOM = (1.0, 0.599832206555887937690, 0.136929880922735805310, 0.0148753612908506148525,
+               0.000786869131145613259100, 1.84631831751005468180e-5, 1.42151175831644588870e-7, 2.04426310338993978564e-15)
+
+
+def normal_quantile(p: Column) -> Column:
+    """Quantile of the normal distribution as a built-in expression, to about sixteen digits."""
+
+    def ratio(top, bottom, x):
+        level = lambda powers: reduce(lambda t, c: t * x + c, map(F.lit, reversed(powers)))
+        return level(top) / level(bottom)
+
+    q = p - 0.5
+    tail = F.sqrt(-F.ln(F.when(q < 0, p).otherwise(1 - p)))
+    far = F.when(tail <= 5, ratio(MIDDLE_TOP, MIDDLE_BOTTOM, tail - 1.6)).otherwise(ratio(TAIL_TOP, TAIL_BOTTOM, tail - 5.0))
+    return F.when(F.abs(q) <= 0.425, q * ratio(CENTRE_TOP, CENTRE_BOTTOM, 0.180625 - q * q)).otherwise(F.signum(q) * far)
 
 
 def _vector(fn):
@@ -196,5 +245,11 @@ def signed_rank_tail(w: pd.Series, n: pd.Series, ties: pd.Series, zeros: pd.Seri
 
 
 @F.pandas_udf(DoubleType())
-def shapiro_p(values: pd.Series) -> pd.Series:
-    return pd.Series([None if v is None else shapiro_wilk(v)[1] for v in values], dtype="float64")
+def shapiro_w(n: pd.Series, mm: pd.Series, mx: pd.Series, ss: pd.Series, low: pd.Series, low2: pd.Series,
+              high2: pd.Series, high: pd.Series, last_score: pd.Series, second_score: pd.Series) -> pd.Series:
+    return _vector(shapiro_from_sums)(n, mm, mx, ss, low, low2, high2, high, last_score, second_score)
+
+
+@F.pandas_udf(DoubleType())
+def shapiro_p(w: pd.Series, n: pd.Series) -> pd.Series:
+    return _vector(shapiro_tail)(w, n)

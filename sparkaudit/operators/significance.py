@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import hash32
+from ..functions.ordered import position
 from ..functions.quantiles import value_buckets
-from ..functions.tails import shapiro_p, signed_rank_tail, t_tail
+from ..functions.tails import normal_quantile, shapiro_p, shapiro_w, signed_rank_tail, t_tail
 from ..session import cut_lineage
 
 PAIR = ("run_id", "baseline")
-SHAPIRO_LIMIT = 5000
 NORMAL_P = 0.05
 
 
@@ -52,27 +52,39 @@ def paired_t(summaries: DataFrame) -> DataFrame:
 
 
 def normality(diffs: DataFrame, by: Sequence[str] = PAIR) -> DataFrame:
-    """Shapiro-Wilk p up to its limit of values per comparison, Jarque-Bera beyond; ``norm_test`` says which.
+    """Shapiro-Wilk W and p of each comparison for any number of values, with the Jarque-Bera statistic beside it.
 
-    Comparisons are over folds, so the limit is only met by callers that compare rows.
+    Ranks come chunk by chunk, chunks cut at sketched quantiles and one frequent value by the hash of
+    its rows, so no task sorts a comparison in one piece. A rank's normal score is
+    a built-in expression, and W is made of sums over scores and of the values at both ends.
+    The approximation of p is published for up to 5 000 values.
     """
-    sizes = diffs.groupBy(*by).agg(
-        F.count("d").alias("n"),
-        F.skewness("d").alias("skew"),
-        F.kurtosis("d").alias("kurt"),
-    )
-    small = sizes.where(F.col("n") <= SHAPIRO_LIMIT).select(*by)
-    lists = (
-        diffs.join(small, list(by), "left_semi").groupBy(*by).agg(F.collect_list("d").alias("ds"))
-    )  # at most SHAPIRO_LIMIT values per list
-    exact = lists.select(*by, shapiro_p(F.col("ds")).alias("p_shapiro"))
+    by = list(by)
+    known = diffs.where(F.col("d").isNotNull())
+    sizes = known.groupBy(*by).agg(
+        F.count("d").alias("n"), F.skewness("d").alias("skew"), F.kurtosis("d").alias("kurt"),
+        F.avg("d").alias("__mean"), (F.var_pop("d") * F.count("d")).alias("__ss"),
+    )
+    cut = value_buckets(known.withColumn("__row", F.xxhash64(*known.columns)), ["d"], on_cut=True)
+    chunk = F.col("__b_d").cast("bigint") * 4097 + F.when(F.col("__c_d"), F.pmod("__row", F.lit(4096))).otherwise(4096)
+    ranked = position(cut.select(*by, "d", chunk.alias("__k")), by, F.col("__k"), ["d"], "__at")
+    scored = ranked.join(sizes.select(*by, "n", "__mean"), by).select(
+        *by, "n", "__at", (F.col("d") - F.col("__mean")).alias("x"),
+        normal_quantile((F.col("__at") + 0.625) / (F.col("n") + 0.25)).alias("m"),
+    )
+    spot = lambda place, what: F.max(F.when(F.col("__at") == place, F.col(what)))
+    sums = scored.groupBy(*by).agg(
+        F.sum(F.col("m") * F.col("m")).alias("mm"), F.sum(F.col("m") * F.col("x")).alias("mx"),
+        spot(0, "x").alias("low"), F.coalesce(spot(1, "x"), F.lit(0.0)).alias("low2"),
+        F.coalesce(spot(F.col("n") - 2, "x"), F.lit(0.0)).alias("high2"), spot(F.col("n") - 1, "x").alias("high"),
+        spot(F.col("n") - 1, "m").alias("last"), F.coalesce(spot(F.col("n") - 2, "m"), F.lit(0.0)).alias("second"),
+    )
     jb = F.col("n") / 6.0 * (F.pow("skew", F.lit(2.0)) + F.pow("kurt", F.lit(2.0)) / 4.0)
-    return sizes.join(exact, list(by), "left").select(
-        *by,
-        "n",
-        jb.alias("jarque_bera"),
-        F.when(F.col("n") <= SHAPIRO_LIMIT, "shapiro_wilk").otherwise("jarque_bera").alias("norm_test"),
-        F.coalesce("p_shapiro", F.exp(-jb / 2.0), F.lit(1.0)).alias("p_norm"),
+    w = shapiro_w(
+        F.col("n").cast("double"), "mm", "mx", F.col("__ss"), "low", "low2", "high2", "high", "last", "second"
+    )
+    return sizes.join(sums, by).withColumn("w", w).select(
+        *by, "n", jb.alias("jarque_bera"), "w", shapiro_p(F.col("w"), F.col("n").cast("double")).alias("p_norm")
     )
 
 
@@ -184,7 +196,7 @@ def compare(diffs: DataFrame, by: Sequence[str] = PAIR, replicates: int = 2000,
     """Full comparison: chosen test with its p, interval, effect size, lift."""
     by = list(by)
     diffs = cut_lineage(diffs)  # one row per fold, read by every test
-    base = paired_t(summary(diffs, by)).join(normality(diffs, by).drop("n", "norm_test"), by)
+    base = paired_t(summary(diffs, by)).join(normality(diffs, by).drop("n", "w"), by)
     base = base.withColumn("test", choose_test(F.col("n"), F.col("p_norm")))
     few = base.where(F.col("test") == "permutation").select(*by)
     perm = permutation_p(diffs.join(few, by, "left_semi"), by, n_perm)

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import math
+from statistics import NormalDist
+
+import numpy as np
 from pyspark.sql import functions as F
 
+from ..functions import tails
 from ..operators import linear, metrics, rates, robustness, significance
 from ..session import cut_lineage
 from ..sources.tables import read_table
@@ -69,6 +74,44 @@ def k3_p(spark, sf):
     return significance.normality(diffs(spark, sf)).select("run_id", "baseline", "n", "p_norm")
 
 
+def _weights(n: int) -> str:
+    """Weights of the normality test for ``n`` values in order, as an SQL list."""
+    m = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    last, second, scale = tails.shapiro_weights(n, sum(x * x for x in m), m[-1], m[-2])
+    own = [-last, -second, *[x * scale for x in m[2:-2]], second, last]
+    return "[" + ", ".join(f"{w!r}::DOUBLE" for w in own) + "]"
+
+
+# 25 folds a comparison: W over the differences in order, and Royston's z of it
+W25 = f"""SELECT run_id, baseline, count(*) AS n, avg(d) / (stddev_samp(d) / sqrt(count(*))) AS t,
+      list_sum(list_transform(list_sort(list(d)), lambda x, i: x * {_weights(25)}[i])) ** 2 / (var_pop(d) * count(*)) AS w
+    FROM ({ONE_SEED}) GROUP BY ALL"""
+Z25 = f"(ln(1 - w) - {float(np.polyval(tails.LARGE_MEAN, math.log(25)))!r}) / {math.exp(np.polyval(tails.LARGE_LOG_SD, math.log(25)))!r}"
+
+
+@query("k3_shapiro_w", f"SELECT run_id, baseline, n, round(w, 9) AS w, {Z25} <= {NormalDist().inv_cdf(0.95)!r} AS normal FROM ({W25})", views="v_folds")
+def k3_w(spark, sf):
+    """W of each comparison and whether it passes for normal."""
+    found = significance.normality(diffs(spark, sf))
+    return found.select("run_id", "baseline", "n", F.round("w", 9).alias("w"), (F.col("p_norm") >= significance.NORMAL_P).alias("normal"))
+
+
+@query(
+    "k7_test_and_statistic",
+    f"""SELECT run_id, baseline, CASE WHEN {Z25} <= {NormalDist().inv_cdf(0.95)!r} THEN 'paired_t' ELSE 'wilcoxon' END AS test,
+               round(CASE WHEN {Z25} <= {NormalDist().inv_cdf(0.95)!r} THEN t ELSE w_plus END, 4) AS stat
+        FROM ({W25}) JOIN (SELECT run_id, baseline, coalesce(sum(r) FILTER (d > 0), 0) AS w_plus FROM (
+          SELECT run_id, baseline, d, rank() OVER (PARTITION BY run_id, baseline ORDER BY a)
+                 + (count(*) OVER (PARTITION BY run_id, baseline, a) - 1) / 2.0::DOUBLE AS r
+          FROM (SELECT *, abs(d) AS a FROM ({ONE_SEED})) WHERE a > 0) GROUP BY ALL) USING (run_id, baseline)""",
+    views="v_folds",
+)
+def k7_statistic(spark, sf):
+    """Test that the differences call for, and its statistic."""
+    t = significance.compare(diffs(spark, sf))
+    return t.select("run_id", "baseline", "test", F.round("stat", 4).alias("stat"))
+
+
 # the t tail with 24 degrees of freedom as a finite sum over even powers of the cosine
 T24 = """0.5 - 0.5 * sin(th) * (1""" + "".join(
     " + " + "*".join(f"({2 * i - 1}.0/{2 * i}.0)" for i in range(1, k + 1)) + f" * power(cos(th), {2 * k})" for k in range(1, 12)

@@ -48,7 +48,8 @@ def add_columns(
     """``docs`` with the columns ``fields`` that a mapper computes from each batch of texts.
 
     ``make`` runs once per task and returns the mapper: a list of texts goes in, one
-    sequence per field comes out. ``keep`` names the input columns to hand through (all
+    sequence per field comes out. An attribute ``done`` of the mapper is called at the end
+    of the task, for what a worker should not keep until its next one. ``keep`` names the input columns to hand through (all
     by default); a column of the input with the name of a new one is replaced. Batches
     are bounded by Spark's own row and byte limits, so memory does not follow the size
     of a partition; with ``slice_bytes`` the mapper sees at most that many bytes of text
@@ -64,12 +65,15 @@ def add_columns(
 
     def run(parts):
         mapper = make()
-        for whole in parts:
-            for part in cut(whole, place, slice_bytes):
-                texts = ["" if t is None else t for t in part.column(place).to_pylist()]
-                made = mapper(texts)
-                arrays = [part.column(i) for i in range(len(kept))]
-                arrays += [c if isinstance(c, pa.Array) else pa.array(c, type=kind) for c, kind in zip(made, types)]
-                yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        try:
+            for whole in parts:
+                for part in cut(whole, place, slice_bytes):
+                    texts = ["" if t is None else t for t in part.column(place).to_pylist()]
+                    made = mapper(texts)
+                    arrays = [part.column(i) for i in range(len(kept))]
+                    arrays += [c if isinstance(c, pa.Array) else pa.array(c, type=kind) for c, kind in zip(made, types)]
+                    yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
+        finally:
+            getattr(mapper, "done", lambda: None)()
 
     return source.mapInArrow(run, schema)

@@ -87,6 +87,11 @@ class Encoder:
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.memo: dict[str, bytes] = {}
 
+    def forget(self) -> None:
+        """Drops what was remembered, so that an idle worker holds the vocabulary alone."""
+        self.memo.clear()
+        self.fits.clear()
+
     def merged(self, data: bytes) -> list[int]:
         """Plain merging by rank; only ever applied to the bytes of one token."""
         ids = [self.single[data[i : i + 1]] for i in range(len(data))]
@@ -200,7 +205,7 @@ _ENCODERS: dict[int, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
-    """One encoder per worker process, so its memo serves many tasks."""
+    """One encoder per worker process; only its memos go at the end of a task."""
     key = shared._jbroadcast.id() if getattr(shared, "_jbroadcast", None) else id(shared)
     if key not in _ENCODERS:
         _ENCODERS.clear()
@@ -224,6 +229,7 @@ def encode_texts(docs: DataFrame, path: str, text: str = "text", keep=None) -> D
             ids = [encoder.encode(t) for t in texts]
             return ids, [len(i) // 4 for i in ids]
 
+        mapper.done = encoder.forget
         return mapper
 
     return add_columns(docs, make, "token_ids binary, n_tokens bigint", text, keep)

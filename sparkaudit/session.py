@@ -53,11 +53,19 @@ def _local_root() -> str:
     return root
 
 
-def write_work(df: DataFrame, by: str | None = None) -> str:
-    """The rows written once in the shared folder, in a folder for each value of ``by`` if given; it goes when the driver ends."""
+def write_work(df: DataFrame, table: str | None = None, by: str | None = None, buckets: tuple[int, str] | None = None) -> str:
+    """The rows written once in the shared folder, in a folder for each value of ``by`` if given; it goes when the driver ends.
+
+    With ``buckets`` (number, column) the rows are bucketed, and ``table`` names them in the
+    session's catalog, so that a join on the column does not shuffle them again.
+    """
     spark = df.sparkSession
     folder = work_folder(spark, "table")
-    (df.write.partitionBy(by) if by else df.write).parquet(folder)
+    writer = df.write.partitionBy(by) if by else df.write
+    if buckets:
+        writer.bucketBy(*buckets).option("path", folder).saveAsTable(table)
+    else:
+        writer.parquet(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).deleteOnExit(path)
     return folder

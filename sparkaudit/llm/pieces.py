@@ -15,12 +15,13 @@ from __future__ import annotations
 
 import codecs
 import re
+import uuid
 import zlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +29,15 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..session import cut_lineage, release, shuffles_freed, write_work
 from .batches import cut, ddl, without
 
 MARK = "▁"
-BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 4_000_000, 500_000, 16_000_000, 4096, 2_000_000
+BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 12_000_000, 1_000_000, 16_000_000, 4096, 2_000_000
+SHORT, NEVER = 48, float("-inf")
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
@@ -79,16 +81,39 @@ class Pieces:
                 raise ValueError(f"{path}: not a BPE model with identity normaliser and leading marker")
         return model
 
-    def chunks(self, text: str) -> list[str]:
-        return _CHUNK.findall(MARK + text.replace(" ", MARK)) if text else []
-
     def encode(self, text: str) -> list[int]:
-        return [i for chunk in self.chunks(text) for i in self.segment(chunk)]
+        return [i for chunk in chunks(text) for i in self.segment(chunk)]
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of one chunk: the pair with the greatest score is merged first, the left one of equals."""
-        scores, parts = self.scores, list(chunk)
-        n = len(parts)
+        parts = list(chunk if chunk.startswith(MARK) else MARK + chunk)
+        merged = self._short(parts) if len(parts) <= SHORT else self._long(parts)
+        out: list[int] = []
+        for part in merged:
+            found = self.ids.get(part)
+            if found is None:
+                out += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
+            else:
+                out.append(found)
+        return out
+
+    def _short(self, parts: list[str]) -> list[str]:
+        """Merging by a scan of all pairs for the best one."""
+        score = self.scores.get
+        pairs = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) > NEVER:
+            i = pairs.index(best)
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = score(parts[i] + parts[i + 1], NEVER)
+            if i:
+                pairs[i - 1] = score(parts[i - 1] + parts[i], NEVER)
+        return parts
+
+    def _long(self, parts: list[str]) -> list[str]:
+        """Merging by a queue of pairs."""
+        scores, n = self.scores, len(parts)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(-s, i, 2) for i in range(n - 1) if (s := scores.get(parts[i] + parts[i + 1])) is not None]
         heapify(heap)
@@ -107,15 +132,7 @@ class Pieces:
             h = before[i]
             if h >= 0 and (s := scores.get(parts[h] + parts[i])) is not None:
                 heappush(heap, (-s, h, len(parts[h]) + len(parts[i])))
-        out: list[int] = []
-        for part in parts:
-            if part:
-                found = self.ids.get(part)
-                if found is None:
-                    out += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
-                else:
-                    out.append(found)
-        return out
+        return [part for part in parts if part]
 
     def decode(self, ids: Sequence[int]) -> str:
         """The text of ids: markers are spaces but for a leading one, bytes that are no UTF-8 a replacement each."""
@@ -129,6 +146,17 @@ class Pieces:
         return text[1:] if text.startswith(" ") and not self.raw[first] and first != self.unknown else text
 
 
+def chunks(text: str) -> list[str]:
+    """Chunks of a text in order: markers and what follows them; a single marker is left out, so no chunk has a space."""
+    if not text:
+        return []
+    words = text.split(" ")
+    if MARK not in text and "" not in words:
+        return words
+    found = _CHUNK.findall(MARK + text.replace(" ", MARK))
+    return [c if c.startswith(MARK, 1) else c[1:] for c in found]
+
+
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
@@ -160,38 +188,32 @@ class _Batch:
     def __init__(self):
         self.numbers, self.slices, self.size = _Codes(), [], 0
 
-    def add(self, model: Pieces, kept: pa.Array, texts: list) -> None:
+    def add(self, kept: pa.Array, texts: list) -> None:
         numbers = self.numbers
-        found = [[numbers[c] for c in model.chunks(t)] if t else [] for t in texts]
+        found = [[numbers[c] for c in chunks(t)] if t else [] for t in texts]
         sizes = np.array([len(f) for f in found], np.int32)
-        self.slices.append((kept, sizes, np.array([c for f in found for c in f], np.int64)))
+        self.slices.append((kept, sizes, np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))))
+        self.size += sum(len(t or "") for t in texts)
 
     def rows(self, buckets: int):
-        """(kind, bucket, n, data, sizes, kept): a list of chunks for each bucket, then the slices; codes follow the order of the lists."""
-        chunks = list(self.numbers)
-        own = np.array([zlib.crc32(c.encode("utf-8", "surrogatepass")) % buckets for c in chunks], np.int64)
-        order = sorted(range(len(chunks)), key=lambda i: (own[i], chunks[i]))
-        place = np.empty(len(chunks), np.int64)
-        place[order] = np.arange(len(chunks))
-        press = zstandard.ZstdCompressor(level=3)
-        edges = np.flatnonzero(np.diff(own[order], prepend=-1, append=-1)) if chunks else []
-        for a, b in zip(edges, edges[1:]):
-            text = "".join([_entry(chunks[i]) for i in order[a:b]])
-            yield 0, int(own[order[a]]), int(b - a), press.compress(text.encode("utf-8", "surrogatepass")), None, None
+        """(kind, bucket, n, data, sizes, kept): a sorted list of chunks for each bucket, then the slices; codes follow the order of the lists."""
+        lists: list[list] = [[] for _ in range(buckets)]
+        for chunk in self.numbers:
+            lists[zlib.crc32(chunk.encode("utf-8", "surrogatepass")) % buckets].append(chunk)
+        press, place, at = zstandard.ZstdCompressor(level=3), np.empty(len(self.numbers), np.uint32), 0
+        for bucket, own in enumerate(lists):
+            if own:
+                own.sort()
+                place[[self.numbers[c] for c in own]] = np.arange(at, at + len(own), dtype=np.uint32)
+                at += len(own)
+                yield 0, bucket, len(own), press.compress(" ".join(own).encode("utf-8", "surrogatepass")), None, None
         for kept, sizes, codes in self.slices:
             yield 1, buckets, len(sizes), _packed_codes(place[codes]) if len(codes) else b"", sizes, kept
 
 
-def _entry(chunk: str) -> str:
-    """A chunk inside a list: its one marker and the rest, or behind a marker and a null its markers as spaces."""
-    plain = chunk.count(MARK) == 1 and not chunk.startswith(MARK + "\0")
-    return chunk if plain else MARK + "\0" + chunk.replace(MARK, " ")
-
-
 def _listed(data: bytes) -> list[str]:
-    """Chunks of a list of entries."""
-    parts = zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass").split(MARK)[1:]
-    return [part[1:].replace(" ", MARK) if part.startswith("\0") else MARK + part for part in parts]
+    """Chunks of a list; a chunk has no space."""
+    return zstandard.ZstdDecompressor().decompress(data).decode("utf-8", "surrogatepass").split(" ")
 
 
 def _as_batches(docs: DataFrame, path: str, text: str, kept: list[str], buckets: int, batch_bytes: int) -> DataFrame:
@@ -204,7 +226,8 @@ def _as_batches(docs: DataFrame, path: str, text: str, kept: list[str], buckets:
     kinds = [to_arrow_type(f.dataType) for f in schema.fields]
 
     def run(parts):
-        model, batch, made = pieces(path), _Batch(), TaskContext.get().partitionId() << 32
+        pieces(path)  # an unfit model is refused before any work
+        batch, made = _Batch(), TaskContext.get().partitionId() << 32
 
         def flushed():
             for kind, bucket, n, data, sizes, rows in batch.rows(buckets):
@@ -216,9 +239,7 @@ def _as_batches(docs: DataFrame, path: str, text: str, kept: list[str], buckets:
 
         for whole in parts:
             for part in cut(whole, 1, min(SLICE_BYTES, batch_bytes)):
-                texts = part.column(1).to_pylist()
-                batch.add(model, part.column(0), texts)
-                batch.size += sum(len(t or "") for t in texts)
+                batch.add(part.column(0), part.column(1).to_pylist())
                 if batch.size >= batch_bytes:
                     yield from flushed()
                     batch, made = _Batch(), made + 1
@@ -239,13 +260,14 @@ def _segmented(lists: DataFrame, path: str, buckets: int) -> DataFrame:
             for bucket, data in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
                 if bucket != at or len(known) > MEMO:
                     at, known = bucket, {}
-                chunks = _listed(data)
-                for c in chunks:
+                own = _listed(data)
+                for c in own:
                     if c not in known:
-                        known[c] = np.array(model.segment(c), "<u4")
-                sizes = np.array([len(known[c]) for c in chunks], "<u4")
-                ids = np.concatenate([known[c] for c in chunks])
-                out.append(len(chunks).to_bytes(4, "little") + press.compress(sizes.tobytes() + _narrow(ids, model)))
+                        known[c] = model.segment(c)
+                ids = [known[c] for c in own]
+                sizes = np.array([len(i) for i in ids], "<u4")
+                flat = np.fromiter(chain.from_iterable(ids), "<u4", int(sizes.sum()))
+                out.append(len(own).to_bytes(4, "little") + press.compress(sizes.tobytes() + _narrow(flat, model)))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(out, pa.binary())], names=["batch", "bucket", "data"])
 
     met = lists.select("batch", "bucket", "data").repartition(buckets, "bucket").sortWithinPartitions("bucket")
@@ -286,49 +308,34 @@ def encode_texts(
     total = docs.agg(F.sum(F.octet_length(docs[text]).cast("bigint"))).first()[0] or 0
     buckets = max(16, min(MOST_BUCKETS, total // BUCKET_BYTES))
     rows = _as_batches(docs, path, text, kept, buckets, batch_bytes)
-    folder = write_work(rows, "kind")
-    schema = StructType([f for f in rows.schema.fields if f.name != "kind"])
-    if not total:  # no text: no list was written
-        lists = spark.createDataFrame([], "batch bigint, bucket int, data binary")
-    else:
-        listed = spark.read.schema(schema).parquet(f"{folder}/kind=0")
+    name = f"chunk_codes_{uuid.uuid4().hex[:12]}"
+    folder = write_work(rows, name, "kind", (max(1, min(MOST_BUCKETS, -(-total // batch_bytes))), "batch"))
+    if total:
+        listed = spark.read.schema(rows.drop("kind").schema).parquet(f"{folder}/kind=0")
         with shuffles_freed(spark):
             lists = cut_lineage(_segmented(listed, path, buckets))
         release(listed)
-    written = spark.read.schema(rows.schema).parquet(folder).where("kind = 1").drop("kind")
-    row = schema["kept"].dataType
-    back = lists.select("batch", "bucket", "data", F.lit(None).cast("array<int>").alias("sizes"), F.lit(None).cast(row).alias("kept"))
-    batches = max(1, min(MOST_BUCKETS, lists.select("batch").distinct().count()))
-    met = (
-        back.unionByName(written.select(*back.columns))
-        .repartition(batches, "batch").sortWithinPartitions("batch", "bucket")  # slices are behind all buckets
-    )
-    out = StructType([StructField("__kept", row.elementType), *ddl("token_ids array<int>, n_tokens bigint").fields])
-
-    def run(parts):
-        model, of, sizes, values, starts = pieces(path), None, [], [], None
-        for part in parts:
-            for batch, bucket, data, words, kept_rows in zip(*[part.column(i) for i in range(5)]):
-                if batch.as_py() != of:
-                    of, sizes, values, starts = batch.as_py(), [], [], None
-                if bucket.as_py() < buckets:
-                    size, ids = _told(data.as_py(), model)
-                    sizes.append(size)
-                    values.append(ids)
-                    continue
-                if starts is None:
-                    lengths = np.concatenate([*sizes, np.zeros(0, np.int64)])
-                    flat = np.concatenate([*values, np.zeros(0, np.int32)])
-                    starts = np.cumsum(lengths) - lengths
-                codes = _unpacked_codes(data.as_py()) if len(data.as_py()) else np.zeros(0, np.int64)
-                ids = flat[_spread(starts[codes], lengths[codes])] if len(codes) else np.zeros(0, np.int32)
-                upto = np.concatenate([[0], np.cumsum(lengths[codes])]) if len(codes) else np.zeros(1, np.int64)
-                cuts = upto[np.concatenate([[0], np.cumsum(words.values.to_numpy())])]
-                yield pa.RecordBatch.from_arrays([
-                    kept_rows.values, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(ids)), pa.array(np.diff(cuts)),
-                ], names=out.names)
+    else:  # no text: no list was written
+        lists = spark.createDataFrame([], "batch bigint, bucket int, data binary")
+    coded = spark.table(name).where("kind = 1").select("batch", "data", "sizes", "kept")
+    out = StructType([*rows.schema["kept"].dataType.elementType.fields, *ddl("token_ids array<int>, n_tokens bigint").fields])
+    arrow = to_arrow_schema(out)
 
-    return met.mapInArrow(run, out).select("__kept.*", "token_ids", "n_tokens")
+    def run(slices: pa.Table, own: pa.Table) -> pa.Table:
+        model = pieces(path)
+        told = [_told(data, model) for _, data in sorted(zip(own.column("bucket").to_pylist(), own.column("data").to_pylist()))]
+        lengths = np.concatenate([*[size for size, _ in told], np.zeros(0, np.int64)])
+        flat = np.concatenate([*[ids for _, ids in told], np.zeros(0, np.int32)])
+        starts, made = np.cumsum(lengths) - lengths, []
+        for data, words, rows_ in zip(slices.column("data").to_pylist(), slices.column("sizes"), slices.column("kept")):
+            codes = _unpacked_codes(data) if data else np.zeros(0, np.int64)
+            upto = np.concatenate([[0], np.cumsum(lengths[codes])])
+            cuts = upto[np.concatenate([[0], np.cumsum(words.values.to_numpy())])]
+            ids = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat[_spread(starts[codes], lengths[codes])]))
+            made.append(pa.Table.from_arrays([*rows_.values.flatten(), ids, pa.array(np.diff(cuts))], names=arrow.names))
+        return pa.concat_tables(made).cast(arrow) if made else arrow.empty_table()
+
+    return coded.groupBy("batch").cogroup(lists.groupBy("batch")).applyInArrow(run, out)
 
 
 def decode_ids(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFrame:

@@ -25,6 +25,7 @@ from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -36,7 +37,7 @@ from ..session import cut_lineage, release, shuffles_freed, write_work
 from .batches import cut, ddl, without
 
 MARK = "▁"
-BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 12_000_000, 1_000_000, 16_000_000, 4096, 2_000_000
+BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 8_000_000, 1_000_000, 16_000_000, 4096, 2_000_000
 SHORT, NEVER = 48, float("-inf")
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
@@ -348,7 +349,12 @@ def decode_ids(encoded: DataFrame, path: str, ids: str = "token_ids") -> DataFra
     def run(parts):
         model = pieces(path)
         for part in parts:
-            texts = [model.decode(row) if row else "" for row in part.column(place).to_pylist()]
+            column = part.column(place)
+            flat, ends = column.flatten().to_numpy(), np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy())
+            texts, start = [], 0
+            for end in ends.tolist():  # one text at a time: a batch of ids as Python numbers is ten times as large
+                texts.append(model.decode(flat[start:end].tolist()))
+                start = end
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return source.mapInArrow(run, schema)

@@ -77,7 +77,8 @@ class Cell:
         self.mean = mean + np.asarray(r.shift, float)
         self.train = _square(r.train_cross, width) - train_n * np.outer(mean, mean)
         self.test = cross - np.outer(sums, mean) - np.outer(mean, sums) + self.n * np.outer(mean, mean)
-        self.spread = np.diag(cross) - sums**2 / self.n
+        spread = np.diag(cross) - sums**2 / self.n
+        self.spread = np.where(spread > 1e-12 * np.diag(cross), spread, 0.0)  # what rounding leaves of a constant
 
     def ridge(self, features: Sequence[int], target: int, alpha: float) -> tuple[np.ndarray, float, float, float | None]:
         """Coefficients, intercept, RMSE and R2 on the test rows; without features the training mean."""
@@ -169,6 +170,28 @@ def ridge_fits(
     return cells.repartition(parts).mapInPandas(solve, schema)
 
 
+def ridge_all(df: DataFrame, features: Sequence[str], target: str, alpha: float = 1.0) -> DataFrame:
+    """The model of all rows as a table of one row: intercept and coefs."""
+    names = list(features)
+    width = len(names) + 1
+    whole = fold_moments(df.withColumn("__all", F.lit(0)), names, target, ["__all"])
+    moments = whole.selectExpr("*", "n AS train_n", "sums AS train_sums", "cross AS train_cross")
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [Cell(r, width).ridge(range(width - 1), width - 1, alpha) for r in pdf.itertuples(index=False)]
+            yield pd.DataFrame([(intercept, beta.tolist()) for beta, intercept, *_ in found], columns=["intercept", "coefs"])
+
+    return moments.mapInPandas(solve, "intercept double, coefs array<double>")
+
+
+def predict_all(df: DataFrame, model: DataFrame, features: Sequence[str]) -> DataFrame:
+    """``df`` with ``pred`` by a model of one row; rows with a missing feature have none."""
+    terms = sum((F.col("__coefs")[i] * F.col(c) for i, c in enumerate(features)), F.col("__intercept"))
+    one = model.select(F.col("intercept").alias("__intercept"), F.col("coefs").alias("__coefs"))
+    return df.crossJoin(F.broadcast(one)).withColumn("pred", terms).drop("__intercept", "__coefs")
+
+
 def linear_scores(
     folds: DataFrame, fitted: DataFrame, columns: Sequence[str], split: Sequence[str], per_pass: int = 20_000
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from . import infold
+from . import infold, robustness
 from .features import encode_category
 
 
@@ -204,6 +204,28 @@ def top_coefficients(df: DataFrame, fitted: PipelineModel, k: int = 8) -> DataFr
     return _ranked(df.sparkSession, names, _final(fitted).coefficients.toArray(), "coefficient", k)
 
 
+def permutation_importances(
+    df: DataFrame, key: str, numeric: Sequence[str], label: str, model: str, task: str, repeats: int = 10,
+    seeds: Sequence[int] = (42,), trees: int = 100, depth: int = 5,
+) -> DataFrame:
+    """Loss of accuracy (or R2) per seed and shuffled feature, one fit per seed on all rows.
+
+    Shuffled copies are scored by that fit; nothing is fitted again for them.
+    """
+    rows = cut_lineage(df.select(key, *numeric, F.col(label).cast("double").alias("label")).na.drop())
+    error = (F.col("label") - F.col("prediction")) * (F.col("label") - F.col("prediction"))
+    spread = F.nullif(F.var_pop("label") * F.count("label"), F.lit(0.0))
+    score = F.avg((F.col("label") == F.col("prediction")).cast("double")) if task == "classification" else 1 - F.sum(error) / spread
+    out = None
+    for seed in seeds:
+        n, std = _size_and_spread(rows.agg(*_label_moments()).collect())
+        stages = [VectorAssembler(inputCols=list(numeric), outputCol="features"), get_estimator(model, task, seed, trees, depth, n_rows=n, label_std=std)]
+        fitted = Pipeline(stages=stages).fit(rows)
+        part = robustness.permutation_importance(rows, key, numeric, fitted.transform, score, repeats, [seed])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def kmeans_scan(df: DataFrame, vector: str, ks: Sequence[int] = range(3, 9), seed: int = 42) -> DataFrame:
     """Silhouette for each k; the best one is marked."""
     data = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()

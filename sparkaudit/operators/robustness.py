@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash32, uniform
 from ..functions.ordered import hash_position
 from ..functions.quantiles import order_statistics, quantile_columns
+from ..session import cut_lineage
+from . import linear, signal
+from .folds import DEFAULT_SEEDS
 from .rates import drop_class
 
 MIN_SLICE = 30
@@ -82,6 +85,37 @@ def slice_scores(sliced: DataFrame, score: Column, label: str | None = "label")
     )
 
 
+def refitted_slices(
+    df: DataFrame, key: str, features: Sequence[str], target: str, k: int = 5, seeds: Sequence[int] = DEFAULT_SEEDS,
+) -> DataFrame:
+    """Ridge cross-validated inside each slice: column, slice, n, neg_root_mean_squared_error, r2 (means over seeds and folds).
+
+    Thirds go by the feature that correlates most with the target, halves by the first
+    feature. Moments are additive over (slice, seed, fold), so all refits of all slices cost
+    one pass. Slices of fewer than 30 rows are left out.
+    """
+    rows = cut_lineage(df.select(key, *features, target).na.drop())
+    best = signal.top_features(rows, features, target, 1).first()
+    chosen = best["feature"] if best else features[0]
+    thirds = third_slices(rows, chosen).withColumn("by", F.lit(chosen))
+    halves = half_slices(rows, features[0], key).withColumn("by", F.lit(features[0]))
+    labelled = thirds.unionByName(halves)
+    wide = labelled.withColumn("seed", F.explode(F.array(*[F.lit(s) for s in seeds])))
+    hashed = wide.withColumn("__h", hash32(F.col("seed"), F.col(key)))
+    ranked = hash_position(hashed, ["slice", "seed"], "__h", key, "__p")
+    folds = ranked.withColumn("fold", F.pmod("__p", F.lit(k)).cast("int"))
+    split = ["by", "slice", "seed", "fold"]
+    moments = cut_lineage(linear.fold_moments(folds, features, target, split))
+    sizes = moments.where(F.col("seed") == seeds[0]).groupBy("by", "slice").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_SLICE)
+    fits = sizes.select(
+        "by", "slice", F.lit("full").alias("fit"), F.lit(target).alias("target"), F.array(*[F.lit(c) for c in features]).alias("features")
+    )
+    fitted = linear.ridge_fits(moments, fits, [*features, target], split)
+    return fitted.join(sizes, ["by", "slice"]).groupBy(F.col("by").alias("column"), "slice", F.col("n")).agg(
+        F.avg(-F.col("rmse")).alias("neg_root_mean_squared_error"), F.avg("r2").alias("r2")
+    )
+
+
 def class_recall(preds: DataFrame) -> DataFrame:
     """Recall on the rarest and the most common class."""
     per_class = preds.groupBy("label").agg(
@@ -146,6 +180,19 @@ def permutation_importance(
     )
 
 
+def fitted_importance(
+    df: DataFrame, key: str, features: Sequence[str], target: str, repeats: int = 10, seeds: Sequence[int] = (42,),
+) -> DataFrame:
+    """Loss of R2 per seed and shuffled feature of a ridge model of all rows, fitted once."""
+    rows = cut_lineage(df.select(key, *[F.col(c).cast("double").alias(c) for c in features], F.col(target).cast("double").alias("label")).na.drop())
+    model = cut_lineage(linear.ridge_all(rows, features, "label"))
+    error = F.sum((F.col("label") - F.col("pred")) * (F.col("label") - F.col("pred")))
+    score = 1 - error / F.nullif(F.var_pop("label") * F.count("label"), F.lit(0.0))
+    return permutation_importance(
+        rows, key, features, lambda copies: linear.predict_all(copies, model, features), score, repeats, seeds
+    )
+
+
 def top3_stability(importances: DataFrame) -> DataFrame:
     """Most common ordered top-3 over the seeds, and how many seeds share it.
 

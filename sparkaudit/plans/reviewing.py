@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..operators import review
+from ..operators import review, robustness
 from ..sources.tables import read_table
 from . import views as v
 from .catalog import query
@@ -245,3 +245,96 @@ def l12_review(spark, sf):
         "run_id", "target", "scorer", "splitter", "g1", "g2", "g3", "g4", "g1_stability", "g2_ci_above_baseline", "g3_lofo",
         "statistical_verdict", "robustness_verdict",
     )
+
+
+# ---- slices and importance of the fitted model -------------------------------------
+
+SLICE_FEATURES = ["junk_share", "kchars"]
+CHOSEN = "(SELECT CASE WHEN abs(corr(junk_share, quality)) >= abs(corr(kchars, quality)) THEN 'junk_share' ELSE 'kchars' END FROM f)"
+
+
+def _slice_labels() -> str:
+    parts = ["low_33%", "mid_33%", "high_33%"]
+    third = "CASE WHEN v <= q[1] THEN '{}' WHEN v <= q[2] THEN '{}' ELSE '{}' END".format(*parts)
+    return f"""SELECT f.*, c AS col, 'by_' || c || '_' || {third} AS slice
+        FROM (SELECT *, {CHOSEN} AS c, CASE WHEN {CHOSEN} = 'junk_share' THEN junk_share ELSE kchars END AS v FROM f) f,
+             (SELECT quantile_cont(CASE WHEN {CHOSEN} = 'junk_share' THEN junk_share ELSE kchars END, [0.33, 0.67]) AS q FROM f)"""
+
+
+REFITTED = f"""WITH f AS (SELECT doc_id, junk_share, n_chars / 1000.0::DOUBLE AS kchars, quality::DOUBLE AS quality FROM v_quality WHERE junk_share IS NOT NULL),
+  labelled AS (
+    SELECT doc_id, junk_share AS a, kchars AS b, quality AS y, col, slice FROM ({_slice_labels()})
+    UNION ALL
+    SELECT doc_id, junk_share, kchars, quality, 'junk_share', 'by_junk_share_' || CASE WHEN row_number() OVER (ORDER BY junk_share, doc_id) > (count(*) OVER ()) // 2 THEN 'head_50%' ELSE 'tail_50%' END FROM f),
+  cells AS (SELECT *, (row_number() OVER (PARTITION BY slice, seed ORDER BY {v.h32("concat_ws(':', seed, doc_id)")}, doc_id) - 1) % 5 AS fold
+    FROM labelled, (SELECT unnest([0, 1, 7, 42, 123]) AS seed)),
+  tr AS (
+    SELECT s.col, s.slice, s.seed, s.fold, avg(a) AS ma, avg(b) AS mb, avg(y) AS my, var_pop(a) * count(*) + 1 AS aa, var_pop(b) * count(*) + 1 AS bb,
+           covar_pop(a, b) * count(*) AS ab, covar_pop(a, y) * count(*) AS ay, covar_pop(b, y) * count(*) AS b_y
+    FROM (SELECT DISTINCT col, slice, seed, fold FROM cells) s JOIN cells c ON c.slice = s.slice AND c.seed = s.seed AND c.fold <> s.fold GROUP BY ALL),
+  scored AS (
+    SELECT col, slice, seed, fold, count(*) AS n, sqrt(avg(e * e)) AS rmse, 1 - sum(e * e) / nullif(var_pop(y) * count(*), 0) AS r2
+    FROM (SELECT t.*, c.y, c.y - my - (ay * bb - b_y * ab) / (aa * bb - ab * ab) * (c.a - ma) - (b_y * aa - ay * ab) / (aa * bb - ab * ab) * (c.b - mb) AS e
+          FROM tr t JOIN cells c USING (slice, seed, fold)) GROUP BY ALL)
+  SELECT col AS "column", slice, sum(n) FILTER (seed = 42)::BIGINT AS n, round(avg(-rmse), 6) AS neg_root_mean_squared_error, round(avg(r2), 6) AS r2
+  FROM scored GROUP BY col, slice HAVING sum(n) FILTER (seed = 42) >= 30"""
+
+
+@query("l6_refitted_slices", REFITTED, views="v_quality")
+def l6_refitted(spark, sf):
+    """Ridge fitted anew inside thirds of the strongest feature and halves of the first one."""
+    found = robustness.refitted_slices(dataset(spark, sf).rows, "doc_id", SLICE_FEATURES, "quality")
+    return found.select("column", "slice", "n", F.round("neg_root_mean_squared_error", 6).alias("neg_root_mean_squared_error"), F.round("r2", 6).alias("r2"))
+
+
+SHUFFLED, REPEATS = ["junk_share", "kchars", "day"], 10
+
+
+def _cramer(column: int) -> str:
+    """Coefficient of a feature in the 3 x 3 normal equations; -1 is the determinant of the system."""
+    names = [["c11", "c12", "c13"], ["c12", "c22", "c23"], ["c13", "c23", "c33"]]
+    right = ["y1", "y2", "y3"]
+    m = [[right[i] if j == column else names[i][j] for j in range(3)] for i in range(3)]
+    return (f"({m[0][0]} * ({m[1][1]} * {m[2][2]} - {m[1][2]} * {m[2][1]}) - {m[0][1]} * ({m[1][0]} * {m[2][2]} - {m[1][2]} * {m[2][0]})"
+            f" + {m[0][2]} * ({m[1][0]} * {m[2][1]} - {m[1][1]} * {m[2][0]}))")
+
+
+def _moved(feature: int) -> str:
+    values = ", ".join(f"g.x{i} AS x{i}" if i == feature else f"t.x{i} AS x{i}" for i in (1, 2, 3))
+    return f"""SELECT '{SHUFFLED[feature - 1]}' AS feature, t.seed, repeat, t.y, {values} FROM ranked t, range({REPEATS}) r(repeat), ranked g
+      WHERE g.seed = t.seed AND g.p = (t.p + 1 + {v.h32("concat_ws(':', 'shift', t.seed, repeat)")} % greatest(t.n - 1, 1)) % t.n"""
+
+
+FITTED_IMPORTANCE = f"""WITH f AS (SELECT doc_id, junk_share AS x1, n_chars / 1000.0::DOUBLE AS x2, (doc_id % 30)::DOUBLE AS x3, quality::DOUBLE AS y FROM v_quality WHERE junk_share IS NOT NULL),
+  mo AS (SELECT avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3, avg(y) AS my, var_pop(x1) * count(*) + 1 AS c11, var_pop(x2) * count(*) + 1 AS c22, var_pop(x3) * count(*) + 1 AS c33,
+      covar_pop(x1, x2) * count(*) AS c12, covar_pop(x1, x3) * count(*) AS c13, covar_pop(x2, x3) * count(*) AS c23,
+      covar_pop(x1, y) * count(*) AS y1, covar_pop(x2, y) * count(*) AS y2, covar_pop(x3, y) * count(*) AS y3 FROM f),
+  line AS (SELECT *, {_cramer(0)} / {_cramer(-1)} AS b1, {_cramer(1)} / {_cramer(-1)} AS b2, {_cramer(2)} / {_cramer(-1)} AS b3 FROM mo),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY seed ORDER BY {v.h32("concat_ws(':', 'order', seed, doc_id)")}, doc_id) - 1 AS p, count(*) OVER (PARTITION BY seed) AS n
+      FROM f, (SELECT unnest([0, 1, 7, 42, 123]) AS seed)),
+  base AS (SELECT 1 - sum((y - my - b1 * (x1 - m1) - b2 * (x2 - m2) - b3 * (x3 - m3)) ** 2) / (var_pop(y) * count(*)) AS r2 FROM f, line),
+  moved AS ({" UNION ALL ".join(_moved(i) for i in (1, 2, 3))}),
+  scored AS (SELECT feature, seed, repeat, 1 - sum((y - my - b1 * (x1 - m1) - b2 * (x2 - m2) - b3 * (x3 - m3)) ** 2) / (var_pop(y) * count(*)) AS r2
+      FROM moved, line GROUP BY feature, seed, repeat),
+  importance AS (SELECT feature, seed, avg(base.r2 - scored.r2) AS importance FROM scored, base GROUP BY feature, seed)"""
+
+
+def fitted_importance(spark, sf):
+    return robustness.fitted_importance(dataset(spark, sf).rows, "doc_id", SHUFFLED, "quality", REPEATS, v.SEEDS)
+
+
+@query("l9_fitted_importance", f"{FITTED_IMPORTANCE} SELECT feature, seed, round(importance, 6) AS importance FROM importance", views="v_quality")
+def l9_fitted(spark, sf):
+    """Loss of R2 when a feature of the fitted ridge model is shuffled."""
+    return fitted_importance(spark, sf).select("feature", "seed", F.round("importance", 6).alias("importance"))
+
+
+@query(
+    "l10_fitted_top3",
+    f"""{FITTED_IMPORTANCE}, l AS (SELECT seed, string_agg(feature, ',' ORDER BY k) AS top3 FROM (
+          SELECT seed, feature, row_number() OVER (PARTITION BY seed ORDER BY round(importance, 9) DESC, feature) AS k FROM importance) WHERE k <= 3 GROUP BY seed)
+        SELECT top3, count(*) AS n_match, (SELECT count(*) FROM l) AS n_seeds FROM l GROUP BY top3 ORDER BY count(*) DESC, min(seed) LIMIT 1""",
+    views="v_quality",
+)
+def l10_fitted(spark, sf):
+    return robustness.top3_stability(fitted_importance(spark, sf).withColumn("importance", F.round("importance", 9)))

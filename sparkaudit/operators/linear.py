@@ -8,55 +8,79 @@ from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.gram import pair_sums
+
 SPLIT = ("seed", "fold")
 
 
 def fold_moments(
     folds: DataFrame, features: Sequence[str], target: str, split: Sequence[str] = SPLIT
 ) -> DataFrame:
-    """Count, sums and cross products of (features, target) per split.
+    """Count, sums and cross products of (features, target) per split, around ``shift``.
 
-    Values are shifted by their overall means first, so large offsets do not cancel.
-    Rows with a missing value are left out.
+    Matrix products per batch (``functions.gram``), so the plan does not grow with the number
+    of columns. Rows with a missing value are left out.
     """
-    cols = [*features, target]
-    rows = folds.na.drop(subset=cols)
-    means = rows.agg(*[F.avg(c).alias(f"__a{i}") for i, c in enumerate(cols)])
-    shifted = rows.crossJoin(F.broadcast(means)).select(
-        *split, *[(F.col(c) - F.col(f"__a{i}")).alias(f"__x{i}") for i, c in enumerate(cols)],
-        F.array(*[F.col(f"__a{i}") for i in range(len(cols))]).alias("shift"),
-    )
-    size = range(len(cols))
-    cross = [(i, j) for i in size for j in size if i <= j]
-    return shifted.groupBy(*split).agg(
-        F.count("*").alias("n"),
-        F.array(*[F.sum(f"__x{i}") for i in size]).alias("sums"),
-        F.array(*[F.sum(F.col(f"__x{i}") * F.col(f"__x{j}")) for i, j in cross]).alias("cross"),
-        F.first("shift").alias("shift"),
-    )
+    cols, split = [*features, target], list(split)
+    width = len(cols)
+    rows = folds.select(*split, *[_number(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    rows = rows.na.drop(subset=[f"x{i}" for i in range(width)])
+    sums = pair_sums(rows, [f"x{i}" for i in range(width)], split)
+    upper = np.triu_indices(width)
 
+    def whole(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("i")
+        shift, n = np.asarray(pdf["centre"].iloc[0], float), float(pdf["n"].iloc[0][0])
+        cross = np.empty((width, width))
+        for i, (centre, first, other, own) in enumerate(zip(pdf["centre"], pdf["first"], pdf["other"], pdf["cross"])):
+            by = np.asarray(centre, float) - shift
+            cross[i] = np.asarray(own) + by[i] * np.asarray(other) + by * np.asarray(first) + n * by[i] * by
+        by = np.asarray(pdf["centre"].iloc[0], float) - shift
+        total = np.asarray(pdf["other"].iloc[0], float) + n * by
+        return pd.DataFrame([(*key, int(n), total.tolist(), cross[upper].tolist(), shift.tolist())], columns=[*split, "n", "sums", "cross", "shift"])
 
-def _with_totals(moments: DataFrame, split: Sequence[str], width: int, expanding: Column | None = None) -> DataFrame:
-    """Add training moments next to the test ones: total over the other splits, or over the earlier ones where ``expanding``."""
-    *group, fold = split
-    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    before = w.orderBy(fold).rowsBetween(Window.unboundedPreceding, -1)
-    pairs = width * (width + 1) // 2
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in split) + ", n bigint, sums array<double>, cross array<double>, shift array<double>"
+    return sums.groupBy(*split).applyInPandas(whole, schema)
 
-    def train(own: Column) -> Column:
-        other = F.sum(own).over(w) - own
-        return other if expanding is None else F.when(expanding, F.coalesce(F.sum(own).over(before), F.lit(0))).otherwise(other)
 
-    def rest(name: str, length: int) -> Column:
-        return F.array(*[train(F.col(name)[i]) for i in range(length)])
+def _number(column: str) -> Column:
+    return F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
 
-    return moments.select(
-        "*", train(F.col("n")).alias("train_n"), rest("sums", width).alias("train_sums"),
-        rest("cross", pairs).alias("train_cross"),
-    )
+
+def _with_totals(moments: DataFrame, split: Sequence[str], width: int, expanding: Column | None = None) -> DataFrame:
+    """Add training moments next to the test ones: total over the other splits, or over the earlier ones where ``expanding``.
+
+    The splits of a group (folds of a seed) meet in one task, moved to one shift.
+    """
+    *group, fold = split
+    upper = np.triu_indices(width)
+    flagged = moments.withColumn("__e", F.lit(False) if expanding is None else expanding).withColumn("__g", F.lit(0))
+
+    def told(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(fold).reset_index(drop=True)
+        shift = np.asarray(pdf["shift"].iloc[0], float)
+        n = pdf["n"].to_numpy(float)
+        sums, cross = [], []
+        for count, s, c, own in zip(n, pdf["sums"], pdf["cross"], pdf["shift"]):
+            by, s, c = np.asarray(own, float) - shift, np.asarray(s, float), _square(c, width)
+            sums.append(s + count * by)
+            cross.append((c + np.outer(by, s) + np.outer(s, by) + count * np.outer(by, by))[upper])
+        sums, cross = np.array(sums), np.array(cross)
+        if pdf["__e"].iloc[0]:
+            train = [np.cumsum(x, 0) - x for x in (n, sums, cross)]
+        else:
+            train = [x.sum(0) - x for x in (n, sums, cross)]
+        pdf["sums"], pdf["cross"], pdf["shift"] = list(sums), list(cross), [shift] * len(pdf)
+        pdf["train_n"], pdf["train_sums"], pdf["train_cross"] = train[0].astype(int), list(train[1]), list(train[2])
+        return pdf.drop(columns=["__e", "__g"])
+
+    kinds = ", ".join(f"`{c}` {t}" for c, t in moments.dtypes)
+    schema = f"{kinds}, train_n bigint, train_sums array<double>, train_cross array<double>"
+    return flagged.groupBy("__g", *group).applyInPandas(told, schema)
 
 
 def _square(cross, width: int) -> np.ndarray:

@@ -3,41 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import gram
 from ..functions.moments import pearson
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """All pairwise-complete correlations from one scan, long form."""
-    pairs = list(combinations_with_replacement(columns, 2))
-    wide = df.agg(
-        *[
-            F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), pearson(F.col(a), F.col(b)).alias("r")).alias(f"p{i}")
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    cell = F.explode(F.array(*[F.col(f"p{i}") for i in range(len(pairs))])).alias("cell")
-    half = wide.select(cell).select("cell.*")
-    mirrored = half.where(F.col("x") != F.col("y")).select(
-        F.col("y").alias("x"), F.col("x").alias("y"), "r"
-    )
-    return half.unionByName(mirrored).withColumn("r", F.round("r", 3))
+    """All pairwise-complete correlations from one scan, long form; the plan does not grow with the columns."""
+    found = gram.correlations(gram.pair_sums(df, columns), columns)
+    return found.withColumn("r", F.round("r", 3))
 
 
 def target_correlation(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """|r| of each feature with the target, one scan."""
-    wide = df.agg(
-        *[
-            F.struct(F.lit(c).alias("feature"), F.abs(pearson(F.col(c), F.col(target))).alias("abs_r")).alias(f"p{i}")
-            for i, c in enumerate(features)
-        ]
-    )
-    cell = F.explode(F.array(*[F.col(f"p{i}") for i in range(len(features))])).alias("cell")
-    return wide.select(cell).select("cell.*")
+    """|r| of each feature with the target, one scan; value pairs are aggregated in long form."""
+    values = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features])
+    pairs = df.select(F.col(target).cast("double").alias("y"), F.explode(values).alias("f")).select("y", "f.*")
+    return pairs.groupBy("feature").agg(F.abs(pearson(F.col("x"), F.col("y"))).alias("abs_r"))
 
 
 def top_features(df: DataFrame, features: Sequence[str], target: str, k: int = 4) -> DataFrame:

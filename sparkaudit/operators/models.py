@@ -8,7 +8,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -16,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from . import infold, robustness
+from . import clusters, infold, robustness
 from .features import encode_category
 
 
@@ -227,15 +226,10 @@ def permutation_importances(
 
 
 def kmeans_scan(df: DataFrame, vector: str, ks: Sequence[int] = range(3, 9), seed: int = 42) -> DataFrame:
-    """Silhouette for each k; the best one is marked."""
+    """Silhouette for each k; the best one is marked. All clusterings are judged together (``clusters.silhouettes``)."""
     data = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features")).persist()
-    judge = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    rows = []
-    for k in ks:
-        fitted = KMeans(k=k, seed=seed, featuresCol="features").fit(data)
-        rows.append((int(k), float(judge.evaluate(fitted.transform(data))), float(fitted.summary.trainingCost)))
+    centres = {int(k): [c.tolist() for c in KMeans(k=k, seed=seed, featuresCol="features").fit(data).clusterCenters()] for k in ks}
     data.unpersist()
-    best = max(rows, key=lambda r: r[1])[0]
-    return df.sparkSession.createDataFrame(
-        [(k, s, c, k == best) for k, s, c in rows], "k int, silhouette double, cost double, is_best boolean"
-    )
+    judged = clusters.silhouettes(df, vector, centres)
+    best = judged.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("__best"))
+    return judged.crossJoin(F.broadcast(best)).select("k", "silhouette", "cost", (F.col("k") == F.col("__best")).alias("is_best"))

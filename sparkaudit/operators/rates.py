@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.quantiles import quantile_columns
+from ..session import cut_lineage
+
 
 def overall_rate(df: DataFrame, target: str) -> DataFrame:
     return df.agg(
@@ -72,12 +75,12 @@ def score_summary(scores: DataFrame, by: Sequence[str], value: str = "score") ->
 def boxplot_rows(scores: DataFrame, by: Sequence[str], value: str = "score") -> DataFrame:
     """Five numbers and the whiskers that reach at most 1.5 IQR beyond the box.
 
-    Works on distinct values with counts, so repeated scores do not grow the state.
+    Works on distinct values with counts, so repeated scores do not grow the state, and
+    quartiles come from sketch-cut buckets, so no group meets in one buffer.
     """
     by = list(by)
-    q = F.percentile(F.col(value), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("__n"))
-    counted = scores.groupBy(*by, value).agg(F.count("*").alias("__n"))
-    box = counted.groupBy(*by).agg(q.alias("__q"))
+    counted = cut_lineage(scores.groupBy(*by, value).agg(F.count("*").alias("__n")))
+    box = quantile_columns(counted, [value], [0.25, 0.5, 0.75], by, "__n").select(*by, F.col("q").alias("__q"))
     lo = F.col("__q")[0] - 1.5 * (F.col("__q")[2] - F.col("__q")[0])
     hi = F.col("__q")[2] + 1.5 * (F.col("__q")[2] - F.col("__q")[0])
     return (

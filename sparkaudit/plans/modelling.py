@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import linear, metrics, models, robustness
+from ..operators import clusters, linear, metrics, models, robustness
 from ..sources.tables import read_table
 from . import views as v
 from .catalog import query
@@ -103,6 +103,31 @@ def h12(spark, sf):
     return models.kmeans_scan(read_table(spark, sf, "embeddings"), "embedding")
 
 
+GIVEN = (3, 4, 5)
+
+#: Centres are the vectors with the smallest ids; squared distances by products of lists.
+SILHOUETTE = """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE embedding IS NOT NULL),
+  c AS (SELECT k, row_number() OVER (PARTITION BY k ORDER BY vec_id) - 1 AS cluster, x AS c
+        FROM (SELECT *, row_number() OVER (ORDER BY vec_id) AS r FROM e), (SELECT unnest([3, 4, 5]) AS k) WHERE r <= k),
+  a AS (SELECT k, vec_id, x, arg_min(cluster, (list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) ** 2)), cluster)) AS own,
+               min(list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) ** 2))) AS d FROM e, c GROUP BY ALL),
+  far AS (SELECT a.k, a.vec_id, a.own, b.own AS other, count(*) AS n, sum(list_sum(list_transform(range(1, 65), lambda i: (a.x[i] - b.x[i]) ** 2))) AS s
+          FROM a JOIN a b ON a.k = b.k GROUP BY ALL),
+  s AS (SELECT k, vec_id, max(n) FILTER (other = own) AS n, max(s / greatest(n - 1, 1)) FILTER (other = own) AS a, min(s / n) FILTER (other <> own) AS b FROM far GROUP BY k, vec_id)
+  SELECT s.k::INT AS k, round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette, round(any_value(cost), 4) AS cost
+  FROM s JOIN (SELECT k, sum(d) AS cost FROM a GROUP BY k) USING (k) GROUP BY s.k"""
+
+
+@query("i8_silhouettes", SILHOUETTE)
+def i8(spark, sf):
+    """Clusterings around given centres, judged together."""
+    vectors = read_table(spark, sf, "embeddings")
+    first = vectors.where(F.col("embedding").isNotNull()).orderBy("vec_id").limit(max(GIVEN)).collect()
+    centres = {k: [list(r["embedding"]) for r in first[:k]] for k in GIVEN}
+    found = clusters.silhouettes(vectors, "embedding", centres)
+    return found.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("cost", 4).alias("cost"))
+
+
 @query("h15_top_importances")
 def h15(spark, sf):
     df = v.quality(spark, sf)

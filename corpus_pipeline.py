@@ -37,7 +37,7 @@ def no_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds token ids (32-bit little-endian) and their number, checked by decoding them again."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    encoded = bpe.encode_texts(docs, path)
+    encoded = cut_lineage(bpe.encode_texts(docs, path))  # so that a task needs one Python worker, not two
     decoded = bpe.decode_ids(encoded, path)
     same = decoded["decoded"].eqNullSafe(decoded["text"]) | decoded["text"].isNull()
     return decoded.withColumn("round_trip", same).drop("decoded")

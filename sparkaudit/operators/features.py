@@ -57,7 +57,7 @@ def normalize_metric(name: Column) -> Column:
 
 
 def scorer_for(metric: Column, task: Column) -> Column:
-    """Scorer of a success metric; unknown names fall back on the task."""
+    """Scorer of a success metric; unknown names fall back on the task. Names and scorers are fixed values."""
     m = normalize_metric(F.coalesce(metric, F.lit("")))
     return (
         F.when(m.contains("AUC") | m.contains("ROC"), "roc_auc")

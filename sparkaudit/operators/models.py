@@ -29,6 +29,7 @@ def get_estimator(
     ``n_rows`` and scales the label of a regression by its spread; the penalty follows.
     """
     key = (name or "").upper()
+    # fixed values: parts of model names
     common = {"featuresCol": "features", "labelCol": label}
     boosted = any(k in key for k in ("XGB", "LIGHTGBM", "LGBM", "GRADIENTBOOSTING", "GBT"))
     if task == "classification":

@@ -50,7 +50,7 @@ class Review:
 
 
 def _family(model: Column, task: Column) -> Column:
-    """Kind of model behind a name; unknown names are a random forest."""
+    """Kind of model behind a name; unknown names are a random forest. The parts of names are fixed values."""
     name = F.upper(F.coalesce(model, F.lit("")))
     has = lambda *parts: F.greatest(*[name.contains(p).cast("int") for p in parts], F.lit(0)) == 1
     boosted = has("XGB", "LIGHTGBM", "LGBM", "GRADIENTBOOSTING", "GBT")

@@ -36,6 +36,7 @@ FEATURES = """(SELECT run_id, unnest(CASE WHEN json_valid(replace(bf, '''', '"')
      ELSE regexp_extract_all(bf, '[A-Za-z0-9_]+') END) AS feature
    FROM (SELECT run_id, trim(regexp_extract(text, 'best_features:\\s*([^\\n]+)', 1)) AS bf FROM v_cycles))"""
 
+# fixed values in the SQL: word lists and patterns of the checks, as in the operators
 M_SQL = {
     "m1": f"""SELECT f.run_id, 'M1' AS check_id, 'block' AS severity,
                 'corr(' || f.feature || ',l_extendedprice)=' || round(r.abs_r, 4)::VARCHAR AS evidence

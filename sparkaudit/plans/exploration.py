@@ -305,22 +305,22 @@ def c1(spark, sf):
     return fe.drop_missing(v.partly_labelled(spark, sf), ["quality"]).select("doc_id", "quality")
 
 
-@query("c2_threshold_label", "SELECT p_partkey, CASE WHEN p_size < 16 THEN 'child' ELSE 'adult' END AS size_group FROM part")
+@query("c2_threshold_label", "SELECT p_partkey, CASE WHEN p_size < 16 THEN 'small' ELSE 'large' END AS size_group FROM part")
 def c2(spark, sf):
     return v.brands(spark, sf).select(
-        "p_partkey", fe.threshold_label(F.col("p_size"), 16, "child", "adult").alias("size_group")
+        "p_partkey", fe.threshold_label(F.col("p_size"), 16, "small", "large").alias("size_group")
     )
 
 
 @query(
     "c3_family_size",
-    "SELECT o_orderkey, (o_orderkey % 4 + o_custkey % 3 + 1)::BIGINT AS family_size, "
-    "((o_orderkey % 4 + o_custkey % 3 + 1) = 1)::INT AS is_alone FROM orders",
+    "SELECT o_orderkey, (o_orderkey % 4 + o_custkey % 3 + 1)::BIGINT AS n_parts, "
+    "((o_orderkey % 4 + o_custkey % 3 + 1) = 1)::INT AS is_single FROM orders",
 )
 def c3(spark, sf):
     size = F.col("o_orderkey") % 4 + F.col("o_custkey") % 3 + 1
     return read_table(spark, sf, "orders").select(
-        "o_orderkey", size.alias("family_size"), fe.flag(size == 1).alias("is_alone")
+        "o_orderkey", size.alias("n_parts"), fe.flag(size == 1).alias("is_single")
     )
 
 
@@ -345,13 +345,13 @@ def c6(spark, sf):
     return fe.fold_rare_by_count(df, "p_brand", 80).select("p_partkey", "kind", F.col("p_brand").alias("brand"))
 
 
-EDGES, NAMES = [0, 10, 20, 30, 40], ["child", "young", "mid", "senior"]
+EDGES, NAMES = [0, 10, 20, 30, 40], ["tiny", "small", "medium", "large"]
 
 
 @query(
     "c7_cut",
-    """SELECT p_partkey, CASE WHEN p_size > 0 AND p_size <= 10 THEN 'child' WHEN p_size > 10 AND p_size <= 20 THEN 'young'
-              WHEN p_size > 20 AND p_size <= 30 THEN 'mid' WHEN p_size > 30 AND p_size <= 40 THEN 'senior'
+    """SELECT p_partkey, CASE WHEN p_size > 0 AND p_size <= 10 THEN 'tiny' WHEN p_size > 10 AND p_size <= 20 THEN 'small'
+              WHEN p_size > 20 AND p_size <= 30 THEN 'medium' WHEN p_size > 30 AND p_size <= 40 THEN 'large'
               ELSE 'unknown' END AS size_bin FROM part""",
 )
 def c7(spark, sf):

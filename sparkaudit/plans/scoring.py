@@ -309,6 +309,17 @@ def h11_pred(spark, sf):
     return baselines.as_preds(scored, "quality", "Ridge", "doc_id", "quality")
 
 
+RIDGE2_ROWS = RIDGE2[: RIDGE2.rindex("SELECT seed, fold, feature_set, count(*)")] + """SELECT seed, fold, doc_id AS row_id, quality::DOUBLE AS label,
+       round(my + ca * (junk_share - ma) + cb * (n_chars / 1000.0::DOUBLE - mb), 6) AS pred
+    FROM co JOIN v_folds USING (seed, fold) WHERE feature_set = 'full'"""
+
+
+@query("h11_ridge_rows", RIDGE2_ROWS, views="v_folds")
+def h11_rows(spark, sf):
+    """Out-of-fold prediction of every row."""
+    return h11_pred(spark, sf).select("seed", "fold", "row_id", "label", F.round("pred", 6).alias("pred"))
+
+
 # ---- metrics ----------------------------------------------------------------------
 
 

@@ -144,6 +144,45 @@ def k5(spark, sf):
     return significance.signed_rank(d).select("run_id", "baseline", "w_plus", "n_nonzero")
 
 
+def normal_tail(z: str) -> str:
+    """P(Z > z) in SQL, by the series of the error function whose terms are all positive."""
+    terms, c = [], 1.0
+    for i in range(140):
+        c = c * 2 / (2 * i + 1) if i else 1.0
+        terms.append(f"{c!r}::DOUBLE")
+    x = f"(abs({z}) / sqrt(2.0::DOUBLE))"
+    series = f"list_sum(list_transform([{', '.join(terms)}], lambda c, i: c * power({x}, 2 * i - 1)))"
+    half = f"(exp(-{x} * {x}) / sqrt(pi()) * {series})"
+    return f"CASE WHEN {z} > 0 THEN 0.5 - {half} ELSE 0.5 + {half} END"
+
+
+# ways to reach each sum of ranks 1 .. n, for the exact tail; ties and zeros take the normal one
+SIGNED_RANK_P = f"""WITH RECURSIVE r AS (
+      SELECT run_id, baseline, d, a, rank() OVER (PARTITION BY run_id, baseline ORDER BY a) + (count(*) OVER (PARTITION BY run_id, baseline, a) - 1) / 2.0::DOUBLE AS r
+      FROM (SELECT *, abs(d) AS a FROM (SELECT run_id, baseline, round(d, 9) AS d FROM ({ONE_SEED}))) WHERE a > 0),
+    t AS (SELECT run_id, baseline, sum(c * c * c - c) AS ties FROM (SELECT run_id, baseline, a, count(*) AS c FROM r GROUP BY ALL) GROUP BY ALL),
+    z AS (SELECT run_id, baseline, count(*) AS n_zero FROM ({ONE_SEED}) WHERE round(d, 9) = 0 GROUP BY ALL),
+    w AS (SELECT run_id, baseline, coalesce(sum(r) FILTER (d > 0), 0) AS w_plus, count(*) AS n FROM r GROUP BY ALL),
+    ways AS (SELECT 0 AS m, [1.0::DOUBLE] AS x UNION ALL
+      SELECT m + 1, list_transform(range(1, len(x) + m + 2), lambda i: coalesce(x[i], 0) + CASE WHEN i > m + 1 THEN coalesce(x[i - m - 1], 0) ELSE 0 END) FROM ways WHERE m < 25),
+    told AS (SELECT w.*, coalesce(ties, 0) AS ties, coalesce(n_zero, 0) AS n_zero, list_sum(x[ceil(w_plus)::INT + 1:]) / list_sum(x) AS exact,
+        (w_plus - n * (n + 1) / 4.0::DOUBLE) / sqrt(n * (n + 1) * (2 * n + 1) / 24.0::DOUBLE - coalesce(ties, 0) / 48.0::DOUBLE) AS z
+      FROM w JOIN ways ON ways.m = w.n LEFT JOIN t USING (run_id, baseline) LEFT JOIN z USING (run_id, baseline))
+    SELECT run_id, baseline, w_plus, round(CASE WHEN ties = 0 AND n_zero = 0 THEN exact ELSE {normal_tail('z')} END, 6) AS p_wilcoxon FROM told"""
+
+
+@query("k5_wilcoxon_p", SIGNED_RANK_P, views="v_folds")
+def k5_tail(spark, sf):
+    """Signed-rank statistic with its one-sided p."""
+    found = significance.signed_rank_p(significance.signed_rank(diffs(spark, sf).withColumn("d", F.round("d", 9))))
+    return found.select("run_id", "baseline", "w_plus", F.round("p_wilcoxon", 6).alias("p_wilcoxon"))
+
+
+@query("k3_normality_p", f"SELECT run_id, baseline, round({normal_tail(Z25)}, 6) AS p_norm FROM ({W25})", views="v_folds")
+def k3_tail(spark, sf):
+    return significance.normality(diffs(spark, sf)).select("run_id", "baseline", F.round("p_norm", 6).alias("p_norm"))
+
+
 @query("k5_signed_rank_p")
 def k5_p(spark, sf):
     return significance.signed_rank_p(significance.signed_rank(diffs(spark, sf)))

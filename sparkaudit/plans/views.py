@@ -313,6 +313,7 @@ def with_views(names: list[str], sql: str) -> str:
     if not order:
         return sql
     body = sql.lstrip()
-    more = body.upper().startswith("WITH ")
+    head = "WITH RECURSIVE " if body.upper().startswith("WITH RECURSIVE ") else "WITH "
+    more = body.upper().startswith(head)
     joined = ",\n".join(f"{n} AS ({VIEW_SQL[n]})" for n in order)
-    return f"WITH {joined}" + (",\n" + body[5:] if more else "\n" + body)
+    return head + joined + (",\n" + body[len(head) :] if more else "\n" + body)

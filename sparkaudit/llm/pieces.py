@@ -37,7 +37,7 @@ from ..session import cut_lineage, release, shuffles_freed, write_work
 from .batches import cut, ddl, without
 
 MARK = "▁"
-BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 8_000_000, 1_000_000, 16_000_000, 4096, 2_000_000
+BATCH_BYTES, SLICE_BYTES, BUCKET_BYTES, MOST_BUCKETS, MEMO = 32_000_000, 1_000_000, 16_000_000, 4096, 2_000_000
 SHORT, NEVER = 48, float("-inf")
 _CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 

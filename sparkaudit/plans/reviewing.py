@@ -112,38 +112,57 @@ SCORES = f"""sys AS (
 REVIEW = "target, scorer, splitter, f1, f2"
 
 
-def _normal_weights() -> str:
-    """Weights of the normality test for five values, from its published polynomials."""
-    m = [NormalDist().inv_cdf((i - 0.375) / 5.25) for i in range(1, 6)]
-    mm = sum(x * x for x in m)
-    last = float(np.polyval(tails.LAST_WEIGHT, 1 / math.sqrt(5)) + m[-1] / math.sqrt(mm))
-    scale = math.sqrt((mm - 2 * m[-1] ** 2) / (1 - 2 * last**2))
-    return "[" + ", ".join(f"{w!r}::DOUBLE" for w in (-last, m[1] / scale, m[2] / scale, m[3] / scale, last)) + "]"
+def _by_n(made) -> str:
+    """A value for three, four or five folds; a fold may lack a score."""
+    return f"CASE n WHEN 3 THEN {made(3)} WHEN 4 THEN {made(4)} ELSE {made(5)} END"
 
 
-#: One-sided p with four degrees of freedom, the normality test as its threshold on z, shuffles for what is not normal.
+def _normal_weights(n: int) -> str:
+    """Weights of the normality test, from its published polynomials."""
+    m = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    last, _, scale = tails.shapiro_weights(n, sum(x * x for x in m), m[-1], m[-2])
+    return "[" + ", ".join(f"{w!r}::DOUBLE" for w in (-last, *[x * scale for x in m[1:-1]], last)) + "]"
+
+
+def _edge(n: int) -> str:
+    return f"({tails.SMALL_GAMMA[1] + n * tails.SMALL_GAMMA[0]!r} - ln(1 - w))"
+
+
+def _z(n: int) -> str:
+    """z of W for four or five values; three have a p of their own, here as its distance from 0.05."""
+    if n == 3:
+        return "0.05 - greatest(6 / pi() * (asin(sqrt(w)) - asin(sqrt(0.75))), 0)"
+    mean, sd = float(np.polyval(tails.SMALL_MEAN, n)), math.exp(np.polyval(tails.SMALL_LOG_SD, n))
+    return f"CASE WHEN {_edge(n)} <= 0 THEN 9 ELSE (-ln({_edge(n)}) - {mean!r}) / {sd!r} - {NormalDist().inv_cdf(0.95)!r} END"
+
+
+#: One-sided tails of the t statistic with two, three and four degrees of freedom.
+T_TAIL = {
+    3: "0.5 - t / (2 * sqrt(2 + t * t))",
+    4: "0.5 - (atan(t / sqrt(3)) + sin(atan(t / sqrt(3))) * cos(atan(t / sqrt(3)))) / pi()",
+    5: "0.5 - 0.5 * sin(atan(t / 2)) * (1 + 0.5 * cos(atan(t / 2)) ** 2)",
+}
+#: The normality test as its threshold on z, shuffles for what is not normal; fewer than three folds are not tested.
 TESTS = f"""diffs AS (
     SELECT {", ".join(f"b.{c}" for c in REVIEW.split(", "))}, n.baseline, b.seed, b.fold, b.score AS best, n.score AS base, b.score - n.score AS d
     FROM best b JOIN naive n USING (target, scorer, splitter, f1, f2, seed, fold)),
   s AS (
-    SELECT {REVIEW}, baseline, avg(d) AS lift, avg(base) AS base, stddev_samp(d) AS sd, avg(d) / (nullif(stddev_samp(d), 0) / sqrt(count(*))) AS t,
+    SELECT {REVIEW}, baseline, count(*) AS n, avg(d) AS lift, avg(base) AS base, stddev_samp(d) AS sd, avg(d) / (nullif(stddev_samp(d), 0) / sqrt(count(*))) AS t,
            list_sort(list(d)) AS ds, var_pop(d) * count(*) AS ss FROM diffs GROUP BY ALL),
-  w AS (SELECT *, least(list_sum(list_transform(ds, lambda x, i: x * {_normal_weights()}[i])) ** 2 / nullif(ss, 0), 1.0) AS w FROM s),
-  z AS (SELECT *, CASE WHEN w IS NULL OR w >= 1 THEN 0 WHEN {tails.SMALL_GAMMA[1]} + 5 * {tails.SMALL_GAMMA[0]} - ln(1 - w) <= 0 THEN 9
-             ELSE (-ln({tails.SMALL_GAMMA[1]} + 5 * {tails.SMALL_GAMMA[0]} - ln(1 - w)) - {float(np.polyval(tails.SMALL_MEAN, 5))!r}) / {math.exp(np.polyval(tails.SMALL_LOG_SD, 5))!r} END AS z FROM w),
-  chosen AS (SELECT *, CASE WHEN z <= {NormalDist().inv_cdf(0.95)!r} THEN 'paired_t' ELSE 'permutation' END AS test, atan(t / 2) AS th FROM z),
+  w AS (SELECT *, least(list_sum(list_transform(ds, lambda x, i: x * ({_by_n(_normal_weights)})[i])) ** 2 / nullif(ss, 0), 1.0) AS w FROM s),
+  chosen AS (SELECT *, CASE WHEN n < 3 THEN 'insufficient' WHEN w IS NULL OR w >= 1 THEN 'paired_t' WHEN {_by_n(_z)} <= 0 THEN 'paired_t' ELSE 'permutation' END AS test FROM w),
   odd AS (SELECT d.*, row_number() OVER (PARTITION BY {REVIEW}, baseline ORDER BY seed, fold) - 1 AS idx FROM diffs d JOIN chosen c USING ({REVIEW}, baseline) WHERE test = 'permutation'),
   pool AS (SELECT {REVIEW}, baseline, 2 * idx AS item, best AS v FROM odd UNION ALL SELECT {REVIEW}, baseline, 2 * idx + 1, base FROM odd),
   mixed AS (SELECT {REVIEW}, baseline, perm, v, row_number() OVER (PARTITION BY {REVIEW}, baseline, perm ORDER BY {v.h32("concat_ws(':', 42, perm, item)")}, item) AS pos FROM pool, range(10000) r(perm)),
   perm AS (SELECT {REVIEW}, baseline, avg((round(g, 12) >= round(lift, 12))::INT) AS p_perm
-           FROM (SELECT {REVIEW}, baseline, perm, avg(v) FILTER (pos <= 5) - avg(v) FILTER (pos > 5) AS g FROM mixed GROUP BY ALL) JOIN chosen USING ({REVIEW}, baseline) GROUP BY ALL),
-  draws AS (SELECT {REVIEW}, baseline, rep, {v.h32("concat_ws(':', 42, rep, draw)")} % 5 AS idx
-            FROM (SELECT DISTINCT {REVIEW}, baseline FROM diffs), range(2000) a(rep), range(5) b(draw)),
+           FROM (SELECT {REVIEW}, baseline, perm, avg(v) FILTER (2 * pos <= size) - avg(v) FILTER (2 * pos > size) AS g FROM (SELECT *, count(*) OVER (PARTITION BY {REVIEW}, baseline, perm) AS size FROM mixed) GROUP BY ALL) JOIN chosen USING ({REVIEW}, baseline) GROUP BY ALL),
+  draws AS (SELECT {REVIEW}, baseline, rep, {v.h32("concat_ws(':', 42, rep, draw)")} % n AS idx
+            FROM (SELECT {REVIEW}, baseline, count(*) AS n FROM diffs GROUP BY ALL), range(2000) a(rep), range(5) b(draw) WHERE draw < n),
   numbered AS (SELECT *, row_number() OVER (PARTITION BY {REVIEW}, baseline ORDER BY seed, fold) - 1 AS idx FROM diffs),
   ci AS (SELECT {REVIEW}, baseline, quantile_cont(m, 0.025) AS ci_low FROM (
            SELECT {REVIEW}, baseline, rep, avg(d) AS m FROM draws JOIN numbered USING ({REVIEW}, baseline, idx) GROUP BY {REVIEW}, baseline, rep) GROUP BY ALL),
   tested AS (
-    SELECT *, CASE test WHEN 'permutation' THEN p_perm ELSE coalesce(0.5 - 0.5 * sin(th) * (1 + 0.5 * cos(th) ** 2), CASE WHEN lift > 0 THEN 0 WHEN lift < 0 THEN 1 END) END AS p,
+    SELECT *, CASE test WHEN 'permutation' THEN p_perm WHEN 'paired_t' THEN coalesce({_by_n(T_TAIL.get)}, CASE WHEN lift > 0 THEN 0 WHEN lift < 0 THEN 1 END) END AS p,
            lift / CASE WHEN abs(base) > 1e-9 THEN abs(base) ELSE 1 END * 100 AS pct, coalesce(lift / nullif(sd, 0), 0) AS cohen
     FROM chosen JOIN ci USING ({REVIEW}, baseline) LEFT JOIN perm USING ({REVIEW}, baseline)),
   gates AS (
@@ -158,8 +177,8 @@ STABLE = f"""left_out AS (
     SELECT {REVIEW}, feature, avg(score) AS score, any_value(fs) - avg(score) AS drop, coalesce((any_value(fs) - avg(score)) / nullif(abs(any_value(fs)), 0) * 100, 0) AS drop_pct
     FROM left_out JOIN (SELECT {REVIEW}, avg(score) AS fs FROM best GROUP BY ALL) USING ({REVIEW}) GROUP BY {REVIEW}, feature),
   placed AS (SELECT *, row_number() OVER (PARTITION BY {REVIEW} ORDER BY seed, fold) - 1 AS idx FROM best),
-  boot AS (SELECT {REVIEW}, rep, {v.h32("concat_ws(':', 42, rep, draw)")} % 25 AS idx
-           FROM (SELECT DISTINCT {REVIEW} FROM best), range(2000) a(rep), range(25) b(draw)),
+  boot AS (SELECT {REVIEW}, rep, {v.h32("concat_ws(':', 42, rep, draw)")} % n AS idx
+           FROM (SELECT {REVIEW}, count(*) AS n FROM best GROUP BY ALL), range(2000) a(rep), range(25) b(draw) WHERE draw < n),
   low AS (SELECT {REVIEW}, quantile_cont(m, 0.025) AS ci_low FROM (
             SELECT {REVIEW}, rep, avg(score) AS m FROM boot JOIN placed USING ({REVIEW}, idx) GROUP BY {REVIEW}, rep) GROUP BY ALL),
   stable AS (
@@ -192,7 +211,7 @@ def j1_fitted(spark, sf):
     data = {"documents": dataset(spark, sf)}
     asked = review.requests(plans, runs.selectExpr("c_custkey AS run_id", f"{CYCLE_TEXT} AS text"), data).where("status = 'ok'")
     wanted = asked.select("unit", "review", "dataset", "task", "target", "scorer", "family", "splitter", "features").distinct()
-    scores = review.score_units(wanted, data, 5, v.SEEDS)
+    scores = review.score_units(wanted, data, 5, v.SEEDS).where("score is not null")
     full = review.feature_sets(wanted).where("left_out is null")
     return full.join(scores, ["fit", "scorer", "splitter"]).select(
         "target", "scorer", "splitter", F.array_join("features", ",").alias("features"), "seed", "fold", F.round("score", 6).alias("score")

@@ -53,7 +53,7 @@ def to_number(text: Column) -> Column:
 
 
 def normalize_metric(name: Column) -> Column:
-    return F.regexp_replace(F.upper(name), r"[\s_\-]", "")
+    return F.translate(F.upper(name), " \t\n\x0b\f\r_-", "")
 
 
 def scorer_for(metric: Column, task: Column) -> Column:

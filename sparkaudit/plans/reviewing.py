@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..functions import tails
 from ..operators import review, robustness
-from ..sources.tables import read_table
+from ..session import cut_lineage
+from ..sources.tables import read_table, spread
 from . import views as v
 from .catalog import query
 
@@ -37,11 +38,15 @@ def dataset(spark, sf) -> review.Dataset:
     return review.Dataset(rows, "doc_id", COLUMNS)
 
 
-def reviewed(spark, sf) -> review.Review:
-    runs = read_table(spark, sf, "customer")
+def notes_of(spark, sf):
+    """Plans and loop notes of all runs."""
+    runs = spread(read_table(spark, sf, "customer").select("c_custkey"), "c_custkey")
     plans = runs.selectExpr("c_custkey AS run_id", "'documents' AS dataset", f"{PLAN_TEXT} AS text")
-    cycles = runs.selectExpr("c_custkey AS run_id", f"{CYCLE_TEXT} AS text")
-    return review.review(plans, cycles, {"documents": dataset(spark, sf)})
+    return plans, runs.selectExpr("c_custkey AS run_id", f"{CYCLE_TEXT} AS text")
+
+
+def reviewed(spark, sf) -> review.Review:
+    return review.review(*notes_of(spark, sf), {"documents": dataset(spark, sf)})
 
 
 # ---- the same in SQL: closed forms for up to two features ------------------------
@@ -206,11 +211,8 @@ def _shown(found: review.Review, df):
 )
 def j1_fitted(spark, sf):
     """Scores of every unit that the plans ask for, fitted once however many runs share it."""
-    runs = read_table(spark, sf, "customer")
-    plans = runs.selectExpr("c_custkey AS run_id", "'documents' AS dataset", f"{PLAN_TEXT} AS text")
     data = {"documents": dataset(spark, sf)}
-    asked = review.requests(plans, runs.selectExpr("c_custkey AS run_id", f"{CYCLE_TEXT} AS text"), data).where("status = 'ok'")
-    wanted = asked.select("unit", "review", "dataset", "task", "target", "scorer", "family", "splitter", "features").distinct()
+    wanted = review.wanted_units(cut_lineage(review.requests(*notes_of(spark, sf), data)))
     scores = review.score_units(wanted, data, 5, v.SEEDS).where("score is not null")
     full = review.feature_sets(wanted).where("left_out is null")
     return full.join(scores, ["fit", "scorer", "splitter"]).select(

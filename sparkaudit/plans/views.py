@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.ordered import position
 from ..operators.folds import seeded_folds, stratified_kfold
 from ..operators.iteration import with_progress
-from ..sources.tables import read_table
+from ..sources.tables import read_table, spread
 
 JUNK = "#*%$!"
 
@@ -169,7 +169,8 @@ EDA_TEXT = """concat('## notes', chr(10),
 
 def run_texts(spark: SparkSession, sf: str, text: str) -> DataFrame:
     """(run_id, text) with one of the text expressions above."""
-    return read_table(spark, sf, "orders").selectExpr("o_orderkey AS run_id", f"{text} AS text")
+    runs = read_table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return spread(runs, "o_orderkey").selectExpr("o_orderkey AS run_id", f"{text} AS text")
 
 
 # ---- logs, votes, numbers -----------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,17 +30,22 @@ def read_texts(spark: SparkSession, folder: str, pattern: str = "*") -> DataFram
     )
 
 
-def key_lines(text: Column) -> list[Column]:
-    """Keys and values of all ``key: value`` lines of a plan, last line first."""
-    pattern = F.lit(rf"(?m)^[ \t]*(?:- )?({'|'.join(PLAN_KEYS)}):([^\r\n]*)")
-    part = lambda group: F.reverse(F.regexp_extract_all(text, pattern, F.lit(group)))
-    return [part(1).alias("__keys"), part(2).alias("__values")]
+def unless(missing: Column, value, found: Column) -> Column:
+    """``found``, or ``value`` where a plain search tells that its pattern has no match; a NULL text goes to the pattern."""
+    return F.when(missing, value).otherwise(found)
+
+
+def key_lines(text: Column) -> Column:
+    """All ``key: value`` lines of a plan from the key on, last line first; read by one pass of the pattern."""
+    pattern = F.lit(rf"(?m)^[ \t]*(?:- )?((?:{'|'.join(PLAN_KEYS)}):[^\r\n]*)")
+    return F.reverse(F.regexp_extract_all(text, pattern, F.lit(1))).alias("__lines")
 
 
 def line_value(key: str) -> Column:
     """Value of the last line of a key."""
     at = F.nullif(F.array_position("__keys", key), F.lit(0).cast("bigint")).cast("int")
-    return F.trim(F.try_element_at(F.col("__values"), at), F.lit(" \t"))
+    line = F.try_element_at(F.col("__lines"), at)
+    return F.trim(F.substring(line, F.lit(len(key) + 2), F.length(line)), F.lit(" \t"))
 
 
 def first_value(text: Column, key: str) -> Column:
@@ -76,16 +83,17 @@ def front_matter(text: Column) -> Column:
 
 
 def plan_info(plans: DataFrame, key: str = "run_id", text: str = "text") -> DataFrame:
-    t = F.col(text)
+    t, small = F.col(text), F.lower(text)
     constraints = F.regexp_extract_all(t, F.lit(r"(?m)^[ \t]*- constraints:[ \t]*([^\r\n]*)"), F.lit(1))
     found = plans.select(
         key,
-        *key_lines(t),
-        constraints.alias("constraints"),
-        t.rlike(TIME_SERIES).alias("is_time_series"),
-        t.rlike(IMBALANCED).alias("is_imbalanced_hint"),
+        key_lines(t),
+        unless(~t.contains("- constraints:"), F.array().cast("array<string>"), constraints).alias("constraints"),
+        ((small.contains("time") | t.contains("시계열")) & t.rlike(TIME_SERIES)).alias("is_time_series"),
+        ((small.contains("imbalance") | t.contains("불균형")) & t.rlike(IMBALANCED)).alias("is_imbalanced_hint"),
     )
-    return found.select(
+    keyed = found.withColumn("__keys", F.transform("__lines", lambda x: F.substring_index(x, ":", 1)))
+    return keyed.select(
         key, *[line_value(k).alias(k) for k in PLAN_KEYS], "constraints", "is_time_series", "is_imbalanced_hint"
     )
 
@@ -96,12 +104,14 @@ def cycle_info(cycles: DataFrame, key: str = "run_id", text: str = "text") -> Da
         key,
         *[first_value(t, k).alias(k) for k in BEST_KEYS],
         t.contains("fold_excluded").alias("fold_excluded"),
-        F.regexp_extract_all(t, F.lit(HYPOTHESIS_ID), F.lit(1)).alias("hypothesis_ids"),
+        unless(
+            ~t.contains("hypothesis"), F.array().cast("array<string>"), F.regexp_extract_all(t, F.lit(HYPOTHESIS_ID), F.lit(1))
+        ).alias("hypothesis_ids"),
     ).withColumn("best_features_list", parse_list(F.col("best_features")))
 
 
 def excluded_features(notes: DataFrame, key: str = "run_id", text: str = "text") -> DataFrame:
-    inner = F.regexp_extract(text, EXCLUDED, 1)
+    inner = unless(~F.lower(text).contains("excluded"), F.lit(""), F.regexp_extract(text, EXCLUDED, 1))
     parts = F.transform(F.split(inner, ","), lambda s: F.regexp_replace(F.trim(s), "^['\"]+|['\"]+$", ""))
     return notes.select(key, F.when(inner != "", parts).otherwise(F.array().cast("array<string>")).alias("excluded"))
 
@@ -113,7 +123,7 @@ SEED_42 = r"random_state\s*=\s*42"
 ROOTED_PATH = r"""(?m)^["']/(?:Users|tmp|home|content)"""
 ROOTED_PATH_ANYWHERE = r"""["']/(?:Users|tmp|home|content)"""
 HOME_PATH = r"~/?[A-Za-z0-9_]+"
-IMPUTES = r"\.fillna\(|SimpleImputer|KNNImputer|IterativeImputer"
+IMPUTES = (".fillna(", "SimpleImputer", "KNNImputer", "IterativeImputer")
 SCORING = r"""scoring\s*=\s*['"]([^'"]+)['"]"""
 SPLIT_CALL = r"train_test_split[A-Za-z0-9_.]*\s*\("
 FIT_CALL = r"fit_transform[A-Za-z0-9_.]*\s*\("
@@ -129,27 +139,34 @@ def script_flags(
 ) -> DataFrame:
     """Lint flags of each script; one pass over the text, no explode.
 
-    Comments and definitions are blanked once, then the calls are located.
+    Comments and definitions are blanked once, then the calls are located. A pattern is run
+    only on texts that hold its fixed part.
     """
     t = F.col(text)
-    code = F.regexp_replace(F.regexp_replace(t, r"#[^\n]*", ""), r"def\s+[A-Za-z0-9_]+", "")
-    rooted = ROOTED_PATH_ANYWHERE if anywhere else ROOTED_PATH
-    flags = scripts.select(key, t.alias("__text"), code.alias("__code"))
-    t = F.col("__text")
+    bare = unless(~t.contains("#"), t, F.regexp_replace(t, r"#[^\n]*", ""))
+    flags = scripts.select(key, t.alias("__text"), bare.alias("__bare"))
+    t, bare, none = F.col("__text"), F.col("__bare"), F.lit(0)
+    code = unless(~bare.contains("def"), bare, F.regexp_replace(bare, r"def\s+[A-Za-z0-9_]+", ""))
+    flags = flags.select(key, "__text", code.alias("__code"))
+    code = F.col("__code")
+    rooted = F.regexp_count(t, F.lit(ROOTED_PATH_ANYWHERE if anywhere else ROOTED_PATH))
     flags = flags.select(
         key,
         "__code",
-        F.regexp_instr("__code", F.lit(SPLIT_CALL)).alias("__split_at"),
-        F.regexp_instr("__code", F.lit(FIT_CALL)).alias("__fit_at"),
-        F.regexp_count(t, F.lit(SEED_42)).alias("random_state_count"),
-        (F.regexp_count(t, F.lit(rooted)) + F.regexp_count(t, F.lit(HOME_PATH))).alias("abs_path_count"),
+        unless(~code.contains("train_test_split"), none, F.regexp_instr(code, F.lit(SPLIT_CALL))).alias("__split_at"),
+        unless(~code.contains("fit_transform"), none, F.regexp_instr(code, F.lit(FIT_CALL))).alias("__fit_at"),
+        unless(~t.contains("random_state"), none, F.regexp_count(t, F.lit(SEED_42))).alias("random_state_count"),
+        (
+            unless(~(t.contains("'/") | t.contains('"/')), none, rooted)
+            + unless(~t.contains("~"), none, F.regexp_count(t, F.lit(HOME_PATH)))
+        ).alias("abs_path_count"),
         (t.contains("font.family") & (t.contains("AppleGothic") | t.contains("NanumGothic"))).alias("has_font"),
-        t.rlike(IMPUTES).alias("has_impute"),
+        reduce(Column.__or__, [t.contains(x) for x in IMPUTES]).alias("has_impute"),
         t.contains("StratifiedKFold").alias("uses_stratified_kfold"),
-        t.rlike(r"\bKFold\b").alias("uses_kfold"),
+        (t.contains("KFold") & t.rlike(r"\bKFold\b")).alias("uses_kfold"),
         t.contains("TimeSeriesSplit").alias("uses_timeseries_split"),
         t.contains("train_test_split").alias("uses_train_test_split"),
-        t.rlike(r"shuffle\s*=\s*True").alias("uses_shuffle_true"),
+        (t.contains("shuffle") & t.rlike(r"shuffle\s*=\s*True")).alias("uses_shuffle_true"),
         F.nullif(F.regexp_extract(t, SCORING, 1), F.lit("")).alias("metric_score_used"),
     )
     lined = flags.withColumns({"split_line": _newlines_before("__split_at"), "fit_line": _newlines_before("__fit_at")})

@@ -19,6 +19,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return nan_to_null(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The rows dealt out by ``key``, for costly steps per row: a small file is read by a task or two.
+
+    What joins on the key later need not be shuffled again.
+    """
+    return df.repartition(key)
+
+
 def read_delimited(
     spark: SparkSession, folder: str, schema: StructType | str, header: bool = True
 ) -> DataFrame:

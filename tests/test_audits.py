@@ -149,3 +149,36 @@ def test_text_files_and_latest(spark, tmp_path):
     assert [r["text"] for r in texts] == ["line 1\nline 2\n"]
     listed = notebooks.list_files(spark, str(tmp_path), "*.md").collect()
     assert listed[0]["path"].endswith("one.md")
+
+
+def test_patterns_run_only_where_their_fixed_part_is(spark):
+    texts = {
+        "odd": "\t- goal: a: b \n-goal: no\ngoal:\n  success_metric:\tR2\t\n- constraints:  none \nTIME Series, Class  Imbalance",
+        "near": "my goal: x\ntimer, class\nseries", "last": "goal: 1\ngoal: 2\n시계열 불균형", "empty": "", "null": None,
+    }
+    df = spark.createDataFrame(list(texts.items()), "run_id string, text string")
+    got = {r.run_id: r for r in notes.plan_info(df).collect()}
+    assert [(r, got[r].goal, got[r].success_metric, got[r].constraints, got[r].is_time_series, got[r].is_imbalanced_hint) for r in texts] == [
+        ("odd", "", "R2", ["none "], True, True), ("near", None, None, [], False, False), ("last", "2", None, [], True, True),
+        ("empty", None, None, [], False, False), ("null", None, None, None, None, None),
+    ]
+    script = "# fit_transform(a)\ndef train_test_split(x):\nb = fit_transform (x)\nc = train_test_split(b)\n'/tmp/x'\n~/y\nMyKFold"
+    found = spark.createDataFrame([("s", script), ("n", None)], "run_id string, text string")
+    got = {r.run_id: r for r in notes.script_flags(found).collect()}
+    s, n = got["s"], got["n"]
+    assert (s.fit_line, s.split_line, s.fit_before_split, s.abs_path_count, s.uses_kfold, s.has_impute) == (3, 4, True, 2, False, False)
+    assert (n.fit_line, n.random_state_count, n.uses_kfold, n.has_impute, n.uses_shuffle_true) == (None, None, None, None, None)
+
+
+def test_notes_of_a_small_file_are_read_by_many_tasks(spark, tmp_path):
+    from sparkaudit.plans import reviewing, views
+
+    spark.createDataFrame([(i, "1-URGENT") for i in range(50)], "o_orderkey bigint, o_orderpriority string").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(i,) for i in range(50)], "c_custkey bigint").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        texts = views.run_texts(spark, str(tmp_path), views.PLAN_TEXT)
+        plans, cycles = reviewing.notes_of(spark, str(tmp_path))
+        assert all(df.rdd.getNumPartitions() > 1 and df.count() == 50 for df in (texts, plans, cycles))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -104,8 +104,11 @@ def tables_asked(plans: DataFrame, tables: Mapping[str, DataFrame]) -> list[tupl
     """
     known = [(name, c) for name, df in tables.items() for c in df.columns]
     columns = plans.sparkSession.createDataFrame(known, "dataset string, target_variable string")
-    named = plans.join(F.broadcast(columns), ["dataset", "target_variable"])  # one row per column
-    rows = named.groupBy("dataset", "target_variable").agg(F.bool_or(F.col("analysis_type") == "classification").alias("c"))
+    own = ["dataset", "target_variable"]
+    named = plans.groupBy(*own).agg(F.bool_or(F.col("analysis_type") == "classification").alias("c")).alias("p")
+    # <=>, as "=" would have every note parsed once more to leave out NULL targets; the columns have none
+    same = F.col("p.dataset").eqNullSafe(F.col("k.dataset")) & F.col("p.target_variable").eqNullSafe(F.col("k.target_variable"))
+    rows = named.join(F.broadcast(columns.alias("k")), same).select("p.*")  # one row per column
     return sorted((r["dataset"], r["target_variable"], bool(r["c"])) for r in rows.collect())
 
 

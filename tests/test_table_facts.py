@@ -74,3 +74,18 @@ def test_scores_at_the_edge_of_a_limit(spark):
     assert flags == [[], [], ["score not reproduced"]]
     seeds = spark.createDataFrame([(1, s, x) for s, x in enumerate((0.80, 0.81, 0.82))], "run_id int, seed int, score double")
     assert trust.cv_stability(seeds).first().cv_stability == "OK"  # exactly 0.01
+
+
+def test_notes_are_read_once_for_the_targets_asked(spark, tables):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def target(run):
+        read.add(1)
+        return ["price", "coin", None][run % 3]
+
+    plans = spark.range(30).select(
+        F.col("id").alias("run_id"), F.lit("cars").alias("dataset"), target("id").alias("target_variable"), F.lit("classification").alias("analysis_type")
+    )
+    assert am.tables_asked(plans, tables) == [("cars", "coin", True), ("cars", "price", True)]
+    assert read.value == 30

@@ -75,5 +75,7 @@ def add_columns(
                     yield pa.RecordBatch.from_arrays(arrays, names=schema.names)
         finally:
             getattr(mapper, "done", lambda: None)()
+            whole = part = texts = made = arrays = None
+            pa.default_memory_pool().release_unused()  # an idle worker keeps no batches
 
     return source.mapInArrow(run, schema)

@@ -26,7 +26,6 @@ def _small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
-
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents that are more likely of the lowest grade than above it."""
     _small_batches(spark)

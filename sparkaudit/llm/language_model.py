@@ -136,7 +136,8 @@ def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _sequences(docs: DataFrame, marks, length: int, text: str, whole: bool) -> DataFrame:
-    """(key, context, suffix, c) by slice of texts, of what ``marks`` may have: with ``whole`` the sequence, else both its parts."""
+    """By slice of texts, of what ``marks`` may have: (key, context, suffix, c) of sequences in it if ``whole``, else (key, c) where both parts are."""
+    names = ["key", "c", "context", "suffix"][: 4 if whole else 2]
 
     def count(parts):
         field, memo = np.frombuffer(marks.value, np.int64), WordKeys()
@@ -149,14 +150,14 @@ def _sequences(docs: DataFrame, marks, length: int, text: str, whole: bool) -> D
                 own = _longer(suffix, keys, length)
                 often = _marked(field, own if whole else suffix)
                 use = np.flatnonzero(often[1:] & (True if whole else often[:-1]) & (place[1:] >= length - 1)) + 1
-                own, at, c = np.unique(own[use], return_index=True, return_counts=True)
-                at = use[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (own, suffix[at - 1], suffix[at], c.astype(np.int64))],
-                    names=["key", "context", "suffix", "c"],
-                )
+                if whole:
+                    own, at, c = np.unique(own[use], return_index=True, return_counts=True)
+                    made = (own, c, suffix[use[at] - 1], suffix[use[at]])
+                else:
+                    made = np.unique(own[use], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in made], names=names)
 
-    return docs.select(text).mapInArrow(count, "key bigint, context bigint, suffix bigint, c bigint")
+    return docs.select(text).mapInArrow(count, ", ".join(f"{x} bigint" for x in names))
 
 
 def count_sequences(docs: DataFrame, shorter: DataFrame, length: int, total: int, text: str = "text") -> DataFrame:
@@ -305,12 +306,13 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
         values.where(~is_hot).select("key", F.lit(None).cast("bigint").alias("c"), (F.col("back") + F.col("gain")).alias("v"))
     )
     longest = len(tree.levels) + 1
-    model = context.broadcast((key, c, *tree.table(), _marks(lookups, n)))
+    # A successor has a value only after a kept context, frequent or not: most tokens follow none and ask for nothing.
+    model = context.broadcast((key, c, *tree.table(), _marks(lookups, n), _marks(values.where("back != 0"), n)))
     log_known, log_unknown = math.log10(known), math.log10(unknown)
 
     def make():
-        hot_keys, hot_counts, tree_keys, tree_logs, marks = model.value
-        field, memo = np.frombuffer(marks, np.int64), WordKeys()
+        hot_keys, hot_counts, tree_keys, tree_logs, *marks = model.value
+        (field, begun), memo = (np.frombuffer(x, np.int64) for x in marks), WordKeys()
         plus_one, plain = np.log10(hot_counts + 1.0), np.log10(np.maximum(hot_counts, 1.0))
 
         def piece(texts):
@@ -324,12 +326,15 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
             tree_sum = np.zeros(len(texts))
             own, asked = keys, []
             for length in range(1, longest + 1):
+                before = own
                 if length > 1:
                     own = _longer(own, keys, length)
                 there = np.flatnonzero(place >= length - 1)
                 at, found = _lookup(tree_keys, own[there])
                 tree_sum += np.bincount(text_of[there[found]], tree_logs[at[found]] if len(tree_logs) else None, minlength=len(texts))
                 cold = there[_marked(field, own[there])]
+                if length > 1:
+                    cold = cold[_marked(begun, own[cold]) | _marked(begun, before[cold - 1])]
                 asked.append((text_of[cold], own[cold]))
             which, wanted = (np.concatenate(x) for x in zip(*asked))
             return (

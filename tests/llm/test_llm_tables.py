@@ -276,3 +276,44 @@ def test_stages_take_an_empty_table(spark):
     for name, stage in corpus_pipeline.STAGES:
         if name != "pii":  # trains for seconds; its empty table is tested with a smaller tagger
             assert stage(spark, none, FOLDER).count() == 0, name
+
+
+def test_stages_hand_out_small_batches(spark, docs):
+    """Long texts reach Python in batches of a few MB, not in one of 10 000 rows or 64 MB; a smaller setting stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def run(parts):
+        for part in parts:
+            yield language_model.pa.RecordBatch.from_arrays([language_model.pa.array([part.nbytes])], names=["n"])
+
+    table = docs([(i, "word " * 20_000) for i in range(200)])
+    try:
+        out = corpus_pipeline.tokens(spark, table, FOLDER)
+        assert out.where("round_trip").count() == 200
+        sizes = [r.n for r in table.select("text").coalesce(1).mapInArrow(run, "n bigint").collect()]
+        assert sum(sizes) >= 20_000_000 and max(sizes) < 5_000_000
+        spark.conf.set(name, "1000000")
+        corpus_pipeline.no_benchmark(spark, table, FOLDER)
+        assert spark.conf.get(name).rstrip("b") == "1000000"
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_lookups_are_asked_after_kept_contexts_only(docs, monkeypatch):
+    """A sequence that has a value is joined where its context is kept; words in random order ask for no more than that."""
+    asked, written = [], language_model.cut_lineage
+    monkeypatch.setattr(language_model, "HOT_SHARE", 2.0)
+
+    def spy(rows):
+        out = written(rows)
+        asked.extend(r for r in out.select("tokens", "cold").collect()) if "cold" in out.columns else None
+        return out
+
+    marks = language_model._marks
+    monkeypatch.setattr(language_model, "cut_lineage", spy)
+    # A field so full that it tells nothing: the second one, of the kept contexts, must hold.
+    monkeypatch.setattr(language_model, "_marks", lambda rows, n: b"\xff" * 1024 if "v" in rows.columns else marks(rows, n))
+    rng = random.Random(8)
+    language_model.score(docs([(i, " ".join(rng.choice("abcdefgh") for _ in range(50))) for i in range(40)]), docs([(1, "a b c")])).collect()
+    assert asked and all(len(r.cold) <= r.tokens + 1 for r in asked)

@@ -24,7 +24,7 @@ from .batches import add_columns
 SPACE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 
-#: Pieces up to this many characters are remembered, up to this many at a time; as many pairs, too.
+#: Pieces up to this many characters are remembered, up to this many at a time (those not asked for go first); as many pairs, too.
 MEMO_CHARS, MEMO_PIECES = 48, 300_000
 
 
@@ -75,6 +75,7 @@ class Encoder:
         special = set(vocabulary.special.values())
         usable = [i for i, t in enumerate(vocabulary.tokens) if t and i not in special]
         self.alone = {i for i in usable if i not in self.halves} | {i for i in self.halves if self._holds(i)}
+        self.whole = {vocabulary.tokens[i]: i for i in self.alone}
         self.automaton = ahocorasick.Automaton()
         for i in usable:
             token = vocabulary.tokens[i]
@@ -83,14 +84,18 @@ class Encoder:
         self.pre_token = regex.compile(PRE_TOKEN)
         self.piece = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
         self.split = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
-        self.fits: dict[int, bool] = {}
+        self.fits: dict[int, dict[int, bool]] = {}
+        self.n_fits = 0
         self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def forget(self) -> None:
         """Drops what was remembered, so that an idle worker holds the vocabulary alone."""
         self.memo.clear()
+        self.older.clear()
         self.fits.clear()
+        self.n_fits = 0
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging by rank; only ever applied to the bytes of one token."""
@@ -148,12 +153,17 @@ class Encoder:
                 left = last[start]
                 if left < 0:
                     continue
-                pair = left << 20 | token
-                fit = fits.get(pair)
+                after = fits.get(left)
+                if after is None:
+                    after = fits[left] = {}
+                fit = after.get(token)
                 if fit is None:
-                    if len(fits) >= MEMO_PIECES:
+                    if self.n_fits >= MEMO_PIECES:
                         fits.clear()
-                    fit = fits[pair] = self.compatible(left, token)
+                        self.n_fits, after = 0, {}
+                        fits[left] = after
+                    self.n_fits += 1
+                    fit = after[token] = self.compatible(left, token)
                 if not fit:
                     continue
             elif token not in alone:
@@ -166,29 +176,47 @@ class Encoder:
             end -= lengths[token]
         return ids[::-1]
 
+    def word_ids(self, word: str) -> bytes:
+        """Packed ids of a pre-token, which may be a token as it stands."""
+        packed = self.older.get(word)
+        if packed is None:
+            data = word.encode()
+            token = self.whole.get(data)
+            ids = self.pre_token_ids(data) if token is None else [token]
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        return self.remember(word, packed)
+
+    def remember(self, piece: str, packed: bytes) -> bytes:
+        if len(piece) <= MEMO_CHARS:
+            if len(self.memo) >= MEMO_PIECES // 2:
+                self.memo, self.older = {}, self.memo
+            self.memo[piece] = packed
+        return packed
+
     def piece_ids(self, piece: str) -> bytes:
         """A run of white space with the run of other characters behind it.
 
         A pre-token never reaches from a visible character into white space, so pieces
-        can be encoded, and remembered, on their own.
+        can be encoded, and remembered, on their own. A pre-token is a piece of itself, so the
+        words of a piece are remembered beside it: before a comma and before a full stop they are the same.
         """
-        ids = [i for word in self.pre_token.findall(piece) for i in self.pre_token_ids(word.encode())]
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= MEMO_CHARS:
-            if len(self.memo) >= MEMO_PIECES:
-                self.memo.clear()
-            self.memo[piece] = packed
-        return packed
+        packed = self.older.get(piece)
+        if packed is None:
+            words = self.pre_token.findall(piece)
+            if len(words) == 1:
+                return self.word_ids(words[0])
+            packed = b"".join([self.memo.get(word) or self.word_ids(word) for word in words])
+        return self.remember(piece, packed)
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        out, memo = [], self.memo
+        out = []
         for part in self.split.split(text) if self.split else [text]:
             if self.split and part in self.vocabulary.special:
                 out.append(np.array([self.vocabulary.special[part]], dtype="<u4").tobytes())
                 continue
             for piece in self.piece.findall(part):
-                ids = memo.get(piece)
+                ids = self.memo.get(piece)
                 out.append(self.piece_ids(piece) if ids is None else ids)
         return b"".join(out)
 

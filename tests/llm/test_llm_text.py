@@ -45,6 +45,20 @@ def test_pairs_are_compatible_where_merging_says_so(encoder):
         assert encoder.compatible(a, b) == (joined == [a, b])
 
 
+def test_a_word_is_encoded_once_whatever_follows_it(monkeypatch):
+    """And what is remembered stays bounded, with the same ids."""
+    own = bpe.Encoder(bpe.Vocabulary.read(PATH))
+    solved, solve = [], own.pre_token_ids
+    own.pre_token_ids = lambda data: (solved.append(data), solve(data))[1]
+    own.encode("zqxw zqxwv, zqxwv. zqxwv; zqxwv! zqxwv")
+    assert solved.count(b" zqxwv") == 1
+    text = " ".join(f"w{i % 37}x{i % 11}{'.,;'[i % 3]}" for i in range(2000))
+    want = own.encode(text)
+    monkeypatch.setattr(bpe, "MEMO_PIECES", 20)
+    own.forget()
+    assert own.encode(text) == want and len(own.memo) + len(own.older) <= 20
+
+
 def test_encode_odd_rows(docs):
     out = bpe.decode_ids(bpe.encode_texts(docs(ODD), PATH), PATH).collect()
     assert sorted(r.decoded for r in out) == sorted(t or "" for _, t in ODD)

@@ -15,7 +15,6 @@ context and its successor over backing off.
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -23,8 +22,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, release, shuffles_freed
+from ..session import cut_lineage, release, shuffles_freed, small_batches
 from .batches import add_columns, without
+from .packed import bucket_of, buckets, fields, mixed, pack, pack_table, runs, small, sums, unpack
 
 #: Words of the longest context; occurrences that a word, a context and a successor need.
 DEPTH, LEAST = 4, 2
@@ -34,26 +34,56 @@ HOT_SHARE = 1e-6
 MIN_GAIN, MIN_DIVERGENCE = 12.0, 0.003
 #: Symbol numbers of the frequent part: 0 none, 1 any other word, 2 the start; words and the end from 3 on.
 RARE, START = 1, 2
-END_KEY, START_KEY, MEMO = 0, -1, 300_000
+END_KEY, START_KEY = 0, -1
 #: Most bits of the field that tells which keys a table may have; characters of texts read at once.
 MARKS, SLICE_CHARS = 1 << 28, 2_000_000
+#: Symbols counted at once; bytes hashed at once.
+SLICE_SYMBOLS, BLOCK = 1 << 19, 1 << 17
+#: Bytes of a word from which on its key is a digest.
+LONG = 64
 _FACTORS = np.random.default_rng(3).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
-
-
-def _tokens(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").lower().split()
-
-
-class WordKeys(dict):
-    """Non-zero 63-bit keys of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        key = (xxhash.xxh3_64_intdigest(word) >> 1) or 1
-        if len(self) >= MEMO:
-            self.clear()
-        if len(word) < 64:
-            self[word] = key
-        return key
+_LETTERS = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)[np.frombuffer(bytes(range(256)).lower(), np.uint8)]
+_IS_WORD = np.array([not bytes([i]).isspace() for i in range(256)], np.int8)
+_BASE = 0x5851F42D4C957F2D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base ** i modulo 2 ** 64 for i < n; those for a usual block are kept."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.full(max(n, 2 * BLOCK), base, np.uint64)
+        held[0] = 1
+        held = np.cumprod(held, dtype=np.uint64)
+        if len(held) == 2 * BLOCK:
+            _POWERS[base] = held
+    return held[:n]
+
+
+def _block_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Of every word: non-zero 63-bit keys of its bytes in lower case, and where it begins."""
+    letters = np.frombuffer(data, np.uint8)
+    edges = np.diff(np.concatenate([[0], _IS_WORD[letters], [0]]).astype(np.int8))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    totals = np.append(np.uint64(0), np.cumsum(_LETTERS[letters] * _powers(_BASE, len(letters)), dtype=np.uint64))
+    keys = mixed((totals[ends] - totals[starts]) * _powers(_INVERSE, len(letters))[starts]) >> np.uint64(1)
+    for i in np.flatnonzero(ends - starts >= LONG).tolist():  # sums of powers are for short words
+        keys[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].lower()) >> 1
+    return np.maximum(keys, np.uint64(1)).astype(np.int64), starts
+
+
+def _word_keys(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and beginnings of all words, block by block; no block ends inside a word."""
+    made, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+    while at < len(data):
+        end = at + BLOCK
+        while end < len(data) and _IS_WORD[data[end]]:
+            end += 1
+        keys, starts = _block_keys(data[at:end])
+        made.append((keys, starts + at))
+        at = end
+    return tuple(np.concatenate(x) for x in zip(*made))
 
 
 def _slices(texts: list[str]):
@@ -68,27 +98,24 @@ def _slices(texts: list[str]):
         yield texts[start:]
 
 
-def _read(texts: list[str], memo: WordKeys) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _read(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, words and end of every text in a row: keys, places in the text; and where each text begins."""
-    flat, first = [], []
-    for text in texts:
-        first.append(len(flat))
-        flat += (START_KEY, *[memo[w] for w in _tokens(text)], END_KEY)
-    first = np.array(first, np.int64)
-    sizes = np.diff(np.append(first, len(flat)))
-    return np.array(flat, np.int64), np.arange(len(flat)) - np.repeat(first, sizes), first
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return x ^ (x >> np.uint64(29))
+    parts = [t.encode("utf-8", "surrogatepass") for t in texts]
+    keys, starts = _word_keys(b" ".join(parts))
+    before = np.searchsorted(starts, np.cumsum([0, *[len(x) + 1 for x in parts]]))  # words before each text
+    sizes = np.diff(before) + 2
+    first = np.cumsum(sizes) - sizes
+    flat = np.full(sizes.sum(), END_KEY, np.int64)
+    flat[first] = START_KEY
+    flat[np.arange(len(keys)) + np.repeat(2 * np.arange(len(texts)) + 1, sizes - 2)] = keys
+    return flat, np.arange(len(flat)) - np.repeat(first, sizes), first
 
 
 def _longer(shorter: np.ndarray, keys: np.ndarray, length: int) -> np.ndarray:
     """Keys of the ``length`` symbols up to each place, from the keys of one symbol less."""
     older = np.zeros(len(keys), np.uint64)
     older[length - 1 :] = keys[: max(0, len(keys) - length + 1)].view(np.uint64)
-    return _mixed((shorter.view(np.uint64) * _FACTORS[0]) ^ _mixed(older + _FACTORS[length])).view(np.int64)
+    return mixed((shorter.view(np.uint64) * _FACTORS[0]) ^ mixed(older + _FACTORS[length])).view(np.int64)
 
 
 def _lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -111,102 +138,237 @@ def _marks(rows: DataFrame, most: int) -> bytes:
     return field.tobytes()
 
 
+def _field_of(keys: np.ndarray) -> np.ndarray:
+    """The bit field of few keys: most of the others are told apart by it, without a search."""
+    bits = 1 << min(25, max(16, (16 * len(keys)).bit_length()))
+    spots = np.zeros(bits, np.uint8)
+    spots[keys & (bits - 1)] = 1
+    return np.packbits(spots, bitorder="little").view(np.int64)
+
+
 def _marked(field: np.ndarray, keys: np.ndarray) -> np.ndarray:
     h = keys & (64 * len(field) - 1)
     return ((field[h >> 6] >> (h & 63)) & 1).astype(bool)
 
 
-def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
+def read_symbols(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(symbols) of each text: 64-bit keys of its start, words and end, read once for all counts."""
+
+    def read(parts):
+        for part in parts:
+            for texts in _slices([t or "" for t in part.column(0).to_pylist()]):
+                keys, _, first = _read(texts)
+                ends = pa.py_buffer((8 * np.append(first, len(keys))).astype(np.int32))
+                rows = pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(keys)])
+                yield pa.RecordBatch.from_arrays([rows], names=["symbols"])
+
+    return cut_lineage(docs.select(text).mapInArrow(read, "symbols binary"))
+
+
+def _symbols(parts):
+    """Arrays of about SLICE_SYMBOLS symbols (or one longer batch) from batches of ``read_symbols``."""
+    held, size = [], 0
+    for part in parts:
+        held.append(np.frombuffer(b"".join(part.column(0).to_pylist()), np.int64))
+        size += len(held[-1])
+        if size >= SLICE_SYMBOLS:
+            yield np.concatenate(held)
+            held, size = [], 0
+    if size:
+        yield np.concatenate(held)
+
+
+def count_words(symbols: DataFrame) -> DataFrame:
     """(key, c) of every word, and of END_KEY for the ends; counted by batch before the shuffle."""
 
     def count(parts):
-        keys = WordKeys()
-        for part in parts:
-            texts = part.column(0).to_pylist()
-            words: Counter = Counter()
-            for t in texts:
-                words.update(_tokens(t or ""))
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.append(np.fromiter((keys[w] for w in words), np.int64, len(words)), END_KEY)),
-                pa.array(np.append(np.fromiter(words.values(), np.int64, len(words)), len(texts))),
-            ], names=["key", "c"])
-
-    rows = docs.select(text).mapInArrow(count, "key bigint, c bigint")
+        for keys in _symbols(parts):
+            key, c = np.unique(keys[keys != START_KEY], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(c)], names=["key", "c"])
+
+    rows = symbols.mapInArrow(count, "key bigint, c bigint")
     return cut_lineage(rows.groupBy("key").agg(F.sum("c").alias("c")))
 
 
-def _sequences(docs: DataFrame, marks, length: int, text: str, whole: bool) -> DataFrame:
-    """By slice of texts, of what ``marks`` may have: (key, context, suffix, c) of sequences in it if ``whole``, else (key, c) where both parts are."""
-    names = ["key", "c", "context", "suffix"][: 4 if whole else 2]
+def _sequences(symbols: DataFrame, marks, length: int, parts: int, whole: bool) -> DataFrame:
+    """Packed sequences of what ``marks`` may have, counted by slice: (key, c, context, suffix) by key if ``whole``.
 
-    def count(parts):
-        field, memo = np.frombuffer(marks.value, np.int64), WordKeys()
-        for part in parts:
-            for texts in _slices([t or "" for t in part.column(0).to_pylist()]):
-                keys, place, _ = _read(texts, memo)
-                suffix = keys
-                for k in range(2, length):
-                    suffix = _longer(suffix, keys, k)
-                own = _longer(suffix, keys, length)
-                often = _marked(field, own if whole else suffix)
-                use = np.flatnonzero(often[1:] & (True if whole else often[:-1]) & (place[1:] >= length - 1)) + 1
-                if whole:
-                    own, at, c = np.unique(own[use], return_index=True, return_counts=True)
-                    made = (own, c, suffix[use[at] - 1], suffix[use[at]])
-                else:
-                    made = np.unique(own[use], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in made], names=names)
-
-    return docs.select(text).mapInArrow(count, ", ".join(f"{x} bigint" for x in names))
-
-
-def count_sequences(docs: DataFrame, shorter: DataFrame, length: int, total: int, text: str = "text") -> DataFrame:
-    """(key, context, suffix, c) of the sequences of ``length`` symbols that occur LEAST times.
+    Else (key, c), with counts up to LEAST, of sequences with both parts marked, by the place of the key in the bit field.
+    """
+
+    def count(batches):
+        field = np.frombuffer(marks.value, np.int64)
+        bits = 64 * len(field)
+        for keys in _symbols(batches):
+            starts = np.flatnonzero(keys == START_KEY)
+            place = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
+            suffix = keys
+            for k in range(2, length):
+                suffix = _longer(suffix, keys, k)
+            own = _longer(suffix, keys, length)
+            often = _marked(field, own if whole else suffix)
+            use = np.flatnonzero(often[1:] & (True if whole else often[:-1]) & (place[1:] >= length - 1)) + 1
+            if not whole:
+                key, c = np.unique(own[use], return_counts=True)
+                yield from small(pack((key & (bits - 1)) // (bits // parts), parts, key=key, c=np.minimum(c, LEAST).astype(np.uint8)))
+                continue
+            order, first = runs(own[use])
+            at, c = use[order[first]], np.diff(np.append(first, len(use)))
+            yield from small(pack(
+                bucket_of(own[at], parts), parts, key=own[at], c=c.astype(np.int32), context=suffix[at - 1], suffix=suffix[at]
+            ))
+
+    return symbols.mapInArrow(count, fields("key", "c", *["context", "suffix"][: 2 * whole]))
+
+
+def _often(symbols: DataFrame, known, length: int, parts: int, bits: int) -> bytes:
+    """The bit field of the sequences of ``length`` symbols that occur LEAST times; each bucket makes its own stretch of it."""
+
+    def fill(rows):
+        key, c = unpack(rows, key=np.int64, c=np.uint8)
+        order, first = runs(key)
+        stretch = np.zeros(bits // parts, np.uint8)
+        stretch[key[order[first[sums(c[order].astype(np.int64), first) >= LEAST]]] & (bits // parts - 1)] = 1
+        made = [rows.column("bucket").to_pylist()[:1], [np.packbits(stretch, bitorder="little").tobytes()]]
+        return pa.table([pa.array(made[0], pa.int32()), pa.array(made[1], pa.binary())], names=["bucket", "field"])
+
+    found = _sequences(symbols, known, length, parts, False).groupBy("bucket").applyInArrow(fill, "bucket int, field binary").toArrow()
+    field = np.zeros((parts, bits // parts // 8), np.uint8)  # bounded by MARKS / 8 bytes
+    for at, stretch in zip(found.column("bucket").to_pylist(), found.column("field").to_pylist()):
+        field[at] = np.frombuffer(stretch, np.uint8)
+    return field.tobytes()
+
+
+def count_sequences(symbols: DataFrame, known, length: int, parts: int):
+    """Packed (key, c, context, suffix), by suffix, of the sequences of ``length`` symbols that occur LEAST times; their marks.
 
     ``context`` is the sequence without its last symbol, ``suffix`` the one without its first; only where both
-    are in ``shorter`` can it be frequent enough. Most sequences occur once, so keys are counted alone
-    first, and whole rows move for the marked ones only.
+    are in ``known``, the marks of one symbol less, can it be frequent enough. Most sequences occur once, so keys
+    are counted alone first, and whole rows move for the marked ones only. Marks are broadcast; the caller destroys them.
     """
-    share = docs.sparkSession.sparkContext.broadcast
-    known = share(_marks(shorter, total))
-    parts = _sequences(docs, known, length, text, False)
-    often = share(_marks(parts.groupBy("key").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST), total))
-    known.destroy()
-    rows = _sequences(docs, often, length, text, True).groupBy("key").agg(
-        F.first("context").alias("context"), F.first("suffix").alias("suffix"), F.sum("c").alias("c")
-    )
-    found = cut_lineage(rows.where(F.col("c") >= LEAST))
-    often.destroy()
-    return found
+    marks = symbols.sparkSession.sparkContext.broadcast(_often(symbols, known, length, parts, 8 * len(known.value)))
+
+    def total(rows):
+        key, c, context, suffix = unpack(rows, key=np.int64, c=np.int32, context=np.int64, suffix=np.int64)
+        order, first = runs(key)
+        c = sums(c[order].astype(np.int64), first)
+        at, c = order[first[c >= LEAST]], c[c >= LEAST]
+        return pack_table(bucket_of(suffix[at], parts), parts, key=key[at], c=c, context=context[at], suffix=suffix[at])
 
+    names = ["key", "c", "context", "suffix"]
+    rows = _sequences(symbols, marks, length, parts, True)
+    return rows.groupBy("bucket").applyInArrow(total, fields(*names)), marks
 
-def keep_contexts(found: DataFrame, shorter: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The kept contexts (key, c, back) of one length, and all sequences (key, c, p, gain) they begin.
 
-    ``found`` are the sequences, ``shorter`` (key, c, p) those of one symbol less, with the probability of the
-    last symbol in the state of the longest kept context. ``gain`` is null where the context is not kept, else
-    log10 of p over the probability by backing off.
+def keep_contexts(found: DataFrame, shorter: DataFrame, parts: int) -> DataFrame:
+    """All sequences (key, c, p) of a length, packed by key, and (key, c, back, gain) of what has a value, marked by ``valued``.
+
+    ``found`` are the sequences by suffix, ``shorter`` (key, c, p) those of one symbol less, with the probability of
+    the last symbol in the state of the longest kept context. Kept contexts have ``back``, the log10 of their back-off
+    weight; the sequences they begin have ``gain``, the log10 of p over the probability by backing off.
+    The sequences of one context meet in one group: as many as words that often follow it.
     """
-    sizes = found.groupBy("context").agg(F.count("*").alias("kinds"), F.sum("c").alias("held")).join(
-        shorter.select(F.col("key").alias("context"), F.col("c").alias("n")), "context"
-    ).withColumn("back", 1 - F.col("held") / (F.col("n") + F.col("kinds")))
-    rows = cut_lineage(found.join(sizes, "context").join(
-        shorter.select(F.col("key").alias("suffix"), F.col("p").alias("below")), "suffix"
-    ).drop("suffix"))
-    left = (F.col("c") - 1) / (F.col("n") - 1 + F.col("kinds")) + F.col("back") * F.col("below")
-    gains = rows.groupBy("context", "n", "held", "back").agg(F.sum(F.col("c") * F.log(left / F.col("below"))).alias("sum"))
-    gain = F.col("sum") + (F.col("n") - F.col("held")) * F.log("back")
-    kept = cut_lineage(gains.where((gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * F.col("n"))).select(
-        F.col("context").alias("key"), F.col("n").alias("c"), "back"
-    ))
-    own = F.col("c") / (F.col("n") + F.col("kinds")) + F.col("back") * F.col("below")
-    is_kept = F.col("at").isNotNull()
-    level = cut_lineage(rows.join(kept.select(F.col("key").alias("at")), F.col("context") == F.col("at"), "left").select(
-        "key", "c", F.when(is_kept, own).otherwise(F.col("below")).alias("p"),
-        F.when(is_kept, F.log10(own / (F.col("back") * F.col("below")))).alias("gain"),
+
+    def known(rows):
+        key, c, p = unpack(rows, key=np.int64, c=np.int64, p=np.float64)
+        order = np.argsort(key)
+        return key[order], c[order], p[order]
+
+    def backed(left, right):
+        key, c, context, suffix = unpack(left, key=np.int64, c=np.int64, context=np.int64, suffix=np.int64)
+        table, _, p = known(right)
+        at, hit = _lookup(table, suffix)
+        key, c, context = key[hit], c[hit], context[hit]
+        return pack_table(bucket_of(context, parts), parts, key=key, c=c, context=context, below=p[at[hit]])
+
+    def tested(left, right):
+        key, c, context, below = unpack(left, key=np.int64, c=np.int64, context=np.int64, below=np.float64)
+        table, counts, _ = known(right)
+        at, hit = _lookup(table, context)
+        order, first = runs(context[hit])
+        key, c, context, below, n = (x[order] for x in (key[hit], c[hit], context[hit], below[hit], counts[at[hit]]))
+        kinds, held, n = np.diff(np.append(first, len(key))), sums(c, first), n[first]
+        back, which = 1 - held / (n + kinds), np.repeat(np.arange(len(first)), kinds)
+        left_out = (c - 1) / (n - 1 + kinds)[which] + back[which] * below
+        gain = sums(c * np.log(left_out / below), first) + (n - held) * np.log(back)
+        kept = (gain >= MIN_GAIN) & (gain >= MIN_DIVERGENCE * n)
+        own, own_kept = c / (n + kinds)[which] + back[which] * below, kept[which]
+        level = pack(bucket_of(key, parts), parts, key=key, c=c, p=np.where(own_kept, own, below), gain=np.zeros(len(key), np.int8))
+        gains = np.log10(own / (back[which] * below))[own_kept]
+        values = pack(
+            np.zeros(kept.sum() + own_kept.sum(), np.int64), 1, key=np.append(context[first][kept], key[own_kept]),
+            c=np.append(n[kept], c[own_kept]), p=np.append(np.log10(back[kept]), np.zeros(len(gains))),
+            gain=np.append(np.zeros(kept.sum()), gains),
+        )
+        made = pa.Table.from_batches([*small(level), values])
+        return made.append_column("valued", pa.array(np.arange(made.num_rows) >= level.num_rows))
+
+    asked = found.groupBy("bucket").cogroup(shorter.groupBy("bucket")).applyInArrow(
+        backed, fields("key", "c", "context", "below")
+    )
+    return cut_lineage(asked.groupBy("bucket").cogroup(shorter.groupBy("bucket")).applyInArrow(
+        tested, fields("key", "c", "p", "gain") + ", valued boolean"
     ))
-    release(rows)
-    return kept, level
+
+
+def _values(level: DataFrame) -> DataFrame:
+    """(key, c, back, gain) as rows."""
+
+    def spread(parts):
+        for part in parts:
+            made = unpack(part, key=np.int64, c=np.int64, p=np.float64, gain=np.float64)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in made], names=["key", "c", "back", "gain"])
+
+    rows = level.where("valued").select("key", "c", "p", "gain")
+    return cut_lineage(rows.mapInArrow(spread, "key bigint, c bigint, back double, gain double"))
+
+
+def _packed(rows: DataFrame, parts: int, **kinds: type) -> DataFrame:
+    """Rows with a column ``key``, packed by it; a null is a 0."""
+
+    def gather(batches):
+        for part in batches:
+            made = {x: part.column(x).fill_null(0).to_numpy(zero_copy_only=False).astype(kind) for x, kind in kinds.items()}
+            yield pack(bucket_of(made["key"], parts), parts, **made)
+
+    return rows.select(*kinds).mapInArrow(gather, fields(*kinds))
+
+
+def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int) -> DataFrame:
+    """(at, more, extra, rest) by row of ``read``: sums over its keys in ``cold``, joined to ``lookups``."""
+
+    def asked(batches):
+        for whole in batches:
+            for start in range(0, whole.num_rows, 1024):
+                part = whole.slice(start, 1024)
+                key = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(part.column(0).to_numpy(), part.column(1).value_lengths().to_numpy())
+                yield from small(pack(bucket_of(key, parts), parts, key=key, row=row))
+
+    def by_row(row, *values):
+        order, first = runs(row)
+        return row[order[first]], *[sums(x[order], first) for x in values]
+
+    def found(left, right):
+        key, row = unpack(left, key=np.int64, row=np.int64)
+        table, c, v = unpack(right, key=np.int64, c=np.int64, v=np.float64)
+        order, first = runs(table)  # a sequence has a value as such, and one as a context
+        table, c, v = table[order[first]], sums(c[order], first), sums(v[order], first)
+        at, hit = _lookup(table, key)
+        c, v = c[at[hit]], v[at[hit]]
+        row, more, extra, rest = by_row(row[hit], (c > 0).astype(np.int64), np.log10(c + 1.0), np.log10(np.maximum(c, 1)) + v)
+        return pack_table(bucket_of(row, parts), parts, row=row, more=more, extra=extra, rest=rest)
+
+    def total(rows):
+        made = by_row(*unpack(rows, row=np.int64, more=np.int64, extra=np.float64, rest=np.float64))
+        return pa.table([pa.array(x) for x in made], names=["at", "more", "extra", "rest"])
+
+    wanted = read.select("row", "cold").mapInArrow(asked, fields("key", "row"))
+    known = _packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64)
+    partial = wanted.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
+        found, fields("row", "more", "extra", "rest")
+    )
+    return partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double")
 
 
 class SuffixTree:
@@ -263,7 +425,7 @@ def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> D
     of bounded size, all others by a join; repeated rows are scored alike; with an empty
     training table every token is unknown. Columns called like the new ones are replaced.
     """
-    with shuffles_freed(docs.sparkSession):
+    with shuffles_freed(docs.sparkSession), small_batches(docs.sparkSession):
         scored = _score(docs, train, text, keep)
     return scored.select("*")  # planned anew, so its own shuffles stay as long as it does
 
@@ -271,7 +433,8 @@ def score(docs: DataFrame, train: DataFrame, text: str = "text", keep=None) -> D
 def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     spark, made = docs.sparkSession, ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     context = spark.sparkContext
-    counts = count_words(train, text)
+    symbols = read_symbols(train, text)
+    counts = count_words(symbols)
     n, v, once, ends = counts.agg(
         F.sum("c"), F.count(F.when(F.col("c") > 0, 1)), F.count(F.when(F.col("c") == 1, 1)), F.max(F.when(F.col("key") == END_KEY, F.col("c")))
     ).first()
@@ -289,19 +452,26 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     tree = SuffixTree(root, np.concatenate([[-3, -2, START_KEY], key]).astype(np.int64))
     starts = spark.createDataFrame([(START_KEY, ends, None)], "key bigint, c bigint, p double")
     shorter = counts.where(F.col("c") >= LEAST).select("key", "c", (F.col("c") * F.lit(known)).alias("p")).unionByName(starts)
+    parts = buckets(n)
+    marks = context.broadcast(_marks(shorter, n))
+    level, shorter = None, _packed(shorter, parts, key=np.int64, c=np.int64, p=np.float64)
     values = starts.where(F.lit(False)).select("key", "c", F.col("p").alias("back"), F.col("p").alias("gain"))
     for depth in range(1, DEPTH + 1):
-        found = count_sequences(train, shorter, depth + 1, n, text)
-        if not found.limit(1).count():
+        known_marks = marks
+        found, marks = count_sequences(symbols, known_marks, depth + 1, parts)
+        known_marks.destroy()
+        before, level = level, keep_contexts(found, shorter, parts)
+        if before is not None:
+            release(before)
+        if not level.limit(1).count():
             break
-        kept, shorter = keep_contexts(found, shorter)
-        release(found)
-        level = kept.select("key", "c", F.log10("back").alias("back"), F.lit(0.0).alias("gain")).unionByName(
-            shorter.where("gain is not null").select("key", "c", F.lit(0.0).alias("back"), "gain")
-        )
-        often = level.where(is_hot).select("key", "back", "gain").toArrow()  # bounded by 2 / HOT_SHARE rows
+        own, shorter = _values(level), level.where("not valued").select("bucket", "key", "c", "p")
+        often = own.where(is_hot).select("key", "back", "gain").toArrow()  # bounded by 2 / HOT_SHARE rows
         tree.add_level(often.column("key").to_numpy(), np.column_stack([often.column("back").to_numpy(), often.column("gain").to_numpy()]))
-        values = values.unionByName(level)
+        values = values.unionByName(own)
+    marks.destroy()
+    release(level)
+    release(symbols)
     lookups = counts.where(~is_hot).select("key", "c", F.lit(0.0).alias("v")).unionByName(
         values.where(~is_hot).select("key", F.lit(None).cast("bigint").alias("c"), (F.col("back") + F.col("gain")).alias("v"))
     )
@@ -312,11 +482,12 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
 
     def make():
         hot_keys, hot_counts, tree_keys, tree_logs, *marks = model.value
-        (field, begun), memo = (np.frombuffer(x, np.int64) for x in marks), WordKeys()
+        field, begun = (np.frombuffer(x, np.int64) for x in marks)
+        frequent = _field_of(tree_keys)
         plus_one, plain = np.log10(hot_counts + 1.0), np.log10(np.maximum(hot_counts, 1.0))
 
         def piece(texts):
-            keys, place, first = _read(texts, memo)
+            keys, place, first = _read(texts)
             text_of = np.repeat(np.arange(len(texts)), np.diff(np.append(first, len(keys))))
             at, hit = _lookup(hot_keys, keys)
             hit &= place > 0
@@ -330,8 +501,9 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
                 if length > 1:
                     own = _longer(own, keys, length)
                 there = np.flatnonzero(place >= length - 1)
-                at, found = _lookup(tree_keys, own[there])
-                tree_sum += np.bincount(text_of[there[found]], tree_logs[at[found]] if len(tree_logs) else None, minlength=len(texts))
+                maybe = there[_marked(frequent, own[there])]
+                at, found = _lookup(tree_keys, own[maybe])
+                tree_sum += np.bincount(text_of[maybe[found]], tree_logs[at[found]] if len(tree_logs) else None, minlength=len(texts))
                 cold = there[_marked(field, own[there])]
                 if length > 1:
                     cold = cold[_marked(begun, own[cold]) | _marked(begun, before[cold - 1])]
@@ -361,12 +533,7 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     )
     read = cut_lineage(read.withColumn("row", F.monotonically_increasing_id()))  # fixed once written
     model.destroy()
-    cold = read.select("row", F.explode("cold").alias("word")).join(
-        lookups.withColumnRenamed("key", "word"), "word"
-    ).groupBy(F.col("row").alias("at")).agg(
-        F.count("c").alias("more"), F.sum(F.log10(F.col("c") + 1.0)).alias("extra"),
-        F.sum(F.coalesce(F.log10("c"), F.lit(0.0)) + F.col("v")).alias("rest"),
-    )
+    cold = _cold_sums(read, lookups, parts)
     joined = read.drop("cold").join(cold, F.col("row") == F.col("at"), "left")
     more, unseen = F.coalesce("more", F.lit(0)), F.col("tokens") - F.col("known") - F.coalesce("more", F.lit(0))
     return joined.select(

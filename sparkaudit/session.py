@@ -98,3 +98,17 @@ def shuffles_freed(spark: SparkSession):
         yield
     finally:
         spark.conf.set(name, before)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, most: int = 4_000_000):
+    """Arrow batches of at most ``most`` bytes in the steps inside: a batch is held in workers and in the JVM outside its heap."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    held = before.rstrip("bB")
+    if not held.isdigit() or int(held) > most:
+        spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

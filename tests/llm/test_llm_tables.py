@@ -317,3 +317,31 @@ def test_lookups_are_asked_after_kept_contexts_only(docs, monkeypatch):
     rng = random.Random(8)
     language_model.score(docs([(i, " ".join(rng.choice("abcdefgh") for _ in range(50))) for i in range(40)]), docs([(1, "a b c")])).collect()
     assert asked and all(len(r.cold) <= r.tokens + 1 for r in asked)
+
+
+def test_sequences_are_counted_in_packed_rows(spark, docs):
+    """All that occur twice, as by brute force; what is shuffled are rows by bucket, not one for each sequence."""
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice("abcdefghijkl") for _ in range(300)) for _ in range(40)] + [None, "", "A b" * 50]
+    symbols = language_model.read_symbols(docs(list(enumerate(texts))))
+    keys, _, first = language_model._read([t or "" for t in texts])
+    assert sorted(r.symbols for r in symbols.collect()) == sorted(x.tobytes() for x in language_model.np.split(keys, first[1:]))
+    often = spark.sparkContext.broadcast(b"\xff" * 8192)
+    found, _ = language_model.count_sequences(symbols, often, 3, 32)
+    got = language_model.unpack(found.toArrow(), key=language_model.np.int64, c=language_model.np.int64)
+    want = Counter()
+    for t in texts:
+        words = [0, *(t or "").lower().split(), 1]
+        want.update(zip(words, words[1:], words[2:]))
+    assert sorted(got[1].tolist()) == sorted(c for c in want.values() if c >= 2) and len(set(got[0].tolist())) == len(got[0])
+    assert language_model._sequences(symbols, often, 3, 32, True).count() <= 32 * symbols.rdd.getNumPartitions() < len(want) / 2
+
+
+def test_word_keys_are_those_of_the_words(monkeypatch):
+    """Equal for equal words in any place and case, whatever block they are in; else different."""
+    monkeypatch.setattr(language_model, "BLOCK", 64)
+    rng = random.Random(7)
+    texts = ["", " \t\x0b", "x" * 500 + " X" + "x" * 499, *["".join(rng.choice("aAbé \x1c\n") for _ in range(200)) for _ in range(50)]]
+    keys, _, _ = language_model._read(texts)
+    words = [w for t in texts for w in (-1, *t.encode().lower().split(), 0)]
+    assert len(keys) == len(words) and len(set(zip(keys.tolist(), words))) == len(set(keys.tolist())) == len(set(words))

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, release, shuffles_freed, small_batches
+from ..session import cut_lineage, release, shuffles_freed, small_batches, write_work
 from .batches import add_columns, without
 from .packed import bucket_of, buckets, fields, mixed, pack, pack_table, runs, small, sums, unpack
 
@@ -39,6 +39,10 @@ END_KEY, START_KEY = 0, -1
 MARKS, SLICE_CHARS = 1 << 28, 2_000_000
 #: Symbols counted at once; bytes hashed at once.
 SLICE_SYMBOLS, BLOCK = 1 << 19, 1 << 17
+#: Most bytes of a file's dictionary of words.
+DICTIONARY = 16_000_000
+#: Turns in which keys to look up are joined, each with its share of the buckets.
+TURNS = 2
 #: Bytes of a word from which on its key is a digest.
 LONG = 64
 _FACTORS = np.random.default_rng(3).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -158,18 +162,20 @@ def read_symbols(docs: DataFrame, text: str = "text") -> DataFrame:
         for part in parts:
             for texts in _slices([t or "" for t in part.column(0).to_pylist()]):
                 keys, _, first = _read(texts)
-                ends = pa.py_buffer((8 * np.append(first, len(keys))).astype(np.int32))
-                rows = pa.Array.from_buffers(pa.binary(), len(first), [None, ends, pa.py_buffer(keys)])
+                rows = pa.ListArray.from_arrays(pa.array(np.append(first, len(keys)).astype(np.int32)), pa.array(keys))
+                rows = rows.cast(pa.list_(pa.field("element", pa.int64())))
                 yield pa.RecordBatch.from_arrays([rows], names=["symbols"])
 
-    return cut_lineage(docs.select(text).mapInArrow(read, "symbols binary"))
+    # Words repeat: a dictionary of many keys, as a task may have, takes less than the keys.
+    rows = docs.select(text).mapInArrow(read, "symbols array<bigint>")
+    return docs.sparkSession.read.schema(rows.schema).parquet(write_work(rows, options={"parquet.dictionary.page.size": DICTIONARY}))
 
 
 def _symbols(parts):
     """Arrays of about SLICE_SYMBOLS symbols (or one longer batch) from batches of ``read_symbols``."""
     held, size = [], 0
     for part in parts:
-        held.append(np.frombuffer(b"".join(part.column(0).to_pylist()), np.int64))
+        held.append(part.column(0).flatten().to_numpy(zero_copy_only=False))
         size += len(held[-1])
         if size >= SLICE_SYMBOLS:
             yield np.concatenate(held)
@@ -257,7 +263,7 @@ def count_sequences(symbols: DataFrame, known, length: int, parts: int):
 
     names = ["key", "c", "context", "suffix"]
     rows = _sequences(symbols, marks, length, parts, True)
-    return rows.groupBy("bucket").applyInArrow(total, fields(*names)), marks
+    return cut_lineage(rows.groupBy("bucket").applyInArrow(total, fields(*names))), marks  # its shuffle goes here
 
 
 def keep_contexts(found: DataFrame, shorter: DataFrame, parts: int) -> DataFrame:
@@ -365,10 +371,13 @@ def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int) -> DataFrame:
 
     wanted = read.select("row", "cold").mapInArrow(asked, fields("key", "row"))
     known = _packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64)
-    partial = wanted.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInArrow(
-        found, fields("row", "more", "extra", "rest")
-    )
-    return partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double")
+    made = None
+    for turn in range(TURNS):  # so that only a part of the keys is in shuffle files at a time
+        left, right = (x.where(F.col("bucket") % TURNS == turn).groupBy("bucket") for x in (wanted, known))
+        partial = left.cogroup(right).applyInArrow(found, fields("row", "more", "extra", "rest"))
+        own = cut_lineage(partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double"))
+        made = own if made is None else made.unionByName(own)
+    return made.groupBy("at").agg(*[F.sum(x).alias(x) for x in ("more", "extra", "rest")])
 
 
 class SuffixTree:
@@ -461,6 +470,7 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
         found, marks = count_sequences(symbols, known_marks, depth + 1, parts)
         known_marks.destroy()
         before, level = level, keep_contexts(found, shorter, parts)
+        release(found)
         if before is not None:
             release(before)
         if not level.limit(1).count():

@@ -53,7 +53,9 @@ def _local_root() -> str:
     return root
 
 
-def write_work(df: DataFrame, table: str | None = None, by: str | None = None, buckets: tuple[int, str] | None = None) -> str:
+def write_work(
+    df: DataFrame, table: str | None = None, by: str | None = None, buckets: tuple[int, str] | None = None, options: dict | None = None
+) -> str:
     """The rows written once in the shared folder, in a folder for each value of ``by`` if given; it goes when the driver ends.
 
     With ``buckets`` (number, column) the rows are bucketed, and ``table`` names them in the
@@ -61,7 +63,8 @@ def write_work(df: DataFrame, table: str | None = None, by: str | None = None, b
     """
     spark = df.sparkSession
     folder = work_folder(spark, "table")
-    writer = df.write.partitionBy(by) if by else df.write
+    writer = df.write.options(**options or {})
+    writer = writer.partitionBy(by) if by else writer
     if buckets:
         writer.bucketBy(*buckets).option("path", folder).saveAsTable(table)
     else:

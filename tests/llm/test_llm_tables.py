@@ -325,7 +325,7 @@ def test_sequences_are_counted_in_packed_rows(spark, docs):
     texts = [" ".join(rng.choice("abcdefghijkl") for _ in range(300)) for _ in range(40)] + [None, "", "A b" * 50]
     symbols = language_model.read_symbols(docs(list(enumerate(texts))))
     keys, _, first = language_model._read([t or "" for t in texts])
-    assert sorted(r.symbols for r in symbols.collect()) == sorted(x.tobytes() for x in language_model.np.split(keys, first[1:]))
+    assert sorted(r.symbols for r in symbols.collect()) == sorted(x.tolist() for x in language_model.np.split(keys, first[1:]))
     often = spark.sparkContext.broadcast(b"\xff" * 8192)
     found, _ = language_model.count_sequences(symbols, often, 3, 32)
     got = language_model.unpack(found.toArrow(), key=language_model.np.int64, c=language_model.np.int64)

@@ -15,7 +15,7 @@ from sparkaudit.session import cut_lineage
 
 
 #: Most bytes of an Arrow batch. A batch is held several times, in workers and in the JVM outside its heap.
-BATCH_BYTES = 4_000_000
+BATCH_BYTES = 1_000_000
 
 
 def _small_batches(spark: SparkSession) -> None:

@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import re
 import struct
+from array import array
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -26,6 +27,9 @@ PRE_TOKEN = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\
 
 #: Pieces up to this many characters are remembered, up to this many at a time (those not asked for go first); as many pairs, too.
 MEMO_CHARS, MEMO_PIECES = 48, 300_000
+#: Two ids, or a rank and an id, are one number, the first above so many bits: every worker holds tens of thousands of them.
+PAIR = 24
+_SECOND = (1 << PAIR) - 1
 
 
 def byte_letters() -> dict[str, int]:
@@ -39,10 +43,10 @@ def byte_letters() -> dict[str, int]:
 
 @dataclass
 class Vocabulary:
-    """Token bytes by id, merged id by pair with its rank, and special strings."""
+    """Token bytes by id, rank and merged id by pair of ids (see PAIR), and special strings."""
 
     tokens: list[bytes]
-    merges: dict[tuple[int, int], tuple[int, int]]
+    merges: dict[int, int]
     special: dict[str, int] = field(default_factory=dict)
 
     @classmethod
@@ -57,10 +61,12 @@ class Vocabulary:
             tokens[i] = bytes(letters[c] for c in word)
         for word, i in special.items():
             tokens[i] = word.encode()
+        if len(tokens) > _SECOND:
+            raise ValueError(f"more than {_SECOND} token ids")
         merges = {}
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            merges[ids[left], ids[right]] = (rank, ids[left + right])
+            merges[ids[left] << PAIR | ids[right]] = rank << PAIR | ids[left + right]
         return cls(tokens, merges, special)
 
 
@@ -71,22 +77,21 @@ class Encoder:
         self.vocabulary = vocabulary
         self.lengths = [len(t) for t in vocabulary.tokens]
         self.single = {t: i for i, t in enumerate(vocabulary.tokens) if len(t) == 1}
-        self.halves = {new: (rank, *pair) for pair, (rank, new) in reversed(vocabulary.merges.items())}
+        self.halves = {merged & _SECOND: pair for pair, merged in reversed(vocabulary.merges.items())}
         special = set(vocabulary.special.values())
         usable = [i for i, t in enumerate(vocabulary.tokens) if t and i not in special]
         self.alone = {i for i in usable if i not in self.halves} | {i for i in self.halves if self._holds(i)}
         self.whole = {vocabulary.tokens[i]: i for i in self.alone}
-        self.automaton = ahocorasick.Automaton()
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for i in usable:
-            token = vocabulary.tokens[i]
-            self.automaton.add_word(token.decode("latin-1"), (i, len(token)))
+            self.automaton.add_word(vocabulary.tokens[i].decode("latin-1"), i)
         self.automaton.make_automaton()
         self.pre_token = regex.compile(PRE_TOKEN)
         self.piece = re.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
         self.split = re.compile("(" + "|".join(map(re.escape, vocabulary.special)) + ")") if vocabulary.special else None
         self.fits: dict[int, dict[int, bool]] = {}
         self.n_fits = 0
-        self.edges: dict[tuple[int, int], list[tuple[int, int]]] = {}
+        self.edges: tuple[dict[int, array], dict[int, array]] = ({}, {})
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -96,34 +101,39 @@ class Encoder:
         self.older.clear()
         self.fits.clear()
         self.n_fits = 0
+        for edges in self.edges:
+            edges.clear()
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging by rank; only ever applied to the bytes of one token."""
         ids = [self.single[data[i : i + 1]] for i in range(len(data))]
         merges = self.vocabulary.merges
         while len(ids) > 1:
-            found = [(merges[p], i) for i, p in enumerate(zip(ids, ids[1:])) if p in merges]
+            pairs = [a << PAIR | b for a, b in zip(ids, ids[1:])]
+            found = [(merges[p], i) for i, p in enumerate(pairs) if p in merges]
             if not found:
                 break
-            (_, new), at = min(found)
-            ids[at : at + 2] = [new]
+            new, at = min(found)
+            ids[at : at + 2] = [new & _SECOND]
         return ids
 
     def _holds(self, token: int) -> bool:
         return self.merged(self.vocabulary.tokens[token]) == [token]
 
-    def edge(self, token: int, side: int) -> list[tuple[int, int]]:
-        """Nodes along one side of a token's merge tree, each with the rank that ends it."""
-        found = self.edges.get((token, side))
+    def edge(self, token: int, right: bool) -> array:
+        """Nodes along the left or right side of a token's merge tree, each followed by the rank that ends it."""
+        found = self.edges[right].get(token)
         if found is None:
-            found, ends = [], 1 << 30
+            found, node, ends = array("q"), token, 1 << 30
             while True:
-                found.append((token, ends))
-                if token not in self.halves:
+                found.append(node)
+                found.append(ends)
+                pair = self.halves.get(node)
+                if pair is None:
                     break
-                ends = self.halves[token][0]
-                token = self.halves[token][side]
-            self.edges[found[0][0], side] = found
+                ends = self.vocabulary.merges[pair] >> PAIR
+                node = pair & _SECOND if right else pair >> PAIR
+            self.edges[right][token] = found
         return found
 
     def compatible(self, left: int, right: int) -> bool:
@@ -134,21 +144,24 @@ class Encoder:
         ranks the one further left comes first.
         """
         merges = self.vocabulary.merges
-        for x, x_ends in self.edge(left, 2):
-            for y, y_ends in self.edge(right, 1):
-                joined = merges.get((x, y))
-                if joined is not None and joined[0] < x_ends and joined[0] <= y_ends:
+        of_left, of_right = self.edge(left, True), self.edge(right, False).tolist()
+        nodes, ends = of_right[::2], of_right[1::2]
+        for x, x_ends in zip(of_left[::2], of_left[1::2]):
+            first = x << PAIR
+            for y, y_ends in zip(nodes, ends):
+                joined = merges.get(first | y)
+                if joined is not None and joined >> PAIR < x_ends and joined >> PAIR <= y_ends:
                     return False
         return True
 
     def pre_token_ids(self, data: bytes) -> list[int]:
         """Last token of every prefix, then the back-pointers from the end."""
         last = [-1] * (len(data) + 1)
-        fits, alone, solved = self.fits, self.alone, -1
-        for end, (token, length) in self.automaton.iter(data.decode("latin-1")):
+        fits, alone, lengths, solved = self.fits, self.alone, self.lengths, -1
+        for end, token in self.automaton.iter(data.decode("latin-1")):
             if end == solved:
                 continue
-            start = end + 1 - length
+            start = end + 1 - lengths[token]
             if start:
                 left = last[start]
                 if left < 0:
@@ -169,7 +182,7 @@ class Encoder:
             elif token not in alone:
                 continue
             last[end + 1], solved = token, end
-        ids, end, lengths = [], len(data), self.lengths
+        ids, end = [], len(data)
         while end:
             token = last[end]
             ids.append(token)

@@ -345,3 +345,15 @@ def test_word_keys_are_those_of_the_words(monkeypatch):
     keys, _, _ = language_model._read(texts)
     words = [w for t in texts for w in (-1, *t.encode().lower().split(), 0)]
     assert len(keys) == len(words) and len(set(zip(keys.tolist(), words))) == len(set(keys.tolist())) == len(set(words))
+
+
+def test_stages_hand_out_batches_of_one_megabyte(spark, docs):
+    """A batch is held several times outside the JVM's heap; four MB were too many for the pipeline's executors."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64000000")
+        corpus_pipeline.no_benchmark(spark, docs([(1, "a")]), FOLDER)
+        assert int(spark.conf.get(name)) == 1_000_000
+    finally:
+        spark.conf.set(name, before)

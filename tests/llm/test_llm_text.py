@@ -1,5 +1,6 @@
 """Operators on single texts against plain Python, on odd rows."""
 
+import gc
 import hashlib
 import random
 import re
@@ -222,3 +223,22 @@ def test_toxicity_held_out(spark, docs):
 def test_digest_of_span_queries_is_by_code_point():
     assert hashlib.sha256(b"").hexdigest() == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
     assert Counter(k for k, _, _ in pii.base_spans("é a@b.cd")) == {"email": 1}
+
+
+def test_an_idle_encoder_holds_the_vocabulary_alone():
+    """Numbers for pairs, not tuples; what was learnt from texts goes with forget()."""
+    import tracemalloc
+
+    tracemalloc.start()
+    try:
+        own = bpe.Encoder(bpe.Vocabulary.read(PATH))
+        own.forget()
+        gc.collect()
+        before = tracemalloc.get_traced_memory()[0]
+        rng = random.Random(4)
+        own.encode(" ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 12))) for _ in range(20_000)))
+        own.forget()
+        gc.collect()
+        assert before < 24_000_000 and tracemalloc.get_traced_memory()[0] - before < 200_000
+    finally:
+        tracemalloc.stop()

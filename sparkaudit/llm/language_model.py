@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage, release, shuffles_freed, small_batches, write_work
+from ..session import cut_lineage, release, shuffles_freed, small_batches, write_work, written
 from .batches import add_columns, without
 from .packed import bucket_of, buckets, fields, mixed, pack, pack_table, runs, small, sums, unpack
 
@@ -41,8 +41,9 @@ MARKS, SLICE_CHARS = 1 << 28, 2_000_000
 SLICE_SYMBOLS, BLOCK = 1 << 19, 1 << 17
 #: Most bytes of a file's dictionary of words.
 DICTIONARY = 16_000_000
-#: Turns in which keys to look up are joined, each with its share of the buckets.
-TURNS = 2
+#: Most turns in which sequences are counted and tested, each with its share of the buckets (keys are looked up in twice as many,
+#: since a turn there costs less), and tokens that are worth a turn.
+TURNS, TURN_TOKENS = 2, 10_000_000
 #: Bytes of a word from which on its key is a digest.
 LONG = 64
 _FACTORS = np.random.default_rng(3).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -196,8 +197,14 @@ def count_words(symbols: DataFrame) -> DataFrame:
     return cut_lineage(rows.groupBy("key").agg(F.sum("c").alias("c")))
 
 
-def _sequences(symbols: DataFrame, marks, length: int, parts: int, whole: bool) -> DataFrame:
-    """Packed sequences of what ``marks`` may have, counted by slice: (key, c, context, suffix) by key if ``whole``.
+def _turns(total: int) -> int:
+    """Turns for so many tokens: only the share of one is in shuffle files at a time."""
+    return max(1, min(TURNS, total // TURN_TOKENS))
+
+
+def _sequences(symbols: DataFrame, marks, length: int, parts: int, whole: bool, turn: int = 0, turns: int = 1) -> DataFrame:
+    """Packed sequences of what ``marks`` may have, counted by slice: (key, c, context, suffix) by key if ``whole``,
+    of those whose suffix has its bucket in this turn.
 
     Else (key, c), with counts up to LEAST, of sequences with both parts marked, by the place of the key in the bit field.
     """
@@ -218,6 +225,8 @@ def _sequences(symbols: DataFrame, marks, length: int, parts: int, whole: bool)
                 key, c = np.unique(own[use], return_counts=True)
                 yield from small(pack((key & (bits - 1)) // (bits // parts), parts, key=key, c=np.minimum(c, LEAST).astype(np.uint8)))
                 continue
+            if turns > 1:
+                use = use[bucket_of(suffix[use], parts) % turns == turn]
             order, first = runs(own[use])
             at, c = use[order[first]], np.diff(np.append(first, len(use)))
             yield from small(pack(
@@ -245,12 +254,13 @@ def _often(symbols: DataFrame, known, length: int, parts: int, bits: int) -> byt
     return field.tobytes()
 
 
-def count_sequences(symbols: DataFrame, known, length: int, parts: int):
+def count_sequences(symbols: DataFrame, known, length: int, parts: int, turns: int = 1, then=None):
     """Packed (key, c, context, suffix), by suffix, of the sequences of ``length`` symbols that occur LEAST times; their marks.
 
     ``context`` is the sequence without its last symbol, ``suffix`` the one without its first; only where both
     are in ``known``, the marks of one symbol less, can it be frequent enough. Most sequences occur once, so keys
     are counted alone first, and whole rows move for the marked ones only. Marks are broadcast; the caller destroys them.
+    With ``then`` the table of each turn is replaced by what ``then(table, turn)`` writes from it.
     """
     marks = symbols.sparkSession.sparkContext.broadcast(_often(symbols, known, length, parts, 8 * len(known.value)))
 
@@ -262,34 +272,55 @@ def count_sequences(symbols: DataFrame, known, length: int, parts: int):
         return pack_table(bucket_of(suffix[at], parts), parts, key=key[at], c=c, context=context[at], suffix=suffix[at])
 
     names = ["key", "c", "context", "suffix"]
-    rows = _sequences(symbols, marks, length, parts, True)
-    return cut_lineage(rows.groupBy("bucket").applyInArrow(total, fields(*names))), marks  # its shuffle goes here
+    made = []
+    for turn in range(turns):
+        rows = _sequences(symbols, marks, length, parts, True, turn, turns)
+        found = cut_lineage(rows.groupBy("bucket").applyInArrow(total, fields(*names)))  # its shuffle goes here
+        made.append(then(found, turn) if then else found)
+        if then:
+            release(found)
+    return written(made), marks
 
 
-def keep_contexts(found: DataFrame, shorter: DataFrame, parts: int) -> DataFrame:
-    """All sequences (key, c, p) of a length, packed by key, and (key, c, back, gain) of what has a value, marked by ``valued``.
+def _in_turn(rows: DataFrame, turn: int, turns: int):
+    return rows.where(F.col("bucket") % turns == turn).groupBy("bucket")
+
+
+def _sorted(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    key, c, p = unpack(rows, key=np.int64, c=np.int64, p=np.float64)
+    order = np.argsort(key)
+    return key[order], c[order], p[order]
 
-    ``found`` are the sequences by suffix, ``shorter`` (key, c, p) those of one symbol less, with the probability of
-    the last symbol in the state of the longest kept context. Kept contexts have ``back``, the log10 of their back-off
-    weight; the sequences they begin have ``gain``, the log10 of p over the probability by backing off.
-    The sequences of one context meet in one group: as many as words that often follow it.
-    """
 
-    def known(rows):
-        key, c, p = unpack(rows, key=np.int64, c=np.int64, p=np.float64)
-        order = np.argsort(key)
-        return key[order], c[order], p[order]
+def back_off(found: DataFrame, shorter: DataFrame, parts: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """Packed (key, c, context, below), by context: with the probability of the last symbol after the suffix's context.
+
+    ``found`` are the sequences by suffix, of one turn, ``shorter`` (key, c, p) those of one symbol less, with the
+    probability of the last symbol in the state of the longest kept context.
+    """
 
     def backed(left, right):
         key, c, context, suffix = unpack(left, key=np.int64, c=np.int64, context=np.int64, suffix=np.int64)
-        table, _, p = known(right)
+        table, _, p = _sorted(right)
         at, hit = _lookup(table, suffix)
         key, c, context = key[hit], c[hit], context[hit]
         return pack_table(bucket_of(context, parts), parts, key=key, c=c, context=context, below=p[at[hit]])
 
+    both = _in_turn(found, turn, turns).cogroup(_in_turn(shorter, turn, turns))
+    return cut_lineage(both.applyInArrow(backed, fields("key", "c", "context", "below")))
+
+
+def keep_contexts(asked: DataFrame, shorter: DataFrame, parts: int, turns: int = 1) -> tuple[DataFrame, DataFrame]:
+    """All sequences (key, c, p) of a length, packed by key, and (key, c, back, gain) of what has a value.
+
+    ``asked`` are the sequences of ``back_off``, ``shorter`` those of one symbol less. Kept contexts have ``back``,
+    the log10 of their back-off weight; the sequences they begin have ``gain``, the log10 of p over the probability by
+    backing off. The sequences of one context meet in one group: as many as words that often follow it.
+    """
+
     def tested(left, right):
         key, c, context, below = unpack(left, key=np.int64, c=np.int64, context=np.int64, below=np.float64)
-        table, counts, _ = known(right)
+        table, counts, _ = _sorted(right)
         at, hit = _lookup(table, context)
         order, first = runs(context[hit])
         key, c, context, below, n = (x[order] for x in (key[hit], c[hit], context[hit], below[hit], counts[at[hit]]))
@@ -309,12 +340,14 @@ def keep_contexts(found: DataFrame, shorter: DataFrame, parts: int) -> DataFrame
         made = pa.Table.from_batches([*small(level), values])
         return made.append_column("valued", pa.array(np.arange(made.num_rows) >= level.num_rows))
 
-    asked = found.groupBy("bucket").cogroup(shorter.groupBy("bucket")).applyInArrow(
-        backed, fields("key", "c", "context", "below")
-    )
-    return cut_lineage(asked.groupBy("bucket").cogroup(shorter.groupBy("bucket")).applyInArrow(
-        tested, fields("key", "c", "p", "gain") + ", valued boolean"
-    ))
+    levels, values = [], []
+    for turn in range(turns):
+        both = _in_turn(asked, turn, turns).cogroup(_in_turn(shorter, turn, turns))
+        made = cut_lineage(both.applyInArrow(tested, fields("key", "c", "p", "gain") + ", valued boolean"))
+        levels.append(cut_lineage(made.where("not valued").select("bucket", "key", "c", "p")))
+        values.append(_values(made))
+        release(made)
+    return written(levels), written(values)
 
 
 def _values(level: DataFrame) -> DataFrame:
@@ -340,16 +373,21 @@ def _packed(rows: DataFrame, parts: int, **kinds: type) -> DataFrame:
     return rows.select(*kinds).mapInArrow(gather, fields(*kinds))
 
 
-def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int) -> DataFrame:
+def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int, turns: int) -> DataFrame:
     """(at, more, extra, rest) by row of ``read``: sums over its keys in ``cold``, joined to ``lookups``."""
 
-    def asked(batches):
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1024):
-                part = whole.slice(start, 1024)
-                key = part.column(1).flatten().to_numpy(zero_copy_only=False)
-                row = np.repeat(part.column(0).to_numpy(), part.column(1).value_lengths().to_numpy())
-                yield from small(pack(bucket_of(key, parts), parts, key=key, row=row))
+    def asked(turn):
+        def ask(batches):
+            for whole in batches:
+                for start in range(0, whole.num_rows, 1024):
+                    part = whole.slice(start, 1024)
+                    key = part.column(1).flatten().to_numpy(zero_copy_only=False)
+                    row = np.repeat(part.column(0).to_numpy(), part.column(1).value_lengths().to_numpy())
+                    bucket = bucket_of(key, parts)
+                    use = bucket % turns == turn
+                    yield from small(pack(bucket[use], parts, key=key[use], row=row[use]))
+
+        return ask
 
     def by_row(row, *values):
         order, first = runs(row)
@@ -369,15 +407,15 @@ def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int) -> DataFrame:
         made = by_row(*unpack(rows, row=np.int64, more=np.int64, extra=np.float64, rest=np.float64))
         return pa.table([pa.array(x) for x in made], names=["at", "more", "extra", "rest"])
 
-    wanted = read.select("row", "cold").mapInArrow(asked, fields("key", "row"))
-    known = _packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64)
-    made = None
-    for turn in range(TURNS):  # so that only a part of the keys is in shuffle files at a time
-        left, right = (x.where(F.col("bucket") % TURNS == turn).groupBy("bucket") for x in (wanted, known))
-        partial = left.cogroup(right).applyInArrow(found, fields("row", "more", "extra", "rest"))
-        own = cut_lineage(partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double"))
-        made = own if made is None else made.unionByName(own)
-    return made.groupBy("at").agg(*[F.sum(x).alias(x) for x in ("more", "extra", "rest")])
+    known = cut_lineage(_packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64))
+    made = []
+    for turn in range(turns):  # so that only a part of the keys is in shuffle files at a time
+        wanted = read.select("row", "cold").mapInArrow(asked(turn), fields("key", "row"))
+        both = wanted.groupBy("bucket").cogroup(_in_turn(known, turn, turns))
+        partial = both.applyInArrow(found, fields("row", "more", "extra", "rest"))
+        made.append(cut_lineage(partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double")))
+    release(known)
+    return written(made).groupBy("at").agg(*[F.sum(x).alias(x) for x in ("more", "extra", "rest")])
 
 
 class SuffixTree:
@@ -463,24 +501,25 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     shorter = counts.where(F.col("c") >= LEAST).select("key", "c", (F.col("c") * F.lit(known)).alias("p")).unionByName(starts)
     parts = buckets(n)
     marks = context.broadcast(_marks(shorter, n))
-    level, shorter = None, _packed(shorter, parts, key=np.int64, c=np.int64, p=np.float64)
+    turns, shorter = _turns(n), cut_lineage(_packed(shorter, parts, key=np.int64, c=np.int64, p=np.float64))
     values = starts.where(F.lit(False)).select("key", "c", F.col("p").alias("back"), F.col("p").alias("gain"))
     for depth in range(1, DEPTH + 1):
         known_marks = marks
-        found, marks = count_sequences(symbols, known_marks, depth + 1, parts)
+        asked, marks = count_sequences(
+            symbols, known_marks, depth + 1, parts, turns, lambda found, turn: back_off(found, shorter, parts, turn, turns)
+        )
         known_marks.destroy()
-        before, level = level, keep_contexts(found, shorter, parts)
-        release(found)
-        if before is not None:
-            release(before)
+        level, own = keep_contexts(asked, shorter, parts, turns)
+        release(asked)
+        release(shorter)
+        shorter = level
         if not level.limit(1).count():
             break
-        own, shorter = _values(level), level.where("not valued").select("bucket", "key", "c", "p")
         often = own.where(is_hot).select("key", "back", "gain").toArrow()  # bounded by 2 / HOT_SHARE rows
         tree.add_level(often.column("key").to_numpy(), np.column_stack([often.column("back").to_numpy(), often.column("gain").to_numpy()]))
         values = values.unionByName(own)
     marks.destroy()
-    release(level)
+    release(shorter)
     release(symbols)
     lookups = counts.where(~is_hot).select("key", "c", F.lit(0.0).alias("v")).unionByName(
         values.where(~is_hot).select("key", F.lit(None).cast("bigint").alias("c"), (F.col("back") + F.col("gain")).alias("v"))
@@ -543,7 +582,7 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     )
     read = cut_lineage(read.withColumn("row", F.monotonically_increasing_id()))  # fixed once written
     model.destroy()
-    cold = _cold_sums(read, lookups, parts)
+    cold = _cold_sums(read, lookups, parts, 2 * turns)
     joined = read.drop("cold").join(cold, F.col("row") == F.col("at"), "left")
     more, unseen = F.coalesce("more", F.lit(0)), F.col("tokens") - F.col("known") - F.coalesce("more", F.lit(0))
     return joined.select(

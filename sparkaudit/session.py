@@ -83,11 +83,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_work(df))
 
 
+def written(tables: list[DataFrame]) -> DataFrame:
+    """The rows of some tables of ``cut_lineage`` with the same columns, as one table."""
+    folders = {os.path.dirname(file) for table in tables for file in table.inputFiles()}
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*sorted(folders))
+
+
 def release(df: DataFrame) -> None:
-    """Deletes a table of ``cut_lineage`` that no later step reads."""
+    """Deletes a table of ``cut_lineage``, or of ``written``, that no later step reads."""
     spark = df.sparkSession
-    for file in df.inputFiles()[:1]:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+    for name in sorted({os.path.dirname(file) for file in df.inputFiles()}):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name)
         folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
 
 

@@ -357,3 +357,27 @@ def test_stages_hand_out_batches_of_one_megabyte(spark, docs):
         assert int(spark.conf.get(name)) == 1_000_000
     finally:
         spark.conf.set(name, before)
+
+
+def test_sequences_move_in_turns(docs, monkeypatch):
+    """A turn moves its share of the sequences only, all turns together every one, and scores stay."""
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice("abcdefghijklmnop") for _ in range(200))) for i in range(30)] + [(90, None), (91, "a b " * 40)]
+    symbols = language_model.read_symbols(docs(rows))
+    marks = symbols.sparkSession.sparkContext.broadcast(b"\xff" * 8192)
+
+    def moved(**turn):
+        rows = language_model._sequences(symbols, marks, 3, 32, True, **turn).toArrow()
+        return Counter(language_model.unpack(rows, key=language_model.np.int64)[0].tolist())
+
+    every, shares = moved(), [moved(turn=i, turns=2) for i in range(2)]
+    assert shares[0] + shares[1] == every and all(0.2 * len(every) < len(x) < 0.8 * len(every) for x in shares)
+    assert not set(shares[0]) & set(shares[1])
+    table = docs(rows)
+    whole = {r.doc_id: r.score for r in language_model.score(table, table.where("doc_id < 91")).collect()}
+    asked = []
+    monkeypatch.setattr(language_model, "TURN_TOKENS", 1000)
+    step = language_model.back_off
+    monkeypatch.setattr(language_model, "back_off", lambda *a: (asked.append(a[3:]), step(*a))[1])
+    turned = {r.doc_id: r.score for r in language_model.score(table, table.where("doc_id < 91")).collect()}
+    assert {(0, 2), (1, 2)} == set(asked) and turned == pytest.approx(whole, rel=1e-9)

@@ -373,8 +373,8 @@ def _packed(rows: DataFrame, parts: int, **kinds: type) -> DataFrame:
     return rows.select(*kinds).mapInArrow(gather, fields(*kinds))
 
 
-def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int, turns: int) -> DataFrame:
-    """(at, more, extra, rest) by row of ``read``: sums over its keys in ``cold``, joined to ``lookups``."""
+def _cold_sums(read: DataFrame, known: DataFrame, parts: int, turns: int) -> DataFrame:
+    """(at, more, extra, rest) by row of ``read``: sums over its keys in ``cold``, joined to the packed (key, c, v) of ``known``."""
 
     def asked(turn):
         def ask(batches):
@@ -407,14 +407,12 @@ def _cold_sums(read: DataFrame, lookups: DataFrame, parts: int, turns: int) -> D
         made = by_row(*unpack(rows, row=np.int64, more=np.int64, extra=np.float64, rest=np.float64))
         return pa.table([pa.array(x) for x in made], names=["at", "more", "extra", "rest"])
 
-    known = cut_lineage(_packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64))
     made = []
     for turn in range(turns):  # so that only a part of the keys is in shuffle files at a time
         wanted = read.select("row", "cold").mapInArrow(asked(turn), fields("key", "row"))
         both = wanted.groupBy("bucket").cogroup(_in_turn(known, turn, turns))
         partial = both.applyInArrow(found, fields("row", "more", "extra", "rest"))
         made.append(cut_lineage(partial.groupBy("bucket").applyInArrow(total, "at bigint, more bigint, extra double, rest double")))
-    release(known)
     return written(made).groupBy("at").agg(*[F.sum(x).alias(x) for x in ("more", "extra", "rest")])
 
 
@@ -527,6 +525,8 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     longest = len(tree.levels) + 1
     # A successor has a value only after a kept context, frequent or not: most tokens follow none and ask for nothing.
     model = context.broadcast((key, c, *tree.table(), _marks(lookups, n), _marks(values.where("back != 0"), n)))
+    packed = cut_lineage(_packed(lookups, parts, key=np.int64, c=np.int64, v=np.float64))
+    release(lookups)  # all counts and values: later steps read the packed ones
     log_known, log_unknown = math.log10(known), math.log10(unknown)
 
     def make():
@@ -582,7 +582,8 @@ def _score(docs: DataFrame, train: DataFrame, text: str, keep) -> DataFrame:
     )
     read = cut_lineage(read.withColumn("row", F.monotonically_increasing_id()))  # fixed once written
     model.destroy()
-    cold = _cold_sums(read, lookups, parts, 2 * turns)
+    cold = _cold_sums(read, packed, parts, 2 * turns)
+    release(packed)
     joined = read.drop("cold").join(cold, F.col("row") == F.col("at"), "left")
     more, unseen = F.coalesce("more", F.lit(0)), F.col("tokens") - F.col("known") - F.coalesce("more", F.lit(0))
     return joined.select(
